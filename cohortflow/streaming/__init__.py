@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reporting process this library reproduces is a batch build over snapshot
+tables: it has no watermark, time window, state store or late-data rule. No
+streaming operator is provided on purpose; re-run the batch report per as-of
+date instead.
+"""
