@@ -49,17 +49,16 @@ def up_to_date(report: DataFrame, status: DataFrame, events_by_antigen: DataFram
     no_record = F.col("has_record").isNull()
     overall = (F.when(no_record, C.NO_RECORD)
                .when(F.col("any_outstanding") == 1, C.NO).otherwise(C.YES))
-    j = j.withColumn("up_to_date", overall)
-    is_no_record = F.col("up_to_date") == C.NO_RECORD
+    is_no_record = overall == C.NO_RECORD
+    stage_cols = []
     for g in policy.gates:
         slug = _slug(g.stage)
         v = F.when(F.col(f"out__{slug}") == 1, C.NO).when(F.col(f"has__{slug}") == 1, C.YES)
         gate = _gate(g, v, policy, set(report.columns))
-        j = j.withColumn(g.column, F.when(is_no_record & F.coalesce(gate, F.lit(False)),
-                                          F.lit(C.NO_RECORD)).otherwise(v))
-    drop = ["s_person", "r_person", "has_record", "any_outstanding"] + \
-        [f"{k}__{_slug(s)}" for s in stages for k in ("out", "has")]
-    return j.drop(*drop)
+        stage_cols.append(F.when(is_no_record & F.coalesce(gate, F.lit(False)), F.lit(C.NO_RECORD))
+                          .otherwise(v).alias(g.column))
+    return j.select(*[F.col(f"`{c}`") for c in report.columns], overall.alias("up_to_date"),
+                    *stage_cols)
 
 
 def _gate(g: C.StageGate, value: Column, policy: C.Policy, columns: set[str]) -> Column:

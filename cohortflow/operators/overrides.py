@@ -25,68 +25,97 @@ def _ci(col: str, value: str) -> F.Column:
 # Antigen-level overrides
 # --------------------------------------------------------------------------
 
-def menb_override(am: DataFrame) -> DataFrame:
+AM_COLUMNS = ["person_id", "dob", "antigen", "valid_doses_given", "doses_required", "product",
+              "stage", "rule_ref", "prev_ref", "met_flag"]
+Triple = tuple[F.Column, F.Column, F.Column]  # (given, required, met)
+
+
+def _start() -> Triple:
+    return F.col("valid_doses_given"), F.col("doses_required"), F.col("met_flag")
+
+
+def _project(df: DataFrame, t: Triple) -> DataFrame:
+    given, required, met = t
+    return df.select("person_id", "dob", "antigen", given.alias("valid_doses_given"),
+                     required.alias("doses_required"), "product", "stage", "rule_ref",
+                     "prev_ref", met.alias("met_flag"))
+
+
+def menb_cols(t: Triple) -> Triple:
     """A person with an unmet primary MenB row needs 2 doses at the
     12-month MenB stage; then every met flag is recomputed from the counts."""
+    given, required, met = t
     w = Window.partitionBy("person_id", "antigen")
     menb = _ci("antigen", C.ANTIGEN_MENB)
-    primary_unmet = F.max(F.when(menb & _ci("stage", C.STAGE_PRIMARY) & (F.col("met_flag") == 0), 1)
-                          ).over(w)
-    target = menb & _ci("stage", C.STAGE_12M) & (primary_unmet == 1)
-    out = am.withColumn("doses_required", F.when(target, 2).otherwise(F.col("doses_required")))
-    return out.withColumn("met_flag", met_flag(F.col("valid_doses_given"), F.col("doses_required")))
+    primary_unmet = F.max(F.when(menb & _ci("stage", C.STAGE_PRIMARY) & (met == 0), 1)).over(w)
+    target = F.coalesce(menb & _ci("stage", C.STAGE_12M) & (primary_unmet == 1), F.lit(False))
+    required = F.when(target, 2).otherwise(required)
+    return given, required, met_flag(given, required)
 
 
-def age_waiver(am: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+def age_waiver_cols(t: Triple, policy: C.Policy = C.DEFAULT_POLICY) -> Triple:
     """Pertussis in the 6-in-1/4-in-1 products is met once more than
     ``pert_waiver_year_diff`` calendar years have passed since birth."""
-    hit = (_ci("antigen", C.ANTIGEN_PERT) & F.col("product").isin(*C.PERT_WAIVER_PRODUCTS)
-           & ((F.year(F.lit(policy.as_of)) - F.year("dob")) > policy.pert_waiver_year_diff))
-    return am.withColumns({
-        "met_flag": F.when(hit, 1).otherwise(F.col("met_flag")),
-        "valid_doses_given": F.when(hit, F.col("doses_required")).otherwise(F.col("valid_doses_given")),
-    })
+    given, required, met = t
+    hit = F.coalesce(_ci("antigen", C.ANTIGEN_PERT) & F.col("product").isin(*C.PERT_WAIVER_PRODUCTS)
+                     & ((F.year(F.lit(policy.as_of)) - F.year("dob")) > policy.pert_waiver_year_diff),
+                     F.lit(False))
+    return F.when(hit, required).otherwise(given), required, F.when(hit, 1).otherwise(met)
 
 
-def series_overrides(am: DataFrame, caveats: DataFrame) -> DataFrame:
-    """Counts of MMR-containing products from the per-person dose series.
+def series_cols(t: Triple) -> Triple:
+    """O6-O9 on a frame carrying the dose-series columns ``c_person``,
+    ``valid_dose_count`` and ``mmrv_dose_count``.
 
     O6 'any MMR' product = total valid MMR-containing doses (max 2);
     O7 MMR-1 never exceeds one dose; O8/O9 MMRV-1/-2 reflect combined doses only.
     O6, O8, O9 apply only to people with a dose series row.
     """
-    cv = caveats.select(F.col("person_id").alias("c_person"), "valid_dose_count",
-                        "mmrv_dose_count")
-    j = am.join(cv, am.person_id == cv.c_person, "left")
+    given, required, met = t
     has = F.col("c_person").isNotNull()
     product = F.col("product")
-    given, met = F.col("valid_doses_given"), F.col("met_flag")
     total = F.coalesce(F.col("valid_dose_count"), F.lit(0))
     combined = F.coalesce(F.col("mmrv_dose_count"), F.lit(0))
-
-    o6 = has & (product == C.PRODUCT_MMR_ANY_1)
-    j = j.withColumns({
-        "valid_doses_given": F.when(o6, F.when(total >= 2, 2).when(total == 1, 1).otherwise(0))
-        .otherwise(given),
-        "met_flag": F.when(o6, F.when(total >= 1, 1).otherwise(0)).otherwise(met),
-    })
-    o7 = product == C.PRODUCT_MMR_1
-    j = j.withColumns({
-        "valid_doses_given": F.when(o7 & (given > 1), 1).otherwise(given),
-        "met_flag": F.when(o7, F.when(given > 0, 1).otherwise(0)).otherwise(met),
-    })
+    o6 = F.coalesce(has & (product == C.PRODUCT_MMR_ANY_1), F.lit(False))
+    given, met = (F.when(o6, F.when(total >= 2, 2).when(total == 1, 1).otherwise(0)).otherwise(given),
+                  F.when(o6, F.when(total >= 1, 1).otherwise(0)).otherwise(met))
+    o7 = F.coalesce(product == C.PRODUCT_MMR_1, F.lit(False))
+    given, met = (F.when(o7 & (given > 1), 1).otherwise(given),
+                  F.when(o7, F.when(given > 0, 1).otherwise(0)).otherwise(met))
     for name, need in ((C.PRODUCT_MMRV_1, 1), (C.PRODUCT_MMRV_2, 2)):
-        hit = has & (product == name)
+        hit = F.coalesce(has & (product == name), F.lit(False))
         val = F.when(combined >= need, 1).otherwise(0)
-        j = j.withColumns({"valid_doses_given": F.when(hit, val).otherwise(given),
-                           "met_flag": F.when(hit, val).otherwise(met)})
-    return j.drop("c_person", "valid_dose_count", "mmrv_dose_count")
+        given, met = F.when(hit, val).otherwise(given), F.when(hit, val).otherwise(met)
+    return given, required, met
+
+
+def _with_series(am: DataFrame, caveats: DataFrame) -> DataFrame:
+    cv = caveats.select(F.col("person_id").alias("c_person"), "valid_dose_count",
+                        "mmrv_dose_count")
+    return am.join(cv, am.person_id == cv.c_person, "left")
+
+
+def menb_override(am: DataFrame) -> DataFrame:
+    """O3-O4 (see :func:`menb_cols`)."""
+    return _project(am, menb_cols(_start()))
+
+
+def age_waiver(am: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+    """O5 (see :func:`age_waiver_cols`)."""
+    return _project(am, age_waiver_cols(_start(), policy))
+
+
+def series_overrides(am: DataFrame, caveats: DataFrame) -> DataFrame:
+    """O6-O9 (see :func:`series_cols`)."""
+    return _project(_with_series(am, caveats), series_cols(_start()))
 
 
 def antigen_overrides(am: DataFrame, caveats: DataFrame,
                       policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
-    """D10 = O3..O9 in order."""
-    return series_overrides(age_waiver(menb_override(am), policy), caveats)
+    """D10 = O3..O9 in order: one join to the dose series, one projection in
+    which each override wraps the expressions of the previous ones."""
+    t = series_cols(age_waiver_cols(menb_cols(_start()), policy))
+    return _project(_with_series(am, caveats), t)
 
 
 # --------------------------------------------------------------------------
@@ -141,6 +170,10 @@ def product_overrides(status: DataFrame, flags: DataFrame, doses: DataFrame,
     selects a prefix of the ordered override groups:
     catchup (O10-O12), cohort (O13-O18), late_dose (O19),
     cross_product (O20), mmr_recheck (O21-O22).
+
+    The overrides are folded into one expression per target column, each
+    wrapping the previous one, so the whole chain is a single projection
+    (plus one person window for O12).
     """
     f = flags.withColumnRenamed("person_id", "f_person")
     d = doses.select(F.col("person_id").alias("d_person"), F.col("product").alias("d_product"),
@@ -148,55 +181,54 @@ def product_overrides(status: DataFrame, flags: DataFrame, doses: DataFrame,
     j = (status.join(f, status.person_id == f.f_person, "left")
          .join(d, (status.person_id == d.d_person) & (status.product == d.d_product), "left"))
     product = F.col("product")
-    needed = "still_needed"
     cv = F.col("has_caveat")
     unmet = F.coalesce(F.col("min_met"), F.lit(0)) == 0
+    needed, met = F.col("still_needed"), F.col("min_met")
 
-    def set_needed(df: DataFrame, cond: F.Column, value: int) -> DataFrame:
-        return df.withColumn(needed, F.when(F.coalesce(cond, F.lit(False)), value)
-                             .otherwise(F.col(needed)))
+    def override(current: F.Column, cond: F.Column, value) -> F.Column:
+        return F.when(F.coalesce(cond, F.lit(False)), value).otherwise(current)
 
     if "catchup" in groups:
         catch_up = cv & (F.col("catch_up") == 1)
         # Catch-up: unmet MMR-1/MMR-2 are no longer needed.
-        j = set_needed(j, catch_up & product.isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2) & unmet, 0)
+        needed = override(needed, catch_up & product.isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2) & unmet, 0)
         # Catch-up, cohort >= 3, first dose not combined: unmet MMRV-1 needed.
-        j = set_needed(j, catch_up & (F.col("cohort") >= 3)
-                       & (F.coalesce(F.col("dose1_is_mmrv"), F.lit(0)) == 0)
-                       & (product == C.PRODUCT_MMRV_1) & unmet, 1)
+        needed = override(needed, catch_up & (F.col("cohort") >= 3)
+                          & (F.coalesce(F.col("dose1_is_mmrv"), F.lit(0)) == 0)
+                          & (product == C.PRODUCT_MMRV_1) & unmet, 1)
         # Catch-up, < 2 doses and MMR-2 still needed (after O10): MMRV-2 needed.
-        mmr2_needed = F.max(F.when((product == C.PRODUCT_MMR_2) & (F.col(needed) == 1), 1)).over(
+        mmr2_needed = F.max(F.when((product == C.PRODUCT_MMR_2) & (needed == 1), 1)).over(
             Window.partitionBy("person_id"))
-        j = j.withColumn("_mmr2_needed", mmr2_needed)
-        j = set_needed(j, catch_up & (F.col("valid_dose_count") < 2) & (F.col("_mmr2_needed") == 1)
-                       & (product == C.PRODUCT_MMRV_2), 1)
+        needed = override(needed, catch_up & (F.col("valid_dose_count") < 2) & (mmr2_needed == 1)
+                          & (product == C.PRODUCT_MMRV_2), 1)
     if "cohort" in groups:
         # Cohort 2 with two combined doses: no further MMRV-2.
-        j = set_needed(j, cv & (F.col("cohort2_two_mmrv") == 1) & (product == C.PRODUCT_MMRV_2), 0)
+        needed = override(needed, cv & (F.col("cohort2_two_mmrv") == 1)
+                          & (product == C.PRODUCT_MMRV_2), 0)
         # Cohort 3 invite / late attender: MMR-2 not needed, MMRV-2 needed.
         for flag in ("cohort3_invite", "cohort3_late"):
-            j = set_needed(j, cv & (F.col(flag) == 1) & (product == C.PRODUCT_MMR_2), 0)
-            j = set_needed(j, cv & (F.col(flag) == 1) & (product == C.PRODUCT_MMRV_2), 1)
+            needed = override(needed, cv & (F.col(flag) == 1) & (product == C.PRODUCT_MMR_2), 0)
+            needed = override(needed, cv & (F.col(flag) == 1) & (product == C.PRODUCT_MMRV_2), 1)
         # Cohort 3 with neither action: MMRV-2 not needed.
-        j = set_needed(j, cv & (F.col("cohort") == 3) & (product == C.PRODUCT_MMRV_2)
-                       & (F.coalesce(F.col("cohort3_invite"), F.lit(0)) == 0)
-                       & (F.coalesce(F.col("cohort3_late"), F.lit(0)) == 0), 0)
+        needed = override(needed, cv & (F.col("cohort") == 3) & (product == C.PRODUCT_MMRV_2)
+                          & (F.coalesce(F.col("cohort3_invite"), F.lit(0)) == 0)
+                          & (F.coalesce(F.col("cohort3_late"), F.lit(0)) == 0), 0)
     if "late_dose" in groups:
         # Any 6-in-1 dose after 12 months: the 18-month 6-in-1 is not needed.
-        j = set_needed(j, (F.col("late_6in1") == 1) & (product == C.PRODUCT_SIX_IN_ONE_18M), 0)
+        needed = override(needed, (F.col("late_6in1") == 1)
+                          & (product == C.PRODUCT_SIX_IN_ONE_18M), 0)
     if "cross_product" in groups:
         # HIB met, valid ACWY given, MenC unmet: HIB/MenC waived and met.
-        waiver = F.coalesce((product == C.PRODUCT_HIBMENC) & (F.col("hib_met") == 1)
-                            & (F.col("acwy_ok") == 1) & (F.col("menc_unmet") == 1), F.lit(False))
-        j = j.withColumns({needed: F.when(waiver, 0).otherwise(F.col(needed)),
-                           "min_met": F.when(waiver, 1).otherwise(F.col("min_met"))})
+        waiver = ((product == C.PRODUCT_HIBMENC) & (F.col("hib_met") == 1)
+                  & (F.col("acwy_ok") == 1) & (F.col("menc_unmet") == 1))
+        needed = override(needed, waiver, 0)
+        met = override(met, waiver, 1)
     if "mmr_recheck" in groups:
         # MMR-1/MMR-2 met is recomputed from doses given vs required.
         req = F.col("doses_required")
-        recheck = F.coalesce(product.isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2)
-                             & F.col("d_person").isNotNull() & (F.coalesce(req, F.lit(0)) > 0),
-                             F.lit(False))
-        j = j.withColumn("min_met", F.when(recheck, F.when(
-            F.coalesce(F.col("doses_given"), F.lit(0)) >= req, 1).otherwise(0))
-            .otherwise(F.col("min_met")))
-    return j.select(*status.columns)
+        recheck = (product.isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2) & F.col("d_person").isNotNull()
+                   & (F.coalesce(req, F.lit(0)) > 0))
+        met = override(met, recheck, F.when(F.coalesce(F.col("doses_given"), F.lit(0)) >= req, 1)
+                       .otherwise(0))
+    return j.select("person_id", "product", "stage", met.alias("min_met"),
+                    needed.alias("still_needed"))

@@ -47,10 +47,13 @@ def _locality(hub: Column) -> Column:
     return replace_all(hub, C.LOCALITY_RENAMES)
 
 
-def _dim(df: DataFrame, key: str, prefix: str, max_rows: int) -> DataFrame:
-    d = dedupe_on(df, key)
-    d = d.select(*[F.col(c).alias(f"{prefix}{c}") for c in d.columns])
-    return broadcast_if_small(d, max_rows)[0]
+def _dim(df: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """De-duplicated dimension, marked for broadcast when its size is proven small."""
+    return broadcast_if_small(dedupe_on(df, key), max_rows)[0]
+
+
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
 def demographics_star(core: DataFrame, population: DataFrame, demographics: DataFrame,
@@ -64,11 +67,13 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
     pd_ = pd_.select(*[F.col(c).alias(f"pd_{c}") for c in pd_.columns])
     dd = dedupe_on(demographics, "person_id")
     dd = dd.select(*[F.col(c).alias(f"dd_{c}") for c in dd.columns])
-    gp_pd, gp_dd = _dim(gp, "practice_code", "gp_", mx), _dim(gp, "practice_code", "gpc_", mx)
-    la_pd, la_dd = _dim(la, "la_code", "la_", mx), _dim(la, "la_code", "lac_", mx)
-    ons_pd, ons_dd = _dim(postcodes, "postcode", "ons_", mx), _dim(postcodes, "postcode", "onsc_", mx)
-    imd_pd, imd_dd = _dim(deprivation, "lsoa", "imd_", mx), _dim(deprivation, "lsoa", "imdc_", mx)
-    sch = _dim(schools, "school_code", "sch_", mx)
+    gp, la = _dim(gp, "practice_code", mx), _dim(la, "la_code", mx)
+    postcodes, deprivation = _dim(postcodes, "postcode", mx), _dim(deprivation, "lsoa", mx)
+    gp_pd, gp_dd = _prefixed(gp, "gp_"), _prefixed(gp, "gpc_")
+    la_pd, la_dd = _prefixed(la, "la_"), _prefixed(la, "lac_")
+    ons_pd, ons_dd = _prefixed(postcodes, "ons_"), _prefixed(postcodes, "onsc_")
+    imd_pd, imd_dd = _prefixed(deprivation, "imd_"), _prefixed(deprivation, "imdc_")
+    sch = _prefixed(_dim(schools, "school_code", mx), "sch_")
 
     j = (core.join(dd, core.person_id == dd.dd_person_id, "left")
          .join(pd_, core.person_id == pd_.pd_person_id, "left")
@@ -170,7 +175,7 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
 def name_repair(report: DataFrame, ccg: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """Where a CCG code is present but its name is missing, look the
     name up in the CCG dimension, falling back to 'Out of Area CCG'."""
-    d = _dim(ccg, "ccg_code", "ccgd_", policy.max_broadcast_dim_rows)
+    d = _prefixed(_dim(ccg, "ccg_code", policy.max_broadcast_dim_rows), "ccgd_")
     j = report.join(d, report.ccg_code == d.ccgd_ccg_code, "left")
     fix = F.col("ccg_code").isNotNull() & F.col("ccg_name").isNull()
     repaired = F.when(fix, F.coalesce(F.col("ccgd_ccg_name"), F.lit(C.OUT_OF_AREA_CCG))) \

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.functions.dates import fin_quarter_label
+from cohortflow.plans.sizing import cut_lineage
+from cohortflow.sources.local import local_frame
 from cohortflow.sources.tables import Sources
 
 # Event slots: (slot, product code, nominal age in days).
@@ -42,7 +44,10 @@ SUSPENSION_CODES = ["MED", "W", "M", "VS", "AC", "IIR", "PRIV", "ZZ"]
 HUBS = ["East", "West", "North"]
 FIXTURE_ANCHOR_DOB = dt.date(1985, 6, 1)
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Parquet footers are read once per path; later reads pass the known schema and
+# so start no schema-inference job.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -53,8 +58,17 @@ def pick(values: list[str], index: Column) -> Column:
     return expr
 
 
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    return {t: read_parquet(spark, f"{sf_dir}/{t}.parquet") for t in TABLES}
 
 
 def _s(c: Column) -> Column:
@@ -82,7 +96,7 @@ def population(t: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
 
 def events_by_product(spark: SparkSession, t: dict[str, DataFrame], pop: DataFrame,
                       as_of: dt.date) -> DataFrame:
-    slots = spark.createDataFrame(SLOTS, "slot INT, vaccine_code STRING, age_days INT")
+    slots = local_frame(spark, SLOTS, "slot INT, vaccine_code STRING, age_days INT")
     li = (t["lineitem"].where(F.col("l_linenumber") <= 4)
           .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     orders = (t["orders"].where(F.col("o_custkey") % 17 != 3)
@@ -107,7 +121,7 @@ def events_by_product(spark: SparkSession, t: dict[str, DataFrame], pop: DataFra
 
 
 def events_by_antigen(spark: SparkSession, by_product: DataFrame) -> DataFrame:
-    pa = spark.createDataFrame(PRODUCT_ANTIGENS, "vaccine_code STRING, antigen_code STRING")
+    pa = local_frame(spark, PRODUCT_ANTIGENS, "vaccine_code STRING, antigen_code STRING")
     return (by_product.join(F.broadcast(pa), "vaccine_code")
             .select("person_id", "antigen_code", F.col("vaccine_part").alias("antigen_dose"),
                     "event_date"))
@@ -230,15 +244,24 @@ def previous_report(t: dict[str, DataFrame]) -> DataFrame:
         F.col("c_custkey").alias("person_id"))
 
 
-def derive_sources(spark: SparkSession, sf_dir: str, as_of: dt.date) -> Sources:
-    """All compliance inputs for one driver data directory."""
+def derive_sources(spark: SparkSession, sf_dir: str, as_of: dt.date,
+                   materialize: bool = True) -> Sources:
+    """All compliance inputs for one driver data directory.
+
+    The event tables come from a three-way join and are read by several report
+    stages; with ``materialize`` they are written once to the session's shared
+    checkpoint folder (when it names one) instead of being re-derived per read.
+    """
     t = read_tables(spark, sf_dir)
     pop = population(t, as_of)
     bp = events_by_product(spark, t, pop, as_of)
+    ba = events_by_antigen(spark, bp)
+    if materialize:
+        bp, ba = cut_lineage(bp), cut_lineage(ba)
     return Sources(
         population=pop,
         events_by_product=bp,
-        events_by_antigen=events_by_antigen(spark, bp),
+        events_by_antigen=ba,
         demographics=demographics(t, pop, as_of),
         gp=gp_dim(t), la=la_dim(t), ccg=ccg_dim(t), postcodes=postcode_dim(t),
         deprivation=deprivation_dim(t), schools=school_dim(t),
@@ -247,4 +270,3 @@ def derive_sources(spark: SparkSession, sf_dir: str, as_of: dt.date) -> Sources:
     )
 
 
-__all__ = ["derive_sources", "SLOTS", "PRODUCT_ANTIGENS", "T"]

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortflow.sources.local import local_frame
+
 RULE_SCHEMA = T.StructType([
     T.StructField("rule_ref", T.IntegerType()),
     T.StructField("prev_ref", T.IntegerType()),
@@ -121,8 +123,8 @@ def parse_schedule(text: str = TEST_SCHEDULE) -> list[tuple]:
 
 
 def schedule_frame(spark: SparkSession, text: str = TEST_SCHEDULE) -> DataFrame:
-    """The schedule as a small DataFrame (tens of rows)."""
-    return spark.createDataFrame(parse_schedule(text), RULE_SCHEMA)
+    """The schedule as a small JVM-side DataFrame (tens of rows)."""
+    return local_frame(spark, parse_schedule(text), RULE_SCHEMA)
 
 
 def read_rules_csv(spark: SparkSession, path: str) -> DataFrame:
