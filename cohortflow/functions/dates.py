@@ -1,7 +1,10 @@
-"""Calendar arithmetic as native Column expressions (no Python UDFs).
+"""Calendar arithmetic as native Spark SQL expressions (no Python UDFs).
 
-Every function takes and returns :class:`pyspark.sql.Column` so it stays inside
-whole-stage codegen.
+Each ``*_sql`` function returns Spark SQL expression text over its arguments,
+which are themselves SQL text (a column name, an expression or a literal made
+with :func:`sql_lit`). The Column versions wrap the text in one ``F.expr``, so
+a whole CASE expression costs a single call into the JVM to build and stays
+inside whole-stage codegen when it runs.
 """
 
 from __future__ import annotations
@@ -11,77 +14,106 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrDate = Column | dt.date
+SqlArg = str | int | dt.date
 
 
-def _col(x: ColumnOrDate) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+def sql_lit(v) -> str:
+    """A Python value as a Spark SQL literal."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, dt.date):
+        return f"DATE'{v.isoformat()}'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(v)
 
 
-def add_age(d: ColumnOrDate, value: Column | int, unit: Column | str) -> Column:
-    """Date of ``d`` plus an age given as (value, unit).
+def _a(x: SqlArg) -> str:
+    return sql_lit(x) if isinstance(x, (dt.date, int)) else x
 
-    Units are Week, Month or Year in any case; anything else yields NULL, as
-    does a NULL input. Months and years clip to the end of the month.
-    """
-    d, value, unit = _col(d), _col(value), _col(unit)
-    u = F.upper(F.trim(unit))
-    v = value.cast("int")
-    return (F.when(u == "WEEK", F.date_add(d, v * 7))
-            .when(u == "MONTH", F.add_months(d, v))
-            .when(u == "YEAR", F.add_months(d, v * 12)))
 
-
-def calendar_year_diff(start: ColumnOrDate, end: ColumnOrDate) -> Column:
-    """Number of calendar-year boundaries crossed between two dates (not an age)."""
-    return F.year(_col(end)) - F.year(_col(start))
+def add_age_sql(d: SqlArg, value: SqlArg, unit: SqlArg) -> str:
+    """Date ``d`` plus an age (value, unit); unit Week/Month/Year in any case,
+    anything else (or a NULL input) yields NULL. Months clip to the month end."""
+    d, value, unit = _a(d), _a(value), _a(unit)
+    return (f"(CASE upper(trim({unit})) WHEN 'WEEK' THEN date_add({d}, 7 * CAST({value} AS INT)) "
+            f"WHEN 'MONTH' THEN add_months({d}, CAST({value} AS INT)) "
+            f"WHEN 'YEAR' THEN add_months({d}, 12 * CAST({value} AS INT)) END)")
 
 
-def age_in_months(dob: ColumnOrDate, on: ColumnOrDate) -> Column:
+def age_in_months_sql(dob: SqlArg, on: SqlArg) -> str:
     """Completed months: month-boundary count minus one if the day is not reached."""
-    dob, on = _col(dob), _col(on)
-    months = (F.year(on) - F.year(dob)) * 12 + F.month(on) - F.month(dob)
-    return (months - F.when(F.dayofmonth(dob) > F.dayofmonth(on), 1).otherwise(0)).cast("int")
+    dob, on = _a(dob), _a(on)
+    return (f"CAST((year({on}) - year({dob})) * 12 + month({on}) - month({dob}) "
+            f"- CASE WHEN day({dob}) > day({on}) THEN 1 ELSE 0 END AS INT)")
 
 
-def age_in_years(dob: ColumnOrDate, on: ColumnOrDate) -> Column:
+def age_in_years_sql(dob: SqlArg, on: SqlArg) -> str:
     """Completed years on ``on``."""
-    dob, on = _col(dob), _col(on)
-    before_birthday = (F.month(on) * 100 + F.dayofmonth(on)) < (F.month(dob) * 100 + F.dayofmonth(dob))
-    return (F.year(on) - F.year(dob) - F.when(before_birthday, 1).otherwise(0)).cast("int")
+    dob, on = _a(dob), _a(on)
+    return (f"CAST(year({on}) - year({dob}) - CASE WHEN month({on}) * 100 + day({on}) "
+            f"< month({dob}) * 100 + day({dob}) THEN 1 ELSE 0 END AS INT)")
 
 
-def full_age(dob: ColumnOrDate, on: ColumnOrDate) -> Column:
+def full_age_sql(dob: SqlArg, on: SqlArg) -> str:
     """Text age 'Y years M months' from the completed-month age."""
-    m = age_in_months(dob, on)
-    return F.concat(F.floor(m / 12).cast("int").cast("string"), F.lit(" years "),
-                    (m % 12).cast("string"), F.lit(" months"))
-
+    m = age_in_months_sql(dob, on)
+    return f"concat(CAST(({m}) div 12 AS STRING), ' years ', CAST(pmod({m}, 12) AS STRING), ' months')"
 
-def fin_year_start(d: ColumnOrDate) -> Column:
-    """Calendar year in which the April-March financial year of ``d`` starts."""
-    d = _col(d)
-    return F.when(F.month(d) >= 4, F.year(d)).otherwise(F.year(d) - 1)
 
+def fin_year_sql(d: SqlArg) -> str:
+    """April-March financial-year label 'YYYY/YY'."""
+    d = _a(d)
+    start = f"(CASE WHEN month({d}) >= 4 THEN year({d}) ELSE year({d}) - 1 END)"
+    return f"concat(CAST({start} AS STRING), '/', lpad(CAST(({start} + 1) % 100 AS STRING), 2, '0'))"
 
-def fin_year(d: ColumnOrDate) -> Column:
-    """Financial-year label 'YYYY/YY'."""
-    start = fin_year_start(d)
-    return F.concat(start.cast("string"), F.lit("/"),
-                    F.lpad(((start + 1) % 100).cast("string"), 2, "0"))
 
-
-def fin_quarter(d: ColumnOrDate) -> Column:
+def fin_quarter_sql(d: SqlArg) -> str:
     """Financial quarter 1..4, April-June being 1."""
-    d = _col(d)
-    return (F.floor(((F.month(d) + 8) % 12) / 3) + 1).cast("int")
+    d = _a(d)
+    return f"CAST(((month({d}) + 8) % 12) div 3 + 1 AS INT)"
 
 
-def fin_quarter_label(d: ColumnOrDate) -> Column:
+def fin_quarter_label_sql(d: SqlArg) -> str:
     """'YYYY/YY- Qn' label used for cohort cover."""
-    return F.concat(fin_year(d), F.lit("- Q"), fin_quarter(d).cast("string"))
+    return f"concat({fin_year_sql(d)}, '- Q', CAST({fin_quarter_sql(d)} AS STRING))"
+
+
+def add_age(d: SqlArg, value: SqlArg, unit: SqlArg) -> Column:
+    return F.expr(add_age_sql(d, value, unit))
+
+
+def calendar_year_diff(start: SqlArg, end: SqlArg) -> Column:
+    """Number of calendar-year boundaries crossed between two dates (not an age)."""
+    return F.expr(f"year({_a(end)}) - year({_a(start)})")
+
+
+def age_in_months(dob: SqlArg, on: SqlArg) -> Column:
+    return F.expr(age_in_months_sql(dob, on))
+
+
+def age_in_years(dob: SqlArg, on: SqlArg) -> Column:
+    return F.expr(age_in_years_sql(dob, on))
+
+
+def full_age(dob: SqlArg, on: SqlArg) -> Column:
+    return F.expr(full_age_sql(dob, on))
+
+
+def fin_year(d: SqlArg) -> Column:
+    return F.expr(fin_year_sql(d))
+
+
+def fin_quarter(d: SqlArg) -> Column:
+    return F.expr(fin_quarter_sql(d))
+
+
+def fin_quarter_label(d: SqlArg) -> Column:
+    return F.expr(fin_quarter_label_sql(d))
 
 
-def next_fin_quarter_label(on: ColumnOrDate) -> Column:
+def next_fin_quarter_label(on: SqlArg) -> Column:
     """Label of the quarter three months after ``on``."""
-    return fin_quarter_label(F.add_months(_col(on), 3))
+    return F.expr(fin_quarter_label_sql(f"add_months({_a(on)}, 3)"))

@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def distinct_list(values: Column, sep: str = ", ") -> Column:
-    """Aggregate: sorted distinct non-NULL values joined by ``sep``; NULL when none.
+def distinct_list(values: str, sep: str = ", ") -> Column:
+    """Aggregate over SQL expression ``values``: sorted distinct non-NULL values
+    joined by ``sep``; NULL when there are none.
 
     ``collect_set`` is combined map-side, so a hot group only ships its distinct
     values to the reducer.
     """
-    arr = F.array_sort(F.collect_set(values))
-    return F.when(F.size(arr) > 0, F.array_join(arr, sep))
+    arr = f"array_sort(collect_set({values}))"
+    return F.expr(f"CASE WHEN size({arr}) > 0 THEN array_join({arr}, '{sep}') END")
 
 
 def try_int_blank_zero(s: Column) -> Column:

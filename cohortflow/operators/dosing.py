@@ -90,22 +90,19 @@ def allocate_doses(collapsed: DataFrame, rules: DataFrame) -> DataFrame:
          .join(split_products, F.col("product") == split_products.s_product, "left")
          .join(split_refs, F.col("rule_ref") == split_refs.s_ref, "left"))
 
-    g, r = F.col("valid_doses_given"), F.col("doses_required")
-    lg, lr, eg, er = F.col("l_given"), F.col("l_required"), F.col("e_given"), F.col("e_required")
-    has_l, has_e = F.col("l_person").isNotNull(), F.col("e_person").isNotNull()
-    not_takeover = ~F.coalesce(F.col("is_takeover"), F.lit(False))
-    split_product = F.coalesce(F.col("is_split_product"), F.lit(False))
-    split_ref = F.coalesce(F.col("is_split_ref"), F.lit(False))
-    allocated = (F.when(has_l & (g == 0), 0)
-                 .when(has_l & (r < g) & (lr >= lg) & (g - lg >= r), g - lg)
-                 .when(has_l & (r <= g), r)
-                 .when(has_e & (g == 0), 0)
-                 .when(has_e & (g + er <= eg), g)
-                 .when((eg < g) & not_takeover, g - eg)
-                 .when(has_e & (eg <= er) & split_product, 0)
-                 .when(has_e & split_ref, r)
-                 .otherwise(g))
-    return j.select("person_id", "dob", "antigen", allocated.cast("int").alias("valid_doses_given"),
+    allocated = F.expr("""CAST(CASE
+        WHEN l_person IS NOT NULL AND valid_doses_given = 0 THEN 0
+        WHEN l_person IS NOT NULL AND doses_required < valid_doses_given AND l_required >= l_given
+             AND valid_doses_given - l_given >= doses_required THEN valid_doses_given - l_given
+        WHEN l_person IS NOT NULL AND doses_required <= valid_doses_given THEN doses_required
+        WHEN e_person IS NOT NULL AND valid_doses_given = 0 THEN 0
+        WHEN e_person IS NOT NULL AND valid_doses_given + e_required <= e_given THEN valid_doses_given
+        WHEN e_given < valid_doses_given AND NOT coalesce(is_takeover, FALSE)
+          THEN valid_doses_given - e_given
+        WHEN e_person IS NOT NULL AND e_given <= e_required AND coalesce(is_split_product, FALSE) THEN 0
+        WHEN e_person IS NOT NULL AND coalesce(is_split_ref, FALSE) THEN doses_required
+        ELSE valid_doses_given END AS INT)""")
+    return j.select("person_id", "dob", "antigen", allocated.alias("valid_doses_given"),
                     "doses_required", "product", "stage", "rule_ref", "prev_ref")
 
 
@@ -114,7 +111,9 @@ def met_flag(given: F.Column, required: F.Column) -> F.Column:
     return F.when(given >= required, 1).otherwise(0)
 
 
+MET_FLAG_SQL = "CASE WHEN valid_doses_given >= doses_required THEN 1 ELSE 0 END"
+
+
 def met_flags(allocated: DataFrame) -> DataFrame:
     """Attach the met flag to each allocated row."""
-    return allocated.withColumn("met_flag", met_flag(F.col("valid_doses_given"),
-                                                     F.col("doses_required")))
+    return allocated.withColumn("met_flag", F.expr(MET_FLAG_SQL))

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
-from cohortflow.functions.dates import add_age
+from cohortflow.functions.dates import add_age_sql, sql_lit
 from cohortflow.functions.text import replace_all
-from cohortflow.plans.sizing import broadcast_if_small
+from cohortflow.plans.sizing import row_count_at_most
 
 # Rule columns carried by the expansion.
 EXPANDED_RULE_COLUMNS = [
@@ -66,36 +66,39 @@ def event_counts(clean: DataFrame) -> DataFrame:
 
 
 def expand_rules(population: DataFrame, rules: DataFrame, as_of: dt.date,
-                 policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+                 policy: C.Policy = C.DEFAULT_POLICY, rules_small: bool | None = None) -> DataFrame:
     """Each person joined to every rule that is due on ``as_of``.
 
     A rule is due when the person was born inside its validity range and has
     reached its due-from age. People with no due rule keep one row with NULL
     rule columns. Only people at least ``min_population_age_months`` old are
     in scope. The counting window of each rule is resolved to dates.
+
+    ``rules_small`` says whether the rule table is within the broadcast bound
+    (checked here when not given).
     """
     people = (population.select("person_id", "dob", "va_date")
               .where(F.col("dob") <= F.add_months(F.lit(as_of), -policy.min_population_age_months))
               .distinct())
     r = rules.select(*EXPANDED_RULE_COLUMNS, "valid_from", "valid_to").distinct()
-    r, small = broadcast_if_small(r, policy.max_broadcast_rules)
-    due = (F.lit(as_of) >= add_age(people.dob, r.due_from_value, r.due_from_unit)) & \
-        people.dob.between(r.valid_from, F.coalesce(r.valid_to, F.lit(as_of)))
-    if small:
-        joined = people.join(r, due, "left")
+    if rules_small is None:
+        rules_small = row_count_at_most(r, policy.max_broadcast_rules)
+    a = sql_lit(as_of)
+    due = F.expr(f"{a} >= {add_age_sql('dob', 'due_from_value', 'due_from_unit')} "
+                 f"AND dob BETWEEN valid_from AND coalesce(valid_to, {a})")
+    if rules_small:
+        joined = people.join(F.broadcast(r), due, "left")
     else:
         # Equi-join on birth month: each rule is repeated for every month of its
         # validity range, and the exact test stays as a residual condition.
-        months = F.sequence(F.trunc("valid_from", "month"),
-                            F.trunc(F.coalesce("valid_to", F.lit(as_of)), "month"),
-                            F.expr("INTERVAL 1 MONTH"))
-        rb = r.withColumn("dob_month", F.explode(months))
-        pb = people.withColumn("p_month", F.trunc("dob", "month"))
+        rb = r.selectExpr("*", f"explode(sequence(trunc(valid_from, 'MM'), "
+                               f"trunc(coalesce(valid_to, {a}), 'MM'), INTERVAL 1 MONTH)) AS dob_month")
+        pb = people.selectExpr("*", "trunc(dob, 'MM') AS p_month")
         joined = pb.join(rb, (pb.p_month == rb.dob_month) & due, "left").drop("p_month", "dob_month")
-    return joined.select(
+    return joined.selectExpr(
         "person_id", "dob", *EXPANDED_RULE_COLUMNS,
-        add_age(F.col("dob"), F.col("count_from_value"), F.col("count_from_unit")).alias("window_start"),
-        add_age(F.col("dob"), F.col("count_to_value"), F.col("count_to_unit")).alias("window_end"),
+        f"{add_age_sql('dob', 'count_from_value', 'count_from_unit')} AS window_start",
+        f"{add_age_sql('dob', 'count_to_value', 'count_to_unit')} AS window_end",
         "va_date",
     )
 

@@ -8,10 +8,11 @@ side) is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
+from cohortflow.functions.dates import sql_lit
 
 
 def _slug(stage: str) -> str:
@@ -20,13 +21,12 @@ def _slug(stage: str) -> str:
 
 def stage_summary(status: DataFrame, stages: list[str]) -> DataFrame:
     """Per person: any outstanding product, and per stage outstanding / present."""
-    outstanding = (F.col("min_met") == 0) & (F.col("still_needed") == 1)
-    stage = F.upper(F.col("stage"))
-    aggs = [F.max(F.when(outstanding, 1).otherwise(0)).alias("any_outstanding")]
+    out = "(min_met = 0 AND still_needed = 1)"
+    aggs = [F.expr(f"max(CASE WHEN {out} THEN 1 ELSE 0 END)").alias("any_outstanding")]
     for s in stages:
-        aggs.append(F.max(F.when(outstanding & (stage == s.upper()), 1).otherwise(0))
-                    .alias(f"out__{_slug(s)}"))
-        aggs.append(F.max(F.when(stage == s.upper(), 1).otherwise(0)).alias(f"has__{_slug(s)}"))
+        st = f"upper(stage) = {sql_lit(s.upper())}"
+        aggs.append(F.expr(f"max(CASE WHEN {out} AND {st} THEN 1 ELSE 0 END)").alias(f"out__{_slug(s)}"))
+        aggs.append(F.expr(f"max(CASE WHEN {st} THEN 1 ELSE 0 END)").alias(f"has__{_slug(s)}"))
     return status.groupBy("person_id").agg(*aggs)
 
 
@@ -42,38 +42,33 @@ def up_to_date(report: DataFrame, status: DataFrame, events_by_antigen: DataFram
     """
     stages = [g.stage for g in policy.gates]
     summ = stage_summary(status, stages).withColumnRenamed("person_id", "s_person")
-    recorded = (events_by_antigen.select(F.col("person_id").alias("r_person")).distinct()
-                .withColumn("has_record", F.lit(1)))
+    recorded = events_by_antigen.selectExpr("person_id AS r_person").distinct()
     j = (report.join(summ, report.person_id == summ.s_person, "left")
          .join(recorded, report.person_id == recorded.r_person, "left"))
-    no_record = F.col("has_record").isNull()
-    overall = (F.when(no_record, C.NO_RECORD)
-               .when(F.col("any_outstanding") == 1, C.NO).otherwise(C.YES))
-    is_no_record = overall == C.NO_RECORD
-    stage_cols = []
+    no_rec, no, yes = sql_lit(C.NO_RECORD), sql_lit(C.NO), sql_lit(C.YES)
+    overall = f"CASE WHEN r_person IS NULL THEN {no_rec} WHEN any_outstanding = 1 THEN {no} ELSE {yes} END"
+    cols = {"up_to_date": F.expr(overall)}
     for g in policy.gates:
         slug = _slug(g.stage)
-        v = F.when(F.col(f"out__{slug}") == 1, C.NO).when(F.col(f"has__{slug}") == 1, C.YES)
+        v = f"(CASE WHEN out__{slug} = 1 THEN {no} WHEN has__{slug} = 1 THEN {yes} END)"
         gate = _gate(g, v, policy, set(report.columns))
-        stage_cols.append(F.when(is_no_record & F.coalesce(gate, F.lit(False)), F.lit(C.NO_RECORD))
-                          .otherwise(v).alias(g.column))
-    return j.select(*[F.col(f"`{c}`") for c in report.columns], overall.alias("up_to_date"),
-                    *stage_cols)
+        cols[g.column] = F.expr(f"CASE WHEN r_person IS NULL AND coalesce({gate}, FALSE) "
+                                f"THEN {no_rec} ELSE {v} END")
+    helpers = ["s_person", "r_person", "any_outstanding"] + \
+        [f"{k}__{_slug(s)}" for s in stages for k in ("out", "has")]
+    return j.withColumns(cols).drop(*helpers)
 
 
-def _gate(g: C.StageGate, value: Column, policy: C.Policy, columns: set[str]) -> Column:
+def _gate(g: C.StageGate, value: str, policy: C.Policy, columns: set[str]) -> str:
     if g.always:
-        return F.lit(True)
+        return "TRUE"
     if g.min_age_months is not None:
-        cond = (F.col("age_in_months") >= g.min_age_months) | value.isNotNull()
+        cond = f"(age_in_months >= {g.min_age_months} OR {value} IS NOT NULL)"
     else:
-        cond = (F.col("age_in_years") >= g.min_age_years) | value.isNotNull()
+        cond = f"(age_in_years >= {g.min_age_years} OR {value} IS NOT NULL)"
     if g.stage == C.STAGE_18M:
         # A product missing from the schedule has no report column: its cell is NULL.
-        present = F.lit(False)
-        for p in policy.stage18_products:
-            if p in columns:
-                present = present | F.col(f"`{p}`").isNotNull()
-        cond = (cond & (F.lit(policy.as_of) > F.lit(policy.stage18_report_after))
-                & (F.col("date_of_birth") >= F.lit(policy.stage18_born_from)) & present)
+        present = " OR ".join(f"`{p}` IS NOT NULL" for p in policy.stage18_products if p in columns)
+        cond = (f"{cond} AND {sql_lit(policy.as_of)} > {sql_lit(policy.stage18_report_after)} "
+                f"AND date_of_birth >= {sql_lit(policy.stage18_born_from)} AND ({present or 'FALSE'})")
     return cond

@@ -1,7 +1,9 @@
 """Ordered business overrides on antigen rows (D10) and product rows.
 
-Each override is an immutable ``when(...).otherwise(col)`` rewrite applied in
-the documented order; a later override sees what an earlier one wrote.
+Each override is an immutable ``CASE WHEN cond THEN value ELSE col END``
+update applied in the documented order; a later override sees what an earlier
+one wrote (one ``withColumns`` per statement, all right-hand sides reading the
+old values, like a SQL UPDATE).
 Per-person inputs (dose-series flags, late 6-in-1, HIB/MenC waiver) are joined
 once as one unique-per-person frame; cross-row conditions within a person use
 windows over person-partitioned data.
@@ -9,11 +11,16 @@ windows over person-partitioned data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
-from cohortflow.operators.dosing import met_flag
+from cohortflow.functions.dates import sql_lit
+from cohortflow.operators.dosing import MET_FLAG_SQL
+
+
+def _in(values) -> str:
+    return "(" + ", ".join(sql_lit(v) for v in values) + ")"
 
 
 def _ci(col: str, value: str) -> F.Column:
@@ -27,95 +34,77 @@ def _ci(col: str, value: str) -> F.Column:
 
 AM_COLUMNS = ["person_id", "dob", "antigen", "valid_doses_given", "doses_required", "product",
               "stage", "rule_ref", "prev_ref", "met_flag"]
-Triple = tuple[F.Column, F.Column, F.Column]  # (given, required, met)
 
 
-def _start() -> Triple:
-    return F.col("valid_doses_given"), F.col("doses_required"), F.col("met_flag")
+def _ci_sql(col: str, value: str) -> str:
+    return f"upper({col}) = {sql_lit(value.upper())}"
 
 
-def _project(df: DataFrame, t: Triple) -> DataFrame:
-    given, required, met = t
-    return df.select("person_id", "dob", "antigen", given.alias("valid_doses_given"),
-                     required.alias("doses_required"), "product", "stage", "rule_ref",
-                     "prev_ref", met.alias("met_flag"))
+def _apply(df: DataFrame, assignments: dict[str, str]) -> DataFrame:
+    """One simultaneous update: every right-hand side reads the old values."""
+    return df.withColumns({k: F.expr(v) for k, v in assignments.items()})
 
 
-def menb_cols(t: Triple) -> Triple:
+def menb_override(am: DataFrame) -> DataFrame:
     """A person with an unmet primary MenB row needs 2 doses at the
     12-month MenB stage; then every met flag is recomputed from the counts."""
-    given, required, met = t
-    w = Window.partitionBy("person_id", "antigen")
-    menb = _ci("antigen", C.ANTIGEN_MENB)
-    primary_unmet = F.max(F.when(menb & _ci("stage", C.STAGE_PRIMARY) & (met == 0), 1)).over(w)
-    target = F.coalesce(menb & _ci("stage", C.STAGE_12M) & (primary_unmet == 1), F.lit(False))
-    required = F.when(target, 2).otherwise(required)
-    return given, required, met_flag(given, required)
+    menb = _ci_sql("antigen", C.ANTIGEN_MENB)
+    primary_unmet = (f"max(CASE WHEN {menb} AND {_ci_sql('stage', C.STAGE_PRIMARY)} AND met_flag = 0 "
+                     f"THEN 1 END) OVER (PARTITION BY person_id, antigen)")
+    target = f"coalesce({menb} AND {_ci_sql('stage', C.STAGE_12M)} AND {primary_unmet} = 1, FALSE)"
+    am = _apply(am, {"doses_required": f"CASE WHEN {target} THEN 2 ELSE doses_required END"})
+    return _apply(am, {"met_flag": MET_FLAG_SQL})
 
 
-def age_waiver_cols(t: Triple, policy: C.Policy = C.DEFAULT_POLICY) -> Triple:
+def age_waiver(am: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """Pertussis in the 6-in-1/4-in-1 products is met once more than
     ``pert_waiver_year_diff`` calendar years have passed since birth."""
-    given, required, met = t
-    hit = F.coalesce(_ci("antigen", C.ANTIGEN_PERT) & F.col("product").isin(*C.PERT_WAIVER_PRODUCTS)
-                     & ((F.year(F.lit(policy.as_of)) - F.year("dob")) > policy.pert_waiver_year_diff),
-                     F.lit(False))
-    return F.when(hit, required).otherwise(given), required, F.when(hit, 1).otherwise(met)
+    hit = (f"coalesce({_ci_sql('antigen', C.ANTIGEN_PERT)} AND product IN {_in(C.PERT_WAIVER_PRODUCTS)} "
+           f"AND year({sql_lit(policy.as_of)}) - year(dob) > {policy.pert_waiver_year_diff}, FALSE)")
+    return _apply(am, {"met_flag": f"CASE WHEN {hit} THEN 1 ELSE met_flag END",
+                       "valid_doses_given": f"CASE WHEN {hit} THEN doses_required ELSE valid_doses_given END"})
 
 
-def series_cols(t: Triple) -> Triple:
-    """O6-O9 on a frame carrying the dose-series columns ``c_person``,
-    ``valid_dose_count`` and ``mmrv_dose_count``.
+def _series_steps(df: DataFrame) -> DataFrame:
+    """O6-O9 on a frame carrying ``c_person``, ``valid_dose_count``, ``mmrv_dose_count``.
 
     O6 'any MMR' product = total valid MMR-containing doses (max 2);
     O7 MMR-1 never exceeds one dose; O8/O9 MMRV-1/-2 reflect combined doses only.
     O6, O8, O9 apply only to people with a dose series row.
     """
-    given, required, met = t
-    has = F.col("c_person").isNotNull()
-    product = F.col("product")
-    total = F.coalesce(F.col("valid_dose_count"), F.lit(0))
-    combined = F.coalesce(F.col("mmrv_dose_count"), F.lit(0))
-    o6 = F.coalesce(has & (product == C.PRODUCT_MMR_ANY_1), F.lit(False))
-    given, met = (F.when(o6, F.when(total >= 2, 2).when(total == 1, 1).otherwise(0)).otherwise(given),
-                  F.when(o6, F.when(total >= 1, 1).otherwise(0)).otherwise(met))
-    o7 = F.coalesce(product == C.PRODUCT_MMR_1, F.lit(False))
-    given, met = (F.when(o7 & (given > 1), 1).otherwise(given),
-                  F.when(o7, F.when(given > 0, 1).otherwise(0)).otherwise(met))
+    total, combined = "coalesce(valid_dose_count, 0)", "coalesce(mmrv_dose_count, 0)"
+    o6 = f"(c_person IS NOT NULL AND product = {sql_lit(C.PRODUCT_MMR_ANY_1)})"
+    df = _apply(df, {
+        "valid_doses_given": f"CASE WHEN {o6} THEN (CASE WHEN {total} >= 2 THEN 2 WHEN {total} = 1 "
+                             f"THEN 1 ELSE 0 END) ELSE valid_doses_given END",
+        "met_flag": f"CASE WHEN {o6} THEN (CASE WHEN {total} >= 1 THEN 1 ELSE 0 END) ELSE met_flag END"})
+    o7 = f"product = {sql_lit(C.PRODUCT_MMR_1)}"
+    df = _apply(df, {
+        "valid_doses_given": f"CASE WHEN {o7} AND valid_doses_given > 1 THEN 1 ELSE valid_doses_given END",
+        "met_flag": f"CASE WHEN {o7} THEN (CASE WHEN valid_doses_given > 0 THEN 1 ELSE 0 END) "
+                    f"ELSE met_flag END"})
     for name, need in ((C.PRODUCT_MMRV_1, 1), (C.PRODUCT_MMRV_2, 2)):
-        hit = F.coalesce(has & (product == name), F.lit(False))
-        val = F.when(combined >= need, 1).otherwise(0)
-        given, met = F.when(hit, val).otherwise(given), F.when(hit, val).otherwise(met)
-    return given, required, met
+        hit = f"(c_person IS NOT NULL AND product = {sql_lit(name)})"
+        val = f"(CASE WHEN {combined} >= {need} THEN 1 ELSE 0 END)"
+        df = _apply(df, {"valid_doses_given": f"CASE WHEN {hit} THEN {val} ELSE valid_doses_given END",
+                         "met_flag": f"CASE WHEN {hit} THEN {val} ELSE met_flag END"})
+    return df.select(*AM_COLUMNS)
 
 
 def _with_series(am: DataFrame, caveats: DataFrame) -> DataFrame:
-    cv = caveats.select(F.col("person_id").alias("c_person"), "valid_dose_count",
-                        "mmrv_dose_count")
+    cv = caveats.selectExpr("person_id AS c_person", "valid_dose_count", "mmrv_dose_count")
     return am.join(cv, am.person_id == cv.c_person, "left")
 
 
-def menb_override(am: DataFrame) -> DataFrame:
-    """O3-O4 (see :func:`menb_cols`)."""
-    return _project(am, menb_cols(_start()))
-
-
-def age_waiver(am: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
-    """O5 (see :func:`age_waiver_cols`)."""
-    return _project(am, age_waiver_cols(_start(), policy))
-
-
 def series_overrides(am: DataFrame, caveats: DataFrame) -> DataFrame:
-    """O6-O9 (see :func:`series_cols`)."""
-    return _project(_with_series(am, caveats), series_cols(_start()))
+    """O6-O9 (see :func:`_series_steps`)."""
+    return _series_steps(_with_series(am, caveats))
 
 
 def antigen_overrides(am: DataFrame, caveats: DataFrame,
                       policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
-    """D10 = O3..O9 in order: one join to the dose series, one projection in
-    which each override wraps the expressions of the previous ones."""
-    t = series_cols(age_waiver_cols(menb_cols(_start()), policy))
-    return _project(_with_series(am, caveats), t)
+    """D10 = O3..O9 in order, with one join to the per-person dose series."""
+    return _series_steps(_with_series(age_waiver(menb_override(am), policy), caveats))
 
 
 # --------------------------------------------------------------------------
@@ -180,55 +169,50 @@ def product_overrides(status: DataFrame, flags: DataFrame, doses: DataFrame,
                      "doses_given", "doses_required")
     j = (status.join(f, status.person_id == f.f_person, "left")
          .join(d, (status.person_id == d.d_person) & (status.product == d.d_product), "left"))
-    product = F.col("product")
-    cv = F.col("has_caveat")
-    unmet = F.coalesce(F.col("min_met"), F.lit(0)) == 0
-    needed, met = F.col("still_needed"), F.col("min_met")
+    cv = "has_caveat"
+    unmet = "coalesce(min_met, 0) = 0"
 
-    def override(current: F.Column, cond: F.Column, value) -> F.Column:
-        return F.when(F.coalesce(cond, F.lit(False)), value).otherwise(current)
+    def needed_if(cond: str, value: int) -> dict[str, str]:
+        return {"still_needed": f"CASE WHEN coalesce({cond}, FALSE) THEN {value} ELSE still_needed END"}
 
+    mmr12 = _in((C.PRODUCT_MMR_1, C.PRODUCT_MMR_2))
+    mmr2 = sql_lit(C.PRODUCT_MMR_2)
+    mmrv1, mmrv2 = sql_lit(C.PRODUCT_MMRV_1), sql_lit(C.PRODUCT_MMRV_2)
     if "catchup" in groups:
-        catch_up = cv & (F.col("catch_up") == 1)
+        catch_up = f"{cv} AND catch_up = 1"
         # Catch-up: unmet MMR-1/MMR-2 are no longer needed.
-        needed = override(needed, catch_up & product.isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2) & unmet, 0)
+        j = _apply(j, needed_if(f"{catch_up} AND product IN {mmr12} AND {unmet}", 0))
         # Catch-up, cohort >= 3, first dose not combined: unmet MMRV-1 needed.
-        needed = override(needed, catch_up & (F.col("cohort") >= 3)
-                          & (F.coalesce(F.col("dose1_is_mmrv"), F.lit(0)) == 0)
-                          & (product == C.PRODUCT_MMRV_1) & unmet, 1)
+        j = _apply(j, needed_if(f"{catch_up} AND cohort >= 3 AND coalesce(dose1_is_mmrv, 0) = 0 "
+                                f"AND product = {mmrv1} AND {unmet}", 1))
         # Catch-up, < 2 doses and MMR-2 still needed (after O10): MMRV-2 needed.
-        mmr2_needed = F.max(F.when((product == C.PRODUCT_MMR_2) & (needed == 1), 1)).over(
-            Window.partitionBy("person_id"))
-        needed = override(needed, catch_up & (F.col("valid_dose_count") < 2) & (mmr2_needed == 1)
-                          & (product == C.PRODUCT_MMRV_2), 1)
+        mmr2_needed = (f"max(CASE WHEN product = {mmr2} AND still_needed = 1 THEN 1 END) "
+                       f"OVER (PARTITION BY person_id)")
+        j = _apply(j, needed_if(f"{catch_up} AND valid_dose_count < 2 AND {mmr2_needed} = 1 "
+                                f"AND product = {mmrv2}", 1))
     if "cohort" in groups:
         # Cohort 2 with two combined doses: no further MMRV-2.
-        needed = override(needed, cv & (F.col("cohort2_two_mmrv") == 1)
-                          & (product == C.PRODUCT_MMRV_2), 0)
+        j = _apply(j, needed_if(f"{cv} AND cohort2_two_mmrv = 1 AND product = {mmrv2}", 0))
         # Cohort 3 invite / late attender: MMR-2 not needed, MMRV-2 needed.
         for flag in ("cohort3_invite", "cohort3_late"):
-            needed = override(needed, cv & (F.col(flag) == 1) & (product == C.PRODUCT_MMR_2), 0)
-            needed = override(needed, cv & (F.col(flag) == 1) & (product == C.PRODUCT_MMRV_2), 1)
+            j = _apply(j, needed_if(f"{cv} AND {flag} = 1 AND product = {mmr2}", 0))
+            j = _apply(j, needed_if(f"{cv} AND {flag} = 1 AND product = {mmrv2}", 1))
         # Cohort 3 with neither action: MMRV-2 not needed.
-        needed = override(needed, cv & (F.col("cohort") == 3) & (product == C.PRODUCT_MMRV_2)
-                          & (F.coalesce(F.col("cohort3_invite"), F.lit(0)) == 0)
-                          & (F.coalesce(F.col("cohort3_late"), F.lit(0)) == 0), 0)
+        j = _apply(j, needed_if(f"{cv} AND cohort = 3 AND product = {mmrv2} AND "
+                                f"coalesce(cohort3_invite, 0) = 0 AND coalesce(cohort3_late, 0) = 0", 0))
     if "late_dose" in groups:
         # Any 6-in-1 dose after 12 months: the 18-month 6-in-1 is not needed.
-        needed = override(needed, (F.col("late_6in1") == 1)
-                          & (product == C.PRODUCT_SIX_IN_ONE_18M), 0)
+        j = _apply(j, needed_if(f"late_6in1 = 1 AND product = {sql_lit(C.PRODUCT_SIX_IN_ONE_18M)}", 0))
     if "cross_product" in groups:
         # HIB met, valid ACWY given, MenC unmet: HIB/MenC waived and met.
-        waiver = ((product == C.PRODUCT_HIBMENC) & (F.col("hib_met") == 1)
-                  & (F.col("acwy_ok") == 1) & (F.col("menc_unmet") == 1))
-        needed = override(needed, waiver, 0)
-        met = override(met, waiver, 1)
+        w = (f"coalesce(product = {sql_lit(C.PRODUCT_HIBMENC)} AND hib_met = 1 AND acwy_ok = 1 "
+             f"AND menc_unmet = 1, FALSE)")
+        j = _apply(j, {"still_needed": f"CASE WHEN {w} THEN 0 ELSE still_needed END",
+                       "min_met": f"CASE WHEN {w} THEN 1 ELSE min_met END"})
     if "mmr_recheck" in groups:
         # MMR-1/MMR-2 met is recomputed from doses given vs required.
-        req = F.col("doses_required")
-        recheck = (product.isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2) & F.col("d_person").isNotNull()
-                   & (F.coalesce(req, F.lit(0)) > 0))
-        met = override(met, recheck, F.when(F.coalesce(F.col("doses_given"), F.lit(0)) >= req, 1)
-                       .otherwise(0))
-    return j.select("person_id", "product", "stage", met.alias("min_met"),
-                    needed.alias("still_needed"))
+        recheck = (f"coalesce(product IN {mmr12} AND d_person IS NOT NULL "
+                   f"AND coalesce(doses_required, 0) > 0, FALSE)")
+        j = _apply(j, {"min_met": f"CASE WHEN {recheck} THEN (CASE WHEN coalesce(doses_given, 0) "
+                                  f">= doses_required THEN 1 ELSE 0 END) ELSE min_met END"})
+    return j.select("person_id", "product", "stage", "min_met", "still_needed")

@@ -13,12 +13,23 @@ from pyspark.sql import functions as F
 
 from cohortflow import config as C
 from cohortflow.functions import dates as D
-from cohortflow.functions.text import leading_int, replace_all, trailing_digit
+from cohortflow.functions.dates import sql_lit
+from cohortflow.functions.text import leading_int, trailing_digit
 from cohortflow.plans.sizing import broadcast_if_small
 
 
-def cell(given: Column, state: Column) -> Column:
+def q(name: str) -> str:
+    """Back-quoted column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def cell_sql(given: str, state: str) -> str:
     """'given.state' with NULL parts left blank; NULL when both parts are NULL."""
+    return (f"CASE WHEN {given} IS NULL AND {state} IS NULL THEN NULL ELSE concat("
+            f"coalesce(CAST({given} AS STRING), ''), '.', coalesce(CAST({state} AS STRING), '')) END")
+
+
+def cell(given: Column, state: Column) -> Column:
     text = F.concat(F.coalesce(given.cast("string"), F.lit("")), F.lit("."),
                     F.coalesce(state.cast("string"), F.lit("")))
     return F.when(given.isNull() & state.isNull(), None).otherwise(text)
@@ -26,11 +37,11 @@ def cell(given: Column, state: Column) -> Column:
 
 def report_core(given_pivot: DataFrame, state_pivot: DataFrame, products: list[str]) -> DataFrame:
     """Doses-given pivot left-joined to the state pivot, one text cell per product."""
-    vm = state_pivot.select(F.col("person_id").alias("vm_person"),
-                            *[F.col(f"`{p}`").alias(f"vm__{p}") for p in products])
+    vm = state_pivot.selectExpr("person_id AS vm_person",
+                                *[f"{q(p)} AS {q('vm__' + p)}" for p in products])
     j = given_pivot.join(vm, given_pivot.person_id == vm.vm_person, "left")
-    return j.select("person_id", *[cell(F.col(f"`{p}`"), F.col(f"`vm__{p}`")).alias(p)
-                                   for p in products])
+    return j.selectExpr("person_id", *[f"{cell_sql(q(p), q('vm__' + p))} AS {q(p)}"
+                                       for p in products])
 
 
 def dedupe_on(df: DataFrame, key: str) -> DataFrame:
@@ -43,17 +54,13 @@ def dedupe_on(df: DataFrame, key: str) -> DataFrame:
             .select(key, "_r.*"))
 
 
-def _locality(hub: Column) -> Column:
-    return replace_all(hub, C.LOCALITY_RENAMES)
-
-
 def _dim(df: DataFrame, key: str, max_rows: int) -> DataFrame:
     """De-duplicated dimension, marked for broadcast when its size is proven small."""
     return broadcast_if_small(dedupe_on(df, key), max_rows)[0]
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
+    return df.selectExpr(*[f"{q(c)} AS {q(prefix + c)}" for c in df.columns])
 
 
 def demographics_star(core: DataFrame, population: DataFrame, demographics: DataFrame,
@@ -61,12 +68,10 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
                       schools: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """Demographic, registration, residence, deprivation and age columns from
     two person sources (population register 'pd', local record 'dd')."""
-    as_of = F.lit(policy.as_of)
+    a = sql_lit(policy.as_of)
     mx = policy.max_broadcast_dim_rows
-    pd_ = dedupe_on(population, "person_id")
-    pd_ = pd_.select(*[F.col(c).alias(f"pd_{c}") for c in pd_.columns])
-    dd = dedupe_on(demographics, "person_id")
-    dd = dd.select(*[F.col(c).alias(f"dd_{c}") for c in dd.columns])
+    pd_ = _prefixed(dedupe_on(population, "person_id"), "pd_")
+    dd = _prefixed(dedupe_on(demographics, "person_id"), "dd_")
     gp, la = _dim(gp, "practice_code", mx), _dim(la, "la_code", mx)
     postcodes, deprivation = _dim(postcodes, "postcode", mx), _dim(deprivation, "lsoa", mx)
     gp_pd, gp_dd = _prefixed(gp, "gp_"), _prefixed(gp, "gpc_")
@@ -87,88 +92,65 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
          .join(imd_dd, F.col("imdc_lsoa") == F.col("onsc_lsoa"), "left")
          .join(sch, F.col("sch_school_code") == F.col("dd_school_code"), "left"))
 
-    dob = F.col("pd_dob")
-    years = D.age_in_years(dob, as_of)
-    age_for_group = F.coalesce(years, F.col("dd_age_text").try_cast("int"))
-    group = F.when(age_for_group < C.AGE_GROUPS[0][0], C.AGE_GROUPS[0][1]) \
-        .when((age_for_group >= C.AGE_GROUPS[0][0]) & (age_for_group < C.AGE_GROUPS[1][0]),
-              C.AGE_GROUPS[1][1]) \
-        .otherwise(C.AGE_GROUPS[2][1])
+    years = D.age_in_years_sql("pd_dob", a)
+    grp = f"coalesce({years}, try_cast(dd_age_text AS INT))"
+    (lo, young), (hi, mid), (_, old) = C.AGE_GROUPS
+    group = (f"CASE WHEN {grp} < {lo} THEN {sql_lit(young)} WHEN {grp} >= {lo} AND {grp} < {hi} "
+             f"THEN {sql_lit(mid)} ELSE {sql_lit(old)} END")
 
-    def cover(label: Column) -> Column:
-        out = None
-        for col, name in C.COVER_COHORTS:
-            cond = F.col(f"dd_{col}") == label
-            out = F.when(cond, name) if out is None else out.when(cond, name)
-        return out
+    def cover(label: str) -> str:
+        return "CASE " + " ".join(f"WHEN dd_{c} = {label} THEN {sql_lit(n)}"
+                                  for c, n in C.COVER_COHORTS) + " END"
 
-    def matched(prefix: str, key: str) -> Column:
-        return F.when(F.col(f"{prefix}{key}").isNotNull(), 1).otherwise(0)
+    def matched(key: str) -> str:
+        return f"CASE WHEN {key} IS NOT NULL THEN 1 ELSE 0 END"
 
-    def locality(prefix: str, key: str) -> Column:
-        return F.when(F.col(f"{prefix}{key}").isNotNull(), _locality(F.col(f"{prefix}hub")))
+    def locality(key: str, hub: str) -> str:
+        h = hub
+        for src, dst in C.LOCALITY_RENAMES:
+            h = f"replace({h}, {sql_lit(src)}, {sql_lit(dst)})"
+        return f"CASE WHEN {key} IS NOT NULL THEN {h} END"
 
+    la_out, ccg_out = sql_lit(C.OUT_OF_AREA_LA), sql_lit(C.OUT_OF_AREA_CCG)
     products = [c for c in core.columns if c != "person_id"]
-    return j.select(
-        "person_id",
-        F.col("dd_local_id").alias("local_id"),
-        F.col("pd_forename").alias("forename"),
-        F.col("pd_surname").alias("surname"),
-        F.col("pd_gender").alias("gender"),
-        dob.alias("date_of_birth"),
-        cover(D.fin_quarter_label(as_of)).alias("current_cover"),
-        cover(D.next_fin_quarter_label(as_of)).alias("next_quarter_cover"),
-        F.col("pd_postcode").alias("postcode"),
-        F.col("ons_ward_code").alias("ward_code"),
-        F.col("ons_ward_name").alias("ward_name"),
-        F.col("dd_contact_numbers").alias("contact_numbers"),
-        F.col("ons_lsoa").alias("lsoa"),
-        F.col("imd_imd_decile").alias("imd_decile"),
-        F.col("pd_gp_code").alias("practice_code"),
-        F.col("gp_practice_name").alias("practice_name"),
-        matched("gp_", "practice_code").alias("scw_registered"),
-        locality("gp_", "practice_code").alias("scw_registered_locality"),
-        F.col("pd_ccg_code").alias("ccg_code"),
-        F.col("gp_ccg_description").alias("ccg_name"),
-        F.col("gp_pcn_code").alias("pcn_code"),
-        F.col("gp_pcn_name").alias("pcn_name"),
-        F.col("pd_la_code").alias("la_code"),
-        F.coalesce(F.col("la_la_name"), F.lit(C.OUT_OF_AREA_LA)).alias("la_name"),
-        matched("la_", "la_code").alias("scw_resident"),
-        locality("la_", "la_code").alias("scw_resident_locality"),
-        F.col("dd_school_code").alias("school_code"),
-        F.col("dd_school_name").alias("school_name"),
-        F.col("dd_scw_school").alias("scw_school"),
-        F.col("sch_contract").alias("scw_school_locality"),
-        D.age_in_months(dob, as_of).alias("age_in_months"),
-        years.alias("age_in_years"),
-        D.full_age(dob, as_of).alias("full_age"),
-        group.alias("age_group"),
-        F.col("dd_ethnic_code").alias("ethnic_code"),
-        F.col("dd_ethnic_description").alias("ethnic_description"),
-        *[F.col(f"`{p}`") for p in products],
-        F.col("dd_forename").alias("forename_local"),
-        F.col("dd_surname").alias("surname_local"),
-        F.col("dd_sex").alias("gender_local"),
-        F.col("dd_dob").alias("date_of_birth_local"),
-        F.col("dd_practice_code").alias("practice_code_local"),
-        F.col("dd_practice_name").alias("practice_name_local"),
-        matched("gpc_", "practice_code").alias("scw_registered_local"),
-        locality("gpc_", "practice_code").alias("scw_registered_locality_local"),
-        F.col("dd_ccg_code").alias("ccg_code_local"),
-        F.coalesce(F.col("gpc_ccg_description"), F.lit(C.OUT_OF_AREA_CCG)).alias("ccg_name_local"),
-        F.col("gpc_pcn_code").alias("pcn_code_local"),
-        F.col("gpc_pcn_name").alias("pcn_name_local"),
-        F.col("dd_postcode").alias("postcode_local"),
-        F.col("onsc_ward_code").alias("ward_code_local"),
-        F.col("onsc_ward_name").alias("ward_name_local"),
-        F.col("onsc_lsoa").alias("lsoa_local"),
-        F.col("imdc_imd_decile").alias("imd_decile_local"),
-        F.col("dd_la_code").alias("la_code_local"),
-        F.coalesce(F.col("lac_la_name"), F.lit(C.OUT_OF_AREA_LA)).alias("la_name_local"),
-        matched("lac_", "la_code").alias("scw_resident_local"),
-        locality("lac_", "la_code").alias("scw_resident_locality_local"),
-        F.col("dd_va_date").alias("va_date"),
+    return j.selectExpr(
+        "person_id", "dd_local_id AS local_id", "pd_forename AS forename", "pd_surname AS surname",
+        "pd_gender AS gender", "pd_dob AS date_of_birth",
+        f"{cover(D.fin_quarter_label_sql(a))} AS current_cover",
+        f"{cover(D.fin_quarter_label_sql(f'add_months({a}, 3)'))} AS next_quarter_cover",
+        "pd_postcode AS postcode", "ons_ward_code AS ward_code", "ons_ward_name AS ward_name",
+        "dd_contact_numbers AS contact_numbers", "ons_lsoa AS lsoa", "imd_imd_decile AS imd_decile",
+        "pd_gp_code AS practice_code", "gp_practice_name AS practice_name",
+        f"{matched('gp_practice_code')} AS scw_registered",
+        f"{locality('gp_practice_code', 'gp_hub')} AS scw_registered_locality",
+        "pd_ccg_code AS ccg_code", "gp_ccg_description AS ccg_name", "gp_pcn_code AS pcn_code",
+        "gp_pcn_name AS pcn_name", "pd_la_code AS la_code",
+        f"coalesce(la_la_name, {la_out}) AS la_name",
+        f"{matched('la_la_code')} AS scw_resident",
+        f"{locality('la_la_code', 'la_hub')} AS scw_resident_locality",
+        "dd_school_code AS school_code", "dd_school_name AS school_name",
+        "dd_scw_school AS scw_school", "sch_contract AS scw_school_locality",
+        f"{D.age_in_months_sql('pd_dob', a)} AS age_in_months",
+        f"{years} AS age_in_years",
+        f"{D.full_age_sql('pd_dob', a)} AS full_age",
+        f"{group} AS age_group",
+        "dd_ethnic_code AS ethnic_code", "dd_ethnic_description AS ethnic_description",
+        *[q(p) for p in products],
+        "dd_forename AS forename_local", "dd_surname AS surname_local", "dd_sex AS gender_local",
+        "dd_dob AS date_of_birth_local", "dd_practice_code AS practice_code_local",
+        "dd_practice_name AS practice_name_local",
+        f"{matched('gpc_practice_code')} AS scw_registered_local",
+        f"{locality('gpc_practice_code', 'gpc_hub')} AS scw_registered_locality_local",
+        "dd_ccg_code AS ccg_code_local",
+        f"coalesce(gpc_ccg_description, {ccg_out}) AS ccg_name_local",
+        "gpc_pcn_code AS pcn_code_local", "gpc_pcn_name AS pcn_name_local",
+        "dd_postcode AS postcode_local", "onsc_ward_code AS ward_code_local",
+        "onsc_ward_name AS ward_name_local", "onsc_lsoa AS lsoa_local",
+        "imdc_imd_decile AS imd_decile_local", "dd_la_code AS la_code_local",
+        f"coalesce(lac_la_name, {la_out}) AS la_name_local",
+        f"{matched('lac_la_code')} AS scw_resident_local",
+        f"{locality('lac_la_code', 'lac_hub')} AS scw_resident_locality_local",
+        "dd_va_date AS va_date",
     )
 
 
@@ -177,16 +159,31 @@ def name_repair(report: DataFrame, ccg: DataFrame, policy: C.Policy = C.DEFAULT_
     name up in the CCG dimension, falling back to 'Out of Area CCG'."""
     d = _prefixed(_dim(ccg, "ccg_code", policy.max_broadcast_dim_rows), "ccgd_")
     j = report.join(d, report.ccg_code == d.ccgd_ccg_code, "left")
-    fix = F.col("ccg_code").isNotNull() & F.col("ccg_name").isNull()
-    repaired = F.when(fix, F.coalesce(F.col("ccgd_ccg_name"), F.lit(C.OUT_OF_AREA_CCG))) \
-        .otherwise(F.col("ccg_name"))
-    return j.withColumn("ccg_name", repaired).select(*report.columns)
+    return j.withColumn("ccg_name", F.expr(
+        f"CASE WHEN ccg_code IS NOT NULL AND ccg_name IS NULL "
+        f"THEN coalesce(ccgd_ccg_name, {sql_lit(C.OUT_OF_AREA_CCG)}) ELSE ccg_name END")
+    ).drop(*d.columns)
 
 
-def combine_cells(a: Column, b: Column) -> Column:
+def _tsql_int(s: str) -> str:
+    """Text to int where '' counts as 0 and anything unparsable is NULL."""
+    return f"(CASE WHEN {s} = '' THEN 0 ELSE try_cast({s} AS INT) END)"
+
+
+def combine_cells_sql(a: str, b: str) -> str:
     """Merge two 'given.state' cells: one side NULL -> the other; otherwise
     given = sum of the leading numbers and state = the smaller state digit
     (the second side's when the first is not a digit)."""
+    la, lb = _tsql_int(f"substring_index({a}, '.', 1)"), _tsql_int(f"substring_index({b}, '.', 1)")
+    ra, rb = f"try_cast(right({a}, 1) AS INT)", f"try_cast(right({b}, 1) AS INT)"
+    state = f"CASE WHEN {ra} < {rb} THEN {ra} ELSE {rb} END"
+    return (f"CASE WHEN {a} IS NULL AND {b} IS NULL THEN NULL WHEN {a} IS NULL THEN {b} "
+            f"WHEN {b} IS NULL THEN {a} ELSE concat(CAST({la} + {lb} AS STRING), '.', "
+            f"CAST({state} AS STRING)) END")
+
+
+def combine_cells(a: Column, b: Column) -> Column:
+    """Column form of :func:`combine_cells_sql` (used in tests and ad hoc)."""
     la, lb = leading_int(a), leading_int(b)
     ra, rb = trailing_digit(a), trailing_digit(b)
     state = F.when(ra < rb, ra).otherwise(rb)
@@ -197,39 +194,38 @@ def combine_cells(a: Column, b: Column) -> Column:
 
 def combined_columns(report: DataFrame) -> DataFrame:
     """The 'any MMR' columns from the MMR and MMRV product cells."""
-    def col_or_null(name: str) -> Column:
-        return F.col(f"`{name}`") if name in report.columns else F.lit(None).cast("string")
+    def col_or_null(name: str) -> str:
+        return q(name) if name in report.columns else "CAST(NULL AS STRING)"
 
-    return report.withColumns({
-        C.PRODUCT_MMR_ANY_1: combine_cells(col_or_null(C.PRODUCT_MMR_1), col_or_null(C.PRODUCT_MMRV_1)),
-        C.PRODUCT_MMR_ANY_2: combine_cells(col_or_null(C.PRODUCT_MMR_2), col_or_null(C.PRODUCT_MMRV_2)),
-    })
+    pairs = ((C.PRODUCT_MMR_ANY_1, C.PRODUCT_MMR_1, C.PRODUCT_MMRV_1),
+             (C.PRODUCT_MMR_ANY_2, C.PRODUCT_MMR_2, C.PRODUCT_MMRV_2))
+    return report.withColumns({out: F.expr(combine_cells_sql(col_or_null(x), col_or_null(y)))
+                               for out, x, y in pairs})
 
 
-def hpv_boys(report: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> Column:
+def hpv_boys_sql(policy: C.Policy = C.DEFAULT_POLICY) -> str:
     """Boys born before the HPV programme cut-off (report gender/dob)."""
-    return (F.col("gender") == "M") & (F.col("date_of_birth") < F.lit(policy.hpv_boys_born_before))
+    return f"(gender = 'M' AND date_of_birth < {sql_lit(policy.hpv_boys_born_before)})"
 
 
 def hpv_waiver(status: DataFrame, report: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
-    """HPV is not needed for the boys of :func:`hpv_boys` (status rows)."""
-    boys = (report.where(hpv_boys(report, policy)).select(F.col("person_id").alias("b_person"))
-            .distinct())
+    """HPV is not needed for the boys of :func:`hpv_boys_sql` (status rows)."""
+    boys = report.where(hpv_boys_sql(policy)).selectExpr("person_id AS b_person").distinct()
     j = status.join(boys, status.person_id == boys.b_person, "left")
-    hit = (F.col("product") == C.PRODUCT_HPV) & F.col("b_person").isNotNull()
-    return j.withColumn("still_needed", F.when(hit, 0).otherwise(F.col("still_needed"))) \
-        .select(*status.columns)
+    return j.withColumn("still_needed", F.expr(
+        f"CASE WHEN product = {sql_lit(C.PRODUCT_HPV)} AND b_person IS NOT NULL THEN 0 "
+        f"ELSE still_needed END")).drop("b_person")
 
 
 def hpv_proxy(report: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """For those boys the HPV cell becomes '<doses>.4', or NULL for no dose."""
     if C.PRODUCT_HPV not in report.columns:
         return report
-    hpv = F.col(f"`{C.PRODUCT_HPV}`")
-    first = F.left(hpv, F.lit(1))
-    proxy = F.when(first == "0", None).otherwise(F.concat(first, F.lit(C.HPV_PROXY_SUFFIX)))
-    hit = F.coalesce(hpv_boys(report, policy) & hpv.isNotNull(), F.lit(False))
-    return report.withColumn(C.PRODUCT_HPV, F.when(hit, proxy).otherwise(hpv))
+    h = q(C.PRODUCT_HPV)
+    return report.withColumn(C.PRODUCT_HPV, F.expr(
+        f"CASE WHEN coalesce({hpv_boys_sql(policy)} AND {h} IS NOT NULL, FALSE) THEN "
+        f"(CASE WHEN left({h}, 1) = '0' THEN NULL ELSE concat(left({h}, 1), "
+        f"{sql_lit(C.HPV_PROXY_SUFFIX)}) END) ELSE {h} END"))
 
 
 def outstanding_list(report: DataFrame, products: list[str]) -> DataFrame:
@@ -238,20 +234,20 @@ def outstanding_list(report: DataFrame, products: list[str]) -> DataFrame:
     When an MMR product is listed, MMR-n is reported as MMRV-n and repeats are
     removed. A single blank means nothing is outstanding.
     """
-    items = F.filter(F.array(*[F.when(F.right(F.col(f"`{p}`"), F.lit(1)) == "0", F.lit(p))
-                               for p in products]), lambda x: x.isNotNull())
-    has_mmr = F.exists(items, lambda x: x.contains("MMR-"))
-    renamed = F.array_distinct(F.transform(items, lambda x: F.replace(
-        F.replace(x, F.lit(C.PRODUCT_MMR_1), F.lit(C.PRODUCT_MMRV_1)),
-        F.lit(C.PRODUCT_MMR_2), F.lit(C.PRODUCT_MMRV_2))))
-    listed = F.when(has_mmr, renamed).otherwise(items)
-    text = F.when(F.size(listed) == 0, F.lit(" ")).otherwise(F.array_join(listed, ", "))
-    return report.withColumn("outstanding_imms", text)
+    items = "filter(array(" + ", ".join(
+        f"CASE WHEN right({q(p)}, 1) = '0' THEN {sql_lit(p)} END" for p in products) + \
+        "), x -> x IS NOT NULL)"
+    renamed = (f"array_distinct(transform({items}, x -> replace(replace(x, "
+               f"{sql_lit(C.PRODUCT_MMR_1)}, {sql_lit(C.PRODUCT_MMRV_1)}), "
+               f"{sql_lit(C.PRODUCT_MMR_2)}, {sql_lit(C.PRODUCT_MMRV_2)})))")
+    listed = f"CASE WHEN exists({items}, x -> x LIKE '%MMR-%') THEN {renamed} ELSE {items} END"
+    return report.withColumn("outstanding_imms", F.expr(
+        f"CASE WHEN size({listed}) = 0 THEN ' ' ELSE array_join({listed}, ', ') END"))
 
 
 def previous_report_flag(report: DataFrame, previous: DataFrame) -> DataFrame:
     """1 when the person was on the previous report, else NULL."""
-    prev = previous.select(F.col("person_id").alias("h_person")).distinct()
+    prev = previous.selectExpr("person_id AS h_person").distinct()
     return (report.join(prev, report.person_id == prev.h_person, "left")
-            .withColumn("on_previous_report", F.when(F.col("h_person").isNotNull(), 1))
+            .withColumn("on_previous_report", F.expr("CASE WHEN h_person IS NOT NULL THEN 1 END"))
             .drop("h_person"))

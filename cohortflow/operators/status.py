@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
-from cohortflow.functions.dates import add_age
+from cohortflow.functions.dates import add_age_sql, sql_lit
 
 
 def product_all_met(am: DataFrame) -> DataFrame:
@@ -14,23 +14,24 @@ def product_all_met(am: DataFrame) -> DataFrame:
     return am.groupBy("person_id", "product").agg(F.min("met_flag").alias("min_met"))
 
 
-def product_status(am: DataFrame, rules: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+def product_status(am: DataFrame, rules: DataFrame, policy: C.Policy = C.DEFAULT_POLICY,
+                   rules_small: bool = True) -> DataFrame:
     """Per (person, product, stage, still_needed) the minimum met flag.
 
     A row is still needed when its rule is inside the due window on ``as_of``
     (from-age reached, to-age not yet reached); a two-dose rotavirus course
     with no dose given is not needed. Rule lookup is an equi-join on the rule id
-    against the broadcast (size-checked) rule table with the window as residual.
+    against the rule table (broadcast when ``rules_small``) with the window as residual.
     """
-    r = F.broadcast(rules.select(F.col("rule_ref").alias("r_ref"), "due_from_value", "due_from_unit",
-                                 "due_to_value", "due_to_unit"))
-    as_of = F.lit(policy.as_of)
-    due = ((am.rule_ref == r.r_ref)
-           & (as_of >= add_age(am.dob, r.due_from_value, r.due_from_unit))
-           & (as_of < add_age(am.dob, r.due_to_value, r.due_to_unit)))
-    needed = (F.when((F.col("product") == C.PRODUCT_ROTA) & (F.col("valid_doses_given") == 0)
-                     & (F.col("doses_required") == 2), 0)
-              .when(F.col("r_ref").isNull(), 0).otherwise(1))
+    r = rules.selectExpr("rule_ref AS r_ref", "due_from_value", "due_from_unit", "due_to_value",
+                         "due_to_unit")
+    if rules_small:
+        r = F.broadcast(r)
+    a = sql_lit(policy.as_of)
+    due = F.expr(f"rule_ref = r_ref AND {a} >= {add_age_sql('dob', 'due_from_value', 'due_from_unit')} "
+                 f"AND {a} < {add_age_sql('dob', 'due_to_value', 'due_to_unit')}")
+    needed = F.expr(f"CASE WHEN product = {sql_lit(C.PRODUCT_ROTA)} AND valid_doses_given = 0 "
+                    f"AND doses_required = 2 THEN 0 WHEN r_ref IS NULL THEN 0 ELSE 1 END")
     return (am.join(r, due, "left")
             .groupBy("person_id", "product", "stage", needed.alias("still_needed"))
             .agg(F.min("met_flag").alias("min_met"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
+from cohortflow.functions.dates import sql_lit
 from cohortflow.functions.text import distinct_list
 
 
@@ -19,27 +20,25 @@ def negative_consent_text(consents: DataFrame) -> DataFrame:
     least one counting consent on a vaccine other than the excluded one (which
     is still listed for them)."""
     c = consents.where(F.col("reason").isin(*C.CONSENT_REASONS))
-    other = F.when(F.col("vaccine") != C.CONSENT_EXCLUDED_VACCINE, 1)
     s = c.groupBy("person_id").agg(
-        F.max(other).alias("_other"),
-        distinct_list(F.col("vaccine")).alias("_vaccines"),
-        distinct_list(F.col("reason_desc")).alias("_descs"))
-    return (s.where(F.col("_other") == 1)
-            .select("person_id",
-                    F.concat("_descs", F.lit(" - "), "_vaccines").alias("negative_consent")))
+        F.expr(f"max(CASE WHEN vaccine != {sql_lit(C.CONSENT_EXCLUDED_VACCINE)} THEN 1 END)")
+        .alias("_other"),
+        distinct_list("vaccine").alias("_vaccines"),
+        distinct_list("reason_desc").alias("_descs"))
+    return s.where("_other = 1").selectExpr(
+        "person_id", "concat(_descs, ' - ', _vaccines) AS negative_consent")
 
 
 def event_history_text(events_by_product: DataFrame) -> DataFrame:
     """Distinct '<code> - <yyyy-mm-dd>' entries per person, sorted."""
-    entry = F.concat(F.col("vaccine_code"), F.lit(" - "), F.col("event_date").cast("string"))
+    entry = "concat(vaccine_code, ' - ', CAST(event_date AS STRING))"
     return (events_by_product.groupBy("person_id")
             .agg(distinct_list(entry).alias("imms_history")))
 
 
 def non_attendance_text(non_attendance: DataFrame) -> DataFrame:
     """One missed-appointment text per person (the smallest if several)."""
-    return (non_attendance.groupBy("person_id")
-            .agg(F.min("dna_text").alias("dna_since_immunised")))
+    return non_attendance.groupBy("person_id").agg(F.min("dna_text").alias("dna_since_immunised"))
 
 
 def suspension_text(suspensions: DataFrame) -> DataFrame:
@@ -47,23 +46,20 @@ def suspension_text(suspensions: DataFrame) -> DataFrame:
     counting reason: '<vaccines>: <reasons> from <dates>', or just
     '<reasons> from <dates>' while waiting for records. Dates dd/MM/yyyy in
     date order."""
-    active = ((F.col("end_date") > F.col("va_date")) | F.col("end_date").isNull()) \
-        & F.col("reason_code").isin(*C.SUSPENSION_REASONS)
-    s = suspensions.where(active)
-    dates = F.array_sort(F.collect_set("start_date"))
-    date_text = F.when(F.size(dates) > 0, F.array_join(
-        F.transform(dates, lambda d: F.date_format(d, "dd/MM/yyyy")), ", "))
+    reasons = ", ".join(sql_lit(r) for r in C.SUSPENSION_REASONS)
+    s = suspensions.where(f"(end_date > va_date OR end_date IS NULL) AND reason_code IN ({reasons})")
+    dates = "array_sort(collect_set(start_date))"
+    date_text = F.expr(f"CASE WHEN size({dates}) > 0 THEN array_join(transform({dates}, "
+                       f"d -> date_format(d, 'dd/MM/yyyy')), ', ') END")
     agg = (s.groupBy("person_id")
-           .agg(distinct_list(F.col("vaccine")).alias("_vaccines"),
-                distinct_list(F.col("reason_desc")).alias("_descs"),
+           .agg(distinct_list("vaccine").alias("_vaccines"),
+                distinct_list("reason_desc").alias("_descs"),
                 date_text.alias("_dates"))
-           .where(F.col("_vaccines").isNotNull()))
-    descs = F.col("_descs")
-    waiting = descs.startswith(C.SUSPENSION_WAITING_PREFIX)
-    text = (F.when(waiting, F.concat(descs, F.lit(" from "), F.col("_dates")))
-            .otherwise(F.concat(F.col("_vaccines"), F.lit(": "), descs, F.lit(" from "),
-                                F.col("_dates"))))
-    return agg.select("person_id", text.alias("suspended"))
+           .where("_vaccines IS NOT NULL"))
+    waiting = sql_lit(C.SUSPENSION_WAITING_PREFIX + "%")
+    return agg.selectExpr("person_id", f"""CASE WHEN _descs LIKE {waiting}
+        THEN concat(_descs, ' from ', _dates)
+        ELSE concat(_vaccines, ': ', _descs, ' from ', _dates) END AS suspended""")
 
 
 def text_summaries(report: DataFrame, consents: DataFrame, events_by_product: DataFrame,
@@ -72,7 +68,6 @@ def text_summaries(report: DataFrame, consents: DataFrame, events_by_product: Da
     out = report
     for df in (negative_consent_text(consents), event_history_text(events_by_product),
                non_attendance_text(non_attendance), suspension_text(suspensions)):
-        col = [c for c in df.columns if c != "person_id"][0]
         d = df.withColumnRenamed("person_id", "_tp")
         out = out.join(d, out.person_id == d._tp, "left").drop("_tp")
     return out

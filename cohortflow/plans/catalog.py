@@ -71,8 +71,8 @@ FROM temp_pop WHERE rule_ref IS NOT NULL""")
 def _rule_age_window(p: ReportPipeline) -> DataFrame:
     e = p.expanded.where(F.col("rule_ref").isNotNull())
     return e.select("person_id", "rule_ref", "window_start", "window_end",
-                    add_age(F.col("dob"), F.col("due_from_value"), F.col("due_from_unit")).alias("due_from_date"),
-                    add_age(F.col("dob"), F.col("due_to_value"), F.col("due_to_unit")).alias("due_to_date"))
+                    add_age("dob", "due_from_value", "due_from_unit").alias("due_from_date"),
+                    add_age("dob", "due_to_value", "due_to_unit").alias("due_to_date"))
 
 
 @register("clean_events_anti", "SELECT person_id, antigen_code, antigen_dose, event_date, antigen_norm FROM ants")

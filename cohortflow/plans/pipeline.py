@@ -29,8 +29,8 @@ class ReportPipeline:
         self.policy = policy
         self._products = products
         self.materialize = materialize
-        if not row_count_at_most(rules, policy.max_broadcast_rules):
-            raise ValueError(f"rule table has more than {policy.max_broadcast_rules} rows")
+        # Checked once: every rule-table broadcast below depends on this bound.
+        self.rules_small = row_count_at_most(rules, policy.max_broadcast_rules)
 
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.materialize else df
@@ -61,7 +61,7 @@ class ReportPipeline:
     @cached_property
     def expanded(self) -> DataFrame:
         return eligibility.expand_rules(self.src.population, self.rules, self.policy.as_of,
-                                        self.policy)
+                                        self.policy, self.rules_small)
 
     @cached_property
     def counted(self) -> DataFrame:
@@ -109,7 +109,7 @@ class ReportPipeline:
     # -- D11-D14 -------------------------------------------------------------
     @cached_property
     def status_base(self) -> DataFrame:
-        return status.product_status(self.antigens_final, self.rules, self.policy)
+        return status.product_status(self.antigens_final, self.rules, self.policy, self.rules_small)
 
     @cached_property
     def doses(self) -> DataFrame:

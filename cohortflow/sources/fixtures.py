@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortflow.functions.dates import fin_quarter_label
+from cohortflow.functions.dates import fin_quarter_label_sql, sql_lit
 from cohortflow.plans.sizing import cut_lineage
 from cohortflow.sources.local import local_frame
 from cohortflow.sources.tables import Sources
@@ -50,12 +50,10 @@ TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "event
 _SCHEMAS: dict[str, T.StructType] = {}
 
 
-def pick(values: list[str], index: Column) -> Column:
-    """values[index] as a CASE expression (index is 0-based)."""
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v))
-    return expr
+def pick(values: list[str], index: str) -> str:
+    """SQL CASE giving values[index] (index is 0-based SQL text)."""
+    return "CASE " + " ".join(f"WHEN {index} = {i} THEN {sql_lit(v)}"
+                              for i, v in enumerate(values)) + " END"
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -71,177 +69,156 @@ def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: read_parquet(spark, f"{sf_dir}/{t}.parquet") for t in TABLES}
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
 def population(t: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
-    k = F.col("c_custkey")
-    dob = (F.when(k % 97 == 5, F.lit(FIXTURE_ANCHOR_DOB))
-           .when(k % 2 == 0, F.date_sub(F.lit(as_of), ((k * 7919) % 1700).cast("int")))
-           .otherwise(F.date_sub(F.lit(as_of), ((k * 7919) % 9000).cast("int"))))
-    return t["customer"].select(
-        k.alias("person_id"),
-        dob.alias("dob"),
-        F.lit(as_of).alias("va_date"),
-        F.col("c_mktsegment").alias("forename"),
-        F.col("c_name").alias("surname"),
-        F.when(k % 3 == 0, "M").otherwise("F").alias("gender"),
-        _s(k % 250).alias("postcode"),
-        _s(k % 12).alias("gp_code"),
-        F.when(k % 13 == 0, None).otherwise(_s((k * 5) % 30)).alias("ccg_code"),
-        _s(F.col("c_nationkey")).alias("la_code"),
+    a = sql_lit(as_of)
+    return t["customer"].selectExpr(
+        "c_custkey AS person_id",
+        f"""CASE WHEN c_custkey % 97 = 5 THEN {sql_lit(FIXTURE_ANCHOR_DOB)}
+                 WHEN c_custkey % 2 = 0 THEN date_sub({a}, CAST((c_custkey * 7919) % 1700 AS INT))
+                 ELSE date_sub({a}, CAST((c_custkey * 7919) % 9000 AS INT)) END AS dob""",
+        f"{a} AS va_date",
+        "c_mktsegment AS forename",
+        "c_name AS surname",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'M' ELSE 'F' END AS gender",
+        "CAST(c_custkey % 250 AS STRING) AS postcode",
+        "CAST(c_custkey % 12 AS STRING) AS gp_code",
+        "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST((c_custkey * 5) % 30 AS STRING) END AS ccg_code",
+        "CAST(c_nationkey AS STRING) AS la_code",
     )
 
 
 def events_by_product(spark: SparkSession, t: dict[str, DataFrame], pop: DataFrame,
                       as_of: dt.date) -> DataFrame:
+    """One immunisation event per line item (first four lines of an order) at the
+    nominal age of its slot plus a part-key jitter; future dates are dropped."""
     slots = local_frame(spark, SLOTS, "slot INT, vaccine_code STRING, age_days INT")
-    li = (t["lineitem"].where(F.col("l_linenumber") <= 4)
-          .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    orders = (t["orders"].where(F.col("o_custkey") % 17 != 3)
-              .select("o_orderkey", "o_custkey"))
-    people = pop.select(F.col("person_id").alias("o_custkey"), "dob")
+    li = t["lineitem"].where("l_linenumber <= 4").selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey",
+        f"CAST((l_orderkey * 5 + l_linenumber * 3) % {N_SLOTS} AS INT) AS slot")
+    orders = t["orders"].where(f"o_custkey % 17 != 3").selectExpr("o_orderkey", "o_custkey")
+    people = pop.selectExpr("person_id AS o_custkey", "dob")
     ev = (li.join(orders, li.l_orderkey == orders.o_orderkey)
           .join(people, "o_custkey")
-          .withColumn("slot", ((F.col("l_orderkey") * 5 + F.col("l_linenumber") * 3) % N_SLOTS)
-                      .cast("int"))
           .join(F.broadcast(slots), "slot")
-          .withColumn("event_date", F.date_add(
-              "dob", (F.col("age_days") + F.col("l_partkey") % 61 - 10).cast("int")))
-          .where(F.col("event_date") <= F.lit(as_of)))
-    slot, code = F.col("slot"), F.col("vaccine_code")
-    part = (F.when(slot.isin(0, 3, 5, 7) | ((code == "4IN1") & (F.col("l_suppkey") % 4 == 0)), "1P")
-            .when(slot.isin(1, 4, 8), "2P")
-            .when(slot == 2, "3P")
-            .otherwise("1B"))
-    desc = F.when(code == "MENACWY", "Meningitis ACWY").otherwise(code)
-    return ev.select(F.col("o_custkey").alias("person_id"), code.alias("vaccine_code"),
-                     part.alias("vaccine_part"), desc.alias("vaccine_desc"), "event_date")
+          .selectExpr("o_custkey", "slot", "vaccine_code", "l_suppkey",
+                      "date_add(dob, CAST(age_days + l_partkey % 61 - 10 AS INT)) AS event_date")
+          .where(f"event_date <= {sql_lit(as_of)}"))
+    return ev.selectExpr(
+        "o_custkey AS person_id", "vaccine_code",
+        """CASE WHEN slot IN (0, 3, 5, 7) OR (vaccine_code = '4IN1' AND l_suppkey % 4 = 0) THEN '1P'
+                WHEN slot IN (1, 4, 8) THEN '2P' WHEN slot = 2 THEN '3P' ELSE '1B' END AS vaccine_part""",
+        "CASE WHEN vaccine_code = 'MENACWY' THEN 'Meningitis ACWY' ELSE vaccine_code END AS vaccine_desc",
+        "event_date")
 
 
 def events_by_antigen(spark: SparkSession, by_product: DataFrame) -> DataFrame:
     pa = local_frame(spark, PRODUCT_ANTIGENS, "vaccine_code STRING, antigen_code STRING")
     return (by_product.join(F.broadcast(pa), "vaccine_code")
-            .select("person_id", "antigen_code", F.col("vaccine_part").alias("antigen_dose"),
-                    "event_date"))
+            .selectExpr("person_id", "antigen_code", "vaccine_part AS antigen_dose", "event_date"))
 
 
 def demographics(t: dict[str, DataFrame], pop: DataFrame, as_of: dt.date) -> DataFrame:
-    k = F.col("c_custkey")
-    c = (t["customer"].where(k % 19 != 0)
-         .join(pop.select(F.col("person_id").alias("c_custkey"), F.col("dob").alias("pop_dob")),
-               "c_custkey"))
-    dob = F.date_add("pop_dob", F.when(k % 23 == 0, 1).otherwise(0))
-    return c.select(
-        k.alias("person_id"),
-        dob.alias("dob"),
-        F.concat(F.lit("L"), _s(k)).alias("local_id"),
-        F.concat(F.lit("0700"), _s(k)).alias("contact_numbers"),
-        _s(k % 11).alias("school_code"),
-        F.concat(F.lit("School "), _s(k % 11)).alias("school_name"),
-        (k % 2).cast("int").alias("scw_school"),
-        _s(k % 90).alias("age_text"),
-        F.concat(F.lit("E"), _s(k % 5)).alias("ethnic_code"),
-        F.concat(F.lit("Ethnic "), _s(k % 5)).alias("ethnic_description"),
-        F.lit(as_of).alias("va_date"),
-        F.col("c_mktsegment").alias("forename"),
-        F.col("c_name").alias("surname"),
-        F.when(k % 3 == 0, "M").otherwise("F").alias("sex"),
-        _s((k + 1) % 12).alias("practice_code"),
-        F.concat(F.lit("Practice "), _s((k + 1) % 12)).alias("practice_name"),
-        _s((k * 5 + 1) % 30).alias("ccg_code"),
-        _s((k + 1) % 250).alias("postcode"),
-        _s((F.col("c_nationkey") + 1) % 25).alias("la_code"),
-        fin_quarter_label(F.add_months(dob, 12)).alias("cohort_12m"),
-        fin_quarter_label(F.add_months(dob, 24)).alias("cohort_24m"),
-        fin_quarter_label(F.add_months(dob, 60)).alias("cohort_5y"),
+    c = (t["customer"].where("c_custkey % 19 != 0")
+         .join(pop.selectExpr("person_id AS c_custkey", "dob AS pop_dob"), "c_custkey")
+         .selectExpr("*", "date_add(pop_dob, CASE WHEN c_custkey % 23 = 0 THEN 1 ELSE 0 END) AS dob"))
+    return c.selectExpr(
+        "c_custkey AS person_id", "dob",
+        "concat('L', CAST(c_custkey AS STRING)) AS local_id",
+        "concat('0700', CAST(c_custkey AS STRING)) AS contact_numbers",
+        "CAST(c_custkey % 11 AS STRING) AS school_code",
+        "concat('School ', CAST(c_custkey % 11 AS STRING)) AS school_name",
+        "CAST(c_custkey % 2 AS INT) AS scw_school",
+        "CAST(c_custkey % 90 AS STRING) AS age_text",
+        "concat('E', CAST(c_custkey % 5 AS STRING)) AS ethnic_code",
+        "concat('Ethnic ', CAST(c_custkey % 5 AS STRING)) AS ethnic_description",
+        f"{sql_lit(as_of)} AS va_date",
+        "c_mktsegment AS forename", "c_name AS surname",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'M' ELSE 'F' END AS sex",
+        "CAST((c_custkey + 1) % 12 AS STRING) AS practice_code",
+        "concat('Practice ', CAST((c_custkey + 1) % 12 AS STRING)) AS practice_name",
+        "CAST((c_custkey * 5 + 1) % 30 AS STRING) AS ccg_code",
+        "CAST((c_custkey + 1) % 250 AS STRING) AS postcode",
+        "CAST((c_nationkey + 1) % 25 AS STRING) AS la_code",
+        f"{fin_quarter_label_sql('add_months(dob, 12)')} AS cohort_12m",
+        f"{fin_quarter_label_sql('add_months(dob, 24)')} AS cohort_24m",
+        f"{fin_quarter_label_sql('add_months(dob, 60)')} AS cohort_5y",
     )
 
 
 def gp_dim(t: dict[str, DataFrame]) -> DataFrame:
-    s = t["supplier"].where(F.col("s_suppkey") < 10)
-    nk = F.col("s_nationkey")
-    return s.select(
-        _s(F.col("s_suppkey")).alias("practice_code"),
-        F.col("s_name").alias("practice_name"),
-        pick(HUBS, nk % 3).alias("hub"),
-        F.when(F.col("s_suppkey") % 4 == 0, None)
-        .otherwise(F.concat(F.lit("CCG "), _s(nk))).alias("ccg_description"),
-        _s(nk % 7).alias("pcn_code"),
-        F.concat(F.lit("PCN "), _s(nk % 7)).alias("pcn_name"),
+    return t["supplier"].where("s_suppkey < 10").selectExpr(
+        "CAST(s_suppkey AS STRING) AS practice_code",
+        "s_name AS practice_name",
+        f"{pick(HUBS, 's_nationkey % 3')} AS hub",
+        "CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE concat('CCG ', CAST(s_nationkey AS STRING)) END"
+        " AS ccg_description",
+        "CAST(s_nationkey % 7 AS STRING) AS pcn_code",
+        "concat('PCN ', CAST(s_nationkey % 7 AS STRING)) AS pcn_name",
     )
 
 
 def la_dim(t: dict[str, DataFrame]) -> DataFrame:
-    n = t["nation"].where(F.col("n_nationkey") % 5 != 0)
-    return n.select(_s(F.col("n_nationkey")).alias("la_code"), F.col("n_name").alias("la_name"),
-                    pick(HUBS, F.col("n_regionkey") % 3).alias("hub"))
+    return t["nation"].where("n_nationkey % 5 != 0").selectExpr(
+        "CAST(n_nationkey AS STRING) AS la_code", "n_name AS la_name",
+        f"{pick(HUBS, 'n_regionkey % 3')} AS hub")
 
 
 def ccg_dim(t: dict[str, DataFrame]) -> DataFrame:
-    return t["nation"].select(_s(F.col("n_nationkey")).alias("ccg_code"),
-                              F.col("n_name").alias("ccg_name"))
+    return t["nation"].selectExpr("CAST(n_nationkey AS STRING) AS ccg_code", "n_name AS ccg_name")
 
 
 def postcode_dim(t: dict[str, DataFrame]) -> DataFrame:
-    return (t["part"].where(F.col("p_partkey") < 200)
-            .select(_s(F.col("p_partkey")).alias("postcode"), F.col("p_brand").alias("ward_code"),
-                    F.col("p_type").alias("ward_name"), _s(F.col("p_size")).alias("lsoa")))
+    return t["part"].where("p_partkey < 200").selectExpr(
+        "CAST(p_partkey AS STRING) AS postcode", "p_brand AS ward_code", "p_type AS ward_name",
+        "CAST(p_size AS STRING) AS lsoa")
 
 
 def deprivation_dim(t: dict[str, DataFrame]) -> DataFrame:
-    return (t["part"].where(F.col("p_size") % 7 != 0)
-            .select(_s(F.col("p_size")).alias("lsoa"),
-                    (F.col("p_size") % 10 + 1).cast("int").alias("imd_decile"))
+    return (t["part"].where("p_size % 7 != 0")
+            .selectExpr("CAST(p_size AS STRING) AS lsoa", "CAST(p_size % 10 + 1 AS INT) AS imd_decile")
             .distinct())
 
 
 def school_dim(t: dict[str, DataFrame]) -> DataFrame:
-    return (t["supplier"].where(F.col("s_suppkey") < 10)
-            .select(_s(F.col("s_suppkey")).alias("school_code"),
-                    F.concat(F.lit("C"), _s(F.col("s_nationkey"))).alias("contract")))
+    return t["supplier"].where("s_suppkey < 10").selectExpr(
+        "CAST(s_suppkey AS STRING) AS school_code",
+        "concat('C', CAST(s_nationkey AS STRING)) AS contract")
 
 
 def consents(t: dict[str, DataFrame]) -> DataFrame:
-    e = t["events"].where((F.col("event_type") == "error") & (F.col("event_id") % 11 == 0))
-    eid = F.col("event_id")
-    reason = pick(CONSENT_REASON_CODES, eid % 8)
-    return e.select(
-        ((F.col("user_id") * 7) % 150).alias("person_id"),
-        pick(CONSENT_VACCINES, eid % 5).alias("vaccine"),
-        reason.alias("reason"),
-        F.when(eid % 8 == 2, None).otherwise(F.concat(F.lit("Reason "), reason)).alias("reason_desc"),
+    reason = pick(CONSENT_REASON_CODES, "event_id % 8")
+    return t["events"].where("event_type = 'error' AND event_id % 11 = 0").selectExpr(
+        "(user_id * 7) % 150 AS person_id",
+        f"{pick(CONSENT_VACCINES, 'event_id % 5')} AS vaccine",
+        f"{reason} AS reason",
+        f"CASE WHEN event_id % 8 = 2 THEN NULL ELSE concat('Reason ', {reason}) END AS reason_desc",
     )
 
 
 def suspensions(t: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
-    o = t["orders"].where(F.col("o_orderkey") % 29 == 0)
-    ok = F.col("o_orderkey")
-    code = pick(SUSPENSION_CODES, ok % 8)
-    status = F.col("o_orderstatus")
-    return o.select(
-        F.col("o_custkey").alias("person_id"),
-        pick(CONSENT_VACCINES, ok % 5).alias("vaccine"),
-        code.alias("reason_code"),
-        F.when(code == "W", F.lit("Waiting for records from GP"))
-        .otherwise(F.concat(F.lit("Susp "), code)).alias("reason_desc"),
-        F.to_date("o_orderdate").alias("start_date"),
-        F.when(status == "F", F.date_sub(F.lit(as_of), 30))
-        .when(status == "O", F.date_add(F.lit(as_of), 30)).alias("end_date"),
-        F.lit(as_of).alias("va_date"),
+    a = sql_lit(as_of)
+    code = pick(SUSPENSION_CODES, "o_orderkey % 8")
+    return t["orders"].where("o_orderkey % 29 = 0").selectExpr(
+        "o_custkey AS person_id",
+        f"{pick(CONSENT_VACCINES, 'o_orderkey % 5')} AS vaccine",
+        f"{code} AS reason_code",
+        f"CASE WHEN {code} = 'W' THEN 'Waiting for records from GP' ELSE concat('Susp ', {code}) END"
+        " AS reason_desc",
+        "to_date(o_orderdate) AS start_date",
+        f"CASE o_orderstatus WHEN 'F' THEN date_sub({a}, 30) WHEN 'O' THEN date_add({a}, 30) END"
+        " AS end_date",
+        f"{a} AS va_date",
     )
 
 
 def non_attendance(t: dict[str, DataFrame]) -> DataFrame:
-    e = t["events"].where((F.col("event_type") == "signup") & (F.col("event_id") % 13 == 0))
-    return (e.groupBy(((F.col("user_id") * 7) % 150).alias("person_id"))
-            .agg(F.concat(_s(F.count(F.lit(1))), F.lit(" missed")).alias("dna_text")))
+    return (t["events"].where("event_type = 'signup' AND event_id % 13 = 0")
+            .groupBy(F.expr("(user_id * 7) % 150").alias("person_id"))
+            .agg(F.expr("concat(CAST(count(1) AS STRING), ' missed')").alias("dna_text")))
 
 
 def previous_report(t: dict[str, DataFrame]) -> DataFrame:
-    return t["customer"].where(F.col("c_custkey") % 3 == 0).select(
-        F.col("c_custkey").alias("person_id"))
+    return t["customer"].where("c_custkey % 3 = 0").selectExpr("c_custkey AS person_id")
 
 
 def derive_sources(spark: SparkSession, sf_dir: str, as_of: dt.date,

@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from cohortflow.functions import dates as D
 
 d = dt.date
@@ -23,7 +21,8 @@ def one(spark, col):
     (None, 3, "Week", None),
 ])
 def test_add_age(spark, start, value, unit, expected):
-    assert one(spark, D.add_age(F.lit(start).cast("date"), value, unit)) == expected
+    d0 = D.sql_lit(start) if start else "CAST(NULL AS DATE)"
+    assert one(spark, D.add_age(d0, value, D.sql_lit(unit))) == expected
 
 
 @pytest.mark.parametrize("dob,on,months,years", [
