@@ -1,9 +1,9 @@
 """Collapse rules to stages and share counted doses between linked stages.
 
-All joins here are on person-keyed frames that are already hash-partitioned by
-(person, antigen) from the counting join, so the self-joins and the window do
-not add exchanges. Rule-derived sets (take-over antigens, split products and
-rules) are rule-sized and broadcast.
+All windows here are keyed by (person, antigen[, product]) and reuse the
+hash partitioning the counting join produced, so they add no exchange.
+Rule-derived sets (take-over antigens, split products and rules) are bounded by
+the rule table and broadcast.
 """
 
 from __future__ import annotations
@@ -69,48 +69,50 @@ def allocate_doses(collapsed: DataFrame, rules: DataFrame) -> DataFrame:
       7 E and E.g<=E.r and product splits doses by stage -> 0
       8 E and rule splits doses by stage -> r
       else g
+
+    L and E are rows of the same person and antigen (L.prev_ref = rule_ref,
+    E.rule_ref = prev_ref). Instead of two self-joins -- which would evaluate the
+    whole upstream plan three times -- the rows of each (person, antigen) are
+    collected once with a window over the partitioning the counting join already
+    produced. That group holds at most one row per rule of the antigen, so it is
+    bounded by the rule table. Several matching partners give several output
+    rows, exactly like the joins.
     """
-    c = collapsed
-    later = c.select(F.col("person_id").alias("l_person"), F.col("antigen").alias("l_antigen"),
-                     F.col("prev_ref").alias("l_prev"), F.col("valid_doses_given").alias("l_given"),
-                     F.col("doses_required").alias("l_required"))
-    earlier = c.select(F.col("person_id").alias("e_person"), F.col("antigen").alias("e_antigen"),
-                       F.col("rule_ref").alias("e_ref"), F.col("valid_doses_given").alias("e_given"),
-                       F.col("doses_required").alias("e_required"))
     split = rules.where(F.col("split_by_stage") == 1)
     takeover = _flag_set(takeover_antigens(rules), "t_antigen", "is_takeover")
     split_products = _flag_set(split.select("product"), "s_product", "is_split_product")
     split_refs = _flag_set(split.select("rule_ref"), "s_ref", "is_split_ref")
 
-    j = (c.join(later, (c.person_id == later.l_person) & (c.rule_ref == later.l_prev)
-                & (c.antigen == later.l_antigen), "left")
-         .join(earlier, (c.person_id == earlier.e_person) & (c.prev_ref == earlier.e_ref)
-               & (c.antigen == earlier.e_antigen), "left")
+    linked = collapsed.withColumn("_rows", F.expr(
+        "collect_list(named_struct('rule_ref', rule_ref, 'prev_ref', prev_ref, "
+        "'given', valid_doses_given, 'required', doses_required)) "
+        "OVER (PARTITION BY person_id, antigen)"))
+    with_partners = linked.selectExpr(
+        "person_id", "dob", "antigen", "doses_required", "rule_ref", "valid_doses_given",
+        "product", "stage", "prev_ref",
+        "explode_outer(CASE WHEN antigen IS NOT NULL THEN filter(_rows, x -> x.prev_ref = rule_ref) END) AS l",
+        "_rows").selectExpr(
+        "*", "explode_outer(CASE WHEN antigen IS NOT NULL THEN filter(_rows, x -> x.rule_ref = prev_ref) END) AS e")
+    j = (with_partners
          .join(takeover, F.col("antigen") == takeover.t_antigen, "left")
          .join(split_products, F.col("product") == split_products.s_product, "left")
          .join(split_refs, F.col("rule_ref") == split_refs.s_ref, "left"))
-
     allocated = F.expr("""CAST(CASE
-        WHEN l_person IS NOT NULL AND valid_doses_given = 0 THEN 0
-        WHEN l_person IS NOT NULL AND doses_required < valid_doses_given AND l_required >= l_given
-             AND valid_doses_given - l_given >= doses_required THEN valid_doses_given - l_given
-        WHEN l_person IS NOT NULL AND doses_required <= valid_doses_given THEN doses_required
-        WHEN e_person IS NOT NULL AND valid_doses_given = 0 THEN 0
-        WHEN e_person IS NOT NULL AND valid_doses_given + e_required <= e_given THEN valid_doses_given
-        WHEN e_given < valid_doses_given AND NOT coalesce(is_takeover, FALSE)
-          THEN valid_doses_given - e_given
-        WHEN e_person IS NOT NULL AND e_given <= e_required AND coalesce(is_split_product, FALSE) THEN 0
-        WHEN e_person IS NOT NULL AND coalesce(is_split_ref, FALSE) THEN doses_required
+        WHEN l IS NOT NULL AND valid_doses_given = 0 THEN 0
+        WHEN l IS NOT NULL AND doses_required < valid_doses_given AND l.required >= l.given
+             AND valid_doses_given - l.given >= doses_required THEN valid_doses_given - l.given
+        WHEN l IS NOT NULL AND doses_required <= valid_doses_given THEN doses_required
+        WHEN e IS NOT NULL AND valid_doses_given = 0 THEN 0
+        WHEN e IS NOT NULL AND valid_doses_given + e.required <= e.given THEN valid_doses_given
+        WHEN e.given < valid_doses_given AND NOT coalesce(is_takeover, FALSE)
+          THEN valid_doses_given - e.given
+        WHEN e IS NOT NULL AND e.given <= e.required AND coalesce(is_split_product, FALSE) THEN 0
+        WHEN e IS NOT NULL AND coalesce(is_split_ref, FALSE) THEN doses_required
         ELSE valid_doses_given END AS INT)""")
     return j.select("person_id", "dob", "antigen", allocated.alias("valid_doses_given"),
                     "doses_required", "product", "stage", "rule_ref", "prev_ref")
 
 
-def met_flag(given: F.Column, required: F.Column) -> F.Column:
-    """1 when the doses given reach the doses required, else 0 (NULL counts as not met)."""
-    return F.when(given >= required, 1).otherwise(0)
-
-
 MET_FLAG_SQL = "CASE WHEN valid_doses_given >= doses_required THEN 1 ELSE 0 END"
 
 

@@ -65,6 +65,13 @@ def event_counts(clean: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_events")))
 
 
+def in_scope_people(population: DataFrame, as_of: dt.date,
+                    policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+    """(person, dob, va_date) of people at least ``min_population_age_months`` old."""
+    return (population.select("person_id", "dob", "va_date")
+            .where(F.col("dob") <= F.add_months(F.lit(as_of), -policy.min_population_age_months)))
+
+
 def expand_rules(population: DataFrame, rules: DataFrame, as_of: dt.date,
                  policy: C.Policy = C.DEFAULT_POLICY, rules_small: bool | None = None) -> DataFrame:
     """Each person joined to every rule that is due on ``as_of``.
@@ -77,9 +84,7 @@ def expand_rules(population: DataFrame, rules: DataFrame, as_of: dt.date,
     ``rules_small`` says whether the rule table is within the broadcast bound
     (checked here when not given).
     """
-    people = (population.select("person_id", "dob", "va_date")
-              .where(F.col("dob") <= F.add_months(F.lit(as_of), -policy.min_population_age_months))
-              .distinct())
+    people = in_scope_people(population, as_of, policy).distinct()
     r = rules.select(*EXPANDED_RULE_COLUMNS, "valid_from", "valid_to").distinct()
     if rules_small is None:
         rules_small = row_count_at_most(r, policy.max_broadcast_rules)

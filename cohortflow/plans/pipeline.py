@@ -82,8 +82,14 @@ class ReportPipeline:
     # -- D8-D10 --------------------------------------------------------------
     @cached_property
     def people(self) -> DataFrame:
-        """Distinct (person, dob) of the expanded population."""
-        return self.antigens_met.select("person_id", "dob").distinct()
+        """Distinct (person, dob) of the expanded population.
+
+        Taken from the in-scope population rather than from the allocated rows
+        (the same set: every step after the expansion is a left join or keeps
+        each person), so the dose series does not re-run the allocation chain.
+        """
+        return eligibility.in_scope_people(self.src.population, self.policy.as_of,
+                                           self.policy).select("person_id", "dob").distinct()
 
     @cached_property
     def bands(self) -> DataFrame:
