@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 
+# Answers of earlier size checks, keyed by (session, plan hash, bound). The answer
+# only picks a physical join strategy -- results are the same either way -- so
+# re-using it for an identical plan within one session is safe.
+_CHECKED: dict[tuple[int, int, int], bool] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Scans at most ``max_rows + 1`` rows, so the check is bounded even when the
-    frame is unexpectedly large.
+    frame is unexpectedly large. Identical plans are checked once per session.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (id(df.sparkSession), df._jdf.queryExecution().analyzed().semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
