@@ -12,6 +12,8 @@ RECOMMENDED_CONF = {
     # (person, ...) without another exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
+    # Delete checkpoint files of lineage cuts once their DataFrames are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
