@@ -8,6 +8,11 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from static size estimates: only explicit, size-checked hints,
+    # or AQE's runtime conversion, which uses the measured size of a finished
+    # shuffle stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # Person-partitioned frames satisfy joins/aggregations keyed by
     # (person, ...) without another exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
