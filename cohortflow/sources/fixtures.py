@@ -225,16 +225,17 @@ def derive_sources(spark: SparkSession, sf_dir: str, as_of: dt.date,
                    materialize: bool = True) -> Sources:
     """All compliance inputs for one driver data directory.
 
-    The event tables come from a three-way join and are read by several report
-    stages; with ``materialize`` they are written once to the session's shared
-    checkpoint folder (when it names one) instead of being re-derived per read.
+    The product-level events come from a three-way join and are read by five
+    report stages; with ``materialize`` they are written once to the session's
+    shared checkpoint folder (when it names one) instead of being re-derived per
+    read. The antigen-level events are a broadcast join over them and stay lazy.
     """
     t = read_tables(spark, sf_dir)
     pop = population(t, as_of)
     bp = events_by_product(spark, t, pop, as_of)
-    ba = events_by_antigen(spark, bp)
     if materialize:
-        bp, ba = cut_lineage(bp), cut_lineage(ba)
+        bp = cut_lineage(bp)
+    ba = events_by_antigen(spark, bp)
     return Sources(
         population=pop,
         events_by_product=bp,
