@@ -203,5 +203,25 @@ class ReportPipeline:
                      F.min("met_flag").alias("met")))
 
 
+OUTPUTS = ("vaccines_met", "doses_given", "doses_required", "report")
+
+
+def write_outputs(pipeline: ReportPipeline, base_path: str) -> dict[str, str]:
+    """Write the three pivots and the report as parquet under ``base_path``.
+
+    ``mode("overwrite")`` replaces any earlier run, so a re-run is idempotent.
+    The report is written last; each output is one Spark job writing in
+    parallel from its partitions (no driver collect).
+    """
+    frames = {"vaccines_met": pipeline.pivot_state, "doses_given": pipeline.pivot_given,
+              "doses_required": pipeline.pivot_required, "report": pipeline.full_report}
+    paths = {}
+    for name in OUTPUTS:
+        path = f"{base_path.rstrip('/')}/{name}"
+        frames[name].write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
+
+
 def overrides_hpv(product_status: DataFrame, rep: DataFrame, policy: C.Policy) -> DataFrame:
     return report.hpv_waiver(product_status, rep, policy)

@@ -35,3 +35,14 @@ def test_report_with_shuffled_dimensions(spark):
     cols = sorted(ref.columns)
     assert _rows(p.full_report.select(*[f"`{c}`" for c in cols])) == \
         _rows(ref.select(*[f"`{c}`" for c in cols]))
+
+
+def test_write_outputs_is_idempotent(spark, small_pipeline, tmp_path):
+    from cohortflow.plans.pipeline import OUTPUTS, write_outputs
+    base = str(tmp_path / "out")
+    write_outputs(small_pipeline, base)
+    paths = write_outputs(small_pipeline, base)      # second run replaces the first
+    assert set(paths) == set(OUTPUTS)
+    report = spark.read.parquet(paths["report"])
+    assert report.count() == small_pipeline.full_report.count()
+    assert spark.read.parquet(paths["doses_given"]).count() == report.count()
