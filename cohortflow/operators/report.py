@@ -121,15 +121,15 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
         "pd_postcode AS postcode", "ons_ward_code AS ward_code", "ons_ward_name AS ward_name",
         "dd_contact_numbers AS contact_numbers", "ons_lsoa AS lsoa", "imd_imd_decile AS imd_decile",
         "pd_gp_code AS practice_code", "gp_practice_name AS practice_name",
-        f"{matched('gp_practice_code')} AS scw_registered",
-        f"{locality('gp_practice_code', 'gp_hub')} AS scw_registered_locality",
+        f"{matched('gp_practice_code')} AS registered_in_area",
+        f"{locality('gp_practice_code', 'gp_hub')} AS registered_locality",
         "pd_ccg_code AS ccg_code", "gp_ccg_description AS ccg_name", "gp_pcn_code AS pcn_code",
         "gp_pcn_name AS pcn_name", "pd_la_code AS la_code",
         f"coalesce(la_la_name, {la_out}) AS la_name",
-        f"{matched('la_la_code')} AS scw_resident",
-        f"{locality('la_la_code', 'la_hub')} AS scw_resident_locality",
+        f"{matched('la_la_code')} AS resident_in_area",
+        f"{locality('la_la_code', 'la_hub')} AS resident_locality",
         "dd_school_code AS school_code", "dd_school_name AS school_name",
-        "dd_scw_school AS scw_school", "sch_contract AS scw_school_locality",
+        "dd_school_in_area AS school_in_area", "sch_contract AS school_contract",
         f"{D.age_in_months_sql('pd_dob', a)} AS age_in_months",
         f"{years} AS age_in_years",
         f"{D.full_age_sql('pd_dob', a)} AS full_age",
@@ -139,8 +139,8 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
         "dd_forename AS forename_local", "dd_surname AS surname_local", "dd_sex AS gender_local",
         "dd_dob AS date_of_birth_local", "dd_practice_code AS practice_code_local",
         "dd_practice_name AS practice_name_local",
-        f"{matched('gpc_practice_code')} AS scw_registered_local",
-        f"{locality('gpc_practice_code', 'gpc_hub')} AS scw_registered_locality_local",
+        f"{matched('gpc_practice_code')} AS registered_in_area_local",
+        f"{locality('gpc_practice_code', 'gpc_hub')} AS registered_locality_local",
         "dd_ccg_code AS ccg_code_local",
         f"coalesce(gpc_ccg_description, {ccg_out}) AS ccg_name_local",
         "gpc_pcn_code AS pcn_code_local", "gpc_pcn_name AS pcn_name_local",
@@ -148,8 +148,8 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
         "onsc_ward_name AS ward_name_local", "onsc_lsoa AS lsoa_local",
         "imdc_imd_decile AS imd_decile_local", "dd_la_code AS la_code_local",
         f"coalesce(lac_la_name, {la_out}) AS la_name_local",
-        f"{matched('lac_la_code')} AS scw_resident_local",
-        f"{locality('lac_la_code', 'lac_hub')} AS scw_resident_locality_local",
+        f"{matched('lac_la_code')} AS resident_in_area_local",
+        f"{locality('lac_la_code', 'lac_hub')} AS resident_locality_local",
         "dd_va_date AS va_date",
     )
 

@@ -127,7 +127,7 @@ def demographics(t: dict[str, DataFrame], pop: DataFrame, as_of: dt.date) -> Dat
         "concat('0700', CAST(c_custkey AS STRING)) AS contact_numbers",
         "CAST(c_custkey % 11 AS STRING) AS school_code",
         "concat('School ', CAST(c_custkey % 11 AS STRING)) AS school_name",
-        "CAST(c_custkey % 2 AS INT) AS scw_school",
+        "CAST(c_custkey % 2 AS INT) AS school_in_area",
         "CAST(c_custkey % 90 AS STRING) AS age_text",
         "concat('E', CAST(c_custkey % 5 AS STRING)) AS ethnic_code",
         "concat('Ethnic ', CAST(c_custkey % 5 AS STRING)) AS ethnic_description",

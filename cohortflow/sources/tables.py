@@ -17,7 +17,7 @@ class Sources:
     events_by_product person_id, vaccine_code, vaccine_part, vaccine_desc, event_date
     events_by_antigen person_id, antigen_code, antigen_dose, event_date
     demographics      person_id, dob, local_id, contact_numbers, school_code, school_name,
-                      scw_school, age_text, ethnic_code, ethnic_description, va_date,
+                      school_in_area, age_text, ethnic_code, ethnic_description, va_date,
                       forename, surname, sex, practice_code, practice_name, ccg_code,
                       postcode, la_code, cohort_12m, cohort_24m, cohort_5y
     gp / la / ccg / postcodes / deprivation / schools   reference dimensions
