@@ -68,3 +68,13 @@ def test_entry_runs(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0 and "up_to_date" in df.columns
+
+
+def test_counting_shuffle_reused_up_to_stage_linking(small_pipeline):
+    """Between the counting join and the stage-linking window there is no exchange:
+    the aggregates and windows reuse the (person, antigen) partitioning."""
+    plan = _plan(small_pipeline.allocated)
+    top = plan.index("collect_list")
+    join = plan.index("SortMergeJoin", top)
+    assert "Exchange" not in plan[top:join]
+    assert re.search(r"Exchange hashpartitioning\(person_id#\d+L?, antigen#\d+", plan[join:])
