@@ -144,18 +144,38 @@ class Words:
         self.doc = np.repeat(np.arange(len(docs)), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        out = np.empty(len(self.start), U64)
-        a = 0
-        while a < len(out):  # in parts, so that the temporary arrays stay small for a huge text
-            b = max(a + 1, int(np.searchsorted(self.end, self.start[a] + (1 << 20), "right")))
-            lo, hi = int(self.start[a]), int(self.end[b - 1])
-            p, q = _powers(hi - lo)
-            total = np.zeros(hi - lo + 1, U64)
-            np.cumsum(_BYTE[self.buf[lo:hi]] * p[: hi - lo], out=total[1:])
-            s, e = self.start[a:b] - lo, self.end[a:b] - lo
-            out[a:b] = (total[e] - total[s]) * q[s] + (e - s).astype(U64)
-            a = b
-        return mix(out)
+        return span_hashes(self.buf, self.start, self.end)
+
+    def units(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The documents cut behind each word: every word with the white space before it, and white
+        space at a document's end. Starts, ends, and the first unit of each document."""
+        n = np.diff(self.first)
+        start = self.end[np.arange(len(self.start)) - 1] if len(self.start) else self.start
+        some = np.flatnonzero(n)
+        start = start.copy()
+        start[self.first[some]] = self.at[some]
+        last = self.at[:-1].copy()
+        last[some] = self.end[self.first[some + 1] - 1]
+        tail = np.flatnonzero(last < self.at[1:] - 1)
+        starts, ends = np.concatenate([start, last[tail]]), np.concatenate([self.end, self.at[tail + 1] - 1])
+        o = np.argsort(starts, kind="stable")
+        return starts[o], ends[o], np.searchsorted(starts[o], self.at)
+
+
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes; the spans ascend and do not overlap."""
+    out = np.empty(len(start), U64)
+    a = 0
+    while a < len(out):  # in parts, so that the temporary arrays stay small for a huge text
+        b = max(a + 1, int(np.searchsorted(end, start[a] + (1 << 20), "right")))
+        lo, hi = int(start[a]), int(end[b - 1])
+        p, q = _powers(hi - lo)
+        total = np.zeros(hi - lo + 1, U64)
+        np.cumsum(_BYTE[buf[lo:hi]] * p[: hi - lo], out=total[1:])
+        s, e = start[a:b] - lo, end[a:b] - lo
+        out[a:b] = (total[e] - total[s]) * q[s] + (e - s).astype(U64)
+        a = b
+    return mix(out)
 
 
 def grams(words: np.ndarray, k: int) -> np.ndarray:
