@@ -18,8 +18,9 @@ estimated too low to be confirmed with probability of about 1e-7.
 
 Edge cases: null, empty and wordless texts have the empty set and are linked with nothing. A text of
 fewer than five words has its whole word sequence as its one shingle. Repeated rows are rows of one
-class. Rows without id take part as links; a component's id is null if none of its rows has one, and
-``kept`` is false for them. Further columns are not read.
+class, and each of them has the class's verdict. Rows without id are linked like any other; a
+component's id is null if none of its rows has one, and then the rows of its first class are kept.
+Further columns are not read.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of ``docs``."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) of each row of ``docs``."""
     sets = C.stored(set_table(docs, id_col, text_col), "sets")
     classes = (sets.where("n_shingles > 0").groupBy("key")
                .agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), *[F.first(c).alias(c) for c in (*SIGNATURE, "bands")]))
@@ -191,11 +192,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root = sets.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     root = root.join(label.select(F.col("u").alias("key"), F.col("v").alias("root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
     name = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = root.join(name, "root").select("key", "component_id")
-    out = sets.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("key")).alias("key")).join(named, "key", "left")
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    named = root.join(name, "root").select("key", "component_id", (F.col("key") == F.col("root")).alias("is_root"))
+    out = sets.select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("key")).alias("key")).join(named, "key", "left")
+    linked = F.col("n_shingles") > 0
+    out = out.withColumn("component_id", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")))
+    nameless = F.col("component_id").isNull() & F.coalesce("is_root", F.lit(True))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), nameless)
+    return out.select("doc_id", "text_hash", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(C.table(spark, sf_dir, "documents"))
+    return near_duplicates(C.table(spark, sf_dir, "documents")).drop("text_hash")
