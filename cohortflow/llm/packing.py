@@ -148,7 +148,7 @@ def lower_bound(lengths: np.ndarray, size: int) -> int:
     count = np.bincount(lengths, minlength=size + 1)[: size + 1].astype(np.int64)
     n, total = np.cumsum(count), np.cumsum(count * np.arange(size + 1))
     e = np.arange(1, size // 2 + 1)
-    best = int(((n[size] - n[size - e]) * size + total[size - e] - total[e - 1]).max())
+    best = int(((n[size] - n[size - e]) * size + total[size - e] - total[e - 1]).max(initial=0))
     best = max(best, int(total[size]))
     out = -(-best // size)
     x = np.arange(size + 1)
