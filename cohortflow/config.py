@@ -48,6 +48,10 @@ STAGE_12M = "12 Month"
 STAGE_18M = "18 Month"
 STAGE_PRESCHOOL = "Preschool"
 STAGE_SCHOOL = "School"
+# Spellings that rule tables in other case are brought to.
+KNOWN_PRODUCTS = (PRODUCT_MMR_1, PRODUCT_MMR_2, PRODUCT_MMRV_1, PRODUCT_MMRV_2, PRODUCT_MMR_ANY_1,
+                  PRODUCT_MMR_ANY_2, PRODUCT_HIBMENC, PRODUCT_HPV, PRODUCT_ROTA) + PERT_WAIVER_PRODUCTS
+KNOWN_STAGES = (STAGE_PRIMARY, STAGE_12M, STAGE_18M, STAGE_PRESCHOOL, STAGE_SCHOOL)
 # Status texts.
 NO_RECORD = "No Record"
 YES = "Yes"
@@ -65,8 +69,6 @@ AGE_GROUPS = ((6, "0-5"), (19, "6-19"), (None, "19+"))
 COVER_COHORTS = (("cohort_12m", "12MonthCohort"), ("cohort_24m", "24MonthCohort"),
                  ("cohort_5y", "5YearCohort"))
 HPV_PROXY_SUFFIX = ".4"
-# Combined-vaccine cohorts: at most this many date-of-birth bands are numbered.
-MAX_COMBINED_COHORTS = 3
 OPEN_END_DATE = dt.date(9999, 12, 31)
 
 
@@ -104,9 +106,13 @@ class Policy:
         StageGate(STAGE_PRESCHOOL, "up_to_date_preschool", min_age_months=42),
         StageGate(STAGE_SCHOOL, "up_to_date_school", min_age_years=14),
     ))
-    # Size bounds for frames that may be broadcast; above them a shuffle join is used.
-    max_broadcast_rules: int = 5_000
-    max_broadcast_dim_rows: int = 2_000_000
+    # A rule table with more rows is refused: rules (and what is derived from rules and calendar days
+    # alone) are the only frames that are broadcast, so this bounds every broadcast.
+    max_rules: int = 10_000
+    # Antigen codes are cut to this length before they are compared.
+    antigen_code_length: int = 10
+    # At most so many date-of-birth bands of the combined vaccine are numbered.
+    max_combined_cohorts: int = 3
 
 
 # The report date used by the registered queries and the tests.

@@ -17,21 +17,6 @@ def distinct_list(values: str, sep: str = ", ") -> Column:
     return F.expr(f"CASE WHEN size({arr}) > 0 THEN array_join({arr}, '{sep}') END")
 
 
-def try_int_blank_zero(s: Column) -> Column:
-    """Text to int where a blank string counts as 0 and anything unparsable is NULL."""
-    return F.when(s == "", F.lit(0)).otherwise(s.try_cast("int"))
-
-
-def leading_int(cell: Column) -> Column:
-    """Integer before the first '.' of a 'given.state' cell ('' counts as 0)."""
-    return try_int_blank_zero(F.substring_index(cell, ".", 1))
-
-
-def trailing_digit(cell: Column) -> Column:
-    """Last character of a cell as an int (NULL when it is not a digit)."""
-    return F.right(cell, F.lit(1)).try_cast("int")
-
-
 def replace_all(c: Column, pairs) -> Column:
     """Apply literal (search, replacement) pairs in order."""
     for search, repl in pairs:

@@ -1,9 +1,9 @@
 """Collapse rules to stages and share counted doses between linked stages.
 
 All windows here are keyed by (person, antigen[, product]) and reuse the
-hash partitioning the counting join produced, so they add no exchange.
-Rule-derived sets (take-over antigens, split products and rules) are bounded by
-the rule table and broadcast.
+partitioning by person, so they add no exchange. Rule-derived sets (take-over
+antigens, split products and rules) have at most one row per rule; the pipeline
+refuses rule tables above ``Policy.max_rules``, so broadcasting them is bounded.
 """
 
 from __future__ import annotations

@@ -2,13 +2,13 @@
 
 Scale notes
 -----------
-* Events are pre-aggregated to (person, antigen, date) with map-side combine
-  before any join, so copies of one person's events collapse before the
-  shuffle and the per-key row count is bounded by the number of calendar days.
-* The rule table is the only broadcast side; its size is checked first.
-* The person x rule expansion emits at most one row per (person, rule); the
-  de-duplication is pushed to the narrow person table and the tiny rule table
-  instead of a wide DISTINCT over the expanded rows.
+* People are dealt by person once, before they are expanded; the expansion, the
+  counting join and all that follows up to the antigen overrides stay in place.
+* Rules are resolved once per date of birth, not once per person: the calendar
+  bounds that table whatever the number of people, so it may be broadcast (the
+  number of rules is checked when the pipeline is built).
+* Events are reduced to one row per (person, antigen, dose, day) with map-side
+  combine before anything joins them, so a hot person collapses to days.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from cohortflow import config as C
 from cohortflow.functions.dates import add_age_sql, sql_lit
 from cohortflow.functions.text import replace_all
-from cohortflow.plans.sizing import row_count_at_most
 
 # Rule columns carried by the expansion.
 EXPANDED_RULE_COLUMNS = [
@@ -33,36 +32,43 @@ COUNT_KEYS = ["person_id", "dob", "rule_ref", "prev_ref", "antigen", "product",
               "doses_required", "va_date"]
 
 
-def normalise_antigen(code) -> F.Column:
-    """Alias antigen codes (MENW->ACWY, CPOX->VAR) and keep at most 10 characters."""
-    return F.substring(replace_all(code, C.ANTIGEN_ALIASES), 1, 10)
+def normalise_antigen(code, policy: C.Policy = C.DEFAULT_POLICY) -> F.Column:
+    """Alias antigen codes (MENW->ACWY, CPOX->VAR) and cut them to the policy's length."""
+    return F.substring(replace_all(code, C.ANTIGEN_ALIASES), 1, policy.antigen_code_length)
 
 
-def clean_events(events_by_antigen: DataFrame, events_by_product: DataFrame) -> DataFrame:
-    """Antigen events minus doses that belong to a booster product coded as primary.
+def clean_event_days(events_by_antigen: DataFrame, events_by_product: DataFrame,
+                     policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+    """Events per (person, antigen code, dose, day) with their number, minus doses that belong to
+    a booster product coded as primary.
 
-    An antigen dose is dropped when the same person has a booster-product event
-    on the same day whose part equals the antigen dose, the antigen is one of
-    the booster components and the dose is a primary dose ('...P').
+    An antigen dose is dropped when the same person has a booster-product event on the same day
+    whose part equals the antigen dose, the antigen is one of the booster components and the dose
+    is a primary dose ('...P'). Only such doses meet the boosters; all others pass by.
     """
+    days = (events_by_antigen.groupBy("person_id", "antigen_code", "antigen_dose", "event_date")
+            .agg(F.count(F.lit(1)).alias("n_events")))
     boosters = (events_by_product
                 .where(F.col("vaccine_code") == C.BOOSTER_PRODUCT_CODE)
-                .select(F.col("person_id").alias("b_person"), F.col("event_date").alias("b_date"),
-                        F.col("vaccine_part").alias("b_part"))
+                .select("person_id", "event_date", F.col("vaccine_part").alias("antigen_dose"))
                 .distinct())
-    a = events_by_antigen
-    cond = ((a.person_id == boosters.b_person) & (a.event_date == boosters.b_date)
-            & (boosters.b_part == a.antigen_dose)
-            & a.antigen_code.isin(*C.BOOSTER_EXCLUDED_ANTIGENS)
-            & a.antigen_dose.endswith(C.PRIMARY_DOSE_SUFFIX))
-    return (a.join(boosters, cond, "left_anti")
-            .withColumn("antigen_norm", normalise_antigen(F.col("antigen_code"))))
-
-
-def event_counts(clean: DataFrame) -> DataFrame:
-    """(person, antigen, date) -> number of events that day, combined map-side."""
-    return (clean.groupBy("person_id", "antigen_norm", "event_date")
-            .agg(F.count(F.lit(1)).alias("n_events")))
+    suspect = F.coalesce(F.col("antigen_code").isin(*C.BOOSTER_EXCLUDED_ANTIGENS)
+                         & F.col("antigen_dose").endswith(C.PRIMARY_DOSE_SUFFIX), F.lit(False))
+    kept = (days.where(suspect).join(boosters, ["person_id", "event_date", "antigen_dose"], "left_anti")
+            .unionByName(days.where(~suspect)))
+    return kept.withColumn("antigen_norm", normalise_antigen(F.col("antigen_code"), policy))
+
+
+def clean_events(event_days: DataFrame) -> DataFrame:
+    """The rows of :func:`clean_event_days` one by one."""
+    return (event_days.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "n_events")))
+            .drop("_n", "n_events"))
+
+
+def event_counts(event_days: DataFrame) -> DataFrame:
+    """(person, antigen, date) -> number of events that day, dealt by person."""
+    return (event_days.groupBy("person_id", "antigen_norm", "event_date")
+            .agg(F.sum("n_events").alias("n_events")).repartition("person_id"))
 
 
 def in_scope_people(population: DataFrame, as_of: dt.date,
@@ -72,40 +78,39 @@ def in_scope_people(population: DataFrame, as_of: dt.date,
             .where(F.col("dob") <= F.add_months(F.lit(as_of), -policy.min_population_age_months)))
 
 
-def expand_rules(population: DataFrame, rules: DataFrame, as_of: dt.date,
-                 policy: C.Policy = C.DEFAULT_POLICY, rules_small: bool | None = None) -> DataFrame:
-    """Each person joined to every rule that is due on ``as_of``.
+def due_rules(people: DataFrame, rules: DataFrame, as_of: dt.date) -> DataFrame:
+    """(dob, due): for each date of birth the rules that are due on ``as_of``, with the counting
+    window resolved to dates.
 
-    A rule is due when the person was born inside its validity range and has
-    reached its due-from age. People with no due rule keep one row with NULL
-    rule columns. Only people at least ``min_population_age_months`` old are
-    in scope. The counting window of each rule is resolved to dates.
-
-    ``rules_small`` says whether the rule table is within the broadcast bound
-    (checked here when not given).
+    A rule is due when the date of birth lies in its validity range and its due-from age is
+    reached. One row per calendar day at most, so the frame does not grow with the people.
     """
-    people = in_scope_people(population, as_of, policy).distinct()
     r = rules.select(*EXPANDED_RULE_COLUMNS, "valid_from", "valid_to").distinct()
-    if rules_small is None:
-        rules_small = row_count_at_most(r, policy.max_broadcast_rules)
+    dobs = F.broadcast(people.select("dob").distinct())
     a = sql_lit(as_of)
     due = F.expr(f"{a} >= {add_age_sql('dob', 'due_from_value', 'due_from_unit')} "
                  f"AND dob BETWEEN valid_from AND coalesce(valid_to, {a})")
-    if rules_small:
-        joined = people.join(F.broadcast(r), due, "left")
-    else:
-        # Equi-join on birth month: each rule is repeated for every month of its
-        # validity range, and the exact test stays as a residual condition.
-        rb = r.selectExpr("*", f"explode(sequence(trunc(valid_from, 'MM'), "
-                               f"trunc(coalesce(valid_to, {a}), 'MM'), INTERVAL 1 MONTH)) AS dob_month")
-        pb = people.selectExpr("*", "trunc(dob, 'MM') AS p_month")
-        joined = pb.join(rb, (pb.p_month == rb.dob_month) & due, "left").drop("p_month", "dob_month")
-    return joined.selectExpr(
-        "person_id", "dob", *EXPANDED_RULE_COLUMNS,
-        f"{add_age_sql('dob', 'count_from_value', 'count_from_unit')} AS window_start",
-        f"{add_age_sql('dob', 'count_to_value', 'count_to_unit')} AS window_end",
-        "va_date",
-    )
+    windows = [f"{add_age_sql('dob', 'count_from_value', 'count_from_unit')} AS window_start",
+               f"{add_age_sql('dob', 'count_to_value', 'count_to_unit')} AS window_end"]
+    joined = r.join(dobs, due).selectExpr("dob", *EXPANDED_RULE_COLUMNS, *windows)
+    return joined.groupBy("dob").agg(F.collect_list(F.struct(
+        *EXPANDED_RULE_COLUMNS, "window_start", "window_end")).alias("due"))
+
+
+def expand_rules(population: DataFrame, rules: DataFrame, as_of: dt.date,
+                 policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+    """Each person joined to every rule that is due on ``as_of``.
+
+    People with no due rule keep one row with NULL rule columns. Only people at least
+    ``min_population_age_months`` old are in scope. The result is dealt by person.
+    """
+    people = in_scope_people(population, as_of, policy)
+    due = F.broadcast(due_rules(people, rules, as_of))
+    dealt = people.repartition("person_id").distinct()
+    return (dealt.join(due, "dob", "left")
+            .selectExpr("person_id", "dob", "va_date", "explode_outer(due) AS r")
+            .selectExpr("person_id", "dob", *[f"r.{c}" for c in EXPANDED_RULE_COLUMNS],
+                        "r.window_start", "r.window_end", "va_date"))
 
 
 def count_in_window(expanded: DataFrame, counts: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import config as C
 from cohortflow.functions.dates import sql_lit
+from cohortflow.operators import text
 from cohortflow.operators.dosing import MET_FLAG_SQL
 
 
@@ -111,7 +112,19 @@ def antigen_overrides(am: DataFrame, caveats: DataFrame,
 # Product-level overrides
 # --------------------------------------------------------------------------
 
-def person_flags(am_final: DataFrame, caveats: DataFrame, events_by_product: DataFrame,
+def event_summary(events_by_product: DataFrame) -> DataFrame:
+    """One row per person with all that later stages ask of the product events: the last 6-in-1
+    and ACWY dates, and the history text. The event log is read once for them."""
+    def last(cond: F.Column) -> F.Column:
+        return F.max(F.when(cond, F.col("event_date")))
+
+    return events_by_product.groupBy("person_id").agg(
+        last(F.col("vaccine_code") == C.SIX_IN_ONE_CODE).alias("last_6in1"),
+        last(_ci("vaccine_desc", C.ACWY_DESCRIPTION)).alias("last_acwy"),
+        text.history_list().alias("imms_history"))
+
+
+def person_flags(am_final: DataFrame, caveats: DataFrame, events: DataFrame,
                  demographics: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """One row per person with every input the product overrides read.
 
@@ -120,15 +133,13 @@ def person_flags(am_final: DataFrame, caveats: DataFrame, events_by_product: Dat
     * hib_met / menc_unmet from the antigen rows;
     * acwy_ok: an ACWY event on/after ``acwy_valid_from_weeks`` weeks of the
       demographic date of birth.
-    Event inputs are reduced to one latest date per person before joining.
+    ``events`` is the :func:`event_summary`.
     """
     people = am_final.groupBy("person_id", "dob").agg(
         F.max(F.when(_ci("antigen", C.ANTIGEN_HIB) & (F.col("met_flag") == 1), 1)).alias("hib_met"),
         F.max(F.when(_ci("antigen", C.ANTIGEN_MENC) & (F.col("met_flag") == 0), 1)).alias("menc_unmet"))
-    six = (events_by_product.where(F.col("vaccine_code") == C.SIX_IN_ONE_CODE)
-           .groupBy(F.col("person_id").alias("s_person")).agg(F.max("event_date").alias("last_6in1")))
-    acwy_last = (events_by_product.where(F.col("vaccine_desc") == C.ACWY_DESCRIPTION)
-                 .groupBy("person_id").agg(F.max("event_date").alias("last_acwy")))
+    six = events.where("last_6in1 IS NOT NULL").select(F.col("person_id").alias("s_person"), "last_6in1")
+    acwy_last = events.where("last_acwy IS NOT NULL").select("person_id", "last_acwy")
     acwy = (acwy_last.join(demographics.select("person_id", F.col("dob").alias("dd_dob")), "person_id")
             .where(F.col("last_acwy") >= F.date_add("dd_dob", 7 * policy.acwy_valid_from_weeks))
             .select(F.col("person_id").alias("a_person")).distinct()
@@ -150,69 +161,79 @@ def person_flags(am_final: DataFrame, caveats: DataFrame, events_by_product: Dat
 PRODUCT_OVERRIDE_GROUPS = ("catchup", "cohort", "late_dose", "cross_product", "mmr_recheck")
 
 
-def product_overrides(status: DataFrame, flags: DataFrame, doses: DataFrame,
-                      groups: tuple[str, ...] = PRODUCT_OVERRIDE_GROUPS) -> DataFrame:
-    """D12 = O10..O22 in order on the product status rows.
+def product_steps() -> list[tuple[str, str, dict[str, str]]]:
+    """O10..O22 in order: (name, group, assignments) over status rows joined with person flags."""
+    cv, unmet = "has_caveat", "coalesce(min_met, 0) = 0"
+    mmr12 = _in((C.PRODUCT_MMR_1, C.PRODUCT_MMR_2))
+    mmr2 = sql_lit(C.PRODUCT_MMR_2)
+    mmrv1, mmrv2 = sql_lit(C.PRODUCT_MMRV_1), sql_lit(C.PRODUCT_MMRV_2)
 
-    ``flags`` comes from :func:`person_flags`; ``doses`` has one row per
-    (person, product) with ``doses_given`` and ``doses_required``. ``groups``
-    selects a prefix of the ordered override groups:
-    catchup (O10-O12), cohort (O13-O18), late_dose (O19),
-    cross_product (O20), mmr_recheck (O21-O22).
+    def needed_if(cond: str, value: int) -> dict[str, str]:
+        return {"still_needed": f"CASE WHEN coalesce({cond}, FALSE) THEN {value} ELSE still_needed END"}
 
-    The overrides are folded into one expression per target column, each
-    wrapping the previous one, so the whole chain is a single projection
-    (plus one person window for O12).
+    catch_up = f"{cv} AND catch_up = 1"
+    mmr2_needed = (f"max(CASE WHEN product = {mmr2} AND still_needed = 1 THEN 1 END) "
+                   f"OVER (PARTITION BY person_id)")
+    waived = (f"coalesce(product = {sql_lit(C.PRODUCT_HIBMENC)} AND hib_met = 1 AND acwy_ok = 1 "
+              f"AND menc_unmet = 1, FALSE)")
+    recheck = (f"coalesce(product IN {mmr12} AND d_person IS NOT NULL "
+               f"AND coalesce(doses_required, 0) > 0, FALSE)")
+    return [
+        # catch-up: unmet MMR-1/MMR-2 are no longer needed
+        ("O10", "catchup", needed_if(f"{catch_up} AND product IN {mmr12} AND {unmet}", 0)),
+        # catch-up, cohort >= 3, first dose not combined: unmet MMRV-1 needed
+        ("O11", "catchup", needed_if(f"{catch_up} AND cohort >= 3 AND coalesce(dose1_is_mmrv, 0) = 0 "
+                                     f"AND product = {mmrv1} AND {unmet}", 1)),
+        # catch-up, < 2 doses and MMR-2 still needed (after O10): MMRV-2 needed
+        ("O12", "catchup", needed_if(f"{catch_up} AND valid_dose_count < 2 AND {mmr2_needed} = 1 "
+                                     f"AND product = {mmrv2}", 1)),
+        # cohort 2 with two combined doses: no further MMRV-2
+        ("O13", "cohort", needed_if(f"{cv} AND cohort2_two_mmrv = 1 AND product = {mmrv2}", 0)),
+        # cohort 3 invite, then late attender: MMR-2 not needed, MMRV-2 needed
+        ("O14", "cohort", needed_if(f"{cv} AND cohort3_invite = 1 AND product = {mmr2}", 0)),
+        ("O15", "cohort", needed_if(f"{cv} AND cohort3_invite = 1 AND product = {mmrv2}", 1)),
+        ("O16", "cohort", needed_if(f"{cv} AND cohort3_late = 1 AND product = {mmr2}", 0)),
+        ("O17", "cohort", needed_if(f"{cv} AND cohort3_late = 1 AND product = {mmrv2}", 1)),
+        # cohort 3 with neither action: MMRV-2 not needed
+        ("O18", "cohort", needed_if(f"{cv} AND cohort = 3 AND product = {mmrv2} AND "
+                                    f"coalesce(cohort3_invite, 0) = 0 AND coalesce(cohort3_late, 0) = 0", 0)),
+        # any 6-in-1 dose after 12 months: the 18-month 6-in-1 is not needed
+        ("O19", "late_dose", needed_if(f"late_6in1 = 1 AND product = {sql_lit(C.PRODUCT_SIX_IN_ONE_18M)}", 0)),
+        # HIB met, valid ACWY given, MenC unmet: HIB/MenC waived and met
+        ("O20", "cross_product", {"still_needed": f"CASE WHEN {waived} THEN 0 ELSE still_needed END",
+                                  "min_met": f"CASE WHEN {waived} THEN 1 ELSE min_met END"}),
+        # MMR-1/MMR-2 met is recomputed from doses given and required
+        ("O21/O22", "mmr_recheck", {"min_met": f"CASE WHEN {recheck} THEN (CASE WHEN coalesce(doses_given, 0) "
+                                               f">= doses_required THEN 1 ELSE 0 END) ELSE min_met END"}),
+    ]
+
+
+def with_person_facts(status: DataFrame, flags: DataFrame, doses: DataFrame) -> DataFrame:
+    """Status rows with their person's flags and the MMR doses, one row for each status row.
+
+    ``flags`` comes from :func:`person_flags`; ``doses`` has ``doses_given`` and ``doses_required``
+    per person, product and stage. A product in several stages is rechecked with its fewest given
+    and most required doses, so an unmet stage wins and the status rows never multiply.
     """
     f = flags.withColumnRenamed("person_id", "f_person")
-    d = doses.select(F.col("person_id").alias("d_person"), F.col("product").alias("d_product"),
-                     "doses_given", "doses_required")
-    j = (status.join(f, status.person_id == f.f_person, "left")
-         .join(d, (status.person_id == d.d_person) & (status.product == d.d_product), "left"))
-    cv = "has_caveat"
-    unmet = "coalesce(min_met, 0) = 0"
+    d = (doses.where(F.col("product").isin(C.PRODUCT_MMR_1, C.PRODUCT_MMR_2))
+         .groupBy(F.col("person_id").alias("d_person"), F.col("product").alias("d_product"))
+         .agg(F.min("doses_given").alias("doses_given"), F.max("doses_required").alias("doses_required")))
+    return (status.join(f, status.person_id == f.f_person, "left")
+            .join(d, (status.person_id == d.d_person) & (status.product == d.d_product), "left"))
 
-    def needed_if(cond: str, value: int) -> dict[str, str]:
-        return {"still_needed": f"CASE WHEN coalesce({cond}, FALSE) THEN {value} ELSE still_needed END"}
 
-    mmr12 = _in((C.PRODUCT_MMR_1, C.PRODUCT_MMR_2))
-    mmr2 = sql_lit(C.PRODUCT_MMR_2)
-    mmrv1, mmrv2 = sql_lit(C.PRODUCT_MMRV_1), sql_lit(C.PRODUCT_MMRV_2)
-    if "catchup" in groups:
-        catch_up = f"{cv} AND catch_up = 1"
-        # Catch-up: unmet MMR-1/MMR-2 are no longer needed.
-        j = _apply(j, needed_if(f"{catch_up} AND product IN {mmr12} AND {unmet}", 0))
-        # Catch-up, cohort >= 3, first dose not combined: unmet MMRV-1 needed.
-        j = _apply(j, needed_if(f"{catch_up} AND cohort >= 3 AND coalesce(dose1_is_mmrv, 0) = 0 "
-                                f"AND product = {mmrv1} AND {unmet}", 1))
-        # Catch-up, < 2 doses and MMR-2 still needed (after O10): MMRV-2 needed.
-        mmr2_needed = (f"max(CASE WHEN product = {mmr2} AND still_needed = 1 THEN 1 END) "
-                       f"OVER (PARTITION BY person_id)")
-        j = _apply(j, needed_if(f"{catch_up} AND valid_dose_count < 2 AND {mmr2_needed} = 1 "
-                                f"AND product = {mmrv2}", 1))
-    if "cohort" in groups:
-        # Cohort 2 with two combined doses: no further MMRV-2.
-        j = _apply(j, needed_if(f"{cv} AND cohort2_two_mmrv = 1 AND product = {mmrv2}", 0))
-        # Cohort 3 invite / late attender: MMR-2 not needed, MMRV-2 needed.
-        for flag in ("cohort3_invite", "cohort3_late"):
-            j = _apply(j, needed_if(f"{cv} AND {flag} = 1 AND product = {mmr2}", 0))
-            j = _apply(j, needed_if(f"{cv} AND {flag} = 1 AND product = {mmrv2}", 1))
-        # Cohort 3 with neither action: MMRV-2 not needed.
-        j = _apply(j, needed_if(f"{cv} AND cohort = 3 AND product = {mmrv2} AND "
-                                f"coalesce(cohort3_invite, 0) = 0 AND coalesce(cohort3_late, 0) = 0", 0))
-    if "late_dose" in groups:
-        # Any 6-in-1 dose after 12 months: the 18-month 6-in-1 is not needed.
-        j = _apply(j, needed_if(f"late_6in1 = 1 AND product = {sql_lit(C.PRODUCT_SIX_IN_ONE_18M)}", 0))
-    if "cross_product" in groups:
-        # HIB met, valid ACWY given, MenC unmet: HIB/MenC waived and met.
-        w = (f"coalesce(product = {sql_lit(C.PRODUCT_HIBMENC)} AND hib_met = 1 AND acwy_ok = 1 "
-             f"AND menc_unmet = 1, FALSE)")
-        j = _apply(j, {"still_needed": f"CASE WHEN {w} THEN 0 ELSE still_needed END",
-                       "min_met": f"CASE WHEN {w} THEN 1 ELSE min_met END"})
-    if "mmr_recheck" in groups:
-        # MMR-1/MMR-2 met is recomputed from doses given vs required.
-        recheck = (f"coalesce(product IN {mmr12} AND d_person IS NOT NULL "
-                   f"AND coalesce(doses_required, 0) > 0, FALSE)")
-        j = _apply(j, {"min_met": f"CASE WHEN {recheck} THEN (CASE WHEN coalesce(doses_given, 0) "
-                                  f">= doses_required THEN 1 ELSE 0 END) ELSE min_met END"})
+def product_overrides(status: DataFrame, flags: DataFrame, doses: DataFrame,
+                      groups: tuple[str, ...] = PRODUCT_OVERRIDE_GROUPS) -> DataFrame:
+    """D12 = O10..O22 in order on the product status rows.
+
+    ``groups`` selects a prefix of the ordered override groups: catchup (O10-O12), cohort
+    (O13-O18), late_dose (O19), cross_product (O20), mmr_recheck (O21-O22). The overrides are
+    folded into one expression per target column, each wrapping the previous one, so the whole
+    chain is a single projection (plus one person window for O12).
+    """
+    j = with_person_facts(status, flags, doses)
+    for _, group, assignments in product_steps():
+        if group in groups:
+            j = _apply(j, assignments)
     return j.select("person_id", "product", "stage", "min_met", "still_needed")

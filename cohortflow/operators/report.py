@@ -2,20 +2,19 @@
 
 The report is keyed and partitioned by person. Person-sized inputs
 (demographics, population) are joined on person after de-duplication on the
-key; reference dimensions are de-duplicated and broadcast only when their row
-count is proven small, otherwise joined by shuffle (AQE splits skewed keys).
+key. Reference dimensions are de-duplicated and joined without any hint: Spark
+broadcasts what it has measured to be small at run time and splits hot keys.
+Rows without a key are spread over all tasks instead of meeting in one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
 from cohortflow.functions import dates as D
 from cohortflow.functions.dates import sql_lit
-from cohortflow.functions.text import leading_int, trailing_digit
-from cohortflow.plans.sizing import broadcast_if_small
 
 
 def q(name: str) -> str:
@@ -29,12 +28,6 @@ def cell_sql(given: str, state: str) -> str:
             f"coalesce(CAST({given} AS STRING), ''), '.', coalesce(CAST({state} AS STRING), '')) END")
 
 
-def cell(given: Column, state: Column) -> Column:
-    text = F.concat(F.coalesce(given.cast("string"), F.lit("")), F.lit("."),
-                    F.coalesce(state.cast("string"), F.lit("")))
-    return F.when(given.isNull() & state.isNull(), None).otherwise(text)
-
-
 def report_core(given_pivot: DataFrame, state_pivot: DataFrame, products: list[str]) -> DataFrame:
     """Doses-given pivot left-joined to the state pivot, one text cell per product."""
     vm = state_pivot.selectExpr("person_id AS vm_person",
@@ -54,9 +47,9 @@ def dedupe_on(df: DataFrame, key: str) -> DataFrame:
             .select(key, "_r.*"))
 
 
-def _dim(df: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """De-duplicated dimension, marked for broadcast when its size is proven small."""
-    return broadcast_if_small(dedupe_on(df, key), max_rows)[0]
+def _spread(key: str) -> F.Column:
+    """A join key whose missing values differ from row to row and match nothing."""
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000none"), F.col("person_id").cast("string")))
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -69,28 +62,27 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
     """Demographic, registration, residence, deprivation and age columns from
     two person sources (population register 'pd', local record 'dd')."""
     a = sql_lit(policy.as_of)
-    mx = policy.max_broadcast_dim_rows
     pd_ = _prefixed(dedupe_on(population, "person_id"), "pd_")
     dd = _prefixed(dedupe_on(demographics, "person_id"), "dd_")
-    gp, la = _dim(gp, "practice_code", mx), _dim(la, "la_code", mx)
-    postcodes, deprivation = _dim(postcodes, "postcode", mx), _dim(deprivation, "lsoa", mx)
+    gp, la = dedupe_on(gp, "practice_code"), dedupe_on(la, "la_code")
+    postcodes, deprivation = dedupe_on(postcodes, "postcode"), dedupe_on(deprivation, "lsoa")
     gp_pd, gp_dd = _prefixed(gp, "gp_"), _prefixed(gp, "gpc_")
     la_pd, la_dd = _prefixed(la, "la_"), _prefixed(la, "lac_")
     ons_pd, ons_dd = _prefixed(postcodes, "ons_"), _prefixed(postcodes, "onsc_")
     imd_pd, imd_dd = _prefixed(deprivation, "imd_"), _prefixed(deprivation, "imdc_")
-    sch = _prefixed(_dim(schools, "school_code", mx), "sch_")
+    sch = _prefixed(dedupe_on(schools, "school_code"), "sch_")
 
     j = (core.join(dd, core.person_id == dd.dd_person_id, "left")
          .join(pd_, core.person_id == pd_.pd_person_id, "left")
-         .join(gp_pd, F.col("gp_practice_code") == F.col("pd_gp_code"), "left")
-         .join(gp_dd, F.col("gpc_practice_code") == F.col("dd_practice_code"), "left")
-         .join(la_dd, F.col("lac_la_code") == F.col("dd_la_code"), "left")
-         .join(la_pd, F.col("la_la_code") == F.col("pd_la_code"), "left")
-         .join(ons_pd, F.col("ons_postcode") == F.col("pd_postcode"), "left")
-         .join(imd_pd, F.col("imd_lsoa") == F.col("ons_lsoa"), "left")
-         .join(ons_dd, F.col("onsc_postcode") == F.col("dd_postcode"), "left")
-         .join(imd_dd, F.col("imdc_lsoa") == F.col("onsc_lsoa"), "left")
-         .join(sch, F.col("sch_school_code") == F.col("dd_school_code"), "left"))
+         .join(gp_pd, F.col("gp_practice_code") == _spread("pd_gp_code"), "left")
+         .join(gp_dd, F.col("gpc_practice_code") == _spread("dd_practice_code"), "left")
+         .join(la_dd, F.col("lac_la_code") == _spread("dd_la_code"), "left")
+         .join(la_pd, F.col("la_la_code") == _spread("pd_la_code"), "left")
+         .join(ons_pd, F.col("ons_postcode") == _spread("pd_postcode"), "left")
+         .join(imd_pd, F.col("imd_lsoa") == _spread("ons_lsoa"), "left")
+         .join(ons_dd, F.col("onsc_postcode") == _spread("dd_postcode"), "left")
+         .join(imd_dd, F.col("imdc_lsoa") == _spread("onsc_lsoa"), "left")
+         .join(sch, F.col("sch_school_code") == _spread("dd_school_code"), "left"))
 
     years = D.age_in_years_sql("pd_dob", a)
     grp = f"coalesce({years}, try_cast(dd_age_text AS INT))"
@@ -157,8 +149,8 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
 def name_repair(report: DataFrame, ccg: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """Where a CCG code is present but its name is missing, look the
     name up in the CCG dimension, falling back to 'Out of Area CCG'."""
-    d = _prefixed(_dim(ccg, "ccg_code", policy.max_broadcast_dim_rows), "ccgd_")
-    j = report.join(d, report.ccg_code == d.ccgd_ccg_code, "left")
+    d = _prefixed(dedupe_on(ccg, "ccg_code"), "ccgd_")
+    j = report.join(d, d.ccgd_ccg_code == _spread("ccg_code"), "left")
     return j.withColumn("ccg_name", F.expr(
         f"CASE WHEN ccg_code IS NOT NULL AND ccg_name IS NULL "
         f"THEN coalesce(ccgd_ccg_name, {sql_lit(C.OUT_OF_AREA_CCG)}) ELSE ccg_name END")
@@ -182,16 +174,6 @@ def combine_cells_sql(a: str, b: str) -> str:
             f"CAST({state} AS STRING)) END")
 
 
-def combine_cells(a: Column, b: Column) -> Column:
-    """Column form of :func:`combine_cells_sql` (used in tests and ad hoc)."""
-    la, lb = leading_int(a), leading_int(b)
-    ra, rb = trailing_digit(a), trailing_digit(b)
-    state = F.when(ra < rb, ra).otherwise(rb)
-    merged = F.concat((la + lb).cast("string"), F.lit("."), state.cast("string"))
-    return F.when(a.isNull() & b.isNull(), None).when(a.isNull(), b).when(b.isNull(), a) \
-        .otherwise(merged)
-
-
 def combined_columns(report: DataFrame) -> DataFrame:
     """The 'any MMR' columns from the MMR and MMRV product cells."""
     def col_or_null(name: str) -> str:

@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from cohortflow import config as C
 
 
-def cohort_bands(rules: DataFrame, products=(C.PRODUCT_MMRV_1, C.PRODUCT_MMRV_2)) -> DataFrame:
+def cohort_bands(rules: DataFrame, policy: C.Policy = C.DEFAULT_POLICY,
+                 products=(C.PRODUCT_MMRV_1, C.PRODUCT_MMRV_2)) -> DataFrame:
     """Distinct date-of-birth validity bands of the combined-vaccine rules, newest
-    first, numbered 1..3 (D8). Runs on the rule table only (a handful of rows)."""
+    first, numbered 1..``max_combined_cohorts`` (D8). Runs on the rule table only (a handful of rows)."""
     bands = (rules.where(F.col("product").isin(*products))
              .select(F.col("valid_from").alias("dob_from"), F.col("valid_to").alias("dob_to"))
              .distinct())
     rn = F.row_number().over(Window.orderBy(F.desc("dob_from")))
     return (bands.withColumn("cohort", rn.cast("int"))
-            .where(F.col("cohort") <= C.MAX_COMBINED_COHORTS)
+            .where(F.col("cohort") <= policy.max_combined_cohorts)
             .select("cohort", "dob_from",
                     F.coalesce("dob_to", F.lit(C.OPEN_END_DATE)).alias("dob_to")))
 

@@ -14,19 +14,16 @@ def product_all_met(am: DataFrame) -> DataFrame:
     return am.groupBy("person_id", "product").agg(F.min("met_flag").alias("min_met"))
 
 
-def product_status(am: DataFrame, rules: DataFrame, policy: C.Policy = C.DEFAULT_POLICY,
-                   rules_small: bool = True) -> DataFrame:
+def product_status(am: DataFrame, rules: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """Per (person, product, stage, still_needed) the minimum met flag.
 
     A row is still needed when its rule is inside the due window on ``as_of``
     (from-age reached, to-age not yet reached); a two-dose rotavirus course
     with no dose given is not needed. Rule lookup is an equi-join on the rule id
-    against the rule table (broadcast when ``rules_small``) with the window as residual.
+    against the rule table (bounded by ``Policy.max_rules``) with the window as residual.
     """
-    r = rules.selectExpr("rule_ref AS r_ref", "due_from_value", "due_from_unit", "due_to_value",
-                         "due_to_unit")
-    if rules_small:
-        r = F.broadcast(r)
+    r = F.broadcast(rules.selectExpr("rule_ref AS r_ref", "due_from_value", "due_from_unit",
+                                     "due_to_value", "due_to_unit"))
     a = sql_lit(policy.as_of)
     due = F.expr(f"rule_ref = r_ref AND {a} >= {add_age_sql('dob', 'due_from_value', 'due_from_unit')} "
                  f"AND {a} < {add_age_sql('dob', 'due_to_value', 'due_to_unit')}")

@@ -19,37 +19,38 @@ from cohortflow.operators import dosing, overrides, status, text
 from cohortflow.plans import oracle as O
 from cohortflow.plans.pipeline import ReportPipeline
 from cohortflow.sources.fixtures import derive_sources
-from cohortflow.sources.schedules import parse_schedule, schedule_frame
+from cohortflow.sources.schedules import ANY_MMR_SCHEDULE, TEST_SCHEDULE, parse_schedule, schedule_frame
 
 POLICY = C.DEFAULT_POLICY
 
 
-def schedule_products() -> list[str]:
-    """Sorted distinct products of the built-in schedule (same list the pipeline collects)."""
-    return sorted({r[4] for r in parse_schedule()})
+def schedule_products(schedule: str = TEST_SCHEDULE) -> list[str]:
+    """Sorted distinct products of a built-in schedule (same list the pipeline collects)."""
+    return sorted({r[4] for r in parse_schedule(schedule)})
 
 
-def pipeline(spark: SparkSession, sf_dir: str, policy: C.Policy = POLICY) -> ReportPipeline:
-    src = derive_sources(spark, sf_dir, policy.as_of)
-    return ReportPipeline(src, schedule_frame(spark), policy, products=schedule_products())
+def pipeline(spark: SparkSession, sf_dir: str, policy: C.Policy = POLICY, events: bool = True,
+             schedule: str = TEST_SCHEDULE) -> ReportPipeline:
+    """``events``: whether the product events are read, and so worth being stored once."""
+    src = derive_sources(spark, sf_dir, policy.as_of, materialize=events)
+    return ReportPipeline(src, schedule_frame(spark, schedule), policy, products=schedule_products(schedule))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, tuple[str, str]] = {}
 
 
-def register(name: str, select: str | None):
+def register(name: str, select: str, events: bool = True, schedule: str = TEST_SCHEDULE):
     def deco(fn: Callable[[ReportPipeline], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(pipeline(spark, sf_dir))
-        if select is not None:
-            ORACLE[name] = select
+        QUERIES[name] = lambda spark, sf_dir: fn(pipeline(spark, sf_dir, events=events, schedule=schedule))
+        ORACLE[name] = (select, schedule)
         return fn
     return deco
 
 
 def oracle_sql() -> dict[str, str]:
-    prefix = O.with_clause(POLICY, schedule_products())
-    return {k: prefix + "\n" + v for k, v in ORACLE.items()}
+    prefix = {s: O.with_clause(POLICY, schedule_products(s), s) for s in (TEST_SCHEDULE, ANY_MMR_SCHEDULE)}
+    return {k: prefix[schedule] + "\n" + select for k, (select, schedule) in ORACLE.items()}
 
 
 def _cols(*names: str) -> str:
@@ -67,7 +68,7 @@ MMR_COLS = [C.PRODUCT_MMR_1, C.PRODUCT_MMRV_1, C.PRODUCT_MMR_2, C.PRODUCT_MMRV_2
 @register("rule_age_window", f"""SELECT person_id, rule_ref, window_start, window_end,
   {O.add_age('dob', 'due_from_value', 'due_from_unit')} AS due_from_date,
   {O.add_age('dob', 'due_to_value', 'due_to_unit')} AS due_to_date
-FROM temp_pop WHERE rule_ref IS NOT NULL""")
+FROM temp_pop WHERE rule_ref IS NOT NULL""", events=False)
 def _rule_age_window(p: ReportPipeline) -> DataFrame:
     e = p.expanded.where(F.col("rule_ref").isNotNull())
     return e.select("person_id", "rule_ref", "window_start", "window_end",
@@ -80,7 +81,7 @@ def _clean(p):
     return p.clean_events.select("person_id", "antigen_code", "antigen_dose", "event_date", "antigen_norm")
 
 
-@register("expand_rules_theta", "SELECT * FROM temp_pop")
+@register("expand_rules_theta", "SELECT * FROM temp_pop", events=False)
 def _expand(p):
     return p.expanded
 
@@ -91,10 +92,10 @@ def _count(p):
 
 
 @register("takeover_antigens", """SELECT person_id, antigen, rule_ref, valid_doses_given FROM antigens_met
-WHERE antigen IN (SELECT antigen FROM takeover)""")
+WHERE antigen IN (FROM takeover)""")
 def _takeover(p):
     t = dosing.takeover_antigens(p.rules)
-    return (p.counted.join(F.broadcast(t), "antigen", "left_semi")
+    return (p.counted.join(F.broadcast(t), "antigen", "left_semi")  # at most one row per rule
             .select("person_id", "antigen", "rule_ref", "valid_doses_given"))
 
 
@@ -124,15 +125,15 @@ def _met(p):
 
 @register("cohort_bands", """SELECT c.cohort, c.dob_from, c.dob_to,
   (SELECT count(*) FROM people_cohort pc WHERE pc.cohort = c.cohort) AS n_people
-FROM mmrv_cohorts c""")
+FROM mmrv_cohorts c""", events=False)
 def _bands(p):
     n = p.people_cohort.groupBy("cohort").agg(F.count(F.lit(1)).alias("n_people"))
-    return (p.bands.join(F.broadcast(n), "cohort", "left")
+    return (p.bands.join(n, "cohort", "left")
             .select("cohort", "dob_from", "dob_to",
                     F.coalesce("n_people", F.lit(0)).cast("long").alias("n_people")))
 
 
-@register("band_join", "SELECT * FROM people_cohort")
+@register("band_join", "SELECT * FROM people_cohort", events=False)
 def _band_join(p):
     return p.people_cohort
 
@@ -175,6 +176,12 @@ def _series_overrides(p):
     return p.antigens_final
 
 
+@register("any_mmr_override", "SELECT * FROM am_final", schedule=ANY_MMR_SCHEDULE)
+def _any_mmr(p):
+    """O6 on a schedule that has a product which any MMR-containing dose counts for."""
+    return p.antigens_final
+
+
 # --- D11-D14 -----------------------------------------------------------------
 
 
@@ -218,8 +225,7 @@ def _recheck(p):
     return p.product_status
 
 
-@register("doses_given_required", """SELECT person_id, product, MIN(valid_doses_given) AS doses_given,
-  MAX(doses_required) AS doses_required FROM am_final GROUP BY stage, person_id, product""")
+@register("doses_given_required", "SELECT person_id, product, given AS doses_given, required AS doses_required FROM doses")
 def _doses(p):
     return p.doses
 
@@ -295,22 +301,22 @@ def _stage_flags(p):
     return p.flagged.select("person_id", *STAGE_COLS)
 
 
-@register("negative_consent_text", "SELECT * FROM neg_consent")
+@register("negative_consent_text", "SELECT * FROM neg_consent", events=False)
 def _neg(p):
     return text.negative_consent_text(p.src.consents)
 
 
 @register("event_history_text", "SELECT * FROM history")
 def _hist(p):
-    return text.event_history_text(p.src.events_by_product)
+    return text.event_history_text(p.event_summary)
 
 
-@register("non_attendance", "SELECT * FROM dna")
+@register("non_attendance", "SELECT * FROM dna", events=False)
 def _dna(p):
     return text.non_attendance_text(p.src.non_attendance)
 
 
-@register("suspension_text", "SELECT * FROM susp")
+@register("suspension_text", "SELECT * FROM susp", events=False)
 def _susp(p):
     return text.suspension_text(p.src.suspensions)
 

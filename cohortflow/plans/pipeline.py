@@ -1,10 +1,10 @@
 """Composition of the operators into the full compliance report.
 
 ``ReportPipeline`` exposes every intermediate stage as a lazily built, cached
-DataFrame, so a caller (or a registered query) can stop at any stage. Two
-stages that are read by several later stages -- the final antigen rows and the
-final product status -- are materialised in the session's shared checkpoint
-folder when one is configured, which cuts the plan lineage and lets a lost
+DataFrame, so a caller (or a registered query) can stop at any stage. Stages
+that several later ones read - the per-person dose series and event summary,
+the final antigen rows and the final product status - are materialised in the
+session's shared checkpoint folder, which cuts the plan lineage and lets a lost
 executor recover from the checkpoint instead of recomputing the whole chain.
 """
 
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from cohortflow import config as C
 from cohortflow.operators import dosing, eligibility, flags, overrides, report, series, status, text
-from cohortflow.plans.sizing import cut_lineage, row_count_at_most
+from cohortflow.plans.sizing import checked_rules, cut_lineage
+from cohortflow.sources.schedules import normalised_rules
 from cohortflow.sources.tables import Sources
 
 
@@ -25,12 +26,10 @@ class ReportPipeline:
     def __init__(self, sources: Sources, rules: DataFrame, policy: C.Policy = C.DEFAULT_POLICY,
                  products: list[str] | None = None, materialize: bool = True):
         self.src = sources.cleaned()
-        self.rules = rules
+        self.rules = checked_rules(normalised_rules(rules), policy.max_rules)
         self.policy = policy
         self._products = products
         self.materialize = materialize
-        # Checked once: every rule-table broadcast below depends on this bound.
-        self.rules_small = row_count_at_most(rules, policy.max_broadcast_rules)
 
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.materialize else df
@@ -40,8 +39,7 @@ class ReportPipeline:
     def products(self) -> list[str]:
         """Sorted distinct products of the rule table: the report's dynamic columns.
 
-        The only driver-side collect in the library; it reads the rule table,
-        whose size is checked in the constructor.
+        It reads the rule table, whose size was checked in the constructor.
         """
         if self._products is not None:
             return list(self._products)
@@ -50,18 +48,23 @@ class ReportPipeline:
         return [r.product for r in rows]
 
     # -- D1-D7 ---------------------------------------------------------------
+    @cached_property
+    def event_days(self) -> DataFrame:
+        return eligibility.clean_event_days(self.src.events_by_antigen, self.src.events_by_product,
+                                            self.policy)
+
     @cached_property
     def clean_events(self) -> DataFrame:
-        return eligibility.clean_events(self.src.events_by_antigen, self.src.events_by_product)
+        return eligibility.clean_events(self.event_days)
 
     @cached_property
     def event_counts(self) -> DataFrame:
-        return eligibility.event_counts(self.clean_events)
+        return eligibility.event_counts(self.event_days)
 
     @cached_property
     def expanded(self) -> DataFrame:
         return eligibility.expand_rules(self.src.population, self.rules, self.policy.as_of,
-                                        self.policy, self.rules_small)
+                                        self.policy)
 
     @cached_property
     def counted(self) -> DataFrame:
@@ -93,7 +96,7 @@ class ReportPipeline:
 
     @cached_property
     def bands(self) -> DataFrame:
-        return series.cohort_bands(self.rules)
+        return series.cohort_bands(self.rules, self.policy)
 
     @cached_property
     def people_cohort(self) -> DataFrame:
@@ -106,7 +109,11 @@ class ReportPipeline:
 
     @cached_property
     def caveats(self) -> DataFrame:
-        return series.series_summary(self.dose_sequence, self.policy)
+        return self._cut(series.series_summary(self.dose_sequence, self.policy))
+
+    @cached_property
+    def event_summary(self) -> DataFrame:
+        return self._cut(overrides.event_summary(self.src.events_by_product))
 
     @cached_property
     def antigens_final(self) -> DataFrame:
@@ -115,7 +122,7 @@ class ReportPipeline:
     # -- D11-D14 -------------------------------------------------------------
     @cached_property
     def status_base(self) -> DataFrame:
-        return status.product_status(self.antigens_final, self.rules, self.policy, self.rules_small)
+        return status.product_status(self.antigens_final, self.rules, self.policy)
 
     @cached_property
     def doses(self) -> DataFrame:
@@ -123,7 +130,7 @@ class ReportPipeline:
 
     @cached_property
     def person_flags(self) -> DataFrame:
-        return overrides.person_flags(self.antigens_final, self.caveats, self.src.events_by_product,
+        return overrides.person_flags(self.antigens_final, self.caveats, self.event_summary,
                                       self.src.demographics, self.policy)
 
     @cached_property
@@ -182,7 +189,7 @@ class ReportPipeline:
     @cached_property
     def with_texts(self) -> DataFrame:
         s = self.src
-        return text.text_summaries(self.flagged, s.consents, s.events_by_product,
+        return text.text_summaries(self.flagged, s.consents, self.event_summary,
                                    s.non_attendance, s.suspensions)
 
     @cached_property
@@ -218,6 +225,8 @@ def write_outputs(pipeline: ReportPipeline, base_path: str) -> dict[str, str]:
     paths = {}
     for name in OUTPUTS:
         path = f"{base_path.rstrip('/')}/{name}"
+        if name == "report":  # S11: an id for each row, unique but not dense
+            frames[name] = frames[name].withColumn("row_id", F.monotonically_increasing_id())
         frames[name].write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths

@@ -1,61 +1,35 @@
-"""Size checks that gate broadcasting, and lineage cuts for long plans."""
+"""Lineage cuts for long plans, and the bound on the rule table."""
 
 from __future__ import annotations
 
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
 
-# Answers of earlier size checks, keyed by (session, plan hash, bound). The answer
-# only picks a physical join strategy -- results are the same either way -- so
-# re-using it for an identical plan within one session is safe.
-_CHECKED: dict[tuple[int, int, int], bool] = {}
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Scans at most ``max_rows + 1`` rows, so the check is bounded even when the
-    frame is unexpectedly large. Identical plans are checked once per session.
-    """
-    key = (id(df.sparkSession), df._jdf.queryExecution().analyzed().semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if its row count is proven to be within bound.
-
-    Returns the (possibly hinted) frame and whether it will be broadcast; when
-    it is too large the caller's join falls back to a shuffle join and AQE
-    handles skewed partitions.
-    """
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df), True
-    log.warning("frame exceeds %d rows; using a shuffle join instead of broadcast", max_rows)
-    return df, False
+def checked_rules(rules: DataFrame, max_rules: int) -> DataFrame:
+    """``rules``, refused with an error above ``max_rules`` rows (at most one more is read)."""
+    if rules.limit(max_rules + 1).count() > max_rules:
+        raise ValueError(f"the rule table has more than {max_rules} rows (Policy.max_rules)")
+    return rules
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, if the session names one."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable, survives
-    executor loss) when one is configured; otherwise keep the lazy plan."""
+    executor loss). Without a configured folder the plan stays lazy, with a warning: later stages
+    then compute it again."""
     spark = df.sparkSession
-    d = checkpoint_dir(spark)
-    if not d:
+    folder = checkpoint_dir(spark)
+    if not folder:
+        log.warning("spark.checkpoint.dir is not set: a stage that several others read stays lazy")
         return df
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

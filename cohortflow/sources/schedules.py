@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortflow import config as C
 from cohortflow.sources.local import local_frame
 
 RULE_SCHEMA = T.StructType([
@@ -75,7 +76,7 @@ TEST_SCHEDULE = """
 18||PCV|1|PCV-Primary|Primary|M5|M12||W6|Y1|2020-01-01|
 19|18|PCV|1|PCV-12Month|12 Month|M14|M24||Y1|Y2|2020-01-01|
 20||MMR|1|MMR-1|12 Month|M14|Y20|0|Y1|Y20|1989-01-01|2024-12-31
-21|20|MMR|1|MMR-2|Preschool|M42|Y20|1|Y1|Y20|1989-01-01|2024-06-30
+21|20|MMR|1|MMR-2|Preschool|M42|Y20|1|Y1|Y20|1989-01-01|2022-08-31
 22||MMR|1|MMRV-1|12 Month|M14|Y20|1|M12|Y20|2025-01-01|
 23||VAR|1|MMRV-1|12 Month|M14|Y20|1|M12|Y20|2025-01-01|
 24|22|MMR|1|MMRV-2|18 Month|M19|Y20|1|M12|Y20|2025-01-01|
@@ -84,15 +85,25 @@ TEST_SCHEDULE = """
 27||VAR|1|MMRV-1|12 Month|M19|Y20|1|M12|Y20|2024-07-01|2024-12-31
 28|26|MMR|1|MMRV-2|18 Month|M24|Y20|1|M12|Y20|2024-07-01|2024-12-31
 29|27|VAR|1|MMRV-2|18 Month|M24|Y20|1|M12|Y20|2024-07-01|2024-12-31
-30||MMR|1|MMRV-1|12 Month|M30|Y20|1|M12|Y20|2022-09-01|2024-06-30
-31||VAR|1|MMRV-1|12 Month|M30|Y20|1|M12|Y20|2022-09-01|2024-06-30
-32|30|MMR|1|MMRV-2|18 Month|M36|Y20|1|M12|Y20|2022-09-01|2024-06-30
-33|31|VAR|1|MMRV-2|18 Month|M36|Y20|1|M12|Y20|2022-09-01|2024-06-30
-34||HPV|1|HPV|School|Y14|Y20||Y12|Y13|1989-01-01|
+30||MMR|1|MMRV-1|12 Month|M30|M48|1|M12|Y20|2022-09-01|2024-06-30
+31||VAR|1|MMRV-1|12 Month|M30|M48|1|M12|Y20|2022-09-01|2024-06-30
+32|30|MMR|1|MMRV-2|18 Month|M30|M36|1|M12|Y20|2022-09-01|2024-06-30
+33|31|VAR|1|MMRV-2|18 Month|M30|M36|1|M12|Y20|2022-09-01|2024-06-30
+34||HPV|1|HPV|School|Y14|Y25||Y12|Y13|1989-01-01|
 35||ACWY|1|MEACWY|School|Y15|Y20||Y10|Y20|1989-01-01|
 36|34|HPV|1|HPV-B|School|Y15|Y20||Y12|Y20|1989-01-01|
+37||MMR|1|MMR-2|Preschool|M42|Y20||Y1|Y20|2022-09-01|2023-02-28
+38|20|MMR|1|MMR-2|Preschool|M42|Y20|1|Y1|Y20|2023-03-01|2023-12-15
+39||MMR|1|MMR-2|Preschool|M30|Y20||Y1|Y20|2023-12-16|2024-06-30
+40||MMR|2|MMR-1|Preschool|M42|Y20||Y1|Y20|2010-01-01|2012-12-31
+41||TET|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
+42||POLIO|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
+43||HEPB|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|2017-08-01|
 """
 
+# The same schedule with a product that any MMR-containing dose counts for.
+ANY_MMR_SCHEDULE = TEST_SCHEDULE + "44||MMR|2|MMR(V)-1|12 Month|M14|Y20||Y1|Y20|1989-01-01|\n"
+
 
 def _age(token: str) -> tuple[str, int]:
     return _UNITS[token[0]], int(token[1:])
@@ -127,10 +138,23 @@ def schedule_frame(spark: SparkSession, text: str = TEST_SCHEDULE) -> DataFrame:
     return local_frame(spark, parse_schedule(text), RULE_SCHEMA)
 
 
+def normalised_rules(rules: DataFrame) -> DataFrame:
+    """Rules whose antigens are upper case and whose products and stages carry the spelling that the
+    operators compare with, whatever case they came in; other names are only trimmed."""
+    def known(column: str, names) -> F.Column:
+        c, out = F.trim(F.col(column)), F.trim(F.col(column))
+        for name in names:
+            out = F.when(F.upper(c) == name.upper(), F.lit(name)).otherwise(out)
+        return out
+
+    return rules.withColumns({"antigen": F.upper(F.trim("antigen")), "product": known("product", C.KNOWN_PRODUCTS),
+                              "stage": known("stage", C.KNOWN_STAGES)})
+
+
 def read_rules_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a rule CSV in the published layout (dd/MM/yyyy dates, blank = open end).
 
-    Codes are upper-cased and trimmed so that comparisons do not depend on case.
+    Codes are trimmed and normalised (`normalised_rules`), so comparisons do not depend on case.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     cols = []
@@ -142,7 +166,5 @@ def read_rules_csv(spark: SparkSession, path: str) -> DataFrame:
             c = F.to_date(c, "dd/MM/yyyy")
         elif isinstance(typ, T.IntegerType):
             c = c.cast("int")
-        elif dst == "antigen":
-            c = F.upper(c)
         cols.append(c.alias(dst))
-    return raw.select(*cols)
+    return normalised_rules(raw.select(*cols))

@@ -44,19 +44,25 @@ class Sources:
     previous_report: DataFrame
 
     def cleaned(self) -> "Sources":
-        """Drop rows without a person id and normalise event codes to upper case.
+        """Drop rows without a person id and normalise event codes, parts and doses.
 
-        A NULL person id can never be reported and would make every
-        ``NOT IN`` membership test unknown, so it is removed at ingestion.
+        A NULL person id can never be reported and would make every ``NOT IN`` membership test
+        unknown, so it is removed at ingestion. Codes are compared in upper case; the code as it
+        was given stays in ``vaccine_text`` for the report's texts.
         """
+        def key(c: str) -> F.Column:
+            return F.upper(F.trim(F.col(c)))
+
         out = {}
         for f in fields(self):
             df = getattr(self, f.name)
             if "person_id" in df.columns:
                 df = df.where(F.col("person_id").isNotNull())
             out[f.name] = df
-        out["events_by_product"] = out["events_by_product"].withColumn(
-            "vaccine_code", F.upper(F.trim("vaccine_code")))
-        out["events_by_antigen"] = out["events_by_antigen"].withColumn(
-            "antigen_code", F.upper(F.trim("antigen_code")))
+        product = out["events_by_product"]
+        out["events_by_product"] = product.withColumns({
+            "vaccine_text": F.col("vaccine_text" if "vaccine_text" in product.columns else "vaccine_code"),
+            "vaccine_code": key("vaccine_code"), "vaccine_part": key("vaccine_part")})
+        out["events_by_antigen"] = out["events_by_antigen"].withColumns({
+            "antigen_code": key("antigen_code"), "antigen_dose": key("antigen_dose")})
         return replace(self, **out)

@@ -20,14 +20,16 @@ def one(spark, col):
     ("1.", "1.1", "2.1"), ("1.1", "1.", None),
 ])
 def test_combine_cells(spark, a, b, expected):
-    col = report.combine_cells(F.lit(a).cast("string"), F.lit(b).cast("string"))
+    from cohortflow.functions.dates import sql_lit
+    col = F.expr(report.combine_cells_sql(f"CAST({sql_lit(a)} AS STRING)", f"CAST({sql_lit(b)} AS STRING)"))
     assert one(spark, col) == expected
 
 
 @pytest.mark.parametrize("given,state,expected", [
     (None, None, None), (2, None, "2."), (None, 1, ".1"), (3, 0, "3.0")])
 def test_cell(spark, given, state, expected):
-    assert one(spark, report.cell(F.lit(given).cast("int"), F.lit(state).cast("int"))) == expected
+    from cohortflow.functions.dates import sql_lit
+    assert one(spark, F.expr(report.cell_sql(f"CAST({sql_lit(given)} AS INT)", f"CAST({sql_lit(state)} AS INT)"))) == expected
 
 
 def test_outstanding_list(spark):
