@@ -8,9 +8,12 @@
    which among copies is their original. The similarity of a pair is estimated by counting equal
    b-bit values (one XOR and bit count for each long), corrected for chance agreement of 2**-BITS;
    pairs that may reach the threshold are confirmed on the sets of their whole texts.
-4. The links found so far give components. Within each bucket, the members outside its largest
-   component then meet all members of other components, so no link between different components
-   stays unseen; the estimate is part of the join condition, so rejected pairs are never rows.
+4. The links found so far give components. Two members of a bucket have its centre in common, so
+   every candidate pair lies among the members of one centre. Where these belong to several
+   components, the members outside the largest one meet all others in packed blocks of ``BLOCK``
+   texts: within a pair of blocks the estimates are a matrix, only pairs of different components
+   that may reach the threshold are confirmed on their sets, and only confirmed links become rows.
+   So no link between different components stays unseen, and no pair that fails is ever a row.
 5. Components of all links; the smallest id of a component names it.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75**4)**32, about 5e-6, and is
@@ -37,6 +40,7 @@ from cohortflow.llm.components import components
 
 SHINGLE, HASHES, ROWS, BITS, PERCENT = 5, 128, 4, 2, 75
 BANDS = HASHES // ROWS
+BLOCK = 256
 #: Equal b-bit values from which a pair is confirmed on the full sets: five deviations under the
 #: 104 that a pair of similarity 0.75 has on average.
 LEAST_EQUAL = 81
@@ -150,6 +154,68 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     return pairs.join(one, "u").join(two, "v").select("u", "v", "text_u", "text_v").mapInArrow(run, "u binary, v binary")
 
 
+def equal_lanes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Matrix of the number of equal b-bit values of two sets of packed signatures."""
+    x = a[:, None, :] ^ b[None, :, :]
+    return HASHES - np.bitwise_count((x | (x >> C.U64(1))) & C.U64(0x5555555555555555)).sum(axis=2, dtype=np.int64)
+
+
+def links_of_blocks(a: pa.Array, b: pa.Array, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between two blocks of members (key, root, text, signature) of different components."""
+    sides = []
+    for x in (a, b):
+        sig = np.stack([x.field(s).to_numpy(zero_copy_only=False) for s in SIGNATURE], axis=1).astype(np.int64).view(C.U64)
+        sides.append((x.field("key").to_pylist(), x.field("root").to_pylist(), x.field("text"), sig))
+    (ka, ra, ta, sa), (kb, rb, tb, sb) = sides
+    roots = {r: i for i, r in enumerate({*ra, *rb})}
+    apart = np.array([roots[r] for r in ra])[:, None] != np.array([roots[r] for r in rb])[None, :]
+    near = apart & (equal_lanes(sa, sb) >= LEAST_EQUAL)
+    rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    if not len(rows):
+        return []
+    sh_a, first_a = shingle_sets(C.as_bytes(ta.take(pa.array(rows))))
+    sh_b, first_b = shingle_sets(C.as_bytes(tb.take(pa.array(cols))))
+    size_b = np.diff(first_b)
+    order = np.argsort(sh_b, kind="stable")
+    values, owner = sh_b[order], np.repeat(np.arange(len(cols)), size_b)[order]
+    out = []
+    for i, row in enumerate(rows.tolist()):
+        own = sh_a[first_a[i]: first_a[i + 1]]
+        lo, n = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+        n = n - lo
+        hits = owner[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        both = np.bincount(hits, minlength=len(cols))
+        ok = near[row, cols] & (100 * both >= percent * (len(own) + size_b - both))
+        out += [(ka[row], kb[cols[j]]) for j in np.flatnonzero(ok).tolist()]
+    return out
+
+
+def links_between(star: DataFrame, label: DataFrame, sig: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (u, v) between members of one centre that lie in different components."""
+    root = label.select(F.col("u").alias("key"), F.col("v").alias("root"))
+    member = star.select(F.col("u").alias("key"), F.col("v").alias("centre")).join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    counts = member.groupBy("centre", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("centre").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    mixed = mixed.select("centre", F.col("m.root").alias("main"), F.col("m.n").alias("n_main"), (F.col("all") - F.col("m.n")).alias("n_rest"))
+    member = member.join(mixed, "centre").withColumn("is_main", F.expr("root = main"))
+    size = F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))
+    member = member.withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(size / F.lit(BLOCK))))
+    whole = member.select("centre", "is_main", "block", "key", "root").join(sig, "key").join(texts, "key")
+    blocks = C.stored(whole.groupBy("centre", "is_main", "block").agg(F.collect_list(F.struct("key", "root", "text", *SIGNATURE)).alias("rows")), "blocks")
+    rest = blocks.where("NOT is_main").select("centre", F.col("block").alias("own"), F.col("rows").alias("rest"))
+    pairs = rest.join(blocks, "centre").where("is_main OR own <= block").select("rest", "rows")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = batch.column(0), batch.column(1)
+            for i in range(batch.num_rows):
+                found = links_of_blocks(one[i].values, two[i].values, percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["u", "v"])
+
+    return pairs.mapInArrow(run, "u binary, v binary")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of each row of ``docs``."""
     sets = C.stored(set_table(docs, id_col, text_col), "sets")
@@ -171,22 +237,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = member.select("bucket", "key").join(nodes.select("key", "central"), "key")
     centre = place.groupBy("bucket").agg(F.max(F.struct("central", "key")).alias("c")).select("bucket", F.col("c.key").alias("v"))
     star = member.select("bucket", F.col("key").alias("u")).join(centre, "bucket").where("u <> v").select("u", "v").distinct()
+    star = C.stored(star, "stars")
     sig = nodes.select("key", *SIGNATURE)
-    star = star.alias("p").join(sig.alias("a"), F.expr("p.u = a.key")).join(sig.alias("b"), F.expr(f"p.v = b.key AND {may_reach('a', 'b')}")).select("u", "v")
-    star = C.stored(star, "candidates")
-    first_links = C.stored(confirmed(star, texts), "links")
+    near = star.alias("p").join(sig.alias("a"), F.expr("p.u = a.key")).join(sig.alias("b"), F.expr(f"p.v = b.key AND {may_reach('a', 'b')}")).select("u", "v")
+    first_links = C.stored(confirmed(near, texts), "links")
     label = components(first_links)
 
-    # pairs of a bucket's members in different components, one of them outside its largest
-    member = member.join(label.select(F.col("u").alias("key"), F.col("v").alias("root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    counts = member.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("bucket", F.col("m.root").alias("main"))
-    member = C.stored(member.join(mixed, "bucket").select("bucket", "key", "root", "main", *SIGNATURE), "mixed")
-    rest = (member.where("root <> main").alias("a")
-            .join(member.alias("b"), F.expr(f"a.bucket = b.bucket AND a.root <> b.root AND (b.root = b.main OR a.key < b.key) AND {may_reach('a', 'b')}"))
-            .selectExpr("least(a.key, b.key) AS u", "greatest(a.key, b.key) AS v").distinct())
-    seen = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = C.stored(confirmed(rest.join(seen, ["u", "v"], "left_anti"), texts), "links")
+    links = C.stored(links_between(star, label, sig, texts), "links")
     label = components(label.union(links))
 
     root = sets.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
