@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,14 +23,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, survives
-    executor loss). Without a configured folder the plan stays lazy, with a warning: later stages
-    then compute it again."""
+    """Write ``df`` as Parquet to a new place in the shared checkpoint folder and read it back
+    (survives executor loss; computed once, where ``checkpoint()`` computes its last stage twice).
+    Without a configured folder the plan stays lazy, with a warning: later stages then compute it
+    again."""
     spark = df.sparkSession
     folder = checkpoint_dir(spark)
     if not folder:
         log.warning("spark.checkpoint.dir is not set: a stage that several others read stays lazy")
         return df
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -101,7 +101,8 @@ def test_count_in_window_with_hot_person(spark):
     exp_df = spark.createDataFrame(expanded, "person_id long, dob date, rule_ref int, prev_ref int, "
                                    "antigen string, product string, stage string, "
                                    "doses_required int, va_date date, window_start date, window_end date")
-    ev_df = spark.createDataFrame(events, "person_id long, antigen_norm string, event_date date")
+    ev_df = (spark.createDataFrame(events, "person_id long, antigen_norm string, event_date date")
+             .selectExpr("*", "CAST(1 AS BIGINT) AS n_events"))
     got = {(r.person_id, r.rule_ref): r.valid_doses_given
            for r in eligibility.count_in_window(exp_df, eligibility.event_counts(ev_df)).collect()}
     want = {}
