@@ -120,3 +120,22 @@ def test_read_rules_csv(spark, tmp_path):
     assert rows[0].valid_to == dt.date(2019, 12, 31) and rows[1].valid_to is None
     assert rows[1].prev_ref == 1 and rows[1].split_by_stage == 1 and rows[0].split_by_stage is None
     assert rows[0].antigen == rows[1].antigen == "ABC"
+
+
+def test_schedule_survives_the_csv_layout(spark, tmp_path):
+    """The whole test schedule (products of up to six antigens), written in the CSV layout with
+    Windows line ends and codes in other case, reads back as the same rules."""
+    import csv
+
+    from cohortflow.sources.schedules import CSV_COLUMNS, parse_schedule
+    place = {dst: i for i, dst in enumerate(RULE_COLUMNS)}
+    with open(tmp_path / "rules.csv", "w", newline="", encoding="utf-8") as f:
+        out = csv.writer(f, lineterminator="\r\n")
+        out.writerow(["Immunisation", *CSV_COLUMNS])
+        for rule in parse_schedule():
+            row = {dst: rule[i] for dst, i in place.items()}
+            row |= {"antigen": f" {row['antigen'].lower()} ", "stage": row["stage"].upper(), "due_from_unit": row["due_from_unit"]}
+            out.writerow(["x, y", *("" if row[d] is None else row[d].strftime("%d/%m/%Y") if isinstance(row[d], dt.date) else row[d] for d in CSV_COLUMNS.values())])
+    got = sorted((tuple(r) for r in read_rules_csv(spark, str(tmp_path / "rules.csv")).select(*RULE_COLUMNS).collect()), key=repr)
+    assert got == sorted(parse_schedule(), key=repr)
+    assert {"TET", "POLIO", "HEPB"} <= {r[place["antigen"]] for r in got}
