@@ -48,9 +48,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first collection frees lets the second one free more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -4,18 +4,22 @@ A window is ``WINDOW`` consecutive words. A word goes if it lies in a window tha
 document with a smaller id. The suffixes of all texts (by word) are split into groups by a prefix of
 variable length, and each group's truncated suffix tree tells which windows documents share:
 
+0. A text that a smaller id has word for word loses all of its windows; only the smallest id of equal
+   texts (equal 128-bit hashes) goes on.
 1. Each window has an anchor, the ``PREFIX``-word run in it with the least hash; equal windows have
    equal anchors, and about a fifth of all places are anchors. A first exchange of packed anchor
    hashes finds those that occur in two documents. Suffixes whose anchor occurs in one document
    only share no window with another one and go no further.
 2. The surviving suffixes that share an anchor are neighbours and travel as one segment of text,
-   under the anchor as prefix. A prefix with more than ``GROUP`` segments is lengthened to the whole
-   window, so a passage that is in a third of all documents becomes groups of equal rows, which are
-   summed up before they are shuffled.
-3. Equal segments are merged, keeping the smallest id. Each task reads its prefixes in order and
-   sorts the suffixes of whole groups by prefix doubling up to depth ``WINDOW``: places of equal
-   rank are the leaves under one internal node of that depth, a repeat. The node's smallest id
-   decides for all of its leaves.
+   under the anchor as prefix. Prefixes with at most ``GROUP`` segments are dealt to tasks, which
+   read them in order and sort the suffixes of whole groups by prefix doubling up to depth
+   ``WINDOW``: places of equal rank are the leaves under one internal node of that depth, a repeat,
+   and the node's smallest id decides for all of its leaves.
+3. A larger prefix - a passage that is in a third of all documents, say - has its equal segments
+   merged, summed up before they are shuffled, and is then lengthened to the whole window: its groups
+   are the nodes themselves, and the smallest id of each is an aggregate. The set of large prefixes is broadcast: above
+   ``LARGE`` * ``GROUP`` segments ``GROUP`` grows with their number, so the set has at most ``LARGE``
+   members.
 4. The windows to remove meet their documents in a join on id and text hash.
 
 Edge cases: null is the empty text. Documents without id take no part: they keep all words and take
@@ -31,13 +35,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm import common as C
 
-WINDOW, PREFIX, GROUP, CHUNK_SEGMENTS = 13, 5, 2000, 50_000
+WINDOW, PREFIX, GROUP, LARGE, CHUNK_SEGMENTS = 13, 5, 2000, 1 << 20, 50_000
 FIELDS = {"n_words": "long", "n_removed": "long", "kept_text": "string"}
 
 
@@ -125,15 +128,17 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
     return blocks.groupBy("part").applyInArrow(run, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
 
 
-def segments(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, start, n, prefix, content): neighbouring windows under a shared anchor."""
-    names = ["doc_id", "text_hash", "start", "n", "prefix", "content"]
+def segments(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, starts, prefix, content): neighbouring windows under a shared anchor, once
+    for each document however often they occur in it; of equal texts only the ``first`` ids."""
+    names = ["doc_id", "text_hash", "starts", "prefix", "content"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, 2):
                 w = C.Words(C.as_bytes(part.column(2)))
-                win, at, g = anchors(w.hashes(), w.first)
+                h = w.hashes()
+                win, at, g = anchors(h, w.first)
                 lists = [b"".join(x or ()) for x in part.column(3).to_pylist()]
                 have = np.frombuffer(b"".join(lists), C.U64)
                 owner = np.repeat(np.arange(len(lists)), [len(x) // 8 for x in lists])
@@ -145,6 +150,14 @@ def segments(docs: DataFrame) -> DataFrame:
                 begin = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (win[1:] != win[:-1] + 1)]))
                 n = np.diff(np.append(begin, len(win)))
                 win, at = win[begin], at[begin]
+                # the first and the last window of a segment overlap, so they tell its whole content
+                whole = C.grams(h, WINDOW)
+                same = tag(w.doc[win], C.mix(whole[win] * C.U64(3) + whole[win + n - 1]))
+                _, first, group = np.unique(same, return_index=True, return_inverse=True)
+                order = np.argsort(group, kind="stable")
+                cuts = np.concatenate([[0], np.cumsum(np.bincount(group))])
+                starts = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array((win - w.first[w.doc[win]])[order], pa.int32()))
+                win, at, n = win[first], at[first], n[first]
                 doc = w.doc[win]
                 a, b = w.start[win], w.end[win + n + WINDOW - 2]
                 # one space between words everywhere: the bytes can be taken as they are
@@ -153,36 +166,53 @@ def segments(docs: DataFrame) -> DataFrame:
                 raw, content = w.raw, []
                 for x, y, p in zip(a.tolist(), b.tolist(), plain.tolist()):
                     content.append(raw[x:y] if p else b" ".join(raw[x:y].split()))
-                cols = [part.column(0).take(pa.array(doc)), part.column(1).take(pa.array(doc)), pa.array(win - w.first[doc], pa.int64()), pa.array(n, pa.int32()), pa.array(g[at].view(np.int64)), pa.array(content, pa.binary())]
+                cols = [part.column(0).take(pa.array(doc)), part.column(1).take(pa.array(doc)), starts, pa.array(g[at].view(np.int64)), pa.array(content, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    both = docs.join(shared_anchors(docs), "doc_id").select("doc_id", "text_hash", "text", "hashes")
-    return both.mapInArrow(run, "doc_id long, text_hash long, start long, n int, prefix long, content binary")
+    shared = shared_anchors(docs).join(first, "doc_id")
+    both = docs.join(shared, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "hashes")
+    return both.mapInArrow(run, "doc_id long, text_hash long, starts array<int>, prefix long, content binary")
 
 
-def lengthened(found: DataFrame, group: int = GROUP) -> DataFrame:
-    """``found`` with the segments of too large prefixes split into single windows, each under its
-    whole window as prefix."""
-    large = found.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > group).select("prefix", F.lit(True).alias("large"))
+def shifted(starts: pa.Array, row: np.ndarray, by: np.ndarray) -> pa.ListArray:
+    """For each pair of a row and a number the row's starts, moved by the number."""
+    size = starts.value_lengths().to_numpy()
+    first, n = np.cumsum(size) - size, size[row]
+    place = np.repeat(first[row] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    values = starts.flatten().to_numpy()[place] + np.repeat(by, n)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values, pa.int32()))
+
+
+def single_windows(distinct: DataFrame) -> DataFrame:
+    """(doc_id, prefix, segment, place, window, content_hash): distinct segments split into their
+    windows; the last two hashes together name a window, ``place`` is its number in the segment."""
+    names = ["doc_id", "prefix", "segment", "place", "window", "content"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names[:-1]
-            flag = batch.column(6).fill_null(False)
-            yield pa.RecordBatch.from_arrays(batch.filter(pc.invert(flag)).columns[:-1], names=names)
-            for part in C.slices(batch.filter(flag), 5, C.SLICE_BYTES // 4):
-                if not part.num_rows:
-                    continue
-                w = C.Words(part.column(5).to_pylist())
+            for part in C.slices(batch, 3, C.SLICE_BYTES // 4):
+                w = C.Words(part.column(3).to_pylist())
                 g, at = C.grams(w.hashes(), WINDOW), np.flatnonzero(C.inside(w.first, WINDOW))
                 row = w.doc[at]
                 content = [w.raw[x:y] for x, y in zip(w.start[at].tolist(), w.end[at + WINDOW - 1].tolist())]
-                take = lambda i: part.column(i).take(pa.array(row))
-                start = part.column(2).to_numpy()[row] + at - w.first[row]
-                yield pa.RecordBatch.from_arrays([take(0), take(1), pa.array(start, pa.int64()), pa.array(np.ones(len(at)), pa.int32()), pa.array(g[at].view(np.int64)), pa.array(content, pa.binary())], names=names)
+                same = [part.column(i).take(pa.array(row)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(at - w.first[row], pa.int32()), pa.array(g[at].view(np.int64)), pa.array(content, pa.binary())], names=names)
+
+    rows = distinct.select("doc_id", "prefix", F.xxhash64("content").alias("segment"), "content")
+    split = rows.mapInArrow(run, "doc_id long, prefix long, segment long, place int, window long, content binary")
+    return split.select(*names[:5], F.xxhash64("content").alias("content_hash"))
+
 
-    flagged = found.join(large, "prefix", "left").select(*found.columns, "large")
-    return flagged.mapInArrow(run, found.schema)
+def removed_by_nodes(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, starts): as `removed_by_trees`, for segments under large prefixes."""
+    single = single_windows(found.groupBy("prefix", "content").agg(F.min("doc_id").alias("doc_id")))
+    least = single.groupBy("window", "content_hash").agg(F.min("doc_id").alias("least"))
+    nodes = single.select("prefix", "segment", "place", "window", "content_hash").join(least, ["window", "content_hash"])
+    nodes = nodes.groupBy("prefix", "segment").agg(F.collect_list(F.struct("place", "least")).alias("nodes"))  # one segment's windows
+    hit = (found.select("doc_id", "text_hash", "starts", "prefix", F.xxhash64("content").alias("segment"))
+           .join(nodes, ["prefix", "segment"]).where(F.exists("nodes", lambda x: x["least"] < F.col("doc_id"))))
+    starts = F.expr("flatten(transform(filter(nodes, x -> x.least < doc_id), x -> transform(starts, s -> s + x.place)))")
+    return hit.select("doc_id", "text_hash", starts.alias("starts"))
 
 
 def node_minima(contents: list[bytes], least: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -203,14 +233,21 @@ def node_minima(contents: list[bytes], least: np.ndarray, window: int = WINDOW)
     return out[rank], np.bincount(w.doc[at], minlength=len(contents))
 
 
-def smallest_ids(found: DataFrame) -> DataFrame:
-    """(prefix, content_hash, least): for each distinct segment the smallest id of each window."""
-    names = ["prefix", "content_hash", "least"]
+def removed_by_trees(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, starts): the windows of each segment under a node with a smaller id."""
+    names = ["doc_id", "text_hash", "starts"]
 
     def tree(rows: pa.Table) -> pa.RecordBatch:
-        least, n = node_minima(rows["content"].to_pylist(), rows["doc_id"].to_numpy())
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(least, pa.int64()))
-        return pa.RecordBatch.from_arrays([rows["prefix"].combine_chunks(), rows["content_hash"].combine_chunks(), lists], names=names)
+        doc = rows["doc_id"].to_numpy()
+        least, n = node_minima(rows["content"].to_pylist(), doc)
+        row = np.repeat(np.arange(len(doc)), n)
+        gone = np.flatnonzero(least < doc[row])
+        offset = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))[gone]
+        row = row[gone]
+        lists = shifted(rows["starts"].combine_chunks(), row, offset)
+        some, first = np.unique(row, return_index=True)  # the lists of a segment as one
+        cuts = lists.offsets.to_numpy()[np.append(first, len(row))]
+        return pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(rows["text_hash"].to_numpy()[some]), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), lists.values)], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -227,24 +264,27 @@ def smallest_ids(found: DataFrame) -> DataFrame:
         if rows:
             yield tree(pa.Table.from_batches(held))
 
-    distinct = found.groupBy("prefix", "content").agg(F.min("doc_id").alias("doc_id"))
-    hashed = distinct.select("prefix", F.xxhash64("content").alias("content_hash"), "doc_id", "content")
-    grouped = hashed.repartition(C.partitions_for(found), "prefix").sortWithinPartitions("prefix")
-    return grouped.mapInArrow(run, "prefix long, content_hash long, least array<long>")
+    grouped = found.select("doc_id", "text_hash", "starts", "prefix", "content").repartition(C.partitions_for(found), "prefix").sortWithinPartitions("prefix")
+    return grouped.mapInArrow(run, "doc_id long, text_hash long, starts array<int>")
 
 
 def removed_windows(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """(doc_id, text_hash, starts): the windows that a document with a smaller id has too."""
+    """(doc_id, text_hash, copied, starts): texts that a smaller id has too (``copied``), and else
+    the windows that a document with a smaller id has too."""
     spark = docs.sparkSession
-    found = C.stored(segments(docs.where("doc_id IS NOT NULL AND text IS NOT NULL")), "segments")
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    named = docs.select("doc_id", "text_hash", F.xxhash64(F.lit("second"), "text").alias("second_hash")).distinct()
+    first = C.stored(named.groupBy("text_hash", "second_hash").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text_hash"), "first")
+    copies = named.select("doc_id", "text_hash").join(first, ["doc_id", "text_hash"], "left_anti")
+    found = C.stored(segments(docs, first), "segments")
     C.free_shuffles(spark)
-    found = C.stored(lengthened(found, group), "suffixes")
-    least = smallest_ids(found)
-    place = found.select("doc_id", "text_hash", "start", "prefix", F.xxhash64("content").alias("content_hash"))
-    hit = place.join(least, ["prefix", "content_hash"]).where(F.exists("least", lambda x: x < F.col("doc_id")))
-    starts = F.expr("filter(transform(least, (x, i) -> IF(x < doc_id, CAST(start + i AS INT), NULL)), x -> x IS NOT NULL)")
-    out = hit.select("doc_id", "text_hash", starts.alias("starts")).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    out = C.stored(out, "removed")
+    group = max(group, found.count() // LARGE)
+    large = found.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > group)
+    flagged = found.join(F.broadcast(large.select("prefix", F.lit(True).alias("large"))), "prefix", "left")
+    gone = removed_by_trees(flagged.where("large IS NULL")).union(removed_by_nodes(flagged.where("large")))
+    gone = gone.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    whole = copies.select("doc_id", "text_hash", F.lit(True).alias("copied"), F.expr("CAST(array() AS array<int>)").alias("starts"))
+    out = C.stored(gone.select("doc_id", "text_hash", F.lit(False).alias("copied"), "starts").union(whole), "removed")
     C.free_shuffles(spark)
     return out
 
@@ -257,7 +297,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"), row.alias("row"))
     removed = removed_windows(rows.select("doc_id", "text_hash", "text"), group)
-    joined = rows.join(removed, ["doc_id", "text_hash"], "left").select("row", "text", "starts")
+    joined = rows.join(removed, ["doc_id", "text_hash"], "left").select("row", "text", "starts", "copied")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,7 +309,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 delta = np.zeros(len(w.start) + 1, np.int64)
                 np.add.at(delta, at, 1)
                 np.add.at(delta, at + WINDOW, -1)
-                keep = np.cumsum(delta[:-1]) == 0
+                copied = part.column(3).fill_null(False).to_numpy(zero_copy_only=False) & (np.diff(w.first) >= WINDOW)
+                keep = (np.cumsum(delta[:-1]) == 0) & ~copied[w.doc]
                 left = np.concatenate([[0], np.cumsum(keep)])
                 texts = []
                 for d, (a, b) in enumerate(zip(w.first.tolist(), w.first[1:].tolist())):
