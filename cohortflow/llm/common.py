@@ -6,6 +6,8 @@ hashed with numpy over a whole slice of documents at once, so Python never loops
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -30,10 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that the session names in ``spark.checkpoint.dir``."""
+    """A new path in the shared folder that the session names in ``spark.checkpoint.dir``. Only a
+    session without executors of its own (master ``local``) may do without that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="cohortflow-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -30,7 +30,6 @@ from cohortflow.llm import common as C
 # Base patterns. `@`-anchored matching (emails) and possessive quantifiers give the
 # same matches as the plain patterns, in linear time.
 KINDS = ("email", "ip", "card", "phone")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_TAIL = re.compile(r"[A-Za-z0-9._%+-]")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")

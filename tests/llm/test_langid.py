@@ -5,7 +5,7 @@ import zlib
 import public_tokenizers
 
 from cohortflow.llm import langid
-from tests.llm.helpers import EDGE_TEXTS, documents, saved
+from tests.llm.helpers import EDGE_TEXTS, saved
 
 PIECES = langid.vocabulary_pieces(public_tokenizers.path(langid.VOCABULARY))
 SYLLABLES = {"aa": "tion ing the er and wh".split(), "bb": "sch ung keit ein ver zu".split(), "cc": "eau oux ent que le ou".split()}
