@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortflow.llm import common as C
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Units kept in a task; bytes and squared lengths of the words in one query; longest word in it.
-CACHE_UNITS, BATCH_BYTES, BATCH_SQUARES, LONG_WORD, MEMORY = 2_000_000, 1 << 20, 6 << 20, 1024, "300MB"
+#: Units kept in a task; bytes and squared lengths of the words in one query; ids in one; longest word.
+CACHE_UNITS, BATCH_BYTES, BATCH_SQUARES, BATCH_IDS, LONG_WORD, MEMORY = 2_000_000, 1 << 20, 6 << 20, 1 << 20, 1024, "300MB"
 #: White space other than the six ASCII characters, where a text can't be cut before the pattern runs.
 OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -161,16 +161,19 @@ class Codec:
         if not len(ids):
             return [b""] * len(texts)
         doc = np.repeat(np.arange(len(texts)), n)
-        got = self._ask("ids", pa.table({"doc": pa.array(doc, pa.int32()), "place": pa.array(np.arange(len(ids))), "id": pa.array(ids, pa.int64())}), DECODE)
-        parts = got["parts"].combine_chunks()
-        flat = parts.flatten()
-        if len(flat) != len(ids):
-            raise ValueError("an id is not in the vocabulary")
-        small = pa.types.is_binary(flat.type)
-        at = np.frombuffer(flat.buffers()[1], np.int32 if small else np.int64)[flat.offset: flat.offset + len(flat) + 1]
-        data, cuts = flat.buffers()[2], at[np.concatenate([[0], np.cumsum(n)])].tolist()
-        data = data.to_pybytes() if data else b""
-        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        data, sizes = [], []
+        for a in range(0, len(ids), BATCH_IDS):  # a text may go on in the next batch: bytes just follow
+            part = ids[a: a + BATCH_IDS]
+            got = self._ask("ids", pa.table({"doc": pa.array(doc[a: a + BATCH_IDS], pa.int32()), "place": pa.array(np.arange(len(part))), "id": pa.array(part, pa.int64())}), DECODE)
+            flat = got["parts"].combine_chunks().flatten().cast(pa.large_binary())
+            if len(flat) != len(part):
+                raise ValueError("an id is not in the vocabulary")
+            at = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset: flat.offset + len(flat) + 1]
+            data.append(flat.buffers()[2].to_pybytes()[at[0]: at[-1]])
+            sizes.append(np.diff(at))
+        joined = b"".join(data)
+        cuts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])[np.concatenate([[0], np.cumsum(n)])].tolist()
+        return [joined[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}

@@ -55,6 +55,12 @@ def test_cache_that_starts_anew(codec, reference, monkeypatch):
         assert codec.encode([t.encode() for t in texts]) == [reference(t) for t in texts]
 
 
+def test_texts_that_span_batches(codec, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH_IDS", 7)
+    texts = ["", "é ß some longer text that needs several batches of ids", "x", "", "日本 again and again"]
+    assert codec.decode([reference(t) for t in texts]) == [t.encode() for t in texts]
+
+
 def test_unknown_id(codec):
     with pytest.raises(ValueError):
         codec.decode([(50256).to_bytes(4, "little")])
