@@ -36,6 +36,9 @@ from pyspark.sql import functions as F
 from cohortflow.llm import common as C
 
 MIN_PAGES, MIN_SHARE = 5, 0.05
+#: A host with more pages than this, and than one in LARGE_HOSTS of all pages, is dealt to several
+#: tasks; so there are at most LARGE_HOSTS such hosts, which bounds what is broadcast.
+LARGE_HOST, LARGE_HOSTS = 64, 10_000
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,9 +53,11 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
 # Words in class or id, and roles, that mark what is no article text.
 NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies
- consent gdpr notice notices sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment
- comments disqus share sharing social related recommended newsletter subscribe subscription popup modal overlay widget
+ consent gdpr notice notices sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment
+ comments disqus replies respond adslot adbox adunit adsense share sharing social related recommended newsletter subscribe subscription popup modal overlay widget
  toolbar pagination pager login signup search skip paywall alert""".split())
+#: These mark the header of a page, but within an article the place of its heading.
+HEADER_WORDS = frozenset("header masthead topbar".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar alertdialog".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+)(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<[a-zA-Z!?/][^>]*(?:>|\Z)|[^<]+|<""", re.S)
@@ -78,6 +83,12 @@ def is_noise(tag: str, attributes: str) -> bool:
     return False
 
 
+@functools.lru_cache(maxsize=4096)
+def is_header(tag: str, attributes: str) -> bool:
+    values = [v.strip("\"'").lower() for n, v in ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id")] if attributes else []
+    return tag == "header" or tag not in ("html", "body") and any(not HEADER_WORDS.isdisjoint(WORD.findall(v)) for v in values)
+
+
 @functools.lru_cache(maxsize=4096)
 def identity(tag: str, attributes: str) -> str:
     """What of a start tag goes into the hash: not the targets, which differ from page to page."""
@@ -125,6 +136,9 @@ class Page:
                         break
                     if tag not in BLOCKS and self.tag[stack[k]] in BLOCKS:
                         break  # an inline end tag does not close the block around it
+                else:
+                    if tag == "p":  # a stray one is an empty paragraph
+                        self.items.append((stack[-1], None))
             elif m[0][0] != "<" or m[0] == "<":
                 self.items.append((stack[-1], m[0]))
 
@@ -160,7 +174,7 @@ class Page:
             p = self.parent[i]
             within[i] = within[p] or self.tag[i] in ("article", "main")
             # the header of a page goes, that of an article holds its heading
-            noise[i] = noise[p] or is_noise(self.tag[i], self.attributes[i]) or self.tag[i] == "header" and not within[p]
+            noise[i] = noise[p] or is_noise(self.tag[i], self.attributes[i]) or not within[p] and is_header(self.tag[i], self.attributes[i])
             if template and not noise[i] and subtree[i] in template:
                 noise[i] = self.tag[i] not in ("html", "body", "article", "main") and not (within[i] and (self.tag[i] in TEXT_BLOCKS or self.tag[i] not in BLOCKS))
         only = any(within[i] and not noise[i] for i in range(n))
@@ -205,9 +219,13 @@ def template_counts(pages: DataFrame) -> DataFrame:
     return named.mapInArrow(run, "host string, hash binary, n long").groupBy("host", "hash").agg(F.sum("n").alias("n"))
 
 
+def host_sizes(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col("host") != "").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+
+
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, hashes): the template subtrees of each host; see the module for the bound."""
-    totals = pages.where(F.col("host") != "").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    totals = host_sizes(pages)
     counts = template_counts(pages).where(F.col("n") >= min_pages)
     often = counts.join(totals, "host").where(F.col("n") >= min_share * F.col("pages"))
     return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
@@ -219,7 +237,16 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", out_
     rest = [c for c in pages.columns if c not in (html_col, out_col)]
     inner = F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row")
     rows = pages.select(inner, F.col(html_col).alias("html"), F.coalesce(host(url_col), F.lit("")).alias("host"))
-    joined = rows.join(templates(rows, min_pages, min_share), "host", "left").select("row", "html", "hashes")
+    # copies of a page differ in its id, so all plain columns decide the task
+    plain = [F.col("row")[c] for c in rest if not pages.schema[c].dataType.typeName().startswith(("map", "struct", "array", "variant"))]
+    # the pages of a large host are dealt to several tasks, and its templates to each of these
+    share = max(LARGE_HOST, rows.count() // LARGE_HOSTS)
+    large = F.broadcast(host_sizes(rows).where(F.col("pages") > share).select("host", F.ceil(F.col("pages") / share).alias("tasks")))
+    tasks = F.coalesce("tasks", F.lit(1)).cast("long")
+    rows = rows.join(large, "host", "left").withColumn("task", F.pmod(F.xxhash64("html", *plain), tasks))
+    found = templates(rows, min_pages, min_share).join(large, "host", "left")
+    found = found.select("host", "hashes", F.explode(F.sequence(F.lit(0).cast("long"), tasks - 1)).alias("task"))
+    joined = rows.join(found, ["host", "task"], "left").select("row", "html", "hashes")
 
     def main_text(batch: pa.RecordBatch) -> pa.RecordBatch:
         cache: dict = {}

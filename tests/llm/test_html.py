@@ -13,6 +13,8 @@ PAGE = ('<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><bo
     ("<ul><li>a<li>b</ul><table><tr><td>x<td>y<tr><td>z</table>", ["a", "b", "x", "y", "z"]),
     ('<article><p>k</p><section id="comments"><p>bad</section><div class="share-bar">s</div><div role="navigation">n</div><p hidden>h</article>', ["k"]),
     ('<article><header><h1>Head</h1></header><p>t</p><footer>f</footer></article>', ["Head", "t"]),
+    ('<div id="page-header">Site</div><article><div class="entry-header"><h1>Head</h1></div><p>t</p></article>', ["Head", "t"]),
+    ('<div class="site header">Site</div><p>t</p><div class="ad-slot">x</div><div class="add">y</div>', ["t", "y"]),
     ("<p>one<div>two</p>three</div>", ["one", "two", "three"]), ("</p></div>text</b>", ["text"]),
 ])
 def test_blocks(source, blocks):
