@@ -4,8 +4,9 @@ Base spans come from the given patterns on the text as it is. For disguised data
 transducers rewrites the text - homoglyphs and other digits to ASCII, invisible characters away,
 spelled digits to digits, ``(at)``/``[dot]`` and the like to ``@``/``.`` - and keeps for each
 output character the source span that it came from. The patterns run on the output; a match that
-took in at least one rewritten piece is mapped back to the source and added, unless it overlaps a
-base span of its kind. A text without any trigger is not rewritten.
+took in at least one rewritten piece is mapped back to the source and added, unless it equals or lies
+in a base span of its kind; so a base span may be the stump of a longer one. A text without any
+trigger is not rewritten.
 
 Bare words (``name at host dot com``) count as disguise only before a common top-level domain, and
 spelled digits only in runs of seven or more (four numbers for an address), so prose stays prose.
@@ -18,6 +19,7 @@ null ids and further columns change nothing.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -189,10 +191,20 @@ def disguised(text: str) -> dict[str, list[tuple[int, int]]]:
     return {kind: [(t.start[a], t.end[b - 1]) for a, b in spans if any(t.new[a:b])] for kind, spans in identifiers(t.text).items()}
 
 
+def outside(spans: list[tuple[int, int]], base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that lie in none of the base spans (ascending, without overlaps)."""
+    out = []
+    for a, b in spans:
+        i = bisect.bisect_right(base, a, key=lambda s: s[0]) - 1
+        if i < 0 or base[i][1] < b:
+            out.append((a, b))
+    return out
+
+
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans and all spans of a text, by kind and then by start."""
     base, more = identifiers(text), disguised(text)
-    every = {k: sorted(base[k] + [s for s in more.get(k, []) if not any(s[0] < b and a < s[1] for a, b in base[k])]) for k in KINDS}
+    every = {k: sorted(base[k] + outside(more.get(k, []), base[k])) for k in KINDS}
     return ([(k, a, b) for k in KINDS for a, b in base[k]], [(k, a, b) for k in KINDS for a, b in every[k]])
 
 

@@ -48,6 +48,20 @@ def test_disguises(text, kind, found):
     assert pii.masked(text) == text.replace(found, f"<{kind.upper()}>")
 
 
+@pytest.mark.parametrize("text,kind,stump", [
+    ("j\u043ehn@example.com", "email", "hn@example.com"),
+    ("jo\u200bhn@example.com", "email", "hn@example.com"),
+    ("john@mail.ex\u0430mple.com", "email", "john@mail.ex"),
+    ("+1 555 123 45\uff167", "phone", "+1 555 123 45"),
+])
+def test_disguise_around_a_base_stump(text, kind, stump):
+    line = f"see {text}, or"
+    base, every = pii.find(line)
+    assert [(k, line[a:b]) for k, a, b in base] == [(kind, stump)]
+    assert sorted((k, line[a:b]) for k, a, b in every) == sorted([(kind, stump), (kind, text)])
+    assert pii.masked(line) == f"see <{kind.upper()}>, or"
+
+
 @pytest.mark.parametrize("text", ["the man at the dot matrix; two three four", "one two three four five six", "meet at noon (dot).", "un deux trois", "look at example.html", "Привет мир"])
 def test_prose_stays(text):
     assert pii.find(text) == ([], []) and pii.masked(text) == text
