@@ -5,10 +5,12 @@ transducers rewrites the text - homoglyphs and other digits to ASCII, invisible
 spelled digits to digits, ``(at)``/``[dot]`` and the like to ``@``/``.`` - and keeps for each
 output character the source span that it came from. The patterns run on the output; a match that
 took in at least one rewritten piece is mapped back to the source and added, unless it equals or lies
-in a base span of its kind; so a base span may be the stump of a longer one. A text without any
-trigger is not rewritten.
+in a base span of its kind; so a base span may be the stump of a longer one. Every step decides by
+the text around its match alone, so what is found does not depend on the rest of the document.
 
-Bare words (``name at host dot com``) count as disguise only before a common top-level domain, and
+A bare at-word (``name at host dot com``) counts as disguise only before a common top-level domain, a
+bare dot-word only in the host behind an @ (``name@host dot com``; behind a plain host that is
+complete already, as ``name@host.com``, only before a common top-level domain), and
 spelled digits only in runs of seven or more (four numbers for an address), so prose stays prose.
 
 Kinds, in order: email, ip, card, phone. Places are code points of the source, end exclusive.
@@ -23,6 +25,7 @@ import bisect
 import hashlib
 import re
 import unicodedata
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,17 +54,20 @@ DIGIT_WORDS = {w: str(d) for words in (
 AT_WORDS, DOT_WORDS, PLUS_WORDS = ("at", "arroba", "arobase"), ("dot", "punkt", "punto", "point"), ("plus", "más", "mas")
 TLDS = "com net org edu gov info io co de fr es uk eu us ca ch at it nl".split()
 
-_NUM = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_AT, _DOT, _PLUS = "|".join(AT_WORDS), "|".join(DOT_WORDS), "|".join(PLUS_WORDS)
+def _any_case(words: Iterable[str]) -> str:
+    """Pattern of the words, longest first, in either case; unlike re.I not also in Turkish i."""
+    return "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in sorted(words, key=len, reverse=True))
+
+
+_NUM, _AT, _DOT, _PLUS, _TLD = map(_any_case, (DIGIT_WORDS, AT_WORDS, DOT_WORDS, PLUS_WORDS, TLDS))
 _OPEN, _CLOSE = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
-BRACKETED = re.compile(rf"{_OPEN}(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.)){_CLOSE}", re.I)
-BARE = re.compile(rf"(?<=[A-Za-z0-9])\s(?P<at>{_AT})\s(?=[A-Za-z0-9-]+(?:(?:\s(?:{_DOT})\s|\.)[A-Za-z0-9-]+)*(?:\s(?:{_DOT})\s|\.)(?:{'|'.join(TLDS)})\b)", re.I)
-BARE_DOT = re.compile(rf"\s(?:{_DOT})\s(?=[A-Za-z0-9-]+(?:(?:\s(?:{_DOT})\s|\.)[A-Za-z0-9-]+)*)", re.I)
-SPELLED = re.compile(rf"(?<!\w)(?:(?:{_PLUS})[\s-])?(?:{_NUM})(?:[\s,-]{{1,2}}(?:(?:{_DOT})[\s-])?(?:{_NUM}))+(?!\w)", re.I)
-SPELLED_PART = re.compile(rf"(?P<num>{_NUM})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})", re.I)
-BRACKET_TRIGGER = re.compile(rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]", re.I)
-AT_TRIGGER = re.compile(rf"\s(?:{_AT})\s\S{{1,64}}?(?:\s(?:{_DOT})\s|\.)", re.I)
-SPELLED_TRIGGER = re.compile(rf"(?<!\w)(?:{_NUM})(?:[\s,-]{{1,2}}(?:(?:{_DOT})[\s-])?(?:{_NUM})){{3}}(?!\w)", re.I)
+BRACKETED = re.compile(rf"{_OPEN}(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.)){_CLOSE}")
+BARE = re.compile(rf"(?<=[A-Za-z0-9])\s(?P<at>{_AT})\s(?=[A-Za-z0-9-]+(?:(?:\s(?:{_DOT})\s|\.)[A-Za-z0-9-]+)*(?:\s(?:{_DOT})\s|\.)(?:{_TLD})\b)")
+BARE_DOT = re.compile(rf"\s(?:{_DOT})\s(?=[A-Za-z0-9-])")
+HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+SPELLED = re.compile(rf"(?<!\w)(?:(?:{_PLUS})[\s-])?(?:{_NUM})(?:[\s,-]{{1,2}}(?:(?:{_DOT})[\s-])?(?:{_NUM}))+(?!\w)")
+SPELLED_PART = re.compile(rf"(?P<num>{_NUM})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})")
+ANY_WORD = re.compile(r"\w+")
 LEAST_SPELLED = 7
 FIELDS = {"n_email": "long", "n_ip": "long", "n_card": "long", "n_phone": "long", "base_sha256": "string", "spans": "string"}
 
@@ -109,16 +115,19 @@ def identifiers(text: str) -> dict[str, list[tuple[int, int]]]:
 # ---- transducers: text and edits -> text, with the source span of every output character ---------
 
 class Traced:
-    """A text whose every character knows its source span and whether it was rewritten."""
+    """A text whose every character knows its source span and whether it was rewritten; as long as
+    nothing was, the lists are None."""
 
     def __init__(self, text: str) -> None:
-        self.text, n = text, len(text)
-        self.start, self.end, self.new = list(range(n)), list(range(1, n + 1)), [False] * n
+        self.text, self.start, self.end, self.new = text, None, None, None
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replace [a, b) by a string, for ascending edits that do not overlap."""
         if not edits:
             return
+        if self.new is None:
+            n = len(self.text)
+            self.start, self.end, self.new = list(range(n)), list(range(1, n + 1)), [False] * n
         text, start, end, new, at = [], [], [], [], 0
         for a, b, by in edits:
             text += [self.text[at:a], by]
@@ -158,36 +167,44 @@ def spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def triggered(text: str) -> bool:
-    """Whether any disguise by words or brackets may be there; the sets of words decide cheaply
-    which of the patterns need a look at all."""
-    if any(c in text for c in "[({<") and BRACKET_TRIGGER.search(text):
-        return True
-    words = set(text.lower().replace("-", " ").replace(",", " ").split())
-    if not words.isdisjoint(AT_WORDS) and AT_TRIGGER.search(text):
-        return True
-    return not words.isdisjoint(DIGIT_WORDS) and SPELLED_TRIGGER.search(text) is not None
+def bare_dots(text: str, new: list[bool] | None) -> list[tuple[int, int, str]]:
+    """Dots by word in the host that follows an @. Where a plain host is complete already, the next
+    label must be a common top-level domain, so that ``a@b.com point taken`` stays."""
+    ends = {}  # where a host may go on, and whether it is complete
+    at = text.find("@")
+    while at >= 0:
+        if m := HOST.match(text, at + 1):
+            plain = new is None or not any(new[at: m.end()])
+            ends[m.end()] = plain and "." in m[0] and m[0].rpartition(".")[2].lower() in TLDS
+        at = text.find("@", at + 1)
+    out = []
+    for m in BARE_DOT.finditer(text):
+        if m.start() in ends:
+            host = HOST.match(text, m.end())
+            if not ends[m.start()] or host[0].partition(".")[0].lower() in TLDS:
+                out.append((*m.span(), "."))
+                ends[host.end()] = False
+    return out
 
 
-def disguised(text: str) -> dict[str, list[tuple[int, int]]]:
-    """Spans that only show once the disguises are rewritten, in places of the source."""
+def disguised(text: str, gate: bool = True) -> dict[str, list[tuple[int, int]]]:
+    """Spans that only show once the disguises are rewritten, in places of the source. The gate
+    skips a step whose words or brackets do not occur, which no match of the step can lack."""
     chars = {} if text.isascii() else character_map(text)
-    if not chars and not triggered(text):
-        return {}
     t = Traced(text)
     if chars:
         t.rewrite([(i, i + 1, chars[c]) for i, c in enumerate(text) if c in chars])
-    t.rewrite(spelled_edits(t.text))
-    t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(t.text)])
-    t.rewrite([(*m.span(), "@") for m in BARE.finditer(t.text)])
-    dots, last = [], -1
-    for m in BARE_DOT.finditer(t.text):  # only those in the host part that follows an @
-        host = re.search(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*$", t.text[max(0, m.start() - 256): m.start()])
-        if host or m.start() == last:
-            dots.append((*m.span(), "."))
-            label = re.compile(r"[A-Za-z0-9-]+").match(t.text, m.end())
-            last = label.end() if label else -1
-    t.rewrite(dots)
+    words = set(ANY_WORD.findall(t.text.lower()))
+    if not gate or not words.isdisjoint(DIGIT_WORDS):
+        t.rewrite(spelled_edits(t.text))
+    if not gate or any(c in t.text for c in "[({<"):
+        t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(t.text)])
+    if not gate or not words.isdisjoint(AT_WORDS):
+        t.rewrite([(*m.span(), "@") for m in BARE.finditer(t.text)])
+    if not gate or "@" in t.text and not words.isdisjoint(DOT_WORDS):
+        t.rewrite(bare_dots(t.text, t.new))
+    if t.new is None:
+        return {}
     return {kind: [(t.start[a], t.end[b - 1]) for a, b in spans if any(t.new[a:b])] for kind, spans in identifiers(t.text).items()}
 
 

@@ -40,6 +40,8 @@ def test_base_spans_against_plain_patterns():
     ("user{at}host.com", "email", "user{at}host.com"),
     ("a​b@ex​ample.com", "email", "a​b@ex​ample.com"),
     ("call plus one five five five one two three four five six seven", "phone", "plus one five five five one two three four five six seven"),
+    ("mail john@example dot com now", "email", "john@example dot com"),
+    ("mail john@mail dot example dot co dot uk now", "email", "john@mail dot example dot co dot uk"),
     ("ip one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
     ("４１１１ 1111 1111 １１１１", "card", "４１１１ 1111 1111 １１１１"),
 ])
@@ -62,11 +64,31 @@ def test_disguise_around_a_base_stump(text, kind, stump):
     assert pii.masked(line) == f"see <{kind.upper()}>, or"
 
 
+def test_result_does_not_depend_on_the_gate_or_the_rest_of_the_text():
+    rng = random.Random(5)
+    pieces = ["john", "doe", "example", "com", "x.y", "de", "@", " @ ", "at", "dot", "DOT", "Punkt", "point", "arroba", "plus", "(at)", "[dot]", "{.}", "(", ")",
+              "one", "Two", "three", "four", "zéro", "f\u0131ve", "SİX", "neuf", "+1", "555", "4111", "7", ",", "-", ".", "\n"]
+    seen = 0
+    for _ in range(20000):
+        text = "".join(rng.choice(pieces) + rng.choice(("", " ", " ")) for _ in range(rng.randrange(2, 24)))
+        more = pii.disguised(text)
+        assert {k: v for k, v in more.items() if v} == {k: v for k, v in pii.disguised(text, gate=False).items() if v}
+        seen += any(more.values())
+        assert [s for s in pii.find(f"{text} | k\u043eo (dot) | ")[1]] == pii.find(f"{text} | koo |       | ")[1]
+    assert seen > 200
+
+
 @pytest.mark.parametrize("text", ["the man at the dot matrix; two three four", "one two three four five six", "meet at noon (dot).", "un deux trois", "look at example.html", "Привет мир"])
 def test_prose_stays(text):
     assert pii.find(text) == ([], []) and pii.masked(text) == text
 
 
+def test_dot_words_behind_a_whole_address_stay():
+    text = "ask a@b.com point taken, a@b.org dot"
+    assert pii.find(text)[1] == pii.find(text)[0] == [("email", 4, 11), ("email", 25, 32)]
+    assert pii.masked("a@mail.b dot com") == "<EMAIL>"
+
+
 def test_query(spark, tmp_path):
     rows = list(enumerate(EDGE_TEXTS)) + [(20, "é a.b@c.de 10.0.0.1 +49 (30) 123-4567"), (20, "4111111111111111"), (None, "x@y.z x (at) y.z")]
     got = pii.op5_pii(spark, saved(spark, rows, tmp_path)).collect()
