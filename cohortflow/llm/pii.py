@@ -10,8 +10,11 @@ the text around its match alone, so what is found does not depend on the rest of
 
 A bare at-word (``name at host dot com``) counts as disguise only before a common top-level domain, a
 bare dot-word only in the host behind an @ (``name@host dot com``; behind a plain host that is
-complete already, as ``name@host.com``, only before a common top-level domain), and
-spelled digits only in runs of seven or more (four numbers for an address), so prose stays prose.
+complete already, as ``name@host.com``, only before a common top-level domain) or in the local part
+before it (``first dot last at host dot com``; of the dot-words only ``dot`` if the address is not
+disguised otherwise), and spelled digits only in runs of seven digits or more, plain ones beside them
+included (four for an address), so prose stays prose. A single spelled digit beside a number that is
+whole without it (a card, or eleven digits after a plus) stays prose too.
 
 Kinds, in order: email, ip, card, phone. Places are code points of the source, end exclusive.
 
@@ -52,6 +55,7 @@ DIGIT_WORDS = {w: str(d) for words in (
     "zéro un deux trois quatre cinq six sept huit neuf",
     "cero uno dos tres cuatro cinco seis siete ocho nueve") for d, w in enumerate(words.split())}
 AT_WORDS, DOT_WORDS, PLUS_WORDS = ("at", "arroba", "arobase"), ("dot", "punkt", "punto", "point"), ("plus", "más", "mas")
+PLAIN_DOT = "dot"  # the others are words of prose too
 TLDS = "com net org edu gov info io co de fr es uk eu us ca ch at it nl".split()
 
 def _any_case(words: Iterable[str]) -> str:
@@ -63,12 +67,23 @@ _NUM, _AT, _DOT, _PLUS, _TLD = map(_any_case, (DIGIT_WORDS, AT_WORDS, DOT_WORDS,
 _OPEN, _CLOSE = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
 BRACKETED = re.compile(rf"{_OPEN}(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.)){_CLOSE}")
 BARE = re.compile(rf"(?<=[A-Za-z0-9])\s(?P<at>{_AT})\s(?=[A-Za-z0-9-]+(?:(?:\s(?:{_DOT})\s|\.)[A-Za-z0-9-]+)*(?:\s(?:{_DOT})\s|\.)(?:{_TLD})\b)")
-BARE_DOT = re.compile(rf"\s(?:{_DOT})\s(?=[A-Za-z0-9-])")
+BARE_DOT = re.compile(rf"\s(?:{_DOT})\s(?=[A-Za-z0-9._%+-])")
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
-SPELLED = re.compile(rf"(?<!\w)(?:(?:{_PLUS})[\s-])?(?:{_NUM})(?:[\s,-]{{1,2}}(?:(?:{_DOT})[\s-])?(?:{_NUM}))+(?!\w)")
+_GAP = rf"(?:[\s-](?:{_DOT})[\s-]|[\x20().-]{{1,4}})"
+SPELLED = rf"(?<!\w)(?:(?:{_PLUS})[\s-])?(?:{_NUM})(?:[\s,-]{{1,2}}(?:(?:{_DOT})[\s-])?(?:{_NUM}))*(?!\w)"
+PLAIN = rf"(?:(?<!\w)(?:{_PLUS})[\s-])?\+?[0-9](?:[\x20().-]{{0,4}}[0-9])*"
+NUMBER = re.compile(rf"(?P<spelled>{SPELLED})|(?P<plain>{PLAIN})")
+GAP, GAP_CHARS = re.compile(_GAP), frozenset(" ().-")
+LEAD = re.compile("^[^+0-9]++[+]?")
 SPELLED_PART = re.compile(rf"(?P<num>{_NUM})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})")
+#: What every run of numbers with a spelled one and enough digits has: four spelled ones in a row, or
+#: a spelled one beside a plain one.
+_NEXT = rf"[\s,().-]{{1,4}}(?:(?:{_DOT})[\s-])?(?:(?:{_PLUS})[\s-])?"
+NUMBER_TRIGGER = re.compile(rf"[0-9]{_NEXT}(?:{_NUM})(?!\w)|(?<!\w)(?:{_NUM}){_NEXT}(?:\+?[0-9]|(?:{_NUM}){_NEXT}(?:{_NUM}){_NEXT}(?:{_NUM})(?!\w))")
 ANY_WORD = re.compile(r"\w+")
-LEAST_SPELLED = 7
+#: Digits of a run, of a run with dots, and of an international number that lacks none.
+LEAST_DIGITS, LEAST_DOTTED, WHOLE_PHONE = 7, 4, 11
 FIELDS = {"n_email": "long", "n_ip": "long", "n_card": "long", "n_phone": "long", "base_sha256": "string", "spans": "string"}
 
 
@@ -157,34 +172,72 @@ def character_map(text: str) -> dict[str, str]:
     return out
 
 
+def spelled_number(text: str) -> str:
+    return "".join(DIGIT_WORDS[p[0].lower()] if p.lastgroup == "num" else "." if p.lastgroup == "dot" else "+" for p in SPELLED_PART.finditer(text))
+
+
+def run_edits(text: str, run: list[tuple[int, int, str, bool]]) -> list[tuple[int, int, str]]:
+    """Edits of a run of numbers (place, value, whether spelled) that lie side by side, if any is
+    spelled. A single spelled digit at the edge of an identifier that is whole without it is prose."""
+    if not any(x[3] for x in run):
+        return []
+    for edge in (-1, 0):
+        rest = run[:-1] if edge else run[1:]
+        if rest and run[edge][3] and len(NOT_DIGIT.sub("", run[edge][2])) == 1:
+            value = "".join(x[2] for x in rest)
+            digits = NOT_DIGIT.sub("", value)
+            if len(digits) >= WHOLE_PHONE if "+" in value else 13 <= len(digits) <= 19 and luhn(digits):
+                run = rest
+    gaps = [(x[1], y[0]) for x, y in zip(run, run[1:])]
+    dots = [g for g in gaps if not GAP_CHARS.issuperset(text[g[0]: g[1]])]
+    dotted = any("." in text[a:b] for a, b in gaps) or dots or any("." in x[2] for x in run)
+    if sum(len(NOT_DIGIT.sub("", x[2])) for x in run) < (LEAST_DOTTED if dotted else LEAST_DIGITS) or not any(x[3] for x in run):
+        return []
+    return sorted([(a, b, by) for a, b, by, spelled in run if spelled or text[a] not in "+0123456789"] + [(*g, ".") for g in dots])
+
+
 def spelled_edits(text: str) -> list[tuple[int, int, str]]:
-    out = []
-    for m in SPELLED.finditer(text):
-        parts = list(SPELLED_PART.finditer(m[0]))
-        if sum(p.lastgroup == "num" for p in parts) >= (4 if any(p.lastgroup == "dot" for p in parts) else LEAST_SPELLED):
-            by = "".join(DIGIT_WORDS[p[0].lower()] if p.lastgroup == "num" else "." if p.lastgroup == "dot" else "+" for p in parts)
-            out.append((*m.span(), by))
-    return out
+    """Spelled digits count by the digits of their whole run, plain numbers beside them included."""
+    out, run = [], []
+    for m in NUMBER.finditer(text):
+        by = spelled_number(m[0]) if m["spelled"] else m[0] if m[0][0] in "+0123456789" else "+" + LEAD.sub("", m[0])
+        if run and (by[0] == "+" or not GAP.fullmatch(text, run[-1][1], m.start())):
+            out += run_edits(text, run)
+            run = []
+        run.append((*m.span(), by, bool(m["spelled"])))
+    return out + run_edits(text, run)
 
 
 def bare_dots(text: str, new: list[bool] | None) -> list[tuple[int, int, str]]:
-    """Dots by word in the host that follows an @. Where a plain host is complete already, the next
-    label must be a common top-level domain, so that ``a@b.com point taken`` stays."""
-    ends = {}  # where a host may go on, and whether it is complete
+    """Dots by word in the host that follows an @ and in the local part before it. Where a plain
+    host is complete already, the next label must be a common top-level domain, so that
+    ``a@b.com point taken`` stays; before an address that nothing else disguises only PLAIN_DOT
+    counts, so that ``contact point a@b.com`` stays."""
+    ends, word = {}, {}  # where a host may go on: whether it is complete, and its @; @: disguised
     at = text.find("@")
     while at >= 0:
+        word[at] = new is not None and new[at]
         if m := HOST.match(text, at + 1):
             plain = new is None or not any(new[at: m.end()])
-            ends[m.end()] = plain and "." in m[0] and m[0].rpartition(".")[2].lower() in TLDS
+            ends[m.end()] = plain and "." in m[0] and m[0].rpartition(".")[2].lower() in TLDS, at
         at = text.find("@", at + 1)
+    dots = list(BARE_DOT.finditer(text))
     out = []
-    for m in BARE_DOT.finditer(text):
-        if m.start() in ends:
-            host = HOST.match(text, m.end())
-            if not ends[m.start()] or host[0].partition(".")[0].lower() in TLDS:
+    for m in dots:
+        if m.start() in ends and (host := HOST.match(text, m.end())):
+            whole, at = ends[m.start()]
+            if not whole or host[0].partition(".")[0].lower() in TLDS:
                 out.append((*m.span(), "."))
-                ends[host.end()] = False
-    return out
+                ends[host.end()] = False, at
+                word[at] = True
+    begins = dict(word)  # where a local part may begin earlier, and whether the address is disguised
+    for m in reversed(dots):
+        label = LOCAL.match(text, m.end())
+        if label and label.end() in begins and m.start() and LOCAL_TAIL.match(text, m.start() - 1):
+            if begins[label.end()] or m[0].strip().lower() == PLAIN_DOT:
+                out.append((*m.span(), "."))
+                begins[m.start()] = begins[label.end()]
+    return sorted(set(out))
 
 
 def disguised(text: str, gate: bool = True) -> dict[str, list[tuple[int, int]]]:
@@ -195,7 +248,7 @@ def disguised(text: str, gate: bool = True) -> dict[str, list[tuple[int, int]]]:
     if chars:
         t.rewrite([(i, i + 1, chars[c]) for i, c in enumerate(text) if c in chars])
     words = set(ANY_WORD.findall(t.text.lower()))
-    if not gate or not words.isdisjoint(DIGIT_WORDS):
+    if not gate or not words.isdisjoint(DIGIT_WORDS) and NUMBER_TRIGGER.search(t.text):
         t.rewrite(spelled_edits(t.text))
     if not gate or any(c in t.text for c in "[({<"):
         t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(t.text)])
