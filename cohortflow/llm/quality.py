@@ -8,7 +8,9 @@ the longest-common-prefix array; the union of their spans is the covered part of
 
 A text is rejected if the base rule fails, if maximal repeats of ``min_repeat`` symbols or more
 cover more than ``max_covered`` of its characters, or if its longest repeat has more than
-``max_longest`` symbols and more than ``max_longest_share`` of all symbols.
+``max_longest`` symbols and more than ``max_longest_share`` of all symbols. The base rule fails at half
+of the words in repeats of three; the limits lie well under that, and a passage of the longest share
+that stands twice covers less than the covered share, so each of the three can decide alone.
 
 Edge cases: a null or empty text has no words, fails the base rule and is not kept. Rows are
 judged one by one: repeated rows, null ids and further columns change nothing. Overlapping
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm import common as C
 
-MIN_REPEAT, MAX_COVERED, MAX_LONGEST, MAX_LONGEST_SHARE = 8, 0.5, 64, 0.3
+MIN_REPEAT, MAX_COVERED, MAX_LONGEST, MAX_LONGEST_SHARE = 8, 0.3, 64, 0.1
 LONG_WORD = 64
 FIELDS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long",
           "n_repeat_words": "long", "base_failed": "boolean", "covered": "double",

@@ -71,6 +71,28 @@ def test_verdict_from_repeats():
         assert row["kept"] == ok
 
 
+def test_verdict_goes_beyond_the_base_rule():
+    rng = random.Random(4)
+    fresh = (f"u{i}" for i in range(10**6))
+
+    def take(n):
+        return " ".join(next(fresh) for _ in range(n))
+
+    def twice(n, rest):
+        passage = take(n)
+        return f"{passage} {take(rest)} {passage}"
+
+    short = [take(12) for _ in range(20)]
+    many = " ".join(f"{s} {take(40)} {s}" for s in short)  # 37 % covered, each repeat is short
+    few = " ".join(f"{s} {take(120)} {s}" for s in short)  # 17 %
+    # 36 % covered; longest 18 %; longest 12 %, 24 % covered; longest 8 %; longest 12 % but of 60 words only
+    cases = [(twice(900, 3200), False), (many, False), (twice(120, 760), False), (few, True), (twice(80, 840), True), (twice(60, 380), True), (prose(rng, 800, 3000), True)]
+    names = list(quality.FIELDS)
+    for text, kept in cases:
+        row = dict(zip(names, (x[0] for x in quality.judge(pa.array([text])))))
+        assert not row["base_failed"] and row["kept"] == kept
+
+
 def test_columns_and_empty_table(spark):
     got = quality.quality_rules(documents(spark, [(1, "a b")])).first()
     assert got["n_words"] == 2 and got["key"] is None and got["row"] == "r"
