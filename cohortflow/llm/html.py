@@ -9,7 +9,8 @@ page with its host's templates and writes the text blocks that lie in none of th
 
 Elements that are no article text by their tag, role or class (menus, headers and footers of the
 page, asides, forms, scripts, adverts, notices, comments) go by that alone, so a page whose host has
-too few pages for counting is cleaned too. If a page has ``article`` or ``main`` elements, only text
+too few pages for counting is cleaned too. A class or id counts by whole tokens and known compounds,
+and not on an element that wraps the page's article or most of its paragraph text. If a page has ``article`` or ``main`` elements, only text
 in them counts; there, a recurring text block (paragraph, heading, list, table ...) stays, since
 pages may quote the same passage, and other recurring subtrees go.
 
@@ -56,26 +57,44 @@ NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banne
  consent gdpr notice notices sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment
  comments disqus replies respond adslot adbox adunit adsense share sharing social related recommended newsletter subscribe subscription popup modal overlay widget
  toolbar pagination pager login signup search skip paywall alert""".split())
+#: Words that may stand beside these in a compound (site-sidebar, ad-slot, post-comments); a compound
+#: with any other word (has-sidebar, search-result, how-to-share-files) marks something else.
+COMPANIONS = frozenset("""site page main global top bottom left right center primary secondary tertiary sub mini mobile desktop
+ sticky fixed floating inline bar box boxes slot unit units list lists item items wrap wrapper container inner outer holder area
+ areas block blocks section region zone panel pane row col column group grid card cards title heading headline head body text
+ content contents link links button buttons btn icon icons form field input label image img media logo toggle trigger dropdown
+ post posts article articles story stories entry blog author avatar meta reply thread count news recent latest popular more
+ follow facebook twitter email print tool tools user account policy law info message dialog window close accept header footer
+ masthead topbar foot web google dfp gpt leaderboard skyscraper mpu rectangle billboard teaser teasers module component plugin
+ js wp""".split())
+#: An element with this share of the page's paragraph text is a wrapper, whatever its class.
+WRAPPER_SHARE = 0.75
 #: These mark the header of a page, but within an article the place of its heading.
 HEADER_WORDS = frozenset("header masthead topbar".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar alertdialog".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+)(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<[a-zA-Z!?/][^>]*(?:>|\Z)|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-WORD = re.compile(r"[a-z]+")
+PART = re.compile(r"(?<![a-z0-9])[a-z]+(?=[0-9]*(?![a-z0-9]))")  # parts with digits in them are numbers and hashes
 SPACE = re.compile(r"\s+")
 
 
+def marked(value: str, marks: frozenset[str]) -> bool:
+    """Whether a token of a class or id is one of the marks or a known compound with one."""
+    for token in value.lower().split():
+        parts = [p for p in PART.findall(token) if len(p) > 1 or p in marks]
+        if any(p in marks for p in parts) and all(p in marks or p in NOISE_WORDS or p in COMPANIONS for p in parts):
+            return True
+    return False
+
+
 @functools.lru_cache(maxsize=4096)
 def is_noise(tag: str, attributes: str) -> bool:
+    """Whether an element is no article text by its tag, role or style."""
     if tag in NO_TEXT:
         return True
-    if not attributes:
-        return False
-    for name, value in ATTRIBUTE.findall(attributes):
+    for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not NOISE_WORDS.isdisjoint(WORD.findall(value)):
-            return True
         if name == "role" and value in NOISE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -83,10 +102,18 @@ def is_noise(tag: str, attributes: str) -> bool:
     return False
 
 
+def _named(attributes: str) -> list[str]:
+    return [v.strip("\"'") for n, v in ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id")] if attributes else []
+
+
 @functools.lru_cache(maxsize=4096)
-def is_header(tag: str, attributes: str) -> bool:
-    values = [v.strip("\"'").lower() for n, v in ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id")] if attributes else []
-    return tag == "header" or tag not in ("html", "body") and any(not HEADER_WORDS.isdisjoint(WORD.findall(v)) for v in values)
+def is_noise_by_class(attributes: str) -> bool:
+    return any(marked(v, NOISE_WORDS) for v in _named(attributes))
+
+
+@functools.lru_cache(maxsize=4096)
+def is_header_by_class(attributes: str) -> bool:
+    return any(marked(v, HEADER_WORDS) for v in _named(attributes))
 
 
 @functools.lru_cache(maxsize=4096)
@@ -166,17 +193,44 @@ class Page:
                 parts[self.parent[i]].append(d.hex())
         return out
 
+    def wrappers(self) -> set[int]:
+        """Elements that hold the page's main element, at least half the text of its articles or, if
+        it has neither, most of its paragraph text. Articles whose own class is noise do not count."""
+        n = len(self.tag)
+        main, article, paragraph = [0] * n, [0] * n, [0] * n
+        gone, kind = [False] * n, [""] * n
+        for i in range(1, n):
+            p, tag = self.parent[i], self.tag[i]
+            real = tag in ("article", "main") and not is_noise_by_class(self.attributes[i])
+            gone[i] = gone[p] or is_noise(tag, self.attributes[i]) or tag == "article" and not real
+            kind[i] = "article" if real else kind[p] or ("p" if tag in ("p", "pre", "blockquote") else "")
+            main[i] = int(tag == "main" and not gone[i])
+        for i, text in self.items:
+            if text is not None and not gone[i] and kind[i]:
+                (article if kind[i] == "article" else paragraph)[i] += len(text.strip())
+        for i in range(n - 1, 0, -1):  # children come after their parents
+            for x in (main, article, paragraph):
+                x[self.parent[i]] += x[i]
+        if main[0] or article[0]:
+            return {i for i in range(n) if main[i] or article[i] and 2 * article[i] >= article[0]}
+        return {i for i in range(n) if paragraph[i] and paragraph[i] >= WRAPPER_SHARE * paragraph[0]}
+
     def blocks(self, template: frozenset[bytes] = frozenset()) -> list[str]:
         n = len(self.tag)
         subtree = self.hashes() if template else []
         noise, within = [False] * n, [False] * n
+        wraps = None
         for i in range(1, n):
-            p = self.parent[i]
-            within[i] = within[p] or self.tag[i] in ("article", "main")
+            p, tag = self.parent[i], self.tag[i]
+            within[i] = within[p] or tag in ("article", "main")
+            noise[i] = noise[p] or is_noise(tag, self.attributes[i]) or tag == "header" and not within[p]
             # the header of a page goes, that of an article holds its heading
-            noise[i] = noise[p] or is_noise(self.tag[i], self.attributes[i]) or not within[p] and is_header(self.tag[i], self.attributes[i])
+            if not noise[i] and tag not in ("html", "body", "article", "main") and (is_noise_by_class(self.attributes[i]) or not within[p] and is_header_by_class(self.attributes[i])):
+                if not within[p] and wraps is None:
+                    wraps = self.wrappers()
+                noise[i] = within[p] or i not in wraps
             if template and not noise[i] and subtree[i] in template:
-                noise[i] = self.tag[i] not in ("html", "body", "article", "main") and not (within[i] and (self.tag[i] in TEXT_BLOCKS or self.tag[i] not in BLOCKS))
+                noise[i] = tag not in ("html", "body", "article", "main") and not (within[i] and (tag in TEXT_BLOCKS or tag not in BLOCKS))
         only = any(within[i] and not noise[i] for i in range(n))
         out: list[str] = []
         block: list[str] = []

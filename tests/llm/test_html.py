@@ -15,6 +15,14 @@ PAGE = ('<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><bo
     ('<article><header><h1>Head</h1></header><p>t</p><footer>f</footer></article>', ["Head", "t"]),
     ('<div id="page-header">Site</div><article><div class="entry-header"><h1>Head</h1></div><p>t</p></article>', ["Head", "t"]),
     ('<div class="site header">Site</div><p>t</p><div class="ad-slot">x</div><div class="add">y</div>', ["t", "y"]),
+    ('<div class="layout has-sidebar"><p>t</p><div class="site-sidebar"><p>s</p></div></div>', ["t"]),
+    ('<div class="content with-sidebar"><article><p>t</p></article></div>', ["t"]),
+    ('<div id="page" class="no-menu"><p>t</p></div><div class="search-result"><p>r</p></div>', ["t", "r"]),
+    ('<div class="sidebar"><main><p>t</p></main><div class="sidebar"><p>s</p></div></div>', ["t"]),
+    ('<div class="menu"><p>a longer paragraph</p><div class="nav2 menu-item-17">m</div></div><p>t</p>', ["a longer paragraph", "t"]),
+    ('<div class="no-header"><p>t</p></div><div class="header"><article><p>u</p></article></div>', ["u"]),
+    ('<article><p>t</p></article><div id="comments"><article class="comment"><p>long comment</p></article></div>', ["t"]),
+    ('<p>a longer paragraph</p><h2 id="how-to-share-files">How</h2><div class="ad-300x250 x">m</div><div class="post-comments"><p>c</p></div>', ["a longer paragraph", "How"]),
     ("<p>one<div>two</p>three</div>", ["one", "two", "three"]), ("</p></div>text</b>", ["text"]),
 ])
 def test_blocks(source, blocks):
