@@ -2,10 +2,10 @@
 
 A first pass hashes every element subtree (tag, attributes without link targets, text, children) and
 counts, per host, on how many pages each hash occurs; counts are summed in each task before they are
-shuffled. A subtree that is on ``MIN_PAGES`` pages and on ``MIN_SHARE`` of all pages of its host is
-template. As every page has a bounded number of subtrees on average, a host has at most
-1 / ``MIN_SHARE`` times that number of templates, however many pages it has. A second pass joins each
-page with its host's templates and writes the text blocks that lie in none of them.
+shuffled. A subtree that is on ``MIN_PAGES`` pages of its host is template, however many pages the host
+has; in ``article`` or ``main`` it has to be on ``MIN_SHARE`` of them too. A second pass joins the
+subtrees of each page with the templates, one row each, and groups the hits by page, so no task gets
+the list of a whole host. A third one writes the text blocks that lie in none of the page's hits.
 
 Elements that are no article text by their tag, role or class (menus, headers and footers of the
 page, asides, forms, scripts, adverts, notices, comments) go by that alone, so a page whose host has
@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from cohortflow.llm import common as C
 
 MIN_PAGES, MIN_SHARE = 5, 0.05
-#: A host with more pages than this, and than one in LARGE_HOSTS of all pages, is dealt to several
-#: tasks; so there are at most LARGE_HOSTS such hosts, which bounds what is broadcast.
-LARGE_HOST, LARGE_HOSTS = 64, 10_000
+#: A subtree on more pages than this, and than one in COMMON_SHARE of all pages, is dealt to several
+#: tasks; so there are at most COMMON_SHARE times the subtrees of a page of these, which bounds what
+#: is broadcast.
+COMMON, COMMON_SHARE = 64, 10_000
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -215,9 +216,10 @@ class Page:
             return {i for i in range(n) if main[i] or article[i] and 2 * article[i] >= article[0]}
         return {i for i in range(n) if paragraph[i] and paragraph[i] >= WRAPPER_SHARE * paragraph[0]}
 
-    def blocks(self, template: frozenset[bytes] = frozenset()) -> list[str]:
+    def frame(self) -> tuple[list[bool], list[bool]]:
+        """For each element, whether it goes without regard to templates, and whether it is in an
+        article or main element."""
         n = len(self.tag)
-        subtree = self.hashes() if template else []
         noise, within = [False] * n, [False] * n
         wraps = None
         for i in range(1, n):
@@ -229,8 +231,25 @@ class Page:
                 if not within[p] and wraps is None:
                     wraps = self.wrappers()
                 noise[i] = within[p] or i not in wraps
-            if template and not noise[i] and subtree[i] in template:
-                noise[i] = tag not in ("html", "body", "article", "main") and not (within[i] and (tag in TEXT_BLOCKS or tag not in BLOCKS))
+        return noise, within
+
+    def may_go(self, i: int, within: bool) -> bool:
+        """Whether an element goes if its subtree is template."""
+        return self.tag[i] not in ("html", "body", "article", "main") and not (within and (self.tag[i] in TEXT_BLOCKS or self.tag[i] not in BLOCKS))
+
+    def candidates(self) -> set[tuple[bytes, bool]]:
+        """Subtrees that go if they are template, and whether they are in an article."""
+        noise, within = self.frame()
+        return {(h, w) for i, (h, x, w) in enumerate(zip(self.hashes(), noise, within)) if i and not x and self.may_go(i, w)}
+
+    def blocks(self, template: frozenset[bytes] = frozenset(), inside: frozenset[bytes] = frozenset()) -> list[str]:
+        """Text blocks without subtrees of ``template`` and, in an article, of ``inside``."""
+        n = len(self.tag)
+        noise, within = self.frame()
+        if template or inside:
+            subtree = self.hashes()
+            for i in range(1, n):
+                noise[i] = noise[i] or noise[self.parent[i]] or subtree[i] in (inside if within[i] else template) and self.may_go(i, within[i])
         only = any(within[i] and not noise[i] for i in range(n))
         out: list[str] = []
         block: list[str] = []
@@ -248,41 +267,66 @@ def host(url_col: str) -> F.Column:
     return F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+def _long(digests: Iterable[bytes]) -> pa.Array:
+    return pa.array([int.from_bytes(d, "little", signed=True) for d in digests], pa.int64())
+
+
 def template_counts(pages: DataFrame) -> DataFrame:
-    """(host, hash, n): on how many pages of a host a subtree occurs."""
+    """(site, subtree, n): on how many pages of a host a subtree occurs."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
             keys = list(count)
-            batch = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(count.values()), pa.int64())], names=["host", "hash", "n"])
+            batch = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), _long(k[1] for k in keys), pa.array(list(count.values()), pa.int64())], names=["site", "subtree", "n"])
             count.clear()
             return batch
 
         for batch in batches:
             for part in C.slices(batch, 1):
-                for name, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for site, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     page = Page(html or "")
-                    count.update((name, h) for h in set(page.hashes()[1:]))
+                    count.update((site, h) for h in set(page.hashes()[1:]))
                 if len(count) > 500_000:
                     yield flush()
         if count:
             yield flush()
 
-    named = pages.where(F.col("host") != "").select("host", "html")
-    return named.mapInArrow(run, "host string, hash binary, n long").groupBy("host", "hash").agg(F.sum("n").alias("n"))
+    named = pages.where("site IS NOT NULL").select("site", "html")
+    return named.mapInArrow(run, "site long, subtree long, n long").groupBy("site", "subtree").agg(F.sum("n").alias("n"))
 
 
-def host_sizes(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("host") != "").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+def candidate_rows(pages: DataFrame) -> DataFrame:
+    """(site, key, subtree, within): the subtrees of each page that go if they are template."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in C.slices(batch, 2):
+                found = [(site, key, h, w) for site, key, html in zip(*(c.to_pylist() for c in part.columns)) for h, w in Page(html or "").candidates()]
+                if found:
+                    site, key, h, w = zip(*found)
+                    yield pa.RecordBatch.from_arrays([pa.array(site, pa.int64()), pa.array(key, pa.int64()), _long(h), pa.array(w, pa.bool_())], names=["site", "key", "subtree", "within"])
+
+    return pages.where("site IS NOT NULL").select("site", "key", "html").mapInArrow(run, "site long, key long, subtree long, within boolean")
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hashes): the template subtrees of each host; see the module for the bound."""
-    totals = host_sizes(pages)
+    """(site, subtree, n, often): subtrees on ``min_pages`` pages of a host, and whether these are
+    ``min_share`` of its pages."""
+    totals = pages.where("site IS NOT NULL").groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
     counts = template_counts(pages).where(F.col("n") >= min_pages)
-    often = counts.join(totals, "host").where(F.col("n") >= min_share * F.col("pages"))
-    return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    return counts.join(totals, "site").select("site", "subtree", "n", (F.col("n") >= min_share * F.col("pages")).alias("often"))
+
+
+def page_hits(pages: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+    """(key, outside, inside): the template subtrees of each page, by whether they are in its
+    article. The rows of a subtree on more than ``limit`` pages are dealt to several tasks."""
+    common = F.broadcast(found.where(F.col("n") > limit).select("site", "subtree", F.ceil(F.col("n") / limit).alias("tasks")))
+    tasks = F.coalesce("tasks", F.lit(1)).cast("long")
+    rows = candidate_rows(pages).join(common, ["site", "subtree"], "left").select("site", "subtree", F.pmod("key", tasks).alias("task"), "key", "within")
+    dealt = F.when(F.col("n") > limit, F.ceil(F.col("n") / limit)).otherwise(1).cast("long")
+    found = found.select("site", "subtree", "often", F.explode(F.sequence(F.lit(0).cast("long"), dealt - 1)).alias("task"))
+    hits = rows.join(found, ["site", "subtree", "task"]).where("often OR NOT within")
+    return hits.groupBy("key").agg(F.collect_set(F.expr("IF(within, NULL, subtree)")).alias("outside"), F.collect_set(F.expr("IF(within, subtree, NULL)")).alias("inside"))
 
 
 def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", out_col: str = "main_text",
@@ -290,25 +334,20 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", out_
     """``pages`` with the main text of each page; all other columns pass through."""
     rest = [c for c in pages.columns if c not in (html_col, out_col)]
     inner = F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row")
-    rows = pages.select(inner, F.col(html_col).alias("html"), F.coalesce(host(url_col), F.lit("")).alias("host"))
-    # copies of a page differ in its id, so all plain columns decide the task
+    rows = pages.select(inner, F.col(html_col).alias("html"), host(url_col).alias("host"))
+    # copies of a page differ in its id, so all plain columns make the key; where two pages share one,
+    # each meets the templates of both
     plain = [F.col("row")[c] for c in rest if not pages.schema[c].dataType.typeName().startswith(("map", "struct", "array", "variant"))]
-    # the pages of a large host are dealt to several tasks, and its templates to each of these
-    share = max(LARGE_HOST, rows.count() // LARGE_HOSTS)
-    large = F.broadcast(host_sizes(rows).where(F.col("pages") > share).select("host", F.ceil(F.col("pages") / share).alias("tasks")))
-    tasks = F.coalesce("tasks", F.lit(1)).cast("long")
-    rows = rows.join(large, "host", "left").withColumn("task", F.pmod(F.xxhash64("html", *plain), tasks))
-    found = templates(rows, min_pages, min_share).join(large, "host", "left")
-    found = found.select("host", "hashes", F.explode(F.sequence(F.lit(0).cast("long"), tasks - 1)).alias("task"))
-    joined = rows.join(found, ["host", "task"], "left").select("row", "html", "hashes")
+    rows = rows.select("row", "html", F.when(F.col("host") != "", F.xxhash64("host")).alias("site"), F.xxhash64("html", *plain).alias("key"))
+    found = C.stored(templates(rows, min_pages, min_share), "templates")
+    hits = page_hits(rows, found, max(COMMON, rows.count() // COMMON_SHARE))
+    joined = rows.join(hits, "key", "left").select("row", "html", "outside", "inside")
 
     def main_text(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cache: dict = {}
         out = []
-        for html, hashes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            key = tuple(hashes or ())
-            found = cache.setdefault(key, frozenset(key))
-            out.append("\n\n".join(Page(html or "").blocks(found)))
+        for html, *hits in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            outside, inside = (frozenset(h.to_bytes(8, "little", signed=True) for h in x or ()) for x in hits)
+            out.append("\n\n".join(Page(html or "").blocks(outside, inside)))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -55,6 +55,17 @@ def test_template_subtrees_of_a_host_go(spark):
     assert got[301] == got[302] == {""}
 
 
+def test_templates_of_a_large_host_need_no_share(spark):
+    box = '<div class="box"><p>five pages have this</p></div>'
+    rows = [(i, f"http://a.example/{i}", f"<div><p>story {i}</p>{box if i < 5 else ''}<section><p>all</p></section></div>") for i in range(400)]
+    rows += [(1000 + i, f"http://b.example/{i}", f"<article><p>own {i}</p>{box if i < 5 else ''}</article>") for i in range(400)]
+    rows += [(2000 + i, None, f"<p>x</p>{box}") for i in range(6)]
+    got = {r["page_id"]: r["main_text"] for r in html.extract(pages(spark, rows)).collect()}
+    assert {got[i] == f"story {i}" for i in range(400)} == {True}
+    # in an article the share holds, and pages without host have no templates
+    assert got[1000] == "own 0\n\nfive pages have this" and got[1009] == "own 9" and got[2000] == "x\n\nfive pages have this"
+
+
 def test_query_and_empty_table(spark, tmp_path):
     rows = [(1, "http://a.b/c", PAGE.replace("{body}", "<article><p>é 日本 text</p></article>")), (None, None, None), (1, "http://a.b/c", "")]
     pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
