@@ -10,7 +10,8 @@ round brings nothing. Every piece is placed exactly once, whatever the rounds do
 
 Tokens: no token crosses white space, so each distinct word between white space is encoded once and
 kept, up to a bound, for all texts of a task. Only texts in plain Latin letters and punctuation take this way, where lower case and
-normalisation of Python and of the tokenizer agree; any other text is encoded by the tokenizer whole.
+normalisation of Python and of the tokenizer agree; any other text, and one that holds the string of
+an added token (``<|endoftext|>``), is encoded by the tokenizer whole, with the library's defaults.
 
 Edge cases: null is the empty text, one piece that holds only the end id. Repeated rows and null ids
 are documents of their own. An empty table gives no sequences.
@@ -58,7 +59,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.cache = C.IdCache(self.words, CACHE_WORDS)
 
@@ -72,8 +73,9 @@ class Encoder:
         return [b"".join([ids[t] for t in tokens]) for tokens in split]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        odd = {i for i, t in enumerate(texts) if t and UNUSUAL.search(t)}
-        plain = C.Words([t.lower().encode() if t and i not in odd else b"" for i, t in enumerate(texts)])
+        lower = ["" if not t or UNUSUAL.search(t) else t.lower() for t in texts]
+        odd = {i for i, (t, x) in enumerate(zip(texts, lower)) if t and (not x or any(a in x for a in self.added))}
+        plain = C.Words([b"" if i in odd else x.encode() for i, x in enumerate(lower)])
         ids, size = self.cache.ids(plain.hashes(), plain.raw, plain.start, plain.end)
         data, ends = ids.tobytes(), np.concatenate([[0], np.cumsum(size)])[plain.first] * 4
         out = [data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]

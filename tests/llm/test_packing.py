@@ -24,6 +24,12 @@ def test_encoder_matches_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids(t) for t in texts]
 
 
+def test_encoder_takes_added_tokens_as_the_library_does():
+    texts = ["<|endoftext|>", "a b<|startoftext|>c d", "é日本 <|endoftext|> x", "<|ENDOFTEXT|> x", "<|endoftext", "plain"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(PATH)(texts)]
+    assert got == [ids(t) for t in texts] and got[0] == [49407] and 49406 in got[1]
+
+
 def test_best_fit_decreasing_and_bound():
     rng = np.random.default_rng(2)
     for _ in range(300):
