@@ -66,6 +66,23 @@ def test_templates_of_a_large_host_need_no_share(spark):
     assert got[1000] == "own 0\n\nfive pages have this" and got[1009] == "own 9" and got[2000] == "x\n\nfive pages have this"
 
 
+def test_pages_without_host_meet_in_no_single_task(spark):
+    from pyspark.sql import functions as F
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = [(i, None, f"<p>text {i}</p>") for i in range(400)]
+        got = html.extract(pages(spark, rows)).select("main_text", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r["main_text"] for r in got} == {f"text {i}" for i in range(400)}
+    assert max(sum(r["task"] == t for r in got) for t in {r["task"] for r in got}) < 150
+
+
 def test_query_and_empty_table(spark, tmp_path):
     rows = [(1, "http://a.b/c", PAGE.replace("{body}", "<article><p>é 日本 text</p></article>")), (None, None, None), (1, "http://a.b/c", "")]
     pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
