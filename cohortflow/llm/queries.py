@@ -12,6 +12,8 @@ from cohortflow.llm.langid import op8_language_id
 from cohortflow.llm.minhash import op2_minhash_near_dedup
 from cohortflow.llm.packing import op4_best_fit_packing
 from cohortflow.llm.pii import op5_pii
+from cohortflow.llm.prefix_trie import ORACLE as PREFIX_TRIE_ORACLE
+from cohortflow.llm.prefix_trie import op11_prefix_trie
 from cohortflow.llm.quality import op3_quality_rules
 from cohortflow.llm.secrets import op9_secret_scan
 from cohortflow.llm.substrings import op7_substring_dedup
@@ -21,5 +23,5 @@ from cohortflow.llm.topk import op6_exact_top_k
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_round_trip, op2_minhash_near_dedup, op3_quality_rules, op4_best_fit_packing, op5_pii, op6_exact_top_k, op7_substring_dedup,
-        op8_language_id, op9_secret_scan, op10_html_text)}
-ORACLES: dict[str, str] = {"op6_exact_top_k": TOP_K_ORACLE}
+        op8_language_id, op9_secret_scan, op10_html_text, op11_prefix_trie)}
+ORACLES: dict[str, str] = {"op6_exact_top_k": TOP_K_ORACLE, "op11_prefix_trie": PREFIX_TRIE_ORACLE}
