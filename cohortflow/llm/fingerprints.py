@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import common as C
 
-K, ENTRIES, TUPLE = 8, 64, 2
+K, ENTRIES, TUPLE = 6, 64, 2
 #: Code points handled at once; those of a text that is worked off by ranges; k-mers expected below the bound.
-CHUNK, LONG, EXPECTED = 1 << 16, 1 << 22, 8
+CHUNK, LONG, EXPECTED = 1 << 17, 1 << 22, 8
 
 _U = np.uint64
 _STEP, _NEXT, _DOC = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93), _U(0xC2B2AE3D27D4EB4F)
@@ -77,6 +77,13 @@ def _entry(x: np.ndarray) -> np.ndarray:
     return (h >> _U(48)).astype("<u2")
 
 
+def _set(mask: np.ndarray) -> np.ndarray:
+    """Places of the few true values of a mask, eight looked at together."""
+    some = np.flatnonzero(mask.view(_U))
+    i, j = np.nonzero(mask.reshape(-1, 8)[some])
+    return some[i] * 8 + j
+
+
 def _batch(texts: list[str], k: int, entries: int, size: int) -> np.ndarray:
     """Fingerprints of texts that are not empty: one row each."""
     n = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -95,19 +102,23 @@ def _batch(texts: list[str], k: int, entries: int, size: int) -> np.ndarray:
     x = C.mix(x + _numbered(C.mix(x + doc.astype(_U) * _DOC)) * _STEP)
     x32, need = (x >> _U(32)).astype(np.uint32), np.minimum(count, size)
     bound = np.minimum(EXPECTED * 2.0**32 / count, 2.0**32 - 1).astype(np.uint32)[doc]
-    out = np.zeros((len(n), entries), "<u2")
-    pick = np.minimum(np.arange(size)[None, :], (need - 1)[:, None])
+    v, under = np.empty_like(x32), np.zeros(-(-len(x32) // 8) * 8, bool)
+    places, keys = [], []
     for j, (a, b) in enumerate(zip(*_seeds(entries))):
-        v = (x32 ^ a) * b
-        c = np.flatnonzero(v <= bound)
-        found = np.bincount(doc[c], minlength=len(n))
-        if (found < need).any():
-            c = np.flatnonzero((v <= bound) | (found < need)[doc])
-            found = np.bincount(doc[c], minlength=len(n))
-        o = c[np.argsort((doc[c] << 32) | v[c], kind="stable")]
-        chosen = np.sort(o[(np.cumsum(found) - found)[:, None] + pick], axis=1)
-        out[:, j] = _entry(x[chosen])
-    return out
+        np.multiply(np.bitwise_xor(x32, a, out=v), b, out=v)
+        np.less_equal(v, bound, out=under[: len(v)])
+        c = _set(under)
+        few = np.bincount(doc[c], minlength=len(n)) < need
+        if few.any():
+            c = np.flatnonzero(under[: len(v)] | few[doc])
+        places.append(c)
+        keys.append(((doc[c] + j * len(n)) << 32) | v[c])
+    key, place = np.concatenate(keys), np.concatenate(places)
+    o = np.argsort(key, kind="stable")
+    head = np.searchsorted(key[o] >> 32, np.arange(entries * len(n))).reshape(entries, len(n)).T
+    pick = np.minimum(np.arange(size)[None, :], (need - 1)[:, None])
+    chosen = np.sort(place[o[head[:, :, None] + pick[:, None, :]]], axis=2)
+    return _entry(x[chosen.reshape(-1, size)]).reshape(len(n), entries)
 
 
 def _long(text: str, k: int, entries: int, size: int, piece: int) -> np.ndarray:
