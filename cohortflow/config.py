@@ -108,7 +108,7 @@ class Policy:
     ))
     # A rule table with more rows is refused: rules (and what is derived from rules and calendar days
     # alone) are the only frames that are broadcast, so this bounds every broadcast.
-    max_rules: int = 10_000
+    max_rules: int = 2_000
     # Antigen codes are cut to this length before they are compared.
     antigen_code_length: int = 10
     # At most so many date-of-birth bands of the combined vaccine are numbered.

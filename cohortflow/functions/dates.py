@@ -43,6 +43,20 @@ def add_age_sql(d: SqlArg, value: SqlArg, unit: SqlArg) -> str:
             f"WHEN 'YEAR' THEN add_months({d}, 12 * CAST({value} AS INT)) END)")
 
 
+def latest_birth_sql(on: SqlArg, value: SqlArg, unit: SqlArg) -> str:
+    """The last date of birth at which the age (value, unit) is reached by the date ``on``: the
+    largest ``d`` with ``add_age(d) <= on``. NULL where :func:`add_age_sql` is NULL."""
+    on, value, unit = _a(on), _a(value), _a(unit)
+
+    def months(n: str) -> str:  # from a month's end, all later days of a longer month clip to it
+        back = f"add_months({on}, -({n}))"
+        return f"CASE WHEN {on} = last_day({on}) THEN last_day({back}) ELSE {back} END"
+
+    return (f"(CASE upper(trim({unit})) WHEN 'WEEK' THEN date_sub({on}, 7 * CAST({value} AS INT)) "
+            f"WHEN 'MONTH' THEN {months(f'CAST({value} AS INT)')} "
+            f"WHEN 'YEAR' THEN {months(f'12 * CAST({value} AS INT)')} END)")
+
+
 def age_in_months_sql(dob: SqlArg, on: SqlArg) -> str:
     """Completed months: month-boundary count minus one if the day is not reached."""
     dob, on = _a(dob), _a(on)

@@ -4,22 +4,26 @@ Scale notes
 -----------
 * People are dealt by person once, before they are expanded; the expansion, the
   counting join and all that follows up to the antigen overrides stay in place.
-* Rules are resolved once per date of birth, not once per person: the calendar
-  bounds that table whatever the number of people, so it may be broadcast (the
-  number of rules is checked when the pipeline is built).
+* A rule is due for an interval of dates of birth. The ends of all intervals cut
+  the calendar into at most 2 x rules + 1 segments with one set of due rules
+  each; a date of birth finds its segment by an as-of join over sorted dates. So
+  people meet two broadcast frames, dates of birth (bounded by the calendar) and
+  segments (bounded by ``Policy.max_rules``), and no rule is compared with a date.
 * Events are reduced to one row per (person, antigen, dose, day) with map-side
-  combine before anything joins them, so a hot person collapses to days.
+  combine, dealt by person once, and stay there.
+* A window is counted as the difference of two running counts, each found by
+  binary search: no row for each pair of rule and event day.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
-from cohortflow.functions.dates import add_age_sql, sql_lit
+from cohortflow.functions.dates import add_age_sql, latest_birth_sql, sql_lit
 from cohortflow.functions.text import replace_all
 
 # Rule columns carried by the expansion.
@@ -44,18 +48,21 @@ def clean_event_days(events_by_antigen: DataFrame, events_by_product: DataFrame,
 
     An antigen dose is dropped when the same person has a booster-product event on the same day
     whose part equals the antigen dose, the antigen is one of the booster components and the dose
-    is a primary dose ('...P'). Only such doses meet the boosters; all others pass by.
+    is a primary dose ('...P'). One pass over the events; the result is dealt by person.
     """
     days = (events_by_antigen.groupBy("person_id", "antigen_code", "antigen_dose", "event_date")
-            .agg(F.count(F.lit(1)).alias("n_events")))
+            .agg(F.count(F.lit(1)).alias("n_events")).repartition("person_id"))
+    # a person's booster doses are one row (at most one entry a day and dose), so the join is by
+    # person alone and stays on the partitioning of the days
     boosters = (events_by_product
-                .where(F.col("vaccine_code") == C.BOOSTER_PRODUCT_CODE)
-                .select("person_id", "event_date", F.col("vaccine_part").alias("antigen_dose"))
-                .distinct())
-    suspect = F.coalesce(F.col("antigen_code").isin(*C.BOOSTER_EXCLUDED_ANTIGENS)
-                         & F.col("antigen_dose").endswith(C.PRIMARY_DOSE_SUFFIX), F.lit(False))
-    kept = (days.where(suspect).join(boosters, ["person_id", "event_date", "antigen_dose"], "left_anti")
-            .unionByName(days.where(~suspect)))
+                .where((F.col("vaccine_code") == C.BOOSTER_PRODUCT_CODE) & F.col("event_date").isNotNull())
+                .groupBy(F.col("person_id").alias("b_person"))
+                .agg(F.collect_set(F.struct("event_date", F.col("vaccine_part").alias("antigen_dose"))).alias("boosted")))
+    claimed = (F.col("antigen_code").isin(*C.BOOSTER_EXCLUDED_ANTIGENS)
+               & F.col("antigen_dose").endswith(C.PRIMARY_DOSE_SUFFIX)
+               & F.array_contains("boosted", F.struct("event_date", "antigen_dose")))
+    kept = (days.join(boosters, days.person_id == boosters.b_person, "left")
+            .where(~F.coalesce(claimed, F.lit(False))).select(*days.columns))
     return kept.withColumn("antigen_norm", normalise_antigen(F.col("antigen_code"), policy))
 
 
@@ -66,9 +73,9 @@ def clean_events(event_days: DataFrame) -> DataFrame:
 
 
 def event_counts(event_days: DataFrame) -> DataFrame:
-    """(person, antigen, date) -> number of events that day, dealt by person."""
+    """(person, antigen, date) -> number of events that day, on the partitioning of the days."""
     return (event_days.groupBy("person_id", "antigen_norm", "event_date")
-            .agg(F.sum("n_events").alias("n_events")).repartition("person_id"))
+            .agg(F.sum("n_events").alias("n_events")))
 
 
 def in_scope_people(population: DataFrame, as_of: dt.date,
@@ -78,51 +85,97 @@ def in_scope_people(population: DataFrame, as_of: dt.date,
             .where(F.col("dob") <= F.add_months(F.lit(as_of), -policy.min_population_age_months)))
 
 
-def due_rules(people: DataFrame, rules: DataFrame, as_of: dt.date) -> DataFrame:
-    """(dob, due): for each date of birth the rules that are due on ``as_of``, with the counting
-    window resolved to dates.
+def numbered_rules(rules: DataFrame) -> DataFrame:
+    """The distinct rules with a number each. One task, bounded by ``Policy.max_rules``: all that is
+    derived from the rules alone then needs no exchange."""
+    r = rules.coalesce(1).select(*EXPANDED_RULE_COLUMNS, "valid_from", "valid_to").distinct()
+    return r.withColumn("rule_no", F.row_number().over(Window.orderBy(*r.columns)))
 
-    A rule is due when the date of birth lies in its validity range and its due-from age is
-    reached. One row per calendar day at most, so the frame does not grow with the people.
-    """
-    r = rules.select(*EXPANDED_RULE_COLUMNS, "valid_from", "valid_to").distinct()
-    dobs = F.broadcast(people.select("dob").distinct())
+
+def rule_spans(rules: DataFrame, as_of: dt.date) -> DataFrame:
+    """(rule_no, first, after): the dates of birth for which a rule is due on ``as_of``, from
+    ``first`` up to the day before ``after``; rules that are due for nobody are left out."""
     a = sql_lit(as_of)
-    due = F.expr(f"{a} >= {add_age_sql('dob', 'due_from_value', 'due_from_unit')} "
-                 f"AND dob BETWEEN valid_from AND coalesce(valid_to, {a})")
-    windows = [f"{add_age_sql('dob', 'count_from_value', 'count_from_unit')} AS window_start",
-               f"{add_age_sql('dob', 'count_to_value', 'count_to_unit')} AS window_end"]
-    joined = r.join(dobs, due).selectExpr("dob", *EXPANDED_RULE_COLUMNS, *windows)
-    return joined.groupBy("dob").agg(F.collect_list(F.struct(
-        *EXPANDED_RULE_COLUMNS, "window_start", "window_end")).alias("due"))
+    latest = latest_birth_sql(as_of, "due_from_value", "due_from_unit")
+    spans = rules.selectExpr("rule_no", "valid_from AS first", f"coalesce(valid_to, {a}) AS last", f"{latest} AS latest")
+    return (spans.where("first IS NOT NULL AND latest IS NOT NULL")
+            .selectExpr("rule_no", "first", "date_add(least(last, latest), 1) AS after").where("first < after"))
+
+
+def due_segments(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The calendar cut where a set of due rules begins or ends.
+
+    The first frame has (segment, begin), segments numbered from 1 in date order and each ending
+    where the next begins; the second has (segment, due), the numbers of the rules due there.
+    """
+    ends = spans.select(F.col("first").alias("begin")).union(spans.select("after")).distinct()
+    begins = ends.withColumn("segment", F.row_number().over(Window.orderBy("begin")))
+    first = begins.selectExpr("begin AS first", "segment AS i")
+    after = begins.selectExpr("begin AS after", "segment AS j")
+    covered = (spans.join(first, "first").join(after, "after")
+               .selectExpr("rule_no", "explode(sequence(i, j - 1)) AS segment"))
+    return begins, covered.groupBy("segment").agg(F.collect_list("rule_no").alias("due"))
+
+
+def segment_of_births(people: DataFrame, begins: DataFrame) -> DataFrame:
+    """(dob, segment): an as-of join of the distinct dates of birth with the segments' begins, as one
+    running value over the sorted dates (one task, bounded by the calendar and the rules)."""
+    days = (begins.select(F.col("begin").alias("dob"), "segment", F.lit(0).alias("birth"))
+            .union(people.select("dob").distinct().withColumns({"segment": F.lit(None).cast("int"), "birth": F.lit(1)})))
+    so_far = Window.orderBy("dob", "birth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (days.withColumn("segment", F.last("segment", ignorenulls=True).over(so_far))
+            .where("birth = 1 AND dob IS NOT NULL AND segment IS NOT NULL").select("dob", "segment"))
 
 
 def expand_rules(population: DataFrame, rules: DataFrame, as_of: dt.date,
                  policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
     """Each person joined to every rule that is due on ``as_of``.
 
-    People with no due rule keep one row with NULL rule columns. Only people at least
-    ``min_population_age_months`` old are in scope. The result is dealt by person.
+    A rule is due when the date of birth lies in its validity range and its due-from age is
+    reached; its counting window is resolved to dates. People with no due rule keep one row with
+    NULL rule columns. Only people at least ``min_population_age_months`` old are in scope. The
+    result is dealt by person.
     """
     people = in_scope_people(population, as_of, policy)
-    due = F.broadcast(due_rules(people, rules, as_of))
-    dealt = people.repartition("person_id").distinct()
-    return (dealt.join(due, "dob", "left")
-            .selectExpr("person_id", "dob", "va_date", "explode_outer(due) AS r")
-            .selectExpr("person_id", "dob", *[f"r.{c}" for c in EXPANDED_RULE_COLUMNS],
-                        "r.window_start", "r.window_end", "va_date"))
+    numbered = numbered_rules(rules)
+    begins, due = due_segments(rule_spans(numbered, as_of))
+    windows = [f"{add_age_sql('dob', 'count_from_value', 'count_from_unit')} AS window_start",
+               f"{add_age_sql('dob', 'count_to_value', 'count_to_unit')} AS window_end"]
+    # broadcast: at most a row a calendar day; a row a segment; a row a rule
+    return (people.repartition("person_id").distinct()
+            .join(F.broadcast(segment_of_births(people, begins)), "dob", "left")
+            .join(F.broadcast(due), "segment", "left")
+            .selectExpr("person_id", "dob", "va_date", "explode_outer(due) AS rule_no")
+            .join(F.broadcast(numbered.select("rule_no", *EXPANDED_RULE_COLUMNS)), "rule_no", "left")
+            .selectExpr("person_id", "dob", *EXPANDED_RULE_COLUMNS, *windows, "va_date"))
+
+
+def running_counts(counts: DataFrame) -> DataFrame:
+    """One row per (person, antigen): the days with events in order, each with the number of events
+    up to and including it (at most one entry a calendar day), and the steps of a binary search."""
+    order = Window.partitionBy("person_id", "antigen_norm").orderBy("event_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (counts.where("event_date IS NOT NULL").withColumn("upto", F.sum("n_events").over(order))
+            .groupBy("person_id", "antigen_norm")
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("event_date").alias("day"), "upto"))).alias("days"))
+            .withColumn("steps", F.expr("transform(sequence(CAST(floor(log2(size(days))) AS INT), 0), i -> shiftleft(1, i))")))
+
+
+def events_before_sql(limit: str, inclusive: bool) -> str:
+    """Number of events up to the date ``limit`` by binary search in ``days`` (`running_counts`)."""
+    place = (f"aggregate(steps, 0, (at, step) -> IF(at + step <= size(days) AND days[at + step - 1].day "
+             f"{'<=' if inclusive else '<'} {limit}, at + step, at))")
+    return f"coalesce(element_at(days, nullif({place}, 0)).upto, 0)"
 
 
 def count_in_window(expanded: DataFrame, counts: DataFrame) -> DataFrame:
     """Number of valid events inside each due rule's counting window (D3).
 
-    Equi-join on (person, antigen) with the window as a residual range; the
-    event side is already one row per (person, antigen, day).
+    An equi-join with one row per (person, antigen), so a rule meets one row however many event
+    days there are; the count is a difference of two running counts.
     """
-    ev = counts.select(F.col("person_id").alias("e_person"), "antigen_norm",
-                       F.col("event_date").alias("e_date"), "n_events")
-    cond = ((expanded.person_id == ev.e_person) & (expanded.antigen == ev.antigen_norm)
-            & (ev.e_date >= expanded.window_start) & (ev.e_date <= expanded.window_end))
-    return (expanded.join(ev, cond, "left")
-            .groupBy(*COUNT_KEYS)
-            .agg(F.coalesce(F.sum("n_events"), F.lit(0)).cast("int").alias("valid_doses_given")))
+    ev = running_counts(counts).withColumnRenamed("person_id", "e_person")
+    n = (f"CASE WHEN days IS NULL OR window_start IS NULL OR window_end IS NULL OR window_start > window_end THEN 0 "
+         f"ELSE {events_before_sql('window_end', True)} - {events_before_sql('window_start', False)} END")
+    return (expanded.join(ev, (expanded.person_id == ev.e_person) & (expanded.antigen == ev.antigen_norm), "left")
+            .withColumn("_n", F.expr(n))
+            .groupBy(*COUNT_KEYS).agg(F.sum("_n").cast("int").alias("valid_doses_given")))

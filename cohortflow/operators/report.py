@@ -2,8 +2,9 @@
 
 The report is keyed and partitioned by person. Person-sized inputs
 (demographics, population) are joined on person after de-duplication on the
-key. Reference dimensions are de-duplicated and joined without any hint: Spark
-broadcasts what it has measured to be small at run time and splits hot keys.
+key. Reference dimensions are de-duplicated; the pipeline stores them and hints a
+broadcast where their stored size allows, so the wide rows stay where they are.
+Else they are shuffled, and Spark splits hot keys.
 Rows without a key are spread over all tasks instead of meeting in one.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortflow import config as C
 from cohortflow.functions import dates as D
 from cohortflow.functions.dates import sql_lit
+from cohortflow.operators.status import pivot_column
 
 
 def q(name: str) -> str:
@@ -28,13 +30,10 @@ def cell_sql(given: str, state: str) -> str:
             f"coalesce(CAST({given} AS STRING), ''), '.', coalesce(CAST({state} AS STRING), '')) END")
 
 
-def report_core(given_pivot: DataFrame, state_pivot: DataFrame, products: list[str]) -> DataFrame:
-    """Doses-given pivot left-joined to the state pivot, one text cell per product."""
-    vm = state_pivot.selectExpr("person_id AS vm_person",
-                                *[f"{q(p)} AS {q('vm__' + p)}" for p in products])
-    j = given_pivot.join(vm, given_pivot.person_id == vm.vm_person, "left")
-    return j.selectExpr("person_id", *[f"{cell_sql(q(p), q('vm__' + p))} AS {q(p)}"
-                                       for p in products])
+def report_core(pivots: DataFrame, products: list[str]) -> DataFrame:
+    """One text cell per product of the doses given and the state (``status.pivot_all``)."""
+    return pivots.selectExpr("person_id", *[
+        f"{cell_sql(q(pivot_column(p, 'doses_given')), q(pivot_column(p, 'state')))} AS {q(p)}" for p in products])
 
 
 def dedupe_on(df: DataFrame, key: str) -> DataFrame:
@@ -58,19 +57,23 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 def demographics_star(core: DataFrame, population: DataFrame, demographics: DataFrame,
                       gp: DataFrame, la: DataFrame, postcodes: DataFrame, deprivation: DataFrame,
-                      schools: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+                      schools: DataFrame, policy: C.Policy = C.DEFAULT_POLICY,
+                      unique: bool = False) -> DataFrame:
     """Demographic, registration, residence, deprivation and age columns from
-    two person sources (population register 'pd', local record 'dd')."""
+    two person sources (population register 'pd', local record 'dd'). ``unique``: the reference
+    tables have one row a key already, perhaps with a broadcast hint."""
     a = sql_lit(policy.as_of)
     pd_ = _prefixed(dedupe_on(population, "person_id"), "pd_")
     dd = _prefixed(dedupe_on(demographics, "person_id"), "dd_")
-    gp, la = dedupe_on(gp, "practice_code"), dedupe_on(la, "la_code")
-    postcodes, deprivation = dedupe_on(postcodes, "postcode"), dedupe_on(deprivation, "lsoa")
+    if not unique:
+        gp, la = dedupe_on(gp, "practice_code"), dedupe_on(la, "la_code")
+        postcodes, deprivation = dedupe_on(postcodes, "postcode"), dedupe_on(deprivation, "lsoa")
+        schools = dedupe_on(schools, "school_code")
     gp_pd, gp_dd = _prefixed(gp, "gp_"), _prefixed(gp, "gpc_")
     la_pd, la_dd = _prefixed(la, "la_"), _prefixed(la, "lac_")
     ons_pd, ons_dd = _prefixed(postcodes, "ons_"), _prefixed(postcodes, "onsc_")
     imd_pd, imd_dd = _prefixed(deprivation, "imd_"), _prefixed(deprivation, "imdc_")
-    sch = _prefixed(dedupe_on(schools, "school_code"), "sch_")
+    sch = _prefixed(schools, "sch_")
 
     j = (core.join(dd, core.person_id == dd.dd_person_id, "left")
          .join(pd_, core.person_id == pd_.pd_person_id, "left")
@@ -146,10 +149,10 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
     )
 
 
-def name_repair(report: DataFrame, ccg: DataFrame, policy: C.Policy = C.DEFAULT_POLICY) -> DataFrame:
+def name_repair(report: DataFrame, ccg: DataFrame, policy: C.Policy = C.DEFAULT_POLICY, unique: bool = False) -> DataFrame:
     """Where a CCG code is present but its name is missing, look the
     name up in the CCG dimension, falling back to 'Out of Area CCG'."""
-    d = _prefixed(dedupe_on(ccg, "ccg_code"), "ccgd_")
+    d = _prefixed(ccg if unique else dedupe_on(ccg, "ccg_code"), "ccgd_")
     j = report.join(d, d.ccgd_ccg_code == _spread("ccg_code"), "left")
     return j.withColumn("ccg_name", F.expr(
         f"CASE WHEN ccg_code IS NOT NULL AND ccg_name IS NULL "

@@ -50,10 +50,27 @@ def tri_state(status: DataFrame) -> DataFrame:
     return status.select("person_id", "product", state.alias("state"))
 
 
-def pivot_products(df: DataFrame, value: str, products: list[str]) -> DataFrame:
-    """One row per person, one column per product (max of ``value``).
+PIVOT_VALUES = ("state", "doses_given", "doses_required")
 
-    The product list is passed explicitly, so Spark needs no extra job to find
-    the pivot values; the aggregation is partitioned by person.
+
+def pivot_column(product: str, value: str) -> str:
+    """Name of a product's column in :func:`pivot_all`."""
+    return f"{product}_{value}"
+
+
+def pivot_all(states: DataFrame, doses: DataFrame, products: list[str]) -> DataFrame:
+    """One row per person with three columns for each product (the largest state, doses given
+    and doses required), by one aggregate over both inputs.
+
+    The product list is passed explicitly, so Spark needs no extra job to find the pivot values.
     """
-    return df.groupBy("person_id").pivot("product", products).agg(F.max(value))
+    rows = (states.selectExpr("person_id", "product", "state", "CAST(NULL AS INT) AS doses_given", "CAST(NULL AS INT) AS doses_required")
+            .union(doses.selectExpr("person_id", "product", "CAST(NULL AS INT) AS state", "doses_given", "doses_required")))
+    # dealt by person once: both steps of the pivot stay there, and there is little to combine before
+    return (rows.repartition("person_id").groupBy("person_id").pivot("product", products)
+            .agg(*[F.max(v).alias(v) for v in PIVOT_VALUES]))
+
+
+def pivot_part(pivots: DataFrame, value: str, products: list[str]) -> DataFrame:
+    """One of the three pivots: one column for each product."""
+    return pivots.select("person_id", *[F.col(f"`{pivot_column(p, value)}`").alias(p) for p in products])

@@ -3,9 +3,11 @@
 ``ReportPipeline`` exposes every intermediate stage as a lazily built, cached
 DataFrame, so a caller (or a registered query) can stop at any stage. Stages
 that several later ones read - the per-person dose series and event summary,
-the final antigen rows and the final product status - are materialised in the
-session's shared checkpoint folder, which cuts the plan lineage and lets a lost
-executor recover from the checkpoint instead of recomputing the whole chain.
+the final antigen rows and the final product status - are stored in the
+session's shared checkpoint folder as tables bucketed by person: a lost executor
+costs no recomputation of what came before, and what joins or groups them by
+person needs no exchange. Reference tables are stored too, and broadcast if
+their stored size allows. ``close()`` removes all of them.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 
 from cohortflow import config as C
 from cohortflow.operators import dosing, eligibility, flags, overrides, report, series, status, text
-from cohortflow.plans.sizing import checked_rules, cut_lineage
+from cohortflow.plans.outputs import publish, with_dense_id
+from cohortflow.plans.sizing import Stages, checked_rules
 from cohortflow.sources.schedules import normalised_rules
 from cohortflow.sources.tables import Sources
 
@@ -29,10 +32,22 @@ class ReportPipeline:
         self.rules = checked_rules(normalised_rules(rules), policy.max_rules)
         self.policy = policy
         self._products = products
-        self.materialize = materialize
+        self.stages = Stages(stored=materialize)
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        return cut_lineage(df) if self.materialize else df
+        return self.stages.cut(df, "person_id")
+
+    def close(self) -> None:
+        """Remove the stored stages; the pipeline's frames can't be read any more."""
+        self.stages.close()
+
+    @cached_property
+    def dimensions(self) -> dict[str, DataFrame]:
+        """The reference tables, one row a key."""
+        s = self.src
+        return {name: self.stages.small(report.dedupe_on(df, key)) for name, df, key in (
+            ("gp", s.gp, "practice_code"), ("la", s.la, "la_code"), ("postcodes", s.postcodes, "postcode"),
+            ("deprivation", s.deprivation, "lsoa"), ("schools", s.schools, "school_code"), ("ccg", s.ccg, "ccg_code"))}
 
     # -- metadata ------------------------------------------------------------
     @cached_property
@@ -141,32 +156,37 @@ class ReportPipeline:
     def states(self) -> DataFrame:
         return status.tri_state(self.product_status)
 
+    @cached_property
+    def pivots(self) -> DataFrame:
+        """State, doses given and doses required of every product, one row a person."""
+        return status.pivot_all(self.states, self.doses, self.products)
+
     @cached_property
     def pivot_state(self) -> DataFrame:
-        return status.pivot_products(self.states, "state", self.products)
+        return status.pivot_part(self.pivots, "state", self.products)
 
     @cached_property
     def pivot_given(self) -> DataFrame:
-        return status.pivot_products(self.doses, "doses_given", self.products)
+        return status.pivot_part(self.pivots, "doses_given", self.products)
 
     @cached_property
     def pivot_required(self) -> DataFrame:
-        return status.pivot_products(self.doses, "doses_required", self.products)
+        return status.pivot_part(self.pivots, "doses_required", self.products)
 
     # -- D15-D21 -------------------------------------------------------------
     @cached_property
     def core(self) -> DataFrame:
-        return report.report_core(self.pivot_given, self.pivot_state, self.products)
+        return report.report_core(self.pivots, self.products)
 
     @cached_property
     def with_demographics(self) -> DataFrame:
-        s = self.src
-        return report.demographics_star(self.core, s.population, s.demographics, s.gp, s.la,
-                                        s.postcodes, s.deprivation, s.schools, self.policy)
+        s, d = self.src, self.dimensions
+        return report.demographics_star(self.core, s.population, s.demographics, d["gp"], d["la"], d["postcodes"],
+                                        d["deprivation"], d["schools"], self.policy, unique=True)
 
     @cached_property
     def repaired(self) -> DataFrame:
-        return report.name_repair(self.with_demographics, self.src.ccg, self.policy)
+        return report.name_repair(self.with_demographics, self.dimensions["ccg"], self.policy, unique=True)
 
     @cached_property
     def combined(self) -> DataFrame:
@@ -214,22 +234,12 @@ OUTPUTS = ("vaccines_met", "doses_given", "doses_required", "report")
 
 
 def write_outputs(pipeline: ReportPipeline, base_path: str) -> dict[str, str]:
-    """Write the three pivots and the report as parquet under ``base_path``.
-
-    ``mode("overwrite")`` replaces any earlier run, so a re-run is idempotent.
-    The report is written last; each output is one Spark job writing in
-    parallel from its partitions (no driver collect).
-    """
+    """Publish the three pivots and the report (with dense ids) under ``base_path`` as one
+    (see :mod:`cohortflow.plans.outputs`); the paths by name. A re-run replaces the earlier one."""
     frames = {"vaccines_met": pipeline.pivot_state, "doses_given": pipeline.pivot_given,
-              "doses_required": pipeline.pivot_required, "report": pipeline.full_report}
-    paths = {}
-    for name in OUTPUTS:
-        path = f"{base_path.rstrip('/')}/{name}"
-        if name == "report":  # S11: an id for each row, unique but not dense
-            frames[name] = frames[name].withColumn("row_id", F.monotonically_increasing_id())
-        frames[name].write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
+              "doses_required": pipeline.pivot_required,
+              "report": with_dense_id(pipeline.full_report, "row_id", pipeline.stages)}
+    return publish(pipeline.rules.sparkSession, base_path, {name: frames[name] for name in OUTPUTS})
 
 
 def overrides_hpv(product_status: DataFrame, rep: DataFrame, policy: C.Policy) -> DataFrame:
