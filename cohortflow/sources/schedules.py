@@ -52,57 +52,57 @@ CSV_COLUMNS = {
 
 _UNITS = {"W": "Week", "M": "Month", "Y": "Year"}
 
-# Test schedule: deliberately overlapping stages so that every allocation
-# branch and every override can fire on the synthetic population.
+# Test schedule, invented for the synthetic population: stages overlap and validities break so that
+# every allocation branch and every override fires. Antigens are grouped, whatever the product.
 # rule|prev|antigen|required|product|stage|due_from|due_to|split|count_from|count_to|dob_from|dob_to
 TEST_SCHEDULE = """
-1||ROTA|1|ROTA|Primary|W12|W16||W6|W24|1989-01-01|
-2||ROTA|2|ROTA|Primary|W16|W24||W6|W24|1989-01-01|
-3||DIPH|1|6IN1-Primary|Primary|M3|Y20||W6|Y20|1989-01-01|
-4||DIPH|2|6IN1-Primary|Primary|M4|Y20||W0|Y20|1989-01-01|
-5||DIPH|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
-6|5|DIPH|1|6IN1-18Month|18 Month|M19|Y20|1|M15|Y20|2024-07-01|
-7|5|DIPH|1|4IN1|Preschool|M42|Y20|1|M36|Y20|1989-01-01|2024-06-30
-8|7|DIPH|1|DTP|School|Y15|Y20||Y11|Y20|1989-01-01|
-9||PERT|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
-10|9|PERT|1|4IN1|Preschool|M42|Y20|1|M36|Y20|1989-01-01|2024-06-30
-11|9|PERT|1|6IN1-18Month|18 Month|M19|Y20||M15|Y20|2024-07-01|
-12||HIB|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
-13||HIB|1|HIBMENC|12 Month|M14|Y10||W51|Y20|2006-09-01|2024-06-30
-14||MENC|1|HIBMENC|12 Month|M14|Y10||W51|Y20|2006-09-01|2024-06-30
-15||MENB|1|MENB-Primary|Primary|M3|Y1||W6|Y1|2015-06-01|
-16||MENB|2|MENB-Primary|Primary|M4|Y1||W0|Y1|2015-06-01|
-17|16|MENB|1|MENB-12Month|12 Month|M14|Y2||Y1|Y20|2015-06-01|
-18||PCV|1|PCV-Primary|Primary|M5|M12||W6|Y1|2020-01-01|
-19|18|PCV|1|PCV-12Month|12 Month|M14|M24||Y1|Y2|2020-01-01|
-20||MMR|1|MMR-1|12 Month|M14|Y20|0|Y1|Y20|1989-01-01|2024-12-31
-21|20|MMR|1|MMR-2|Preschool|M42|Y20|1|Y1|Y20|1989-01-01|2022-08-31
-22||MMR|1|MMRV-1|12 Month|M14|Y20|1|M12|Y20|2025-01-01|
-23||VAR|1|MMRV-1|12 Month|M14|Y20|1|M12|Y20|2025-01-01|
-24|22|MMR|1|MMRV-2|18 Month|M19|Y20|1|M12|Y20|2025-01-01|
-25|23|VAR|1|MMRV-2|18 Month|M19|Y20|1|M12|Y20|2025-01-01|
-26||MMR|1|MMRV-1|12 Month|M19|Y20|1|M12|Y20|2024-07-01|2024-12-31
-27||VAR|1|MMRV-1|12 Month|M19|Y20|1|M12|Y20|2024-07-01|2024-12-31
-28|26|MMR|1|MMRV-2|18 Month|M24|Y20|1|M12|Y20|2024-07-01|2024-12-31
-29|27|VAR|1|MMRV-2|18 Month|M24|Y20|1|M12|Y20|2024-07-01|2024-12-31
-30||MMR|1|MMRV-1|12 Month|M30|M48|1|M12|Y20|2022-09-01|2024-06-30
-31||VAR|1|MMRV-1|12 Month|M30|M48|1|M12|Y20|2022-09-01|2024-06-30
-32|30|MMR|1|MMRV-2|18 Month|M30|M36|1|M12|Y20|2022-09-01|2024-06-30
-33|31|VAR|1|MMRV-2|18 Month|M30|M36|1|M12|Y20|2022-09-01|2024-06-30
-34||HPV|1|HPV|School|Y14|Y25||Y12|Y13|1989-01-01|
-35||ACWY|1|MEACWY|School|Y15|Y20||Y10|Y20|1989-01-01|
-36|34|HPV|1|HPV-B|School|Y15|Y20||Y12|Y20|1989-01-01|
-37||MMR|1|MMR-2|Preschool|M42|Y20||Y1|Y20|2022-09-01|2023-02-28
-38|20|MMR|1|MMR-2|Preschool|M42|Y20|1|Y1|Y20|2023-03-01|2023-12-15
-39||MMR|1|MMR-2|Preschool|M30|Y20||Y1|Y20|2023-12-16|2024-06-30
-40||MMR|2|MMR-1|Preschool|M42|Y20||Y1|Y20|2010-01-01|2012-12-31
-41||TET|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
-42||POLIO|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|1989-01-01|
-43||HEPB|3|6IN1-Primary|Primary|M5|Y20||W0|Y20|2017-08-01|
+1||DIPH|1|6IN1-Primary|Primary|W14|Y19||W5|Y19|1988-03-01|
+2||MENB|1|MENB-Primary|Primary|W13|M11||W5|M11|2014-11-01|
+3||ROTA|1|ROTA|Primary|W11|W18||W5|W26|1988-03-01|
+4||DIPH|2|6IN1-Primary|Primary|W18|Y19||W0|Y19|1988-03-01|
+5||DIPH|3|6IN1-Primary|Primary|W23|Y19||W0|Y19|1988-03-01|
+6|5|DIPH|1|4IN1|Preschool|M40|Y19|1|M34|Y19|1988-03-01|2024-04-30
+7|6|DIPH|1|DTP|School|Y14|Y19||Y10|Y19|1988-03-01|
+8|5|DIPH|1|6IN1-18Month|18 Month|M18|Y19|1|M14|Y19|2024-05-01|
+9||HEPB|3|6IN1-Primary|Primary|W23|Y19||W0|Y19|2016-10-01|
+10||HIB|3|6IN1-Primary|Primary|W23|Y19||W0|Y19|1988-03-01|
+11||POLIO|3|6IN1-Primary|Primary|W23|Y19||W0|Y19|1988-03-01|
+12||TET|3|6IN1-Primary|Primary|W23|Y19||W0|Y19|1988-03-01|
+13||HIB|1|HIBMENC|12 Month|M13|Y11||W50|Y19|2006-04-01|2024-04-30
+14||MENC|1|HIBMENC|12 Month|M13|Y11||W50|Y19|2006-04-01|2024-04-30
+15||ROTA|2|ROTA|Primary|W15|W26||W5|W26|1988-03-01|
+16||MENB|2|MENB-Primary|Primary|W17|M11||W0|M11|2014-11-01|
+17|16|MENB|1|MENB-12Month|12 Month|M13|Y3||M11|Y19|2014-11-01|
+18||PERT|3|6IN1-Primary|Primary|W23|Y19||W0|Y19|1988-03-01|
+19|18|PERT|1|6IN1-18Month|18 Month|M18|Y19||M14|Y19|2024-05-01|
+20|18|PERT|1|4IN1|Preschool|M40|Y19|1|M34|Y19|1988-03-01|2024-04-30
+21||PCV|1|PCV-Primary|Primary|W22|M13||W5|M12|2019-05-01|
+22|21|PCV|1|PCV-12Month|12 Month|M13|M27||M12|M27|2019-05-01|
+23||ACWY|1|MEACWY|School|Y14|Y19||Y9|Y19|1988-03-01|
+24||HPV|1|HPV|School|Y13|Y24||Y11|Y13|1988-03-01|
+25|24|HPV|1|HPV-B|School|Y14|Y19||Y11|Y19|1988-03-01|
+26||VAR|1|MMRV-1|12 Month|M13|Y19|1|M12|Y19|2024-11-01|
+27|26|VAR|1|MMRV-2|18 Month|M18|Y19|1|M12|Y19|2024-11-01|
+28||VAR|1|MMRV-1|12 Month|M18|Y19|1|M12|Y19|2024-05-01|2024-10-31
+29|28|VAR|1|MMRV-2|18 Month|M23|Y19|1|M12|Y19|2024-05-01|2024-10-31
+30||VAR|1|MMRV-1|12 Month|M28|M50|1|M12|Y19|2022-05-01|2024-04-30
+31|30|VAR|1|MMRV-2|18 Month|M28|M38|1|M12|Y19|2022-05-01|2024-04-30
+32||MMR|1|MMRV-1|12 Month|M13|Y19|1|M12|Y19|2024-11-01|
+33|32|MMR|1|MMRV-2|18 Month|M18|Y19|1|M12|Y19|2024-11-01|
+34||MMR|1|MMRV-1|12 Month|M18|Y19|1|M12|Y19|2024-05-01|2024-10-31
+35|34|MMR|1|MMRV-2|18 Month|M23|Y19|1|M12|Y19|2024-05-01|2024-10-31
+36||MMR|1|MMRV-1|12 Month|M28|M50|1|M12|Y19|2022-05-01|2024-04-30
+37|36|MMR|1|MMRV-2|18 Month|M28|M38|1|M12|Y19|2022-05-01|2024-04-30
+38||MMR|1|MMR-1|12 Month|M13|Y19|0|M12|Y19|1988-03-01|2024-10-31
+39|38|MMR|1|MMR-2|Preschool|M40|Y19|1|M12|Y19|1988-03-01|2022-04-30
+40||MMR|1|MMR-2|Preschool|M40|Y19||M12|Y19|2022-05-01|2022-12-31
+41|38|MMR|1|MMR-2|Preschool|M40|Y19|1|M12|Y19|2023-01-01|2023-11-30
+42||MMR|1|MMR-2|Preschool|M28|Y19||M12|Y19|2023-12-01|2024-04-30
+43||MMR|2|MMR-1|Preschool|M40|Y19||M12|Y19|2009-06-01|2012-02-29
 """
 
 # The same schedule with a product that any MMR-containing dose counts for.
-ANY_MMR_SCHEDULE = TEST_SCHEDULE + "44||MMR|2|MMR(V)-1|12 Month|M14|Y20||Y1|Y20|1989-01-01|\n"
+ANY_MMR_SCHEDULE = TEST_SCHEDULE + "44||MMR|2|MMR(V)-1|12 Month|M13|Y19||M12|Y19|1988-03-01|\n"
 
 
 def _age(token: str) -> tuple[str, int]:
