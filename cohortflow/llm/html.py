@@ -1,24 +1,29 @@
 """Main text of pages: element subtrees that recur across a host are its template and go.
 
 A first pass hashes every element subtree (tag, attributes without link targets, text, children) and
-counts, per host, on how many pages each hash occurs; counts are summed in each task before they are
-shuffled. A subtree that is on ``MIN_PAGES`` pages of its host is template, however many pages the host
-has; in ``article`` or ``main`` it has to be on ``MIN_SHARE`` of them too. A second pass joins the
+counts, per host, on how many pages of different content each hash occurs; a task sums rows and keeps
+at most ``MIN_PAGES`` contents of each before anything is shuffled. Pages with equal bodies are copies
+and one content. A subtree in ``MIN_PAGES`` contents of its host is template, however many pages the
+host has; in ``article`` or ``main`` it has to be on ``MIN_SHARE`` of them too. A second pass joins the
 subtrees of each page with the templates, one row each, and groups the hits by page, so no task gets
-the list of a whole host. A third one writes the text blocks that lie in none of the page's hits.
+the list of a whole host. A third one writes the text blocks that lie in none of the page's hits. If
+these would take nearly all text of a page, it is a near copy of others, and its text stays.
 
 Elements that are no article text by their tag, role or class (menus, headers and footers of the
 page, asides, forms, scripts, adverts, notices, comments) go by that alone, so a page whose host has
 too few pages for counting is cleaned too. A class or id counts by whole tokens and known compounds,
-and not on an element that wraps the page's article or most of its paragraph text. If a page has ``article`` or ``main`` elements, only text
-in them counts; there, a recurring text block (paragraph, heading, list, table ...) stays, since
-pages may quote the same passage, and other recurring subtrees go.
+and not on an element that wraps the page's article or most of its paragraph text, nor, within an
+article, on one that holds most of it (unless it is marked as comments, an advert or the like). If
+``article`` and ``main`` elements hold as much text as the paragraphs outside, only text in them counts;
+there, a recurring text block (paragraph, heading, list, table ...) stays, since pages may quote the
+same passage, and other recurring subtrees go.
 
 Blocks are split at block elements; white space in a block becomes one space; ``br`` is white space.
 
 Edge cases: null or empty html gives the empty text. Null or hostless urls take no part in counting
 and have no template. Unclosed and stray tags, cut-off pages and raw text elements follow the usual
-rules of browsers. Repeated rows count once for each row; further columns are not touched.
+rules of browsers, in time that grows with the length of the page. Repeated rows and copies under other
+addresses count once; further columns are not touched.
 """
 
 from __future__ import annotations
@@ -37,11 +42,6 @@ from pyspark.sql import functions as F
 from cohortflow.llm import common as C
 
 MIN_PAGES, MIN_SHARE = 5, 0.05
-#: A subtree on more pages than this, and than one in COMMON_SHARE of all pages, is dealt to several
-#: tasks; so there are at most COMMON_SHARE times the subtrees of a page of these, which bounds what
-#: is broadcast.
-COMMON, COMMON_SHARE = 64, 10_000
-
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
@@ -70,6 +70,12 @@ COMPANIONS = frozenset("""site page main global top bottom left right center pri
  js wp""".split())
 #: An element with this share of the page's paragraph text is a wrapper, whatever its class.
 WRAPPER_SHARE = 0.75
+#: If templates would leave less than this share of a page's article or paragraph text, the page is a
+#: copy of others with small differences, and its text stays.
+LEAST_SHARE = 0.1
+#: In an article these mark no article text however long they are.
+NEVER_TEXT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments disqus
+ replies respond adslot adbox adunit adsense related recommended newsletter subscribe subscription breadcrumb breadcrumbs pagination pager""".split())
 #: These mark the header of a page, but within an article the place of its heading.
 HEADER_WORDS = frozenset("header masthead topbar".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar alertdialog".split())
@@ -112,6 +118,11 @@ def is_noise_by_class(attributes: str) -> bool:
     return any(marked(v, NOISE_WORDS) for v in _named(attributes))
 
 
+@functools.lru_cache(maxsize=4096)
+def is_never_text(attributes: str) -> bool:
+    return any(marked(v, NEVER_TEXT) for v in _named(attributes))
+
+
 @functools.lru_cache(maxsize=4096)
 def is_header_by_class(attributes: str) -> bool:
     return any(marked(v, HEADER_WORDS) for v in _named(attributes))
@@ -123,6 +134,41 @@ def identity(tag: str, attributes: str) -> str:
     return tag + "".join(f" {n.lower()}={v}" for n, v in ATTRIBUTE.findall(attributes) if n.lower() not in ("href", "src", "action", "value"))
 
 
+class _Open:
+    """The open elements, with the places of each tag and of the blocks among them."""
+
+    def __init__(self, tags: list[str]) -> None:
+        self.tags, self.elements = tags, [0]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def top(self) -> int:
+        return self.elements[-1]
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag; 0 if there is none."""
+        found = self.places.get(tag)
+        return found[-1] if found else 0
+
+    def last_block(self) -> int:
+        return self.blocks[-1] if self.blocks else 0
+
+    def push(self, i: int) -> None:
+        tag, place = self.tags[i], len(self.elements)
+        self.elements.append(i)
+        self.places.setdefault(tag, []).append(place)
+        if tag in BLOCKS:
+            self.blocks.append(place)
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        for i in self.elements[place:]:
+            self.places[self.tags[i]].pop()
+        del self.elements[place:]
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+
+
 class Page:
     """Elements in page order: ``tag``, ``attributes``, ``parent``, and ``items``, the sequence of
     (element number, text) with a text of None where an element of block kind begins or ends."""
@@ -130,7 +176,7 @@ class Page:
     def __init__(self, html: str) -> None:
         self.tag, self.attributes, self.parent = ["#root"], [""], [-1]
         self.items: list[tuple[int, str | None]] = []
-        stack, at, n = [0], 0, len(html)
+        stack, at, n = _Open(self.tag), 0, len(html)
         while at < n:
             m = TOKEN.match(html, at)
             at = m.end()
@@ -143,46 +189,38 @@ class Page:
                 i = len(self.tag)
                 self.tag.append(tag)
                 self.attributes.append(m[2])
-                self.parent.append(stack[-1])
+                self.parent.append(stack.top())
                 if tag in BLOCKS:
                     self.items.append((i, None))
                 elif tag == "br":
-                    self.items.append((stack[-1], " "))
+                    self.items.append((stack.top(), " "))
                 if tag in RAW:
                     end = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.I).search(html, at)
                     self.items.append((i, html[at: end.start() if end else n]))
                     at = end.end() if end else n
                 elif tag not in VOID and not m[2].endswith("/"):
-                    stack.append(i)
+                    stack.push(i)
             elif m[3]:
                 tag = m[3].lower()
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == tag:
-                        if tag in BLOCKS or any(self.tag[x] in BLOCKS for x in stack[k:]):
-                            self.items.append((stack[k], None))
-                        del stack[k:]
-                        break
-                    if tag not in BLOCKS and self.tag[stack[k]] in BLOCKS:
-                        break  # an inline end tag does not close the block around it
-                else:
-                    if tag == "p":  # a stray one is an empty paragraph
-                        self.items.append((stack[-1], None))
+                k = stack.last(tag)
+                if k and (tag in BLOCKS or k > stack.last_block()):  # an inline end tag does not close the block around it
+                    if stack.last_block() >= k:
+                        self.items.append((stack.elements[k], None))
+                    stack.cut(k)
+                elif tag == "p":  # a stray one is an empty paragraph
+                    self.items.append((stack.top(), None))
             elif m[0][0] != "<" or m[0] == "<":
-                self.items.append((stack[-1], m[0]))
-
-    def _close(self, stack: list[int], tags: set[str], scope: set[str], by: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[k]]
-            if tag in tags:
-                self.items.append((stack[k], None))
-                del stack[k:]
-                if by not in SIBLINGS or by in ("li", "dt", "dd", "option"):
-                    return
-            elif tag in scope:
+                self.items.append((stack.top(), m[0]))
+
+    def _close(self, stack: _Open, tags: set[str], scope: set[str], by: str) -> None:
+        while (k := max(map(stack.last, tags))) > max(map(stack.last, scope)):
+            self.items.append((stack.elements[k], None))
+            stack.cut(k)
+            if by not in SIBLINGS or by in ("li", "dt", "dd", "option"):
                 return
 
-    def hashes(self) -> list[bytes]:
-        """A 64-bit digest of each subtree."""
+    @functools.cached_property
+    def _digests(self) -> list[bytes]:
         parts: list[list[str]] = [[identity(t, a)] for t, a in zip(self.tag, self.attributes)]
         for i, text in self.items:
             if text is not None and (x := SPACE.sub(" ", text).strip()):
@@ -216,27 +254,63 @@ class Page:
             return {i for i in range(n) if main[i] or article[i] and 2 * article[i] >= article[0]}
         return {i for i in range(n) if paragraph[i] and paragraph[i] >= WRAPPER_SHARE * paragraph[0]}
 
+    def content(self) -> bytes:
+        """Digest of what the page shows: equal for copies of a page, whatever their heads say."""
+        subtree = self.hashes()
+        return subtree[next((i for i, tag in enumerate(self.tag) if tag == "body"), 0)]
+
+    def bulk(self) -> set[int]:
+        """Elements that hold most of the text of the article or main element around them or, outside
+        of these, of the page's paragraphs. What is no article text by its tag, role or plain mark
+        (`NEVER_TEXT`) does not count and is not among them."""
+        n = len(self.tag)
+        gone, home, paragraph, text = [False] * n, [0] * n, [False] * n, [0] * n
+        for i in range(1, n):
+            p, tag = self.parent[i], self.tag[i]
+            gone[i] = gone[p] or is_noise(tag, self.attributes[i]) or is_never_text(self.attributes[i])
+            home[i] = i if tag in ("article", "main") else home[p]
+            paragraph[i] = paragraph[p] or tag in ("p", "pre", "blockquote")
+        total: Counter = Counter()
+        for i, x in self.items:
+            if x is not None and not gone[i] and (home[i] or paragraph[i]):
+                text[i] += len(x.strip())
+                total[home[i]] += len(x.strip())
+        out = set()
+        for i in range(n - 1, 0, -1):  # children come after their parents
+            if text[i] and home[i] != i and text[i] >= WRAPPER_SHARE * total[home[i]]:
+                out.add(i)
+            if home[self.parent[i]] == home[i]:
+                text[self.parent[i]] += text[i]
+        return out
+
     def frame(self) -> tuple[list[bool], list[bool]]:
         """For each element, whether it goes without regard to templates, and whether it is in an
         article or main element."""
         n = len(self.tag)
         noise, within = [False] * n, [False] * n
-        wraps = None
+        wraps = bulk = None
         for i in range(1, n):
             p, tag = self.parent[i], self.tag[i]
             within[i] = within[p] or tag in ("article", "main")
             noise[i] = noise[p] or is_noise(tag, self.attributes[i]) or tag == "header" and not within[p]
             # the header of a page goes, that of an article holds its heading
             if not noise[i] and tag not in ("html", "body", "article", "main") and (is_noise_by_class(self.attributes[i]) or not within[p] and is_header_by_class(self.attributes[i])):
-                if not within[p] and wraps is None:
-                    wraps = self.wrappers()
-                noise[i] = within[p] or i not in wraps
+                if within[p]:
+                    bulk = self.bulk() if bulk is None else bulk
+                    noise[i] = i not in bulk
+                else:
+                    wraps = self.wrappers() if wraps is None else wraps
+                    noise[i] = i not in wraps
         return noise, within
 
     def may_go(self, i: int, within: bool) -> bool:
         """Whether an element goes if its subtree is template."""
         return self.tag[i] not in ("html", "body", "article", "main") and not (within and (self.tag[i] in TEXT_BLOCKS or self.tag[i] not in BLOCKS))
 
+    def hashes(self) -> list[bytes]:
+        """A 64-bit digest of each subtree."""
+        return self._digests
+
     def candidates(self) -> set[tuple[bytes, bool]]:
         """Subtrees that go if they are template, and whether they are in an article."""
         noise, within = self.frame()
@@ -246,11 +320,19 @@ class Page:
         """Text blocks without subtrees of ``template`` and, in an article, of ``inside``."""
         n = len(self.tag)
         noise, within = self.frame()
+        paragraph = [False] * n
+        for i in range(1, n):
+            paragraph[i] = paragraph[self.parent[i]] or self.tag[i] in ("p", "pre", "blockquote")
+        size = [(i, len(x.strip())) for i, x in self.items if x is not None and not noise[i]]
+        body = [(i, k) for i, k in size if paragraph[i] or within[i]]
         if template or inside:
-            subtree = self.hashes()
+            subtree, gone = self.hashes(), noise.copy()
             for i in range(1, n):
-                noise[i] = noise[i] or noise[self.parent[i]] or subtree[i] in (inside if within[i] else template) and self.may_go(i, within[i])
-        only = any(within[i] and not noise[i] for i in range(n))
+                gone[i] = gone[i] or gone[self.parent[i]] or subtree[i] in (inside if within[i] else template) and self.may_go(i, within[i])
+            if not body or sum(k for i, k in body if not gone[i]) >= LEAST_SHARE * sum(k for _, k in body):
+                noise = gone
+        own = sum(k for i, k in size if within[i] and not noise[i])
+        only = own and own >= sum(k for i, k in size if paragraph[i] and not within[i] and not noise[i])
         out: list[str] = []
         block: list[str] = []
         for i, text in [*self.items, (0, None)]:
@@ -271,29 +353,38 @@ def _long(digests: Iterable[bytes]) -> pa.Array:
     return pa.array([int.from_bytes(d, "little", signed=True) for d in digests], pa.int64())
 
 
-def template_counts(pages: DataFrame) -> DataFrame:
-    """(site, subtree, n): on how many pages of a host a subtree occurs."""
+def template_counts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(site, subtree, n, contents): on how many pages of a host a subtree occurs, and on how many of
+    different content; of these each task counts ``min_pages`` at most, which is all that matters."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
+        contents: dict[tuple, list[bytes]] = {}
 
         def flush() -> pa.RecordBatch:
-            keys = list(count)
-            batch = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), _long(k[1] for k in keys), pa.array(list(count.values()), pa.int64())], names=["site", "subtree", "n"])
+            rows = [(*key, x, count[key] if i == 0 else 0) for key, found in contents.items() for i, x in enumerate(found)]
+            site, subtree, content, n = zip(*rows)
             count.clear()
-            return batch
+            contents.clear()
+            return pa.RecordBatch.from_arrays([pa.array(site, pa.int64()), _long(subtree), _long(content), pa.array(n, pa.int64())], names=["site", "subtree", "content", "n"])
 
         for batch in batches:
             for part in C.slices(batch, 1):
                 for site, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     page = Page(html or "")
-                    count.update((site, h) for h in set(page.hashes()[1:]))
-                if len(count) > 500_000:
+                    content = page.content()
+                    for h in set(page.hashes()[1:]):
+                        count[site, h] += 1
+                        found = contents.setdefault((site, h), [])
+                        if len(found) < min_pages and content not in found:
+                            found.append(content)
+                if len(count) > 300_000:
                     yield flush()
         if count:
             yield flush()
 
     named = pages.where("site IS NOT NULL").select("site", "html")
-    return named.mapInArrow(run, "site long, subtree long, n long").groupBy("site", "subtree").agg(F.sum("n").alias("n"))
+    rows = named.mapInArrow(run, "site long, subtree long, content long, n long").groupBy("site", "subtree", "content").agg(F.sum("n").alias("n"))
+    return rows.groupBy("site", "subtree").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("contents"))
 
 
 def candidate_rows(pages: DataFrame) -> DataFrame:
@@ -310,22 +401,17 @@ def candidate_rows(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(site, subtree, n, often): subtrees on ``min_pages`` pages of a host, and whether these are
-    ``min_share`` of its pages."""
+    """(site, subtree, often): subtrees on ``min_pages`` pages of a host that differ in content, and
+    whether these are ``min_share`` of its pages."""
     totals = pages.where("site IS NOT NULL").groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
-    counts = template_counts(pages).where(F.col("n") >= min_pages)
-    return counts.join(totals, "site").select("site", "subtree", "n", (F.col("n") >= min_share * F.col("pages")).alias("often"))
+    counts = template_counts(pages, min_pages).where(F.col("contents") >= min_pages)
+    return counts.join(totals, "site").select("site", "subtree", (F.col("n") >= min_share * F.col("pages")).alias("often"))
 
 
-def page_hits(pages: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+def page_hits(pages: DataFrame, found: DataFrame) -> DataFrame:
     """(key, outside, inside): the template subtrees of each page, by whether they are in its
-    article. The rows of a subtree on more than ``limit`` pages are dealt to several tasks."""
-    common = F.broadcast(found.where(F.col("n") > limit).select("site", "subtree", F.ceil(F.col("n") / limit).alias("tasks")))
-    tasks = F.coalesce("tasks", F.lit(1)).cast("long")
-    rows = candidate_rows(pages).join(common, ["site", "subtree"], "left").select("site", "subtree", F.pmod("key", tasks).alias("task"), "key", "within")
-    dealt = F.when(F.col("n") > limit, F.ceil(F.col("n") / limit)).otherwise(1).cast("long")
-    found = found.select("site", "subtree", "often", F.explode(F.sequence(F.lit(0).cast("long"), dealt - 1)).alias("task"))
-    hits = rows.join(found, ["site", "subtree", "task"]).where("often OR NOT within")
+    article. A subtree on very many pages is a hot key of a plain join, which Spark splits."""
+    hits = candidate_rows(pages).join(found, ["site", "subtree"]).where("often OR NOT within")
     return hits.groupBy("key").agg(F.collect_set(F.expr("IF(within, NULL, subtree)")).alias("outside"), F.collect_set(F.expr("IF(within, subtree, NULL)")).alias("inside"))
 
 
@@ -340,7 +426,7 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", out_
     plain = [F.col("row")[c] for c in rest if not pages.schema[c].dataType.typeName().startswith(("map", "struct", "array", "variant"))]
     rows = rows.select("row", "html", F.when(F.col("host") != "", F.xxhash64("host")).alias("site"), F.xxhash64("html", *plain).alias("key"))
     found = C.stored(templates(rows, min_pages, min_share), "templates")
-    hits = page_hits(rows, found, max(COMMON, rows.count() // COMMON_SHARE))
+    hits = page_hits(rows, found)
     joined = rows.join(hits, "key", "left").select("row", "html", "outside", "inside")
 
     def main_text(batch: pa.RecordBatch) -> pa.RecordBatch:

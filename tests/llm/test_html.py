@@ -95,3 +95,92 @@ def test_query_and_empty_table(spark, tmp_path):
 def test_hash_ignores_link_targets_only():
     a, b, c = (html.Page(x).hashes()[1] for x in ('<p class="k"><a href="/1">t</a></p>', '<p class="k"><a href="/2">t</a></p>', '<p class="k"><a href="/1">u</a></p>'))
     assert a == b != c
+
+
+@pytest.mark.parametrize("source,blocks", [
+    ("<article><h1>T</h1><div class='post-content share-container'>the text of it, all of it</div><div class='share-bar'>s</div></article>", ["T", "the text of it, all of it"]),
+    ("<main><div class='search-page'>found: the text</div></main>", ["found: the text"]),
+    ("<main><div class='alert-content'><p>the text</p></div><div class='alert'>x</div></main>", ["the text"]),
+    ("<article><p>short</p><div id='comments'>a comment that is longer than the article itself, by far</div></article>", ["short"]),
+    ("<div><p>the story, which stands in no article</p><p>goes on</p></div><article class='card teaser'><p>teaser</p></article>", ["the story, which stands in no article", "goes on", "teaser"]),
+    ("<article><p>a long enough article text</p></article><div><p>see also</p></div>", ["a long enough article text"]),
+    ("<div><b>x<span>y</b>z</div></span></b><p>t", ["xyz", "t"]),
+])
+def test_main_text_is_not_lost(source, blocks):
+    assert html.Page(source).blocks() == blocks
+
+
+def texts(spark, rows):
+    return {r["page_id"]: r["main_text"] for r in html.extract(pages(spark, rows)).collect()}
+
+
+def test_copies_are_no_template(spark):
+    story = "<div><h1>Title</h1><p>one paragraph</p><p>and another</p></div>"
+    menu = "<section><p>of this site</p></section>"
+    rows = [(i, "http://a.example/same", f"<body>{story}</body>") for i in range(8)]  # one row eight times
+    rows += [(100 + i, f"http://b.example/x?utm={i}", f"<head><link href='{i}'><title>{i}</title></head><body>{story}</body>") for i in range(8)]
+    rows += [(200 + i, f"http://c.example/{i}", f"<body>{story}<p>{i}</p></body>") for i in range(8)]  # copies with small differences
+    rows += [(300 + i, f"http://d.example/{i}", f"<body><p>own story {i % 6}</p>{menu}</body>") for i in range(12)]
+    got = texts(spark, rows)
+    whole = "Title\n\none paragraph\n\nand another"
+    assert {got[i] for i in range(8)} == {got[100 + i] for i in range(8)} == {whole}
+    assert [got[200 + i] for i in range(8)] == [f"{whole}\n\n{i}" for i in range(8)]
+    assert [got[300 + i] for i in range(12)] == [f"own story {i % 6}" for i in range(12)]
+
+
+def test_time_grows_with_the_length_of_hostile_pages():
+    import time
+    n = 100_000
+    pages = ["<span>" * n + "</b>" * n, "<b><div>" + "<span>" * n + "</b>" * n, "<p><span>" + "<ul><b>" * n, "<span>" * n + "<p>x" * n, "<table>" + "<tr><td>x" * n, "<i>" * n + "</p>" * n]
+    for source in pages:
+        start = time.process_time()
+        html.Page(source).blocks()
+        assert time.process_time() - start < 20 * (2 if len(source) > 10**6 else 1)
+
+
+def plain_tree(source):
+    """Elements of a well-formed page as nested tuples, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open = [("#root", [], [])]
+            self.all = []
+
+        def handle_starttag(self, tag, attrs):
+            self.open.append((tag, sorted(attrs), []))
+
+        def handle_data(self, data):
+            if data.strip():
+                self.open[-1][2].append(data.strip())
+
+        def handle_endtag(self, tag):
+            name, attrs, inner = self.open.pop()
+            assert name == tag
+            texts = [x for x in inner if isinstance(x, str)]
+            node = (name, tuple(attrs), tuple(texts), tuple(x for x in inner if not isinstance(x, str)))
+            self.open[-1][2].append(node)
+            self.all.append(node)
+
+    t = Tree()
+    t.feed(source)
+    return t.all
+
+
+def test_templates_against_a_plain_count(spark):
+    import random
+    rng = random.Random(7)
+    part = lambda d: f"<{(g := rng.choice(['div', 'section', 'b']))} class='c{rng.randrange(3)}'>{'x' + str(rng.randrange(4)) if d == 0 else part(d - 1) + part(0)}</{g}>"
+    rows = [(i, f"http://{'abc'[i % 3]}.example/{i}", f"<body>{part(rng.randrange(3))}{part(rng.randrange(2))}</body>") for i in range(400)]
+    rows += [(1000 + i, *rows[i][1:]) for i in range(20)]
+    found = {}
+    for _, url, source in rows:
+        nodes = plain_tree(source)
+        for node in set(nodes):
+            found.setdefault((url[7], node), []).append(nodes[-1])
+    size = {s: sum(url[7] == s for _, url, _ in rows) for s in "abc"}
+    want = sorted((s, len(b) >= 0.05 * size[s]) for (s, _), b in found.items() if len(set(b)) >= 5)
+    frame = pages(spark, rows).selectExpr("html", "substr(url, 8, 1) AS site_name", "xxhash64(substr(url, 8, 1)) AS site", "page_id AS key").repartition(4)
+    names = {r[0]: r[1] for r in frame.select("site", "site_name").distinct().collect()}
+    assert sorted((names[r.site], r.often) for r in html.templates(frame).collect()) == want and len(want) > 20
