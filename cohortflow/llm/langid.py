@@ -7,12 +7,13 @@ words' log probabilities; the prediction is the best language, its score the pos
 priors.
 
 Learning: whole texts of a sample of about ``SAMPLE_DOCS`` documents for each language (all of them,
-where a language has fewer) are counted by word, the ``SAMPLE_WORDS`` most frequent words of each
-language go to the driver - both bounds are documented parameters - and expectation maximisation
-over all segmentations gives the probabilities. Prediction reads whole texts of all documents.
+where a language has fewer; the bound is a parameter) are counted by word, all words go to the driver,
+and expectation maximisation over all segmentations gives the probabilities. Prediction reads whole
+texts of all documents.
 
-Only text is read for a prediction. Words are maximal runs of letters of the lower-cased text; longer
-runs than ``RUN`` letters are cut into runs of that length.
+Only text is read for a prediction. Words are a letter and the letters and combining marks after it, in
+the lower-cased text. Words over ``RUN`` letters are summed letter by letter with scaled sums, in
+memory bounded by the longest piece; in learning they count as runs of that length.
 
 Edge cases: null texts, texts without letters, and all texts if nothing can be learnt, are ``und``
 with score 0. Ties go to the smaller language name. Rows are judged one by one; documents without
@@ -21,22 +22,22 @@ id are not learnt from and not held out. Further columns change nothing.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm import common as C
 
 VOCABULARY = "piece_bpe_32k.model"
-SAMPLE_DOCS, SAMPLE_WORDS, ROUNDS, RUN, LONGEST, FLOOR = 2_000, 20_000, 2, 32, 16, 1e-7
+SAMPLE_DOCS, ROUNDS, RUN, FLOOR = 500, 2, 32, 1e-7
 CACHE_UNITS, UNKNOWN = 1_000_000, "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 EDGE = "▁"  # marks a word's begin in the vocabulary
 
 
@@ -46,11 +47,16 @@ def vocabulary_pieces(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= LONGEST and p and (LETTERS.fullmatch(p.removeprefix(EDGE)) or p == EDGE))
+    return sorted(p for p in pieces if p and (LETTERS.fullmatch(p.removeprefix(EDGE)) or p == EDGE))
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, with the mark of a word's begin, in pieces of at most ``RUN`` letters."""
+    """Words with the mark of a word's begin."""
+    return [EDGE + w for w in LETTERS.findall(text.lower())]
+
+
+def runs_of(text: str) -> list[str]:
+    """Words with the mark of a word's begin, in runs of at most ``RUN`` letters."""
     out = []
     for w in LETTERS.findall(text.lower()):
         out += [EDGE + w] if len(w) <= RUN else [EDGE + w[:RUN], *(w[k: k + RUN] for k in range(RUN, len(w), RUN))]
@@ -160,10 +166,39 @@ class Scorer:
 
     def words(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.langs)))
-        for at, part in by_length(words):
-            out[at] = np.log(np.maximum(Lattice(part, self.table).forward(self.p)[:, -1], 1e-300))
+        few = [i for i, w in enumerate(words) if len(w) <= RUN + len(EDGE)]
+        for at, part in by_length([words[i] for i in few]):
+            out[np.array(few)[at]] = np.log(np.maximum(Lattice(part, self.table).forward(self.p)[:, -1], 1e-300))
+        for i, w in enumerate(words):
+            if len(w) > RUN + len(EDGE):
+                out[i] = self.long_word(w)
         return out
 
+    def long_word(self, word: str, part: int = 1 << 14) -> np.ndarray:
+        """The forward algorithm for one word, place by place: only the sums before the last places
+        that a piece can reach back to are held, scaled so that they neither vanish nor grow."""
+        reach = self.table.longest
+        points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(C.U64)
+        back = np.zeros((reach, len(self.langs)))  # the sum before the k-th last place, k from 0
+        back[0], log = 1.0, np.zeros(len(self.langs))
+        for a in range(0, len(points), part):
+            n = min(part, len(points) - a)
+            piece = np.full((n, reach), self.table.n)
+            for size in range(1, reach + 1):  # pieces that end in this part
+                lo = max(0, a + 1 - size)
+                if a + n < size:
+                    break
+                h = np.zeros(a + n - size - lo + 1, C.U64)
+                for j in range(size):
+                    h = h * C.U64(0xD6E8FEB86659FD93) + points[lo + j: lo + j + len(h)] + C.U64(1)
+                piece[lo + size - 1 - a:, size - 1] = self.table.find(h, size == 1)
+            for i in range(n):
+                now = (back * self.p[piece[i]]).sum(axis=0)
+                scale = np.maximum(now, 1e-300)
+                log += np.log(scale)
+                back = np.vstack([now / scale, back[:-1] / scale])
+        return log
+
     def units(self, units: list[bytes]) -> np.ndarray:
         """Rows of log probabilities and the number of words of each unit."""
         split = [words_of(u.decode()) for u in units]
@@ -204,7 +239,7 @@ class Scorer:
         return names, score
 
 
-def word_counts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> list[tuple[str, str, int]]:
+def word_counts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[tuple[str, str, int]]:
     """(language, word, count) of ``docs`` (doc_id, text, lang), sampled as the module says."""
     sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
     if not sizes:
@@ -224,15 +259,14 @@ def word_counts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: i
 
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                count.update((lang, w) for w in words_of(text))
+                count.update((lang, w) for w in runs_of(text))
                 if len(count) > 300_000:
                     yield flush()
         if count:
             yield flush()
 
     counted = chosen.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    return [tuple(r) for r in counted.withColumn("r", first).where(F.col("r") <= sample_words).select("lang", "word", "n").collect()]
+    return [tuple(r) for r in counted.collect()]  # the words of the sample
 
 
 _SCORERS: dict[bytes, Scorer] = {}

@@ -1,3 +1,4 @@
+import numpy as np
 import math
 import random
 import zlib
@@ -24,7 +25,7 @@ def all_segmentations(word, p, g):
     if not word:
         return 1.0
     total = 0.0
-    for n in range(1, min(len(word), langid.LONGEST) + 1):
+    for n in range(1, len(word) + 1):
         k = INDEX.get(word[:n])
         x = p[k, g] if k is not None else langid.FLOOR if n == 1 else 0.0
         if x:
@@ -48,7 +49,8 @@ def test_forward_sums_all_segmentations():
 
 
 def test_long_words_are_cut():
-    assert [len(w.removeprefix(langid.EDGE)) for w in langid.words_of("x" * 70 + " 12 yes")] == [32, 32, 6, 3]
+    assert [len(w.removeprefix(langid.EDGE)) for w in langid.runs_of("x" * 70 + " 12 yes")] == [32, 32, 6, 3]
+    assert langid.words_of("x" * 70 + " 12 Yes") == [langid.EDGE + "x" * 70, langid.EDGE + "yes"]
 
 
 def test_held_out_accuracy_and_edge_cases(spark, tmp_path):
@@ -82,3 +84,26 @@ def test_nothing_to_learn(spark, tmp_path):
     assert [(r["lang_pred"], r["score"]) for r in rows] == [("und", 0.0)]
     (tmp_path / "none").mkdir()
     assert langid.op8_language_id(spark, saved(spark, [], tmp_path / "none")).count() == 0
+
+
+def test_words_are_letters_with_their_marks():
+    assert langid.words_of("½ ² Ⅷ ٣ _ \u0301 ①") == []
+    assert [w.removeprefix(langid.EDGE) for w in langid.words_of("हिन्दी में, Ünï-x e\u0301a")] == ["हिन्दी", "में", "ünï", "x", "e\u0301a"]
+
+
+def test_long_words_are_summed_like_short_ones():
+    rng = np.random.default_rng(8)
+    pieces = ["a", "b", "ab", "ba", "abba", langid.EDGE + "a", langid.EDGE, "bab"]
+    scorer = langid.Scorer(["x", "y"], langid.with_unknown(rng.random((len(pieces), 2)) / 4), pieces)
+    for n in (1, 2, 5, 31, 60):
+        word = langid.EDGE + "".join(rng.choice(list("abc"), n))
+        plain = np.log(langid.Lattice([word], scorer.table).forward(scorer.p)[0, -1])
+        for part in (1 << 14, 1, 3, 7):
+            assert np.allclose(scorer.long_word(word, part), plain, rtol=1e-9)
+    assert np.isfinite(scorer.words([langid.EDGE + "ab" * 20_000])).all()
+
+
+def test_numerals_are_no_language(spark, tmp_path):
+    rows = [(4 * i + 1, "the words of this text", "en") for i in range(30)] + [(1000, "½ ²", "en"), (1001, "Ⅷ 12", "en"), (1002, "\u0301", "en")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.op8_language_id(spark, saved(spark, rows, tmp_path)).collect()}
+    assert got[1000] == got[1001] == got[1002] == ("und", 0.0) and got[1][0] == "en"
