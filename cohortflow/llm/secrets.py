@@ -4,7 +4,8 @@ One Aho-Corasick automaton over the ASCII-lower-cased bytes finds the keywords;
 only at the place of a hit, never over the whole text. Runs of hex digits have no keyword: they are
 found by their fixed pattern. Tokens with an embedded checksum (``github``, ``npm``: the last six
 characters are the CRC-32 of the thirty before, in base 62) are reported only if it is right.
-PEM blocks need their end line with the same label.
+PEM blocks need their end line with the same label; begin and end lines are paired by place, so a text
+of begin lines without end costs no more than its length.
 
 Kinds, in order: assign, access, hex (base); github, npm, pem (added). Matches of one kind are
 leftmost and do not overlap; kinds may overlap each other. Places are code points, end exclusive.
@@ -15,6 +16,7 @@ null ids and further columns change nothing.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -34,7 +36,9 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 GITHUB = re.compile(rb"gh[pousr]_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 NPM = re.compile(rb"npm_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
-PEM = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s:,-]*?-----END \1-----")
+PEM_BEGIN = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----")
+PEM_END = re.compile(rb"-----END ([A-Z ]*PRIVATE KEY)-----")
+NOT_IN_PEM = re.compile(rb"[^A-Za-z0-9+/=\s:,-]")
 KEYWORDS = {"password": "assign", "passwd": "assign", "secret": "assign", "token": "assign",
             "apikey": "assign", "api_key": "assign", "akia": "access", "ghp_": "github", "gho_": "github",
             "ghu_": "github", "ghs_": "github", "ghr_": "github", "npm_": "npm", "-----begin ": "pem"}
@@ -56,7 +60,7 @@ def checksum_ok(m: re.Match) -> bool:
 
 
 RULES = {"assign": (ASSIGN, lambda m: len(m[2]) >= ASSIGN_MIN), "access": (ACCESS, lambda m: len(m[0]) >= ACCESS_MIN),
-         "github": (GITHUB, checksum_ok), "npm": (NPM, checksum_ok), "pem": (PEM, lambda m: True)}
+         "github": (GITHUB, checksum_ok), "npm": (NPM, checksum_ok)}
 
 
 @functools.cache
@@ -68,13 +72,40 @@ def automaton() -> ahocorasick.Automaton:
     return a
 
 
+class PemEnds:
+    """End lines of a text by label, and the bytes that no key block holds; each found once."""
+
+    def __init__(self, text: bytes) -> None:
+        self.ends: dict[bytes, list[int]] = {}
+        for m in PEM_END.finditer(text):
+            self.ends.setdefault(m[1], []).append(m.start())
+        self.foreign = [m.start() for m in NOT_IN_PEM.finditer(text)] if self.ends else []
+
+    def of(self, begin: re.Match) -> int | None:
+        """End of the block that begins with the match: at the first end line of its label, if only
+        bytes of a key block stand before it."""
+        ends = self.ends.get(begin[1], ())
+        i = bisect.bisect_left(ends, begin.end())
+        if i == len(ends):
+            return None
+        j = bisect.bisect_left(self.foreign, begin.end())
+        return None if j < len(self.foreign) and self.foreign[j] < ends[i] else ends[i] + len(b"-----END -----") + len(begin[1])
+
+
 def scan(text: bytes) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) in bytes."""
     found, last = [], dict.fromkeys(KINDS, 0)
     # latin-1 gives one character for each byte, so places are byte places
     hits = sorted((end - size + 1, kind) for end, (size, kind) in automaton().iter(text.lower().decode("latin-1")))
+    pem = None
     for at, kind in hits:
-        if at >= last[kind]:
+        if at >= last[kind] and kind == "pem":
+            if m := PEM_BEGIN.match(text, at):
+                pem = pem or PemEnds(text)
+                if end := pem.of(m):
+                    last[kind] = end
+                    found.append((at, end, kind))
+        elif at >= last[kind]:
             pattern, valid = RULES[kind]
             if m := pattern.match(text, at):
                 last[kind] = m.end()  # also if it is not valid: no second try within a match

@@ -55,3 +55,22 @@ def test_query(spark, tmp_path):
         expected.append((doc, *(sum(s[2] == k for s in found) for k in secrets.BASE_KINDS), sha(joined), joined))
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
     assert secrets.secret_scan(documents(spark, [])).count() == 0
+
+
+PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s:,-]*?-----END \1-----", re.A)
+
+
+def test_pem_blocks_against_a_plain_pattern():
+    rng = random.Random(2)
+    parts = ["-----BEGIN PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----END EC PRIVATE KEY-----", "\nabc+/=", "!", "é", "-----BEGIN ", " ", "-----"]
+    for _ in range(20000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(9)))
+        assert [s for s in spans(text) if s[2] == "pem"] == [(*m.span(), "pem") for m in PEM.finditer(text)]
+
+
+def test_time_grows_with_the_length_of_hostile_texts():
+    import time
+    for part in (b"-----BEGIN PRIVATE KEY-----\n", b"-----BEGIN PRIVATE KEY-----\n-----END EC PRIVATE KEY-----\n", b"-----BEGIN AAAA", b"token=", b"AKIA", b"0f"):
+        start = time.process_time()
+        secrets.scan(part * (10_000_000 // len(part)))
+        assert time.process_time() - start < 60
