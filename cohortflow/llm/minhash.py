@@ -40,7 +40,7 @@ from cohortflow.llm.components import components
 
 SHINGLE, HASHES, ROWS, BITS, PERCENT = 5, 128, 4, 2, 75
 BANDS = HASHES // ROWS
-BLOCK = 256
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 #: Equal b-bit values from which a pair is confirmed on the full sets: five deviations under the
 #: 104 that a pair of similarity 0.75 has on average.
 LEAST_EQUAL = 81
@@ -194,13 +194,15 @@ def links_between(star: DataFrame, label: DataFrame, sig: DataFrame, texts: Data
     """Links (u, v) between members of one centre that lie in different components."""
     root = label.select(F.col("u").alias("key"), F.col("v").alias("root"))
     member = star.select(F.col("u").alias("key"), F.col("v").alias("centre")).join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    counts = member.groupBy("centre", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counts.groupBy("centre").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    mixed = mixed.select("centre", F.col("m.root").alias("main"), F.col("m.n").alias("n_main"), (F.col("all") - F.col("m.n")).alias("n_rest"))
+    # a member's share of a block: by number and by bytes
+    member = member.join(texts.select("key", F.greatest(F.lit(1 / BLOCK), F.col("n_bytes") / F.lit(BLOCK_BYTES)).alias("share")), "key")
+    counts = member.groupBy("centre", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("share").alias("share"))
+    mixed = counts.groupBy("centre").agg(F.max(F.struct("n", "root", "share")).alias("m"), F.sum("share").alias("all"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    mixed = mixed.select("centre", F.col("m.root").alias("main"), F.col("m.share").alias("of_main"), (F.col("all") - F.col("m.share")).alias("of_rest"))
     member = member.join(mixed, "centre").withColumn("is_main", F.expr("root = main"))
-    size = F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))
-    member = member.withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(size / F.lit(BLOCK))))
-    whole = member.select("centre", "is_main", "block", "key", "root").join(sig, "key").join(texts, "key")
+    size = F.when(F.col("is_main"), F.col("of_main")).otherwise(F.col("of_rest"))
+    member = member.withColumn("block", F.pmod(F.xxhash64("key"), F.greatest(F.lit(1).cast("long"), F.ceil(size)))).drop("share")
+    whole = member.select("centre", "is_main", "block", "key", "root").join(sig, "key").join(texts.select("key", "text"), "key")
     blocks = C.stored(whole.groupBy("centre", "is_main", "block").agg(F.collect_list(F.struct("key", "root", "text", *SIGNATURE)).alias("rows")), "blocks")
     rest = blocks.where("NOT is_main").select("centre", F.col("block").alias("own"), F.col("rows").alias("rest"))
     pairs = rest.join(blocks, "centre").where("is_main OR own <= block").select("rest", "rows")
@@ -216,6 +218,15 @@ def links_between(star: DataFrame, label: DataFrame, sig: DataFrame, texts: Data
     return pairs.mapInArrow(run, "u binary, v binary")
 
 
+def class_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, text, n_bytes): one text for each node, however many rows have the same id and text.
+    Repeated rows are merged on the partitioning of the join."""
+    name = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), "text_hash"]
+    one = rows.select(*name, "text").dropDuplicates(["id", "no_id", "text_hash"])
+    wanted = nodes.select("key", F.col("row.doc_id").alias("doc_id"), F.col("row.text_hash").alias("text_hash")).select("key", *name)
+    return one.join(wanted, ["id", "no_id", "text_hash"]).select("key", "text", F.octet_length("text").cast("long").alias("n_bytes"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of each row of ``docs``."""
     sets = C.stored(set_table(docs, id_col, text_col), "sets")
@@ -228,9 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # texts of the classes that share a band with another one
     rows = member.groupBy("key").agg(F.first("row").alias("row"), F.sum("size").alias("central"), *[F.first(s).alias(s) for s in SIGNATURE])
     nodes = C.stored(rows, "nodes")
-    wanted = nodes.select("key", F.col("row.doc_id").alias("wanted_id"), F.col("row.text_hash").alias("wanted_hash"))
-    hashed = with_hash(docs, id_col, text_col)
-    texts = C.stored(hashed.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))).select("key", "text"), "texts")
+    texts = C.stored(class_texts(with_hash(docs, id_col, text_col), nodes), "texts")
     C.free_shuffles(docs.sparkSession)
 
     # links to the most central member of each bucket

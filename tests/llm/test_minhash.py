@@ -121,3 +121,28 @@ def test_components(spark):
     got = {r["u"]: r["v"] for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
     assert got == {i: g for i, g in group.items() if i != g}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_repeated_rows_are_compared_once(spark):
+    rng = random.Random(21)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    one, two = " ".join(words), " ".join(words[:118] + ["other", "end"])
+    rows = [(1, one)] * 1000 + [(2, two)] * 1000 + [(None, one)] * 50 + [(3, "quite another text with some words in it")] * 3
+    docs = documents(spark, rows).repartition(4)
+    nodes = spark.createDataFrame([(b"a", (1, None)), (b"b", (2, None)), (b"c", (None, None))], "key binary, row struct<doc_id: long, text_hash: long>")
+    hashes = {r.doc_id: r.text_hash for r in minhash.with_hash(docs, "doc_id", "text").select("doc_id", "text_hash").distinct().collect()}
+    nodes = spark.createDataFrame([(k, (i, hashes[i])) for k, i in ((b"a", 1), (b"b", 2), (b"c", None))], nodes.schema)
+    texts = minhash.class_texts(minhash.with_hash(docs, "doc_id", "text"), nodes).collect()
+    assert sorted((bytes(r.key), r.text, r.n_bytes) for r in texts) == [(b"a", one, len(one)), (b"b", two, len(two)), (b"c", one, len(one))]
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (None, 1, False), (3, 3, True)}
+
+
+def test_blocks_are_cut_by_bytes(spark, monkeypatch):
+    """A few long texts make blocks of their own; the links stay the same."""
+    rng = random.Random(22)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = [(i, " ".join(base[: 300 + 12 * i] if i % 2 else base[100 - 8 * i:])) for i in range(9)]
+    want = sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(documents(spark, rows)).collect())
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 500)
+    assert sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(documents(spark, rows)).collect()) == want
