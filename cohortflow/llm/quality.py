@@ -1,10 +1,11 @@
 """Quality rules: counts per text, and a verdict from the repeated substrings of its suffix array.
 
 Symbols are the words of a text; a word of more than ``LONG_WORD`` bytes (text without spaces) is
-taken apart into its code points. The suffixes of a text are sorted by prefix doubling; equal ranks
-at the doubling levels give the common prefix of neighbours in the order, and so, for every place,
-the longest substring that occurs there and elsewhere in the text too. These are the intervals of
-the longest-common-prefix array; the union of their spans is the covered part of the text.
+taken apart into its code points. The suffixes of a text are sorted by prefix doubling; the common
+prefix of neighbours in the order gives, for every place, the longest substring that occurs there and
+elsewhere in the text too. These are the intervals of the longest-common-prefix array; the union of
+their spans is the covered part of the text. Memory is a fixed number of bytes for each symbol (some
+120 at the peak), also for texts that repeat one word.
 
 A text is rejected if the base rule fails, if maximal repeats of ``min_repeat`` symbols or more
 cover more than ``max_covered`` of its characters, or if its longest repeat has more than
@@ -68,57 +69,85 @@ def symbols(words: C.Words, hashes: np.ndarray, chars: np.ndarray) -> tuple[np.n
     return tuple(np.concatenate([*x, y[a:]]) for x, y in ((sym, hashes), (doc, words.doc), (weight, chars)))
 
 
+def suffix_ranks(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Place of each suffix (up to the end of its document) in the sorted order, by prefix doubling:
+    only suffixes that still share their rank with another one are sorted again."""
+    n = len(key)
+    order = np.argsort(key)
+    begin = np.flatnonzero(np.concatenate([[True], key[order[1:]] != key[order[:-1]]]))
+    size = np.diff(np.append(begin, n))
+    rank = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
+    rank[order] = np.repeat(begin, size)
+    live, width = order[np.repeat(size > 1, size)], 1
+    while len(live):
+        ahead = np.minimum(live + width, n - 1)
+        nxt = rank[ahead] + np.int64(1)
+        nxt[(live + width >= n) | (doc[ahead] != doc[live])] = 0
+        both = rank[live] * np.int64(n + 1) + nxt
+        del ahead, nxt
+        order = np.argsort(both)
+        live, both = live[order], both[order]
+        begin = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        head = both[begin] // (n + 1)
+        del order, both
+        group = np.concatenate([[True], head[1:] != head[:-1]])
+        size = np.diff(np.append(begin, len(live)))
+        rank[live] = np.repeat(head + begin - begin[group][np.cumsum(group) - 1], size)
+        live = live[np.repeat(size > 1, size)]
+        width *= 2
+    return rank
+
+
+def common_prefixes(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How many keys are equal from each pair of places (low < high) on, compared in steps that grow
+    for the pairs that are left; at most about a million keys at once."""
+    out, live, width = np.zeros(len(low), np.int64), np.arange(len(low)), 8
+    while len(live):
+        more, rows = [], max((1 << 20) // width, 1)
+        for some in (live[k: k + rows] for k in range(0, len(live), rows)):
+            x, y = ((p[some] + out[some])[:, None] + np.arange(width) for p in (low, high))
+            unlike = (y >= len(key)) | (key[np.minimum(x, len(key) - 1)] != key[np.minimum(y, len(key) - 1)])
+            ends = unlike.any(axis=1)
+            out[some] += np.where(ends, unlike.argmax(axis=1), width)
+            more.append(some[~ends])
+        live, width = np.concatenate(more), min(width * 4, 1 << 20)
+    return out
+
+
 def longest_repeats(sym: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
     """For each place the length of the longest substring that begins there and recurs in the same
-    document, or 0 if that is under ``least``."""
+    document, or 0 if that is under ``least``.
+
+    The common prefix of a suffix with its predecessor in the order is one less than that of the
+    suffix before it in the text if the symbols before both are equal; only the others are compared
+    symbol by symbol, which is n log n symbols at most. No ranks but the last are kept.
+    """
     n = len(sym)
-    out = np.zeros(n, np.int64)
     if n < 2:
-        return out
+        return np.zeros(n, np.int64)
     key = C.mix(sym ^ C.mix(doc.astype(C.U64) + C.U64(1)))  # equal only within a document
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    begin = np.flatnonzero(new)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(begin, np.diff(np.append(begin, n)))
-    live = np.sort(order[np.repeat(np.diff(np.append(begin, n)) > 1, np.diff(np.append(begin, n)))])
-    levels, width = [rank], 1
-    while len(live):
-        ahead = live + width
-        ok = ahead < n
-        ok[ok] = doc[ahead[ok]] == doc[live[ok]]
-        nxt = np.zeros(len(live), np.int64)
-        nxt[ok] = rank[ahead[ok]] + 1
-        o = np.lexsort((nxt, rank[live]))
-        place, a, b = live[o], rank[live][o], nxt[o]
-        group = np.concatenate([[True], a[1:] != a[:-1]])
-        sub = group | np.concatenate([[True], b[1:] != b[:-1]])
-        i = np.arange(len(o))
-        since = np.maximum.accumulate(np.where(sub, i, 0)) - np.maximum.accumulate(np.where(group, i, 0))
-        rank = rank.copy()
-        rank[place] = a + since
-        levels.append(rank)
-        begin = np.flatnonzero(sub)
-        size = np.diff(np.append(begin, len(o)))
-        live = place[np.repeat(size > 1, size)]
-        width *= 2
-    # neighbours in suffix order that agree on the first level that lies under `least`
-    low = min(max(least, 1).bit_length() - 1, len(levels) - 1)
-    sa = np.argsort(rank, kind="stable")
-    i, j = sa[:-1], sa[1:]
-    same = levels[low][i] == levels[low][j]
-    at, i, j = np.flatnonzero(same), i[same], j[same]
-    common = np.zeros(len(i), np.int64)
-    x, y = i.copy(), j.copy()
-    for k in range(len(levels) - 1, -1, -1):
-        ok = (x < n) & (y < n)
-        ok[ok] = (levels[k][x[ok]] == levels[k][y[ok]])
-        step = ok.astype(np.int64) << k
-        common += step
-        x, y = x + step, y + step
+    rank = suffix_ranks(key, doc)
+    order = np.empty_like(rank)
+    order[rank] = np.arange(n, dtype=rank.dtype)
+    before = np.full(n, -1, rank.dtype)
+    same = key[order[1:]] == key[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    del rank, order, same
+    at = np.flatnonzero(before > 0)
+    at = at[at > 0]
+    follows = np.zeros(n, bool)
+    follows[at] = key[at - 1] == key[before[at] - 1]
+    first = np.flatnonzero((before >= 0) & ~follows)
+    common = np.zeros(n, np.int64)
+    common[first] = common_prefixes(key, np.minimum(first, before[first]), np.maximum(first, before[first]))
+    place = np.arange(n)
+    since = np.maximum.accumulate(np.where(follows, 0, place))
+    common = common[since] - (place - since)
+    del place, since, follows
     common[common < least] = 0
-    np.maximum.at(out, sa[at], common)
-    np.maximum.at(out, sa[at + 1], common)
+    at = np.flatnonzero(common)
+    out = common.copy()
+    out[before[at]] = np.maximum(out[before[at]], common[at])  # each place precedes one other at most
     return out
 
 

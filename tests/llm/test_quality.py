@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -39,6 +40,27 @@ def test_suffix_array_against_brute_force():
         assert got == [x for p in parts for x in longest_repeats(p.tolist(), least)]
 
 
+def test_long_texts_of_few_words_need_memory_in_proportion():
+    n = 300_000
+    for unit in ([1], [1, 2, 2], list(range(1000))):
+        sym = np.array((unit * (n // len(unit) + 1))[:n], np.uint64)
+        tracemalloc.start()
+        got = quality.longest_repeats(sym, np.zeros(n, np.int64), 8)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        period = len(unit)
+        expected = n - np.arange(n) - period * (np.arange(n) < period)
+        assert (got == np.where(expected < 8, 0, expected)).all() and peak < 160 * n + (100 << 20)
+
+
+def test_passages_repeated_across_blocks_of_the_comparison():
+    rng = np.random.default_rng(7)
+    passage = rng.integers(0, 1 << 60, 70_000).astype(np.uint64)
+    sym = np.concatenate([passage, [1], passage[:50_000], [2], passage[20_000:]]).astype(np.uint64)
+    got = quality.longest_repeats(sym, np.zeros(len(sym), np.int64), 8)
+    assert got[0] == 50_000 and got[20_000] == 50_000 and got[19_999] == 30_001 and got.max() == 50_000
+
+
 def texts():
     rng = random.Random(2)
     passage = prose(rng, 90)
