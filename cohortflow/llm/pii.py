@@ -1,8 +1,9 @@
 """Personal data: base patterns, and offset-preserving deobfuscation.
 
 Base spans come from the given patterns on the text as it is. For disguised data a chain of
-transducers rewrites the text - homoglyphs and other digits to ASCII, invisible characters away,
-spelled digits to digits, ``(at)``/``[dot]`` and the like to ``@``/``.`` - and keeps for each
+transducers rewrites the text - character references, homoglyphs and other digits to ASCII,
+invisible characters away, spelled digits to digits, ``(at)``/``[dot]`` and the like to ``@``/``.`` -
+and keeps for each
 output character the source span that it came from. The patterns run on the output; a match that
 took in at least one rewritten piece is mapped back to the source and added, unless it equals or lies
 in a base span of its kind; so a base span may be the stump of a longer one. Every step decides by
@@ -13,7 +14,11 @@ bare dot-word only in the host behind an @ (``name@host dot com``; behind a plai
 complete already, as ``name@host.com``, only before a common top-level domain) or in the local part
 before it (``first dot last at host dot com``; of the dot-words only ``dot`` if the address is not
 disguised otherwise), and spelled digits only in runs of seven digits or more, plain ones beside them
-included (four for an address), so prose stays prose. A single spelled digit beside a number that is
+included (four for an address), so prose stays prose. Between plain numbers dot-words count if they
+make up an address of four parts. In capitals (``name AT host DOT museum``) and between marks
+(``name_at_host_dot_museum``) at-word and dot-words together count before any last label; between
+marks with spaces the at-word counts alone too, without them not (``stay-at-home.com``). An ``@``
+between spaces counts if dots between spaces and a common top-level domain that is no word follow. A single spelled digit beside a number that is
 whole without it (a card, or eleven digits after a plus) stays prose too.
 
 Kinds, in order: email, ip, card, phone. Places are code points of the source, end exclusive.
@@ -46,8 +51,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 # What disguises stand for.
-HOMOGLYPHS = dict(zip("аеорсухіјѕԁһԛԝвкмнтАВЕКМНОРСТУХІЈЅ" "αεικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "ⅼℓ․。．﹫＠",
-                      "aeopcyxijsdhqwbkmhtABEKMHOPCTYXIJS" "aeiknoptuxABEZHIKMNOPTYX" "ll...@@", strict=True))
+HOMOGLYPHS = dict(zip("аеорсухіјѕԁһԛԝвкмнтѵАВЕКМНОРСТУХІЈЅ" "αεικνορτυχγϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "ոսհցզօքՍՏՕ" "ɑɡᴏ" "ⅼℓ․。．﹫＠",
+                      "aeopcyxijsdhqwbkmhtvABEKMHOPCTYXIJS" "aeiknoptuxycjABEZHIKMNOPTYX" "nuhgqofUSO" "ago" "ll...@@", strict=True))
+NAMED_REFERENCES = {"commat": "@", "period": ".", "plus": "+", "lowbar": "_", "hyphen": "-"}
 INVISIBLE = "​‌‍⁠﻿­"
 DIGIT_WORDS = {w: str(d) for words in (
     "zero one two three four five six seven eight nine",
@@ -56,16 +62,26 @@ DIGIT_WORDS = {w: str(d) for words in (
     "cero uno dos tres cuatro cinco seis siete ocho nueve") for d, w in enumerate(words.split())}
 AT_WORDS, DOT_WORDS, PLUS_WORDS = ("at", "arroba", "arobase"), ("dot", "punkt", "punto", "point"), ("plus", "más", "mas")
 PLAIN_DOT = "dot"  # the others are words of prose too
-TLDS = "com net org edu gov info io co de fr es uk eu us ca ch at it nl".split()
+TLDS = ("com net org edu gov info io co de fr es uk eu us ca ch at it nl "
+        "ar au biz br cl cn cz dev dk fi gr hu ie int jp kr mil museum mx nz pl pt ro ru tr tv xyz za").split()
+NO_WORD_TLDS = "com net org edu gov info io uk".split()
 
 def _any_case(words: Iterable[str]) -> str:
     """Pattern of the words, longest first, in either case; unlike re.I not also in Turkish i."""
     return "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in sorted(words, key=len, reverse=True))
 
 
-_NUM, _AT, _DOT, _PLUS, _TLD = map(_any_case, (DIGIT_WORDS, AT_WORDS, DOT_WORDS, PLUS_WORDS, TLDS))
+_NUM, _AT, _DOT, _PLUS, _TLD, _NO_WORD_TLD = map(_any_case, (DIGIT_WORDS, AT_WORDS, DOT_WORDS, PLUS_WORDS, TLDS, NO_WORD_TLDS))
+REFERENCE = re.compile(rf"&(?:#0*(?P<dec>[0-9]{{2,3}})|#[xX]0*(?P<hex>[0-9A-Fa-f]{{2}})|(?P<name>{'|'.join(NAMED_REFERENCES)}));")
 _OPEN, _CLOSE = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
 BRACKETED = re.compile(rf"{_OPEN}(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.)){_CLOSE}")
+MARKED = re.compile(rf"(?<=[A-Za-z0-9])\s[-_*](?:(?P<at>{_AT})|(?P<dot>{_DOT}))[-_*]\s(?=[A-Za-z0-9])")
+_MARK = r"[-_*]"
+JOINED = re.compile(rf"(?<=[A-Za-z0-9]){_MARK}(?:{_AT}){_MARK}[A-Za-z0-9]+(?:{_MARK}(?:{_DOT}){_MARK}[A-Za-z0-9]+)*{_MARK}(?:{_DOT}){_MARK}[A-Za-z]{{2,}}(?![A-Za-z0-9])")
+JOINED_PART = re.compile(rf"{_MARK}(?:(?P<at>{_AT})|(?P<dot>{_DOT})){_MARK}")
+CAPITALS = re.compile(r"(?<=[a-z0-9])\sAT\s(?=[a-z0-9-]+(?:\sDOT\s[a-z0-9-]+)*\sDOT\s[a-z]{2,}\b)")
+SPACED = re.compile(rf"(?<=[A-Za-z0-9])\x20@\x20[A-Za-z0-9-]+(?:\x20\.\x20[A-Za-z0-9-]+)*\x20\.\x20(?:{_NO_WORD_TLD})\b")
+SPACED_PART = re.compile(r"\x20(?:(?P<at>@)|(?P<dot>\.))\x20")
 BARE = re.compile(rf"(?<=[A-Za-z0-9])\s(?P<at>{_AT})\s(?=[A-Za-z0-9-]+(?:(?:\s(?:{_DOT})\s|\.)[A-Za-z0-9-]+)*(?:\s(?:{_DOT})\s|\.)(?:{_TLD})\b)")
 BARE_DOT = re.compile(rf"\s(?:{_DOT})\s(?=[A-Za-z0-9._%+-])")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -80,7 +96,7 @@ SPELLED_PART = re.compile(rf"(?P<num>{_NUM})|(?P<dot>{_DOT})|(?P<plus>{_PLUS})")
 #: What every run of numbers with a spelled one and enough digits has: four spelled ones in a row, or
 #: a spelled one beside a plain one.
 _NEXT = rf"[\s,().-]{{1,4}}(?:(?:{_DOT})[\s-])?(?:(?:{_PLUS})[\s-])?"
-NUMBER_TRIGGER = re.compile(rf"[0-9]{_NEXT}(?:{_NUM})(?!\w)|(?<!\w)(?:{_NUM}){_NEXT}(?:\+?[0-9]|(?:{_NUM}){_NEXT}(?:{_NUM}){_NEXT}(?:{_NUM})(?!\w))")
+NUMBER_TRIGGER = re.compile(rf"[0-9][\s-](?:{_DOT})[\s-][0-9]|[0-9]{_NEXT}(?:{_NUM})(?!\w)|(?<!\w)(?:{_NUM}){_NEXT}(?:\+?[0-9]|(?:{_NUM}){_NEXT}(?:{_NUM}){_NEXT}(?:{_NUM})(?!\w))")
 ANY_WORD = re.compile(r"\w+")
 #: Digits of a run, of a run with dots, and of an international number that lacks none.
 LEAST_DIGITS, LEAST_DOTTED, WHOLE_PHONE = 7, 4, 11
@@ -178,9 +194,12 @@ def spelled_number(text: str) -> str:
 
 def run_edits(text: str, run: list[tuple[int, int, str, bool]]) -> list[tuple[int, int, str]]:
     """Edits of a run of numbers (place, value, whether spelled) that lie side by side, if any is
-    spelled. A single spelled digit at the edge of an identifier that is whole without it is prose."""
+    spelled or dot-words make it an address. A single spelled digit at the edge of an identifier that
+    is whole without it is prose."""
     if not any(x[3] for x in run):
-        return []
+        dots = [(x[1], y[0]) for x, y in zip(run, run[1:]) if not GAP_CHARS.issuperset(text[x[1]: y[0]])]
+        dotted = len(dots) + sum(x[2].count(".") for x in run) + sum("." in text[x[1]: y[0]] for x, y in zip(run, run[1:]))
+        return [(*g, ".") for g in dots] if dotted >= 3 else []
     for edge in (-1, 0):
         rest = run[:-1] if edge else run[1:]
         if rest and run[edge][3] and len(NOT_DIGIT.sub("", run[edge][2])) == 1:
@@ -193,7 +212,11 @@ def run_edits(text: str, run: list[tuple[int, int, str, bool]]) -> list[tuple[in
     dotted = any("." in text[a:b] for a, b in gaps) or dots or any("." in x[2] for x in run)
     if sum(len(NOT_DIGIT.sub("", x[2])) for x in run) < (LEAST_DOTTED if dotted else LEAST_DIGITS) or not any(x[3] for x in run):
         return []
-    return sorted([(a, b, by) for a, b, by, spelled in run if spelled or text[a] not in "+0123456789"] + [(*g, ".") for g in dots])
+    digits = NOT_DIGIT.sub("", "".join(x[2] for x in run))
+    card = 13 <= len(digits) <= 19 and luhn(digits)  # whose pattern has no brackets
+    brackets = [g for g in gaps if card and g not in dots and ("(" in text[g[0]: g[1]] or ")" in text[g[0]: g[1]])]
+    return sorted([(a, b, by) for a, b, by, spelled in run if spelled or text[a] not in "+0123456789"]
+                  + [(*g, ".") for g in dots] + [(*g, " ") for g in brackets])
 
 
 def spelled_edits(text: str) -> list[tuple[int, int, str]]:
@@ -240,20 +263,44 @@ def bare_dots(text: str, new: list[bool] | None) -> list[tuple[int, int, str]]:
     return sorted(set(out))
 
 
+def parts(text: str, whole: re.Pattern, part: re.Pattern) -> list[tuple[int, int, str]]:
+    """Edits of the at and dot parts inside each match of a pattern for whole addresses."""
+    return [(*p.span(), "@" if p["at"] else ".") for m in whole.finditer(text) for p in part.finditer(text, m.start(), m.end())]
+
+
+def references(text: str) -> list[tuple[int, int, str]]:
+    """Edits of the character references to printable ASCII characters."""
+    out = []
+    for m in REFERENCE.finditer(text):
+        point = int(m["dec"]) if m["dec"] else int(m["hex"], 16) if m["hex"] else ord(NAMED_REFERENCES[m["name"]])
+        if 32 < point < 127:
+            out.append((*m.span(), chr(point)))
+    return out
+
+
 def disguised(text: str, gate: bool = True) -> dict[str, list[tuple[int, int]]]:
     """Spans that only show once the disguises are rewritten, in places of the source. The gate
     skips a step whose words or brackets do not occur, which no match of the step can lack."""
-    chars = {} if text.isascii() else character_map(text)
     t = Traced(text)
+    if "&" in text:
+        t.rewrite(references(text))
+    chars = {} if t.text.isascii() else character_map(t.text)
     if chars:
-        t.rewrite([(i, i + 1, chars[c]) for i, c in enumerate(text) if c in chars])
-    words = set(ANY_WORD.findall(t.text.lower()))
-    if not gate or not words.isdisjoint(DIGIT_WORDS) and NUMBER_TRIGGER.search(t.text):
+        t.rewrite([(i, i + 1, chars[c]) for i, c in enumerate(t.text) if c in chars])
+    lower = t.text.lower()
+    words = set(ANY_WORD.findall(lower))
+    if not gate or not (words.isdisjoint(DIGIT_WORDS) and words.isdisjoint(DOT_WORDS)) and NUMBER_TRIGGER.search(t.text):
         t.rewrite(spelled_edits(t.text))
     if not gate or any(c in t.text for c in "[({<"):
         t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(t.text)])
+    if not gate or any(m + w in lower for m in "-_*" for w in AT_WORDS + DOT_WORDS):
+        t.rewrite(parts(t.text, JOINED, JOINED_PART))
+        t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in MARKED.finditer(t.text)])
     if not gate or not words.isdisjoint(AT_WORDS):
         t.rewrite([(*m.span(), "@") for m in BARE.finditer(t.text)])
+        t.rewrite([(*m.span(), "@") for m in CAPITALS.finditer(t.text)])
+    if not gate or " @ " in t.text:
+        t.rewrite(parts(t.text, SPACED, SPACED_PART))
     if not gate or "@" in t.text and not words.isdisjoint(DOT_WORDS):
         t.rewrite(bare_dots(t.text, t.new))
     if t.new is None:
