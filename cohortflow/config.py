@@ -109,6 +109,9 @@ class Policy:
     # A rule table with more rows is refused: rules (and what is derived from rules and calendar days
     # alone) are the only frames that are broadcast, so this bounds every broadcast.
     max_rules: int = 2_000
+    # Words of 64 bits in the bit set by which events of people out of scope are left out before they
+    # are shuffled; it is broadcast, 16 bytes a word. 0: no such filter.
+    scope_filter_words: int = 1 << 20
     # Antigen codes are cut to this length before they are compared.
     antigen_code_length: int = 10
     # At most so many date-of-birth bands of the combined vaccine are numbered.

@@ -308,7 +308,7 @@ def _neg(p):
 
 @register("event_history_text", "SELECT * FROM history")
 def _hist(p):
-    return text.event_history_text(p.event_summary)
+    return text.event_history_text(overrides.event_summary(p.src.events_by_product))  # of all people
 
 
 @register("non_attendance", "SELECT * FROM dna", events=False)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
-from cohortflow.operators import dosing, eligibility, flags, overrides, report, series, status, text
+from cohortflow.operators import dosing, eligibility, flags, overrides, report, scope, series, status, text
 from cohortflow.plans.outputs import publish, with_dense_id
 from cohortflow.plans.sizing import Stages, checked_rules
 from cohortflow.sources.schedules import normalised_rules
@@ -62,6 +62,30 @@ class ReportPipeline:
                 .orderBy("product").collect())
         return [r.product for r in rows]
 
+    # -- people in scope -----------------------------------------------------
+    @cached_property
+    def scope_bits(self) -> DataFrame:
+        """Bit set of the people in scope, stored once for all that read the event logs."""
+        words = self.policy.scope_filter_words
+        return self.stages.cut(scope.scope_bits(self.in_scope, words))
+
+    @cached_property
+    def in_scope(self) -> DataFrame:
+        return eligibility.in_scope_people(self.src.population, self.policy.as_of, self.policy)
+
+    def _scoped(self, events: DataFrame) -> DataFrame:
+        words = self.policy.scope_filter_words
+        return scope.maybe_in_scope(events, self.scope_bits, words) if words else events
+
+    @cached_property
+    def scoped_antigens(self) -> DataFrame:
+        """Antigen events without (nearly all of) those of people out of scope, before any shuffle."""
+        return self._scoped(self.src.events_by_antigen)
+
+    @cached_property
+    def scoped_products(self) -> DataFrame:
+        return self._scoped(self.src.events_by_product)
+
     # -- D1-D7 ---------------------------------------------------------------
     @cached_property
     def event_days(self) -> DataFrame:
@@ -74,7 +98,8 @@ class ReportPipeline:
 
     @cached_property
     def event_counts(self) -> DataFrame:
-        return eligibility.event_counts(self.event_days)
+        """Day counts of the people in scope (``clean_events`` has those of all people)."""
+        return eligibility.event_counts(eligibility.clean_event_days(self.scoped_antigens, self.scoped_products, self.policy))
 
     @cached_property
     def expanded(self) -> DataFrame:
@@ -106,8 +131,7 @@ class ReportPipeline:
         (the same set: every step after the expansion is a left join or keeps
         each person), so the dose series does not re-run the allocation chain.
         """
-        return eligibility.in_scope_people(self.src.population, self.policy.as_of,
-                                           self.policy).select("person_id", "dob").distinct()
+        return self.in_scope.select("person_id", "dob").distinct()
 
     @cached_property
     def bands(self) -> DataFrame:
@@ -120,7 +144,7 @@ class ReportPipeline:
     @cached_property
     def dose_sequence(self) -> DataFrame:
         return series.dose_sequence(self.people_cohort,
-                                    series.mmr_event_days(self.src.events_by_product), self.policy)
+                                    series.mmr_event_days(self.scoped_products), self.policy)
 
     @cached_property
     def caveats(self) -> DataFrame:
@@ -128,7 +152,7 @@ class ReportPipeline:
 
     @cached_property
     def event_summary(self) -> DataFrame:
-        return self._cut(overrides.event_summary(self.src.events_by_product))
+        return self._cut(overrides.event_summary(self.scoped_products))
 
     @cached_property
     def antigens_final(self) -> DataFrame:
@@ -203,7 +227,7 @@ class ReportPipeline:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return flags.up_to_date(self.with_hpv, self.final_status, self.src.events_by_antigen,
+        return flags.up_to_date(self.with_hpv, self.final_status, self.scoped_antigens,
                                 self.policy)
 
     @cached_property
