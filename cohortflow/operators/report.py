@@ -4,7 +4,7 @@ The report is keyed and partitioned by person. Person-sized inputs
 (demographics, population) are joined on person after de-duplication on the
 key. Reference dimensions are de-duplicated; the pipeline stores them and hints a
 broadcast where their stored size allows, so the wide rows stay where they are.
-Else they are shuffled, and Spark splits hot keys.
+Else they are shuffled, with the rows of hot keys dealt to many tasks (``skew``).
 Rows without a key are spread over all tasks instead of meeting in one.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortflow import config as C
 from cohortflow.functions import dates as D
 from cohortflow.functions.dates import sql_lit
+from cohortflow.operators.skew import salted_left_join
 from cohortflow.operators.status import pivot_column
 
 
@@ -58,10 +59,16 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 def demographics_star(core: DataFrame, population: DataFrame, demographics: DataFrame,
                       gp: DataFrame, la: DataFrame, postcodes: DataFrame, deprivation: DataFrame,
                       schools: DataFrame, policy: C.Policy = C.DEFAULT_POLICY,
-                      unique: bool = False) -> DataFrame:
+                      unique: bool = False, hot: dict[str, DataFrame] | None = None) -> DataFrame:
     """Demographic, registration, residence, deprivation and age columns from
     two person sources (population register 'pd', local record 'dd'). ``unique``: the reference
-    tables have one row a key already, perhaps with a broadcast hint."""
+    tables have one row a key already, perhaps with a broadcast hint. ``hot``: for each key column of
+    the two sources whose table is shuffled, its hot keys."""
+    def look(rows: DataFrame, table: DataFrame, table_key: str, key: str) -> DataFrame:
+        if hot and key in hot:
+            return salted_left_join(rows, table, _spread(key), table_key, hot[key], "person_id")
+        return rows.join(table, F.col(table_key) == _spread(key), "left")
+
     a = sql_lit(policy.as_of)
     pd_ = _prefixed(dedupe_on(population, "person_id"), "pd_")
     dd = _prefixed(dedupe_on(demographics, "person_id"), "dd_")
@@ -76,16 +83,14 @@ def demographics_star(core: DataFrame, population: DataFrame, demographics: Data
     sch = _prefixed(schools, "sch_")
 
     j = (core.join(dd, core.person_id == dd.dd_person_id, "left")
-         .join(pd_, core.person_id == pd_.pd_person_id, "left")
-         .join(gp_pd, F.col("gp_practice_code") == _spread("pd_gp_code"), "left")
-         .join(gp_dd, F.col("gpc_practice_code") == _spread("dd_practice_code"), "left")
-         .join(la_dd, F.col("lac_la_code") == _spread("dd_la_code"), "left")
-         .join(la_pd, F.col("la_la_code") == _spread("pd_la_code"), "left")
-         .join(ons_pd, F.col("ons_postcode") == _spread("pd_postcode"), "left")
-         .join(imd_pd, F.col("imd_lsoa") == _spread("ons_lsoa"), "left")
-         .join(ons_dd, F.col("onsc_postcode") == _spread("dd_postcode"), "left")
-         .join(imd_dd, F.col("imdc_lsoa") == _spread("onsc_lsoa"), "left")
-         .join(sch, F.col("sch_school_code") == _spread("dd_school_code"), "left"))
+         .join(pd_, core.person_id == pd_.pd_person_id, "left"))
+    for table, table_key, key in (
+            (gp_pd, "gp_practice_code", "pd_gp_code"), (gp_dd, "gpc_practice_code", "dd_practice_code"),
+            (la_dd, "lac_la_code", "dd_la_code"), (la_pd, "la_la_code", "pd_la_code"),
+            (ons_pd, "ons_postcode", "pd_postcode"), (imd_pd, "imd_lsoa", "ons_lsoa"),
+            (ons_dd, "onsc_postcode", "dd_postcode"), (imd_dd, "imdc_lsoa", "onsc_lsoa"),
+            (sch, "sch_school_code", "dd_school_code")):
+        j = look(j, table, table_key, key)
 
     years = D.age_in_years_sql("pd_dob", a)
     grp = f"coalesce({years}, try_cast(dd_age_text AS INT))"

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import config as C
-from cohortflow.operators import dosing, eligibility, flags, overrides, report, scope, series, status, text
+from cohortflow.operators import dosing, eligibility, flags, overrides, report, scope, series, skew, status, text
 from cohortflow.plans.outputs import publish, with_dense_id
 from cohortflow.plans.sizing import Stages, checked_rules
 from cohortflow.sources.schedules import normalised_rules
@@ -49,6 +49,15 @@ class ReportPipeline:
             ("gp", s.gp, "practice_code"), ("la", s.la, "la_code"), ("postcodes", s.postcodes, "postcode"),
             ("deprivation", s.deprivation, "lsoa"), ("schools", s.schools, "school_code"), ("ccg", s.ccg, "ccg_code"))}
 
+    @cached_property
+    def hot_codes(self) -> dict[str, DataFrame]:
+        """The hot keys of each person column that looks up a reference table too large to broadcast."""
+        pop, local, d = self.src.population, self.src.demographics, self.dimensions
+        columns = (("gp", "pd_gp_code", pop), ("gp", "dd_practice_code", local), ("la", "pd_la_code", pop),
+                   ("la", "dd_la_code", local), ("postcodes", "pd_postcode", pop), ("postcodes", "dd_postcode", local),
+                   ("schools", "dd_school_code", local))
+        return {key: skew.hot_keys(people, key[3:]) for name, key, people in columns if self.stages.is_large(d[name])}
+
     # -- metadata ------------------------------------------------------------
     @cached_property
     def products(self) -> list[str]:
@@ -206,7 +215,7 @@ class ReportPipeline:
     def with_demographics(self) -> DataFrame:
         s, d = self.src, self.dimensions
         return report.demographics_star(self.core, s.population, s.demographics, d["gp"], d["la"], d["postcodes"],
-                                        d["deprivation"], d["schools"], self.policy, unique=True)
+                                        d["deprivation"], d["schools"], self.policy, unique=True, hot=self.hot_codes)
 
     @cached_property
     def repaired(self) -> DataFrame:

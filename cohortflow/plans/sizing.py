@@ -45,6 +45,7 @@ class Stages:
     def __init__(self, stored: bool = True):
         self.stored = stored
         self.paths: list[tuple[SparkSession, str, str | None]] = []
+        self.large: list[DataFrame] = []
 
     def _new_path(self, df: DataFrame) -> str | None:
         folder = checkpoint_dir(df.sparkSession) if self.stored else None
@@ -72,7 +73,14 @@ class Stages:
         if out is df:
             return df
         fs, path = _path(df.sparkSession, self.paths[-1][1])
-        return F.broadcast(out) if fs.getContentSummary(path).getLength() <= BROADCAST_BYTES else out
+        if fs.getContentSummary(path).getLength() <= BROADCAST_BYTES:
+            return F.broadcast(out)
+        self.large.append(out)
+        return out
+
+    def is_large(self, df: DataFrame) -> bool:
+        """Whether ``df`` is a stored reference table that is left to a shuffle."""
+        return any(df is x for x in self.large)
 
     def close(self) -> None:
         """Drop all that was stored; frames that read it can't be used any more."""
