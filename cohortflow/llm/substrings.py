@@ -15,11 +15,16 @@ variable length, and each group's truncated suffix tree tells which windows docu
    read them in order and sort the suffixes of whole groups by prefix doubling up to depth
    ``WINDOW``: places of equal rank are the leaves under one internal node of that depth, a repeat,
    and the node's smallest id decides for all of its leaves.
-3. A larger prefix - a passage that is in a third of all documents, say - has its equal segments
-   merged, summed up before they are shuffled, and is then lengthened to the whole window: its groups
-   are the nodes themselves, and the smallest id of each is an aggregate. The set of large prefixes is broadcast: above
-   ``LARGE`` * ``GROUP`` segments ``GROUP`` grows with their number, so the set has at most ``LARGE``
-   members.
+3. A larger prefix - a passage that is in a third of all documents, say - first has its equal segments
+   merged, summed up before they are shuffled. If at most ``GROUP`` different ones are left, they make
+   one group as in 2. Else its windows are taken as suffixes of their own, whose prefixes are
+   lengthened to ``LENGTHS`` words until at most ``GROUP`` of them share one; each such group gets
+   its tree. What is left are single nodes of full depth with more leaves than a task shall hold; the
+   smallest id of such a node is an aggregate.
+   Sets of large prefixes, nodes and segments are broadcast: above ``LARGE`` * ``GROUP`` rows
+   ``GROUP`` grows with their number, so each has at most ``LARGE`` members of a few numbers.
+   The nodes of a segment with more than ``GROUP`` rows are replicated, one copy for each ``GROUP``
+   rows, so the rows that meet them spread.
 4. The windows to remove meet their documents in a join on id and text hash.
 
 Edge cases: null is the empty text. Documents without id take no part: they keep all words and take
@@ -41,6 +46,7 @@ from pyspark.sql import functions as F
 from cohortflow.llm import common as C
 
 WINDOW, PREFIX, GROUP, LARGE, CHUNK_SEGMENTS = 13, 5, 2000, 1 << 20, 50_000
+LENGTHS = (7, 9, 11, WINDOW)
 FIELDS = {"n_words": "long", "n_removed": "long", "kept_text": "string"}
 
 
@@ -183,34 +189,100 @@ def shifted(starts: pa.Array, row: np.ndarray, by: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values, pa.int32()))
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows in tables of about ``CHUNK_SEGMENTS`` rows that end where the value of ``column`` does."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= CHUNK_SEGMENTS:  # hand over all but the last group, which may go on
+            table = pa.Table.from_batches(held)
+            value = table[column].to_numpy()
+            cut = int(np.flatnonzero(value != value[-1])[-1]) + 1 if value[0] != value[-1] else 0
+            if cut:
+                yield table.slice(0, cut)
+            held, rows = table.slice(cut).to_batches(), table.num_rows - cut
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def frequent(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(key, n_rows) of the keys with more than ``most`` rows."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > most)
+
+
 def single_windows(distinct: DataFrame) -> DataFrame:
-    """(doc_id, prefix, segment, place, window, content_hash): distinct segments split into their
-    windows; the last two hashes together name a window, ``place`` is its number in the segment."""
-    names = ["doc_id", "prefix", "segment", "place", "window", "content"]
+    """(doc_id, prefix, segment, place, content, p7, ...): distinct segments split into their windows;
+    ``place`` is a window's number in the segment, ``p7`` the hash of its first seven words."""
+    names = ["doc_id", "prefix", "segment", "place", "content", *[f"p{n}" for n in LENGTHS]]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, 3, C.SLICE_BYTES // 4):
                 w = C.Words(part.column(3).to_pylist())
-                g, at = C.grams(w.hashes(), WINDOW), np.flatnonzero(C.inside(w.first, WINDOW))
+                h, at = w.hashes(), np.flatnonzero(C.inside(w.first, WINDOW))
                 row = w.doc[at]
                 content = [w.raw[x:y] for x, y in zip(w.start[at].tolist(), w.end[at + WINDOW - 1].tolist())]
                 same = [part.column(i).take(pa.array(row)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(at - w.first[row], pa.int32()), pa.array(g[at].view(np.int64)), pa.array(content, pa.binary())], names=names)
+                prefixes = [pa.array(C.grams(h, n)[at].view(np.int64)) for n in LENGTHS]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(at - w.first[row], pa.int32()), pa.array(content, pa.binary()), *prefixes], names=names)
+
+    rows = distinct.select("doc_id", "prefix", "segment", "content")
+    return rows.mapInArrow(run, "doc_id long, prefix long, segment long, place int, content binary, " + ", ".join(f"p{n} long" for n in LENGTHS))
+
+
+def lengthened(windows: DataFrame, most: int) -> DataFrame:
+    """``windows`` with ``length`` and ``key``, the words and hash of the shortest prefix that at most
+    ``most`` windows share; both are null where more share the whole window."""
+    out = windows
+    for n in LENGTHS:
+        large = frequent(windows, f"p{n}", most).select(f"p{n}", F.lit(True).alias(f"large{n}"))
+        out = out.join(F.broadcast(large), f"p{n}", "left")
+    shortest = lambda value: F.coalesce(*[F.when(F.col(f"large{n}").isNull(), value(n)) for n in LENGTHS])
+    return out.select(*windows.columns, shortest(F.lit).alias("length"), shortest(lambda n: F.col(f"p{n}")).alias("key"))
 
-    rows = distinct.select("doc_id", "prefix", F.xxhash64("content").alias("segment"), "content")
-    split = rows.mapInArrow(run, "doc_id long, prefix long, segment long, place int, window long, content binary")
-    return split.select(*names[:5], F.xxhash64("content").alias("content_hash"))
 
+def tree_nodes(rows: DataFrame, *key: str) -> DataFrame:
+    """(prefix, segment, place, least): the smallest id under the node of each window of ``rows``, from
+    the trees of the groups of equal ``key``."""
+    names = ["prefix", "segment", "place", "least"]
 
-def removed_by_nodes(found: DataFrame) -> DataFrame:
+    def tree(rows: pa.Table) -> pa.RecordBatch:
+        least, n = node_minima(rows["content"].to_pylist(), rows["doc_id"].to_numpy())
+        row = np.repeat(np.arange(len(n)), n)
+        place = rows["place"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        return pa.RecordBatch.from_arrays([pa.array(rows["prefix"].to_numpy()[row]), pa.array(rows["segment"].to_numpy()[row]), pa.array(place, pa.int32()), pa.array(least)], names=names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(tree, whole_groups(batches, "group"))
+
+    named = rows.select(F.xxhash64(*key).alias("group"), "doc_id", "prefix", "segment", "place", "content")
+    dealt = named.repartition(C.partitions_for(rows), "group").sortWithinPartitions("group")
+    return dealt.mapInArrow(run, "prefix long, segment long, place int, least long")
+
+
+def removed_under_large(found: DataFrame, group: int) -> DataFrame:
     """(doc_id, text_hash, starts): as `removed_by_trees`, for segments under large prefixes."""
-    single = single_windows(found.groupBy("prefix", "content").agg(F.min("doc_id").alias("doc_id")))
-    least = single.groupBy("window", "content_hash").agg(F.min("doc_id").alias("least"))
-    nodes = single.select("prefix", "segment", "place", "window", "content_hash").join(least, ["window", "content_hash"])
+    found = found.withColumn("segment", F.xxhash64("content"))
+    distinct = C.stored(found.groupBy("prefix", "segment", "content").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_rows")), "distinct")
+    longer = frequent(distinct, "prefix", group).select("prefix", F.lit(True).alias("longer"))
+    flagged = distinct.withColumn("place", F.lit(0)).join(F.broadcast(longer), "prefix", "left")
+    nodes = tree_nodes(flagged.where("longer IS NULL"), "prefix")
+    windows = C.stored(single_windows(flagged.where("longer")), "windows")
+    n_windows = windows.count()
+    if n_windows:
+        most, whole = max(group, n_windows // LARGE), f"p{WINDOW}"
+        keyed = lengthened(windows, most)
+        nodes = nodes.union(tree_nodes(keyed.where("key IS NOT NULL"), "length", "key"))
+        single = keyed.where("key IS NULL").select("doc_id", "prefix", "segment", "place", whole, F.xxhash64("content").alias("content_hash"))
+        least = single.groupBy(whole, "content_hash").agg(F.min("doc_id").alias("least"))
+        nodes = nodes.union(single.join(F.broadcast(least), [whole, "content_hash"]).select("prefix", "segment", "place", "least"))
     nodes = nodes.groupBy("prefix", "segment").agg(F.collect_list(F.struct("place", "least")).alias("nodes"))  # one segment's windows
-    hit = (found.select("doc_id", "text_hash", "starts", "prefix", F.xxhash64("content").alias("segment"))
-           .join(nodes, ["prefix", "segment"]).where(F.exists("nodes", lambda x: x["least"] < F.col("doc_id"))))
+    hot = F.broadcast(distinct.where(F.col("n_rows") > group).select("prefix", "segment", F.ceil(F.col("n_rows") / group).alias("copies")))
+    copies = F.coalesce("copies", F.lit(1).cast("long"))
+    nodes = nodes.join(hot, ["prefix", "segment"], "left").select("prefix", "segment", "nodes", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("copy"))
+    dealt = found.join(hot, ["prefix", "segment"], "left").select("doc_id", "text_hash", "starts", "prefix", "segment", F.pmod(F.xxhash64("doc_id", "text_hash"), copies).alias("copy"))
+    hit = dealt.join(nodes, ["prefix", "segment", "copy"]).where(F.exists("nodes", lambda x: x["least"] < F.col("doc_id")))
     starts = F.expr("flatten(transform(filter(nodes, x -> x.least < doc_id), x -> transform(starts, s -> s + x.place)))")
     return hit.select("doc_id", "text_hash", starts.alias("starts"))
 
@@ -250,19 +322,7 @@ def removed_by_trees(found: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(rows["text_hash"].to_numpy()[some]), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), lists.values)], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= CHUNK_SEGMENTS:  # hand over all but the last prefix, which may go on
-                table = pa.Table.from_batches(held)
-                prefix = table["prefix"].to_numpy()
-                cut = int(np.flatnonzero(prefix != prefix[-1])[-1]) + 1 if prefix[0] != prefix[-1] else 0
-                if cut:
-                    yield tree(table.slice(0, cut))
-                held, rows = table.slice(cut).to_batches(), table.num_rows - cut
-        if rows:
-            yield tree(pa.Table.from_batches(held))
+        return map(tree, whole_groups(batches, "prefix"))
 
     grouped = found.select("doc_id", "text_hash", "starts", "prefix", "content").repartition(C.partitions_for(found), "prefix").sortWithinPartitions("prefix")
     return grouped.mapInArrow(run, "doc_id long, text_hash long, starts array<int>")
@@ -279,9 +339,9 @@ def removed_windows(docs: DataFrame, group: int = GROUP) -> DataFrame:
     found = C.stored(segments(docs, first), "segments")
     C.free_shuffles(spark)
     group = max(group, found.count() // LARGE)
-    large = found.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > group)
-    flagged = found.join(F.broadcast(large.select("prefix", F.lit(True).alias("large"))), "prefix", "left")
-    gone = removed_by_trees(flagged.where("large IS NULL")).union(removed_by_nodes(flagged.where("large")))
+    large = frequent(found, "prefix", group).select("prefix", F.lit(True).alias("large"))
+    flagged = found.join(F.broadcast(large), "prefix", "left")
+    gone = removed_by_trees(flagged.where("large IS NULL")).union(removed_under_large(flagged.where("large"), group))
     gone = gone.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     whole = copies.select("doc_id", "text_hash", F.lit(True).alias("copied"), F.expr("CAST(array() AS array<int>)").alias("starts"))
     out = C.stored(gone.select("doc_id", "text_hash", F.lit(False).alias("copied"), "starts").union(whole), "removed")

@@ -41,7 +41,7 @@ def table():
     return rows
 
 
-@pytest.mark.parametrize("group", [substrings.GROUP, 3])
+@pytest.mark.parametrize("group", [substrings.GROUP, 3, 1])
 def test_against_brute_force(spark, group):
     rows = table()
     got = substrings.substring_dedup(documents(spark, rows), group=group).collect()
@@ -55,6 +55,31 @@ def test_query(spark, tmp_path):
     assert sorted(map(tuple, got), key=repr) == sorted(((d, n, k, sha(t)) for d, n, k, t in brute(rows)), key=repr)
 
 
+def test_prefixes_are_lengthened_until_groups_fit(spark):
+    rng = random.Random(4)
+    head, tail = prose(rng, 8, 10**6), prose(rng, 16, 10**6)
+    segments = [f"{head} {prose(rng, 12, 10**6)}" for _ in range(6)] + [f"{prose(rng, 1, 10**6)} {tail}" for _ in range(5)]
+    rows = spark.createDataFrame([(i, 1, i, t.encode()) for i, t in enumerate(segments)], "doc_id long, prefix long, segment long, content binary")
+    got = substrings.lengthened(substrings.single_windows(rows), 4).collect()
+    assert len(got) == 6 * 8 + 5 * 5
+    for r in got:
+        text = r["content"].split()
+        alike = lambda n: sum(x["content"].split()[:n] == text[:n] for x in got)  # noqa: B023, E731
+        fits = [n for n in substrings.LENGTHS if alike(n) <= 4]
+        assert r["length"] == (fits[0] if fits else None) and (r["key"] is None) == (not fits)
+        assert not fits or r["key"] == r[f"p{fits[0]}"]
+    assert {r["length"] for r in got} == {7, 9, None}
+
+
+def test_a_hot_segment_spreads(spark):
+    rng = random.Random(5)
+    passage = prose(rng, 40, 10**6)
+    rows = [(i, f"{prose(rng, 20, 10**6)} {passage} {prose(rng, 20, 10**6)}") for i in range(60)]
+    got = substrings.substring_dedup(documents(spark, rows), group=7).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == sorted(brute(rows))
+    assert [r["n_removed"] for r in sorted(got, key=lambda r: r["doc_id"])] == [0] + [40] * 59
+
+
 def test_chunks_end_between_prefixes(spark, monkeypatch):
     monkeypatch.setattr(substrings, "CHUNK_SEGMENTS", 3)  # the closures read it when they are pickled
     rng = random.Random(2)
