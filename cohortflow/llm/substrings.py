@@ -17,10 +17,12 @@ variable length, and each group's truncated suffix tree tells which windows docu
    and the node's smallest id decides for all of its leaves.
 3. A larger prefix - a passage that is in a third of all documents, say - first has its equal segments
    merged, summed up before they are shuffled. If at most ``GROUP`` different ones are left, they make
-   one group as in 2. Else its windows are taken as suffixes of their own, whose prefixes are
-   lengthened to ``LENGTHS`` words until at most ``GROUP`` of them share one; each such group gets
-   its tree. What is left are single nodes of full depth with more leaves than a task shall hold; the
-   smallest id of such a node is an aggregate.
+   one group as in 2. Else the prefix is lengthened until at most ``GROUP`` segments share it: first
+   by half of the other words of a window, those before or those behind the anchor, which cuts a
+   segment in two; where that is not enough, its windows are taken as suffixes of their own with
+   prefixes of ``LENGTHS`` words. Each group that fits gets its tree. What is left are single nodes
+   of full depth with more leaves than a task shall hold; the smallest id of such a node is an
+   aggregate.
    Sets of large prefixes, nodes and segments are broadcast: above ``LARGE`` * ``GROUP`` rows
    ``GROUP`` grows with their number, so each has at most ``LARGE`` members of a few numbers.
    The nodes of a segment with more than ``GROUP`` rows are replicated, one copy for each ``GROUP``
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 from cohortflow.llm import common as C
 
 WINDOW, PREFIX, GROUP, LARGE, CHUNK_SEGMENTS = 13, 5, 2000, 1 << 20, 50_000
-LENGTHS = (7, 9, 11, WINDOW)
+LENGTHS, BEFORE = (9, 11, WINDOW), (WINDOW - PREFIX) // 2
 FIELDS = {"n_words": "long", "n_removed": "long", "kept_text": "string"}
 
 
@@ -211,23 +213,53 @@ def frequent(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > most)
 
 
+def half_segments(distinct: DataFrame) -> DataFrame:
+    """(doc_id, prefix, segment, place, content, half): distinct segments cut into the windows that hold
+    at least ``BEFORE`` words before their anchor and the others; ``half`` is the hash of the anchor
+    with those words, or with those that the others have behind it. ``place`` is the number of the
+    first window in the segment."""
+    names = ["doc_id", "prefix", "segment", "place", "content", "half"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in C.slices(batch, 4):
+                w = C.Words(part.column(4).to_pylist())
+                h = w.hashes()
+                win, at, _ = anchors(h, w.first)
+                early = at - win >= BEFORE
+                row = w.doc[win]
+                begin = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (early[1:] != early[:-1])]))
+                last = win[np.append(begin[1:], len(win)) - 1] + WINDOW - 1
+                win, at, early, row = win[begin], at[begin], early[begin], row[begin]
+                before, behind = C.grams(h, PREFIX + BEFORE), C.grams(h, WINDOW - BEFORE + 1)
+                half = np.where(early, before[np.where(early, at - BEFORE, 0)], behind[np.where(early, 0, at)])
+                content = [w.raw[x:y] for x, y in zip(w.start[win].tolist(), w.end[last].tolist())]
+                same = [part.column(i).take(pa.array(row)) for i in range(3)]
+                place = part.column(3).to_numpy()[row] + win - w.first[row]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(place, pa.int32()), pa.array(content, pa.binary()), pa.array(half.view(np.int64))], names=names)
+
+    rows = distinct.select("doc_id", "prefix", "segment", "place", "content")
+    return rows.mapInArrow(run, "doc_id long, prefix long, segment long, place int, content binary, half long")
+
+
 def single_windows(distinct: DataFrame) -> DataFrame:
-    """(doc_id, prefix, segment, place, content, p7, ...): distinct segments split into their windows;
-    ``place`` is a window's number in the segment, ``p7`` the hash of its first seven words."""
+    """(doc_id, prefix, segment, place, content, p9, ...): parts of segments split into their windows;
+    ``place`` is a window's number in the segment, ``p9`` the hash of its first nine words."""
     names = ["doc_id", "prefix", "segment", "place", "content", *[f"p{n}" for n in LENGTHS]]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.slices(batch, 3, C.SLICE_BYTES // 4):
-                w = C.Words(part.column(3).to_pylist())
+            for part in C.slices(batch, 4, C.SLICE_BYTES // 4):
+                w = C.Words(part.column(4).to_pylist())
                 h, at = w.hashes(), np.flatnonzero(C.inside(w.first, WINDOW))
                 row = w.doc[at]
                 content = [w.raw[x:y] for x, y in zip(w.start[at].tolist(), w.end[at + WINDOW - 1].tolist())]
                 same = [part.column(i).take(pa.array(row)) for i in range(3)]
+                place = part.column(3).to_numpy()[row] + at - w.first[row]
                 prefixes = [pa.array(C.grams(h, n)[at].view(np.int64)) for n in LENGTHS]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(at - w.first[row], pa.int32()), pa.array(content, pa.binary()), *prefixes], names=names)
+                yield pa.RecordBatch.from_arrays([*same, pa.array(place, pa.int32()), pa.array(content, pa.binary()), *prefixes], names=names)
 
-    rows = distinct.select("doc_id", "prefix", "segment", "content")
+    rows = distinct.select("doc_id", "prefix", "segment", "place", "content")
     return rows.mapInArrow(run, "doc_id long, prefix long, segment long, place int, content binary, " + ", ".join(f"p{n} long" for n in LENGTHS))
 
 
@@ -268,7 +300,11 @@ def removed_under_large(found: DataFrame, group: int) -> DataFrame:
     longer = frequent(distinct, "prefix", group).select("prefix", F.lit(True).alias("longer"))
     flagged = distinct.withColumn("place", F.lit(0)).join(F.broadcast(longer), "prefix", "left")
     nodes = tree_nodes(flagged.where("longer IS NULL"), "prefix")
-    windows = C.stored(single_windows(flagged.where("longer")), "windows")
+    halves = C.stored(half_segments(flagged.where("longer")), "halves")
+    wide = frequent(halves, "half", max(group, halves.count() // LARGE)).select("half", F.lit(True).alias("wide"))
+    halves = halves.join(F.broadcast(wide), "half", "left")
+    nodes = nodes.union(tree_nodes(halves.where("wide IS NULL"), "half"))
+    windows = C.stored(single_windows(halves.where("wide")), "windows")
     n_windows = windows.count()
     if n_windows:
         most, whole = max(group, n_windows // LARGE), f"p{WINDOW}"

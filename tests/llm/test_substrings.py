@@ -57,18 +57,18 @@ def test_query(spark, tmp_path):
 
 def test_prefixes_are_lengthened_until_groups_fit(spark):
     rng = random.Random(4)
-    head, tail = prose(rng, 8, 10**6), prose(rng, 16, 10**6)
+    head, tail = prose(rng, 10, 10**6), prose(rng, 16, 10**6)
     segments = [f"{head} {prose(rng, 12, 10**6)}" for _ in range(6)] + [f"{prose(rng, 1, 10**6)} {tail}" for _ in range(5)]
-    rows = spark.createDataFrame([(i, 1, i, t.encode()) for i, t in enumerate(segments)], "doc_id long, prefix long, segment long, content binary")
+    rows = spark.createDataFrame([(i, 1, i, 0, t.encode()) for i, t in enumerate(segments)], "doc_id long, prefix long, segment long, place int, content binary")
     got = substrings.lengthened(substrings.single_windows(rows), 4).collect()
-    assert len(got) == 6 * 8 + 5 * 5
+    assert len(got) == 6 * 10 + 5 * 5
     for r in got:
         text = r["content"].split()
         alike = lambda n: sum(x["content"].split()[:n] == text[:n] for x in got)  # noqa: B023, E731
         fits = [n for n in substrings.LENGTHS if alike(n) <= 4]
         assert r["length"] == (fits[0] if fits else None) and (r["key"] is None) == (not fits)
         assert not fits or r["key"] == r[f"p{fits[0]}"]
-    assert {r["length"] for r in got} == {7, 9, None}
+    assert {r["length"] for r in got} == {9, 11, None}
 
 
 def test_a_hot_segment_spreads(spark):
