@@ -4,10 +4,13 @@ One Aho-Corasick automaton over the ASCII-lower-cased bytes finds the keywords;
 only at the place of a hit, never over the whole text. Runs of hex digits have no keyword: they are
 found by their fixed pattern. Tokens with an embedded checksum (``github``, ``npm``: the last six
 characters are the CRC-32 of the thirty before, in base 62) are reported only if it is right.
+Further formats count only if what they embed is right: ``xprv`` (extended private keys, base 58
+with the first four bytes of a double SHA-256), ``bech32`` (age and nostr secret keys, Bech32
+checksum), ``jwt`` (a header and a payload that are JSON objects, the header with ``alg``).
 PEM blocks need their end line with the same label; begin and end lines are paired by place, so a text
 of begin lines without end costs no more than its length.
 
-Kinds, in order: assign, access, hex (base); github, npm, pem (added). Matches of one kind are
+Kinds, in order: assign, access, hex (base); github, npm, pem, xprv, bech32, jwt (added). Matches of one kind are
 leftmost and do not overlap; kinds may overlap each other. Places are code points, end exclusive.
 
 Edge cases: null is the empty text, without spans. Rows are scanned one by one, so repeated rows,
@@ -16,9 +19,11 @@ null ids and further columns change nothing.
 
 from __future__ import annotations
 
+import base64
 import bisect
 import functools
 import hashlib
+import json
 import re
 import zlib
 
@@ -29,20 +34,27 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortflow.llm import common as C
 
 # The base kinds with their patterns and least lengths; token formats.
-KINDS = ("assign", "access", "hex", "github", "npm", "pem")
+KINDS = ("assign", "access", "hex", "github", "npm", "pem", "xprv", "bech32", "jwt")
 BASE_KINDS = KINDS[:3]
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 GITHUB = re.compile(rb"gh[pousr]_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 NPM = re.compile(rb"npm_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
+XPRV = re.compile(rb"xprv[1-9A-HJ-NP-Za-km-z]{107}(?![0-9A-Za-z])")
+BECH32 = re.compile(rb"(AGE-SECRET-KEY-|nsec)1([02-9AC-HJ-NP-Z]{58}|[02-9ac-hj-np-z]{58})(?![0-9A-Za-z])")
+JWT = re.compile(rb"(?<![0-9A-Za-z_-])(eyJ[0-9A-Za-z_-]++)\.(eyJ[0-9A-Za-z_-]++)\.[0-9A-Za-z_-]++")
 PEM_BEGIN = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----")
 PEM_END = re.compile(rb"-----END ([A-Z ]*PRIVATE KEY)-----")
 NOT_IN_PEM = re.compile(rb"[^A-Za-z0-9+/=\s:,-]")
 KEYWORDS = {"password": "assign", "passwd": "assign", "secret": "assign", "token": "assign",
             "apikey": "assign", "api_key": "assign", "akia": "access", "ghp_": "github", "gho_": "github",
-            "ghu_": "github", "ghs_": "github", "ghr_": "github", "npm_": "npm", "-----begin ": "pem"}
+            "ghu_": "github", "ghs_": "github", "ghr_": "github", "npm_": "npm", "-----begin ": "pem",
+            "xprv": "xprv", "age-secret-key-1": "bech32", "nsec1": "bech32", "eyj": "jwt"}
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+BASE58 = b"123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+BASE32 = b"qpzry9x8gf2tvdw0s3jn54khce6mua7l"
+BECH32_GENERATORS = (0x3B6A57B2, 0x26508E6D, 0x1EA119FA, 0x3D4233DD, 0x2A1462B3)
 ASSIGN_MIN, ACCESS_MIN = 8, 16
 FIELDS = {"n_assign": "long", "n_access": "long", "n_hex": "long", "base_sha256": "string", "spans": "string"}
 
@@ -59,8 +71,36 @@ def checksum_ok(m: re.Match) -> bool:
     return base62(zlib.crc32(m[1])) == m[2]
 
 
+def base58check_ok(m: re.Match) -> bool:
+    n = 0
+    for c in m[0]:
+        n = n * 58 + BASE58.index(c)
+    raw = n.to_bytes(82, "big")  # 111 digits of base 58 that begin with xprv have 82 bytes
+    return hashlib.sha256(hashlib.sha256(raw[:-4]).digest()).digest()[:4] == raw[-4:]
+
+
+def bech32_ok(m: re.Match) -> bool:
+    """The remainder of prefix and data, five bits each, by the checksum's polynomial is 1."""
+    prefix = m[1].lower()
+    rest = 1
+    for v in [*(c >> 5 for c in prefix), 0, *(c & 31 for c in prefix), *map(BASE32.index, m[2].lower())]:
+        top, rest = rest >> 25, (rest & 0x1FFFFFF) << 5 ^ v
+        for i, g in enumerate(BECH32_GENERATORS):
+            rest ^= g if top >> i & 1 else 0
+    return rest == 1
+
+
+def jwt_ok(m: re.Match) -> bool:
+    try:
+        head, body = (json.loads(base64.urlsafe_b64decode(part + b"=" * (-len(part) % 4))) for part in m.groups())
+    except (ValueError, RecursionError):
+        return False
+    return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)
+
+
 RULES = {"assign": (ASSIGN, lambda m: len(m[2]) >= ASSIGN_MIN), "access": (ACCESS, lambda m: len(m[0]) >= ACCESS_MIN),
-         "github": (GITHUB, checksum_ok), "npm": (NPM, checksum_ok)}
+         "github": (GITHUB, checksum_ok), "npm": (NPM, checksum_ok),
+         "xprv": (XPRV, base58check_ok), "bech32": (BECH32, bech32_ok), "jwt": (JWT, jwt_ok)}
 
 
 @functools.cache
