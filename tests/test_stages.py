@@ -134,6 +134,27 @@ def test_product_in_two_stages_does_not_multiply(spark, full):
     assert [(r.stage, r.min_met) for r in sorted(got, key=lambda r: r.stage)] == [("12 Month", 0), ("Preschool", 0)]
 
 
+def test_status_rows_get_their_doses_without_an_exchange_by_product(spark, full):
+    """The status rows stay dealt by person, also in a session that wants all join keys in a partitioning."""
+    products = [C.PRODUCT_MMR_1, C.PRODUCT_MMR_2, C.PRODUCT_ROTA, None]
+    status = spark.createDataFrame([(i, p, "12 Month", 0, 1) for i in range(3) for p in products], "person_id long, product string, stage string, min_met int, still_needed int")
+    doses = spark.createDataFrame([(0, C.PRODUCT_MMR_1, 1, 1), (0, C.PRODUCT_MMR_1, None, 2), (0, C.PRODUCT_MMR_2, 0, None), (1, C.PRODUCT_MMR_2, None, 1),
+                                   (1, C.PRODUCT_ROTA, 2, 2), (2, None, 5, 5)], "person_id long, product string, doses_given int, doses_required int")
+    flags = spark.createDataFrame([], full.person_flags.schema)
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        rows = overrides.with_person_facts(status, flags, doses)
+        assert not re.search(r"hashpartitioning\(\w*person\w*#\d+L?, \w*product", _plan(rows))
+        got = {(r.person_id, r.product): (r.doses_given, r.doses_required) for r in rows.collect()}
+        assert rows.count() == len(got) == 12
+    finally:
+        spark.conf.set(name, before)
+    held = {(0, C.PRODUCT_MMR_1): (1, 2), (0, C.PRODUCT_MMR_2): (0, None), (1, C.PRODUCT_MMR_2): (None, 1)}
+    assert got == {(i, p): held.get((i, p), (None, None)) for i in range(3) for p in products}
+
+
 def test_every_product_override_changes_rows(full):
     rows = overrides.with_person_facts(full.status_base, full.person_flags, full.doses)
     out = {}
