@@ -53,3 +53,21 @@ def test_rules_that_differ_only_in_windows_are_still_summed(spark):
     own = spark.createDataFrame(rows[1:], EXPANDED)
     plain = eligibility.count_in_window(own, counts, alike=False)
     assert _rows(plain) == _rows(eligibility.count_in_window(own, counts)) and plain.dtypes == eligibility.count_in_window(own, counts).dtypes
+
+
+def test_override_flags_do_not_compute_the_history(small_pipeline):
+    assert "collect_set" not in _plan(small_pipeline.person_flags)
+    assert "collect_set" in _plan(small_pipeline.event_summary)
+    n = len(small_pipeline.stages.paths)
+    assert small_pipeline.event_history is small_pipeline.event_history and len(small_pipeline.stages.paths) <= n + 1
+    assert "collect_set" not in _plan(small_pipeline.event_history)  # stored
+
+
+def test_acwy_counts_for_the_earliest_of_several_births(spark):
+    late = 7 * C.DEFAULT_POLICY.acwy_valid_from_weeks
+    am = spark.createDataFrame([(i, BASE, "HIB", 1) for i in range(6)], "person_id long, dob date, antigen string, met_flag int")
+    events = spark.createDataFrame([(i, None, "X", C.ACWY_DESCRIPTION, "X", BASE + late * DAY) for i in (0, 1, 2, 3, 5)], PRODUCTS)
+    demo = spark.createDataFrame([(0, BASE), (0, BASE + 9 * DAY), (1, BASE + DAY), (2, None), (2, BASE), (4, BASE), (5, None)], "person_id long, dob date")
+    caveats = spark.createDataFrame([], "person_id long, cohort int")
+    got = overrides.person_flags(am, caveats, overrides.event_summary(events), demo).collect()
+    assert {r.person_id: r.acwy_ok for r in got} == {0: 1, 1: None, 2: 1, 3: None, 4: None, 5: None}
