@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import numpy as np
 
@@ -68,3 +69,72 @@ def test_large_components_are_exact():
 
 def test_empty_table(spark, tmp_path):
     assert topk.op6_exact_top_k(spark, saved(spark, [], tmp_path)).count() == 0
+
+
+def shuffled(df):
+    """Bytes that the shuffles of a plan that has run wrote."""
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        own = node.metrics().get("dataSize").get().value() if node.nodeName() == "Exchange" else 0
+        rest = node.children().iterator()
+        while rest.hasNext():
+            own += walk(rest.next())
+        return own
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_queries_are_not_copied_to_each_block_of_vectors(spark):
+    n = 6 * 4096
+    rows = spark.range(n).selectExpr("id AS vec_id", "transform(sequence(0, 7), i -> pmod(xxhash64(id, i), 201) - 100) AS q")
+    best = topk.top_k(rows, rows, 1)
+    assert len(best.collect()) == n
+    assert shuffled(best) < 200 * n
+
+
+def test_groups_of_queries_and_vectors(spark, tmp_path, monkeypatch):
+    for name, value in {"QUERY_BYTES": 600, "VECTOR_BYTES": 2000}.items():
+        monkeypatch.setattr(topk, name, value)
+    rng = random.Random(4)
+    vector = lambda d, size: [rng.gauss(0, size) for _ in range(d)]
+    rows = [(i, vector(12, 0.2)) for i in range(700)] + [(i, vector(5, 300.0 if i % 3 else 1e6)) for i in range(700, 900)]
+    rows += [(1000 + i, rows[50 * (i % 3)][1]) for i in range(60)] + [(950, vector(3, 1)), (951, vector(2, 1))]
+    got = topk.op6_exact_top_k(spark, saved(spark, rows, tmp_path))
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    groups = int(re.search(r"RepartitionBy\w+ .*?, (\d+)", plan)[1])
+    assert groups > 8 and "Join" not in plan
+
+
+def test_bounds_drop_whole_tiles_and_stay_exact():
+    rng = np.random.default_rng(5)
+    centres = 40 * np.eye(16, 64, dtype=np.int64).repeat(4, axis=1)[:, :64]
+    v = (centres[rng.integers(0, 16, 40_000)] + rng.integers(-3, 4, (40_000, 64))).astype(np.int16)
+    ids = rng.permutation(40_000)
+    best = topk.Best(ids[:2048], v[:2048], 5)
+    best.offer(ids, v)
+    i, got, score = best.found()
+    full = v[:100].astype(np.int64) @ v.astype(np.int64).T
+    for k in range(100):
+        order = np.lexsort((ids, -full[k]))
+        order = order[ids[order] != ids[k]][:5]
+        assert list(zip(score[i == k].tolist(), got[i == k].tolist())) == list(zip(full[k, order].tolist(), ids[order].tolist()))
+
+
+def test_many_equal_vectors_and_a_repeated_id():
+    q, v = np.array([[3, 4], [0, 0]]), np.array([[3, 4]] * 9000)
+    ids = np.arange(9000)[::-1].copy()
+    ids[:3] = 7
+    i, got, score = topk.best_of_block(np.array([0, 7]), q, ids, v, 5)
+    assert got.tolist() == [1, 2, 3, 4, 5, 0, 1, 2, 3, 4] and i.tolist() == [0] * 5 + [1] * 5
+    i, got, score = topk.best_of_block(np.array([3]), q[:1], np.array([7, 7, 9]), v[:3], 5)
+    assert got.tolist() == [7, 7, 9] and score.tolist() == [25] * 3
+
+
+def test_scores_near_the_largest_long_are_exact():
+    q, v = np.array([[2**31 - 1, 2**30 + 1, 0]]), np.array([[2**31 - 1, 2**30 - 1, 5], [2**31 - 1, 2**30, 5], [-(2**31), -(2**30), 1]])
+    exact = [sum(int(a) * int(b) for a, b in zip(q[0], x)) for x in v]
+    assert topk.best_of_block(np.array([9]), q, np.array([1, 2, 3]), v, 5)[2].tolist() == [exact[1], exact[0], exact[2]]
