@@ -37,7 +37,7 @@ LEVELS = (1, 4, 16)
 #: Rows of queries and of vectors that are scored at once, and vectors that give the first k-th best scores.
 TILE, STEP, FIRST = 512, 4096, 256
 #: Bytes of a block, of a group of queries (which a task holds), of a group of vectors (which it streams).
-BLOCK_BYTES, QUERY_BYTES, VECTOR_BYTES = 1 << 18, 1 << 25, 1 << 27
+BLOCK_BYTES, QUERY_BYTES, VECTOR_BYTES = 1 << 18, 1 << 26, 1 << 27
 #: Products that are worth a task of their own; bytes of queries that may always be copied to share the work.
 WORK, COPIED_BYTES = 1 << 36, 1 << 29
 
@@ -76,7 +76,7 @@ def narrow(x: np.ndarray) -> np.ndarray:
 
 def norms(x: np.ndarray) -> float:
     """The greatest length of a row, rounded up."""
-    return math.sqrt(float(np.square(x.astype(np.float64)).sum(axis=1).max(initial=0))) * (1 + 1e-9)
+    return math.sqrt(max((float(np.square(x[a: a + STEP].astype(np.float64)).sum(axis=1).max()) for a in range(0, len(x), STEP)), default=0)) * (1 + 1e-9)
 
 
 def largest(x: np.ndarray) -> int:
@@ -272,9 +272,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     v_blocks, q_blocks = C.stored(pack(vectors), "topk-vectors"), C.stored(pack(queries), "topk-queries")
     total = [F.coalesce(F.sum(x), F.lit(0)).cast("double") for x in ("bytes", "n")]
     (v_bytes, _), (q_bytes, n_q) = (df.agg(*total).first() for df in (v_blocks, q_blocks))
-    q_groups = max(1, math.ceil(q_bytes / QUERY_BYTES))
+    q_groups = max(1, math.ceil((q_bytes + n_q * (16 * k + 128)) / QUERY_BYTES))  # with what a task keeps for each query
     # more groups of vectors than VECTOR_BYTES asks for share the work, while the queries copied to them are no more than the vectors
-    copies = max(q_groups * v_bytes, COPIED_BYTES) / max(q_bytes, 1)
+    copies = max(v_bytes, COPIED_BYTES) / max(q_bytes, 1)
     v_groups = max(1, math.ceil(v_bytes / VECTOR_BYTES), math.ceil(min(n_q * v_bytes / 2 / q_groups / WORK, copies, v_bytes / BLOCK_BYTES)))
     group = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

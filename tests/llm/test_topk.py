@@ -96,7 +96,7 @@ def test_queries_are_not_copied_to_each_block_of_vectors(spark):
 
 
 def test_groups_of_queries_and_vectors(spark, tmp_path, monkeypatch):
-    for name, value in {"QUERY_BYTES": 600, "VECTOR_BYTES": 2000}.items():
+    for name, value in {"QUERY_BYTES": 4000, "VECTOR_BYTES": 2000}.items():
         monkeypatch.setattr(topk, name, value)
     rng = random.Random(4)
     vector = lambda d, size: [rng.gauss(0, size) for _ in range(d)]
